@@ -66,8 +66,9 @@ def joinaggregate(df: DataFrame, ops: Ops, groupby: Sequence[str] | None = None)
     if not g:
         # one-row aggregate: each value becomes a scalar subquery
         return df.select("*", *[agg.select(n).scalar().alias(n) for n in ops])
-    return df.join(agg, [df[k].eqNullSafe(agg[k]) for k in g], "left") \
-             .select(*[df[c] for c in df.columns], *[agg[n] for n in ops])
+    agg = agg.select(*[F.col(k).alias(f"_jk{i}") for i, k in enumerate(g)], *ops)
+    cond = [F.col(k).eqNullSafe(F.col(f"_jk{i}")) for i, k in enumerate(g)]
+    return df.join(agg, cond, "left").select(*df.columns, *ops)
 
 
 # ------------------------------------------------------------------ T6 extent
@@ -191,7 +192,7 @@ VALUE_OPS = {"lag", "lead", "first_value", "last_value", "nth_value"}
 
 def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
            groupby: Sequence[str] | None = None, frame: tuple = (None, 0),
-           ignore_peers: bool = False) -> DataFrame:
+           ignore_peers: bool = False, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """``ops = {"cum": ("sum", "x"), "rk": ("rank",), "prev": ("lag", "x", 1)}``.
 
     ``frame`` = (lo, hi) row offsets, None = unbounded, default (None, 0).
@@ -246,19 +247,21 @@ def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
         cols.append(col.alias(name))
     out = df.select("*", *cols)
     for name, op, field in peer_ops:
-        out = window_peer_frame(out, name, op, field, sort, groupby, lo, hi)
+        out = window_peer_frame(out, name, op, field, sort, groupby, lo, hi, tiebreak)
     return out
 
 
 def window_peer_frame(df: DataFrame, name: str, op: str, field: str | None, sort,
-                      groupby: Sequence[str] | None, lo: int | None, hi: int | None) -> DataFrame:
+                      groupby: Sequence[str] | None, lo: int | None, hi: int | None,
+                      tiebreak: Sequence[str] | None = None) -> DataFrame:
     """W14 for sum / count / mean with a numeric frame and ``ignorePeers=False``.
 
-    Row numbers give the frame edges; each edge is moved out to the first (start)
-    or last (end) row of its peer group; a running prefix sum is read at both edges
-    through a self-join on (group, row number)."""
+    Peers are rows equal on every ``sort`` field; ``tiebreak`` only fixes the row
+    numbering inside a peer group. Row numbers give the frame edges; each edge is
+    moved out to the first (start) or last (end) row of its peer group; a running
+    prefix sum is read at both edges through a self-join on (group, row number)."""
     g = _as_list(groupby)
-    order = _sort_cols(sort)
+    order = _sort_cols(sort) + _sort_cols(tiebreak)
     sort_names = [s if isinstance(s, str) else None for s in _as_list(sort)]
     sort_names = [s.lstrip("-") if s else None for s in sort_names]
     w = Window.partitionBy(*g).orderBy(*order)

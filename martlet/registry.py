@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import commerce, forecast, kpis, oracle_sql
+from .plans import chart_jobs, commerce, forecast, kpis, oracle_sql
 from .plans.fact import build_fact, filter_options
 from .session import configure
 from .sources.mart import star
@@ -36,6 +36,15 @@ def _on_fact(fn) -> Job:
     return job
 
 
+def _plain(fn) -> Job:
+    def job(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf_dir)
+    job.__name__ = fn.__name__
+    job.__doc__ = fn.__doc__
+    return job
+
+
 def _series(fn):
     return lambda fact: fn(forecast.monthly_series(fact))
 
@@ -83,6 +92,7 @@ def jobs() -> dict[str, Job]:
     out["f3_seasonal_index"] = _on_fact(_f3)
     out["f4_rolling_backtest"] = _on_fact(_f4)
     out["f5_forecast_horizon"] = _on_fact(forecast.forecast)
+    out.update({k: _plain(f) for k, f in chart_jobs.JOBS.items()})
     return out
 
 
@@ -92,4 +102,5 @@ def oracles() -> dict[str, str]:
     out.update(oracle_sql.KPIS)
     out.update(oracle_sql.FORECAST)
     out["d9_history_plus_forecast"] = oracle_sql.D9
+    out.update(chart_jobs.ORACLE)
     return out
