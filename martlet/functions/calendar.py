@@ -67,7 +67,8 @@ def calendar_shift(d, years=0, months=0, weeks=0, days=0, hours=0, minutes=0, se
     if leapdays:
         leap = (F.pmod(y, F.lit(4)) == 0) & ((F.pmod(y, F.lit(100)) != 0) | (F.pmod(y, F.lit(400)) == 0))
         extra_days = extra_days + F.when((mo > 2) & leap, F.lit(leapdays)).otherwise(F.lit(0))
-    total_us = (F.lit(hours) * 3600 + F.lit(minutes) * 60 + F.lit(seconds)) * 1_000_000 + microseconds
+    total_us = (F.lit(hours).cast("bigint") * 3600 + F.lit(minutes).cast("bigint") * 60
+                + F.lit(seconds).cast("bigint")) * 1_000_000 + F.lit(microseconds).cast("bigint")
     out = F.timestamp_add("MICROSECOND", total_us, F.timestamp_add("DAY", extra_days, base))
     if weekday is not None:
         wd, nth = weekday[0], (weekday[1] or 1)

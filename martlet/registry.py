@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import chart_jobs, commerce, forecast, kpis, oracle_sql
+from .plans import chart_jobs, commerce, forecast, kpis, operator_jobs, oracle_sql
 from .plans.fact import build_fact, filter_options
 from .session import configure
 from .sources.mart import star
@@ -93,6 +93,7 @@ def jobs() -> dict[str, Job]:
     out["f4_rolling_backtest"] = _on_fact(_f4)
     out["f5_forecast_horizon"] = _on_fact(forecast.forecast)
     out.update({k: _plain(f) for k, f in chart_jobs.JOBS.items()})
+    out.update({k: _plain(f) for k, f in operator_jobs.JOBS.items()})
     return out
 
 
@@ -103,4 +104,5 @@ def oracles() -> dict[str, str]:
     out.update(oracle_sql.FORECAST)
     out["d9_history_plus_forecast"] = oracle_sql.D9
     out.update(chart_jobs.ORACLE)
+    out.update(operator_jobs.ORACLE)
     return out
