@@ -19,7 +19,7 @@ from ..operators import selections as P
 from ..operators import transforms as tf
 from ..sources.tables import Tables
 from . import text_profile as G
-from .oracle_sql import R
+from .oracle_sql import R, W
 
 JOBS: dict = {}
 ORACLE: dict[str, str] = {}
@@ -591,3 +591,62 @@ def g7_language_coherence(spark, d):
 def g8_utf8_audit(spark, d):
     docs = T(spark, d).documents
     return G.utf8_audit(docs.withColumn("raw", F.encode("text", "UTF-8")), "raw", "source")
+
+
+# ================================================================== S* sinks (write, then read back)
+
+def _fact(spark, d):
+    from ..sources.mart import star
+    from .fact import build_fact
+    return build_fact(star(spark, d))
+
+
+@job("s3_parquet_roundtrip", W("""
+WITH f AS (SELECT strftime(o.order_date, '%Y-%m') AS year_month, oi.line_total
+           FROM star_order_items oi JOIN star_orders o USING (order_id) WHERE o.status = 'delivered')
+SELECT year_month, COUNT(*) AS n, CAST(SUM(line_total) AS DOUBLE) AS revenue FROM f
+WHERE year_month >= '2000-01' GROUP BY 1"""))
+def s3_parquet_roundtrip(spark, d):
+    from ..sources.io import scratch_path, write_parquet
+    path = scratch_path(spark, "fact_sales")
+    write_parquet(_fact(spark, d), path)
+    back = spark.read.parquet(path).filter(F.col("year_month") >= "2000-01")  # partition pruning
+    return back.groupBy("year_month").agg(F.count(F.lit(1)).alias("n"),
+                                          F.sum("line_total").cast("double").alias("revenue"))
+
+
+@job("s4_kpi_json_roundtrip")
+def s4_kpi_json_roundtrip(spark, d):
+    from ..sources.io import scratch_path, write_json
+    from ..sources.mart import star
+    from .kpis import headline_kpis
+    path = scratch_path(spark, "kpis")
+    write_json(headline_kpis(star(spark, d)).coalesce(1), path)
+    return spark.read.json(path)
+
+
+@job("s5_csv_roundtrip", W("""
+SELECT strftime(o.order_date, '%Y-%m') AS year_month, COUNT(*) AS n
+FROM star_order_items oi JOIN star_orders o USING (order_id) WHERE o.status = 'delivered' GROUP BY 1"""))
+def s5_csv_roundtrip(spark, d):
+    from ..sources.io import read_csv, scratch_path, write_csv
+    path = scratch_path(spark, "filtered")
+    fact = _fact(spark, d)
+    write_csv(fact.select("order_id", "seller_id", "line_total", "year_month"), path)
+    st = "order_id bigint, seller_id bigint, line_total decimal(18,2), year_month string"
+    back = read_csv(spark, path, spark.createDataFrame([], st).schema)
+    return back.groupBy("year_month").agg(F.count(F.lit(1)).alias("n"))
+
+
+@job("s8_content_fingerprint")
+def s8_content_fingerprint(spark, d):
+    from ..sources.io import content_fingerprint
+    return content_fingerprint(T(spark, d).orders)
+
+
+@job("s9_sanitize", """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.') || lpad(CAST((microsecond(ts) // 1000) % 1000 AS VARCHAR), 3, '0') AS ts,
+       CASE WHEN isnan(value) OR isinf(value) THEN NULL ELSE value END AS value FROM events""")
+def s9_sanitize(spark, d):
+    from ..sources.io import sanitize
+    return sanitize(T(spark, d).events.select("event_id", "ts", "value"))

@@ -30,12 +30,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
 # ---------------------------------------------------------------- S3 / S4 / S5 sinks
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("year_month",),
-                  mode: str = "overwrite") -> None:
+                  mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
     """S3: Parquet partitioned by month (month filters prune whole folders).
-    Rows are clustered by the partition column first so each task writes few files."""
+
+    No shuffle to the partition column (a month holding a third of the rows would
+    land in one task): each task sorts its own rows by the partition column and
+    writes one file per month it holds, split at ``max_records_per_file``."""
     parts = list(partition_by)
-    out = df.repartition(*[F.col(p) for p in parts]) if parts else df
-    w = out.write.mode(mode)
+    out = df.sortWithinPartitions(*parts) if parts else df
+    w = out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if parts:
         w = w.partitionBy(*parts)
     w.parquet(path)
@@ -182,10 +185,18 @@ def inline_rows(spark: SparkSession, values: Sequence[Mapping] | Mapping, schema
                 ) -> DataFrame:
     """``{"values": [...]}`` or a list of records, with an explicit schema."""
     recs = values["values"] if isinstance(values, Mapping) else values
-    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    st = schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
     names = st.fieldNames()
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in recs], st)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A folder under the shared checkpoint directory (never a machine-local temp dir
+    on a cluster)."""
+    from ..session import ensure_checkpoint_dir
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:10]}"
+
+
 def col_or_lit(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
