@@ -341,7 +341,7 @@ def sequence(start, stop=None, step=1) -> Column:
     if stop is None:
         start, stop = 0, start
     s, e, st = _c(start), _c(stop), _c(step)
-    last = e - F.signum(st).cast(e.dtype if hasattr(e, "dtype") else "int")
+    last = F.when(st > 0, e - 1).otherwise(e + 1)
     seq = F.when(((st > 0) & (s < e)) | ((st < 0) & (s > e)), F.sequence(s, last, st))
     return F.coalesce(F.filter(seq, lambda x: F.when(st > 0, x < e).otherwise(x > e)),
                       F.array().cast("array<int>"))
