@@ -104,13 +104,15 @@ def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
             bandwidth: float | None = None, extent: tuple[float, float] | None = None,
             steps: int = 100, counts: bool = False, cumulative: bool = False,
             resolve: str = "shared", as_: tuple[str, str] = ("value", "density"),
-            prebin: int | None = None) -> DataFrame:
+            prebin: int | None = None, exact_limit: int = 20_000) -> DataFrame:
     """Gaussian kernel density on an even grid of ``steps`` points over the
     extent (shared over groups unless ``resolve='independent'``).
 
     Rows are first reduced to (group, value, weight): a partial + final aggregate.
-    ``prebin=B`` snaps values to B even cells of the extent first, which bounds the
-    kernel work per group by B × steps for very large inputs."""
+    A group with more than ``exact_limit`` distinct values (approximate count) has
+    its values snapped to ``prebin`` (default ``exact_limit``) even cells of its
+    extent first, so the kernel work per group is at most cells × steps whatever
+    the input size; smaller groups are evaluated exactly."""
     from ..functions.expr import erf  # local: avoid an import cycle
 
     g = _as_list(groupby)
@@ -118,7 +120,8 @@ def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
     base = df.select(*g, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     stats = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
                                  F.percentile("_x", F.array(F.lit(0.25), F.lit(0.75))).alias("_q"),
-                                 F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+                                 F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
+                                 F.approx_count_distinct("_x").alias("_nd"))
     bw = F.lit(float(bandwidth)) if bandwidth else \
         scott_bandwidth(F.col("_n"), F.col("_sd"), F.col("_q")[1] - F.col("_q")[0])
     stats = stats.withColumn("_bw", bw)
@@ -128,12 +131,14 @@ def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
         lo_all = base.agg(F.min("_x")).scalar()
         hi_all = base.agg(F.max("_x")).scalar()
         stats = stats.withColumn("_lo", lo_all).withColumn("_hi", hi_all)
-    if prebin:
-        lo_all = base.agg(F.min("_x")).scalar()
-        hi_all = base.agg(F.max("_x")).scalar()
-        cell = (hi_all - lo_all) / prebin
-        snapped = lo_all + (F.floor((F.col("_x") - lo_all) / cell) + 0.5) * cell
-        base = base.withColumn("_x", F.when(cell > 0, snapped).otherwise(F.col("_x")))
+    cells = prebin or exact_limit
+    if cells:
+        ext = stats.select(*g, F.col("_lo").alias("_dlo"), F.col("_hi").alias("_dhi"), "_nd")
+        b = _attach(base, ext, g)
+        cell = (F.col("_dhi") - F.col("_dlo")) / cells
+        snapped = F.col("_dlo") + (F.floor((F.col("_x") - F.col("_dlo")) / cell) + 0.5) * cell
+        big = (F.col("_nd") > exact_limit) | F.lit(bool(prebin))
+        base = b.select(*g, F.when(big & (cell > 0), snapped).otherwise(F.col("_x")).alias("_x"))
     weights = base.groupBy(*g, "_x").agg(F.count(F.lit(1)).alias("_w"))
     # every (value, weight) row is evaluated at each of the `steps` grid points of its
     # group: rows are per distinct value (or per pre-bin cell), not per input row
@@ -145,7 +150,7 @@ def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
         k = 0.5 * (1.0 + erf(z / math.sqrt(2.0)))
     else:
         k = F.exp(-0.5 * z * z) / math.sqrt(2 * math.pi)
-    contrib = (F.col("_w") * k).cast("decimal(38,12)")
+    contrib = F.col("_w") * k
     out = j.groupBy(*g, "_k", "_gx", "_n", "_bw").agg(F.sum(contrib).alias("_s"))
     val = F.col("_s").cast("double") / F.col("_n")
     if not cumulative:

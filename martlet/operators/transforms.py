@@ -192,19 +192,28 @@ VALUE_OPS = {"lag", "lead", "first_value", "last_value", "nth_value"}
 
 def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
            groupby: Sequence[str] | None = None, frame: tuple = (None, 0),
-           ignore_peers: bool = False, tiebreak: Sequence[str] | None = None) -> DataFrame:
+           ignore_peers: bool = False, tiebreak: Sequence[str] | None = None,
+           distributed: bool = False) -> DataFrame:
     """``ops = {"cum": ("sum", "x"), "rk": ("rank",), "prev": ("lag", "x", 1)}``.
 
     ``frame`` = (lo, hi) row offsets, None = unbounded, default (None, 0).
     With ``ignore_peers=False`` and a sort, frames ending at the current row widen
     to the whole peer group (a RANGE frame); numeric frames with peers are done by
-    ``peer_frame_sum``. A window without sort has no peers (W15) and needs an
+    ``window_peer_frame``. A window without sort has no peers (W15) and needs an
     explicit order to be deterministic, so a sort is required.
+
+    Spark's window operator gives each group to one task. For few or skewed
+    groups pass ``distributed=True`` (``dwindow.window_distributed``): row numbers
+    from a range-partitioned scan, everything else by joins on row numbers.
     """
     g = _as_list(groupby)
     order = _sort_cols(sort)
     if not order:
         raise ValueError("window needs an explicit sort (row order is not defined otherwise)")
+    if distributed:
+        # skewed / low-cardinality group keys: no group is ever held by one task
+        from .dwindow import window_distributed
+        return window_distributed(df, ops, sort, g, frame, _as_list(tiebreak))
     base = Window.partitionBy(*g).orderBy(*order)
     lo, hi = frame
     start = Window.unboundedPreceding if lo is None else lo

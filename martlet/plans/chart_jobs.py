@@ -332,6 +332,30 @@ def t16_window(spark, d):
                     q6("moving_avg").alias("moving_avg"), "group_max")
 
 
+T16_SQL = ORACLE["t16_window"]
+
+
+@job("t16_window_distributed", T16_SQL)
+def t16_window_distributed(spark, d):
+    e = ev(spark, d).withColumn("day", F.to_date("ts"))
+    a = tf.window(e, {"rn": ("row_number",), "nt": ("ntile", None, 4),
+                      "prev_value": ("lag", "value", 1), "next2_value": ("lead", "value", 2),
+                      "first_value": ("first_value", "value", None, (None, None)),
+                      "last_in_frame": ("last_value", "value", None, (-2, 2)),
+                      "second_value": ("nth_value", "value", 2, (None, 0)),
+                      "running_sum": ("sum", "value", None, (None, 0)),
+                      "moving_avg": ("mean", "value", None, (-3, 0))},
+                  sort=["ts", "event_id"], groupby=["event_type"], distributed=True)
+    a = tf.joinaggregate(a, {"group_max": ("max", "value")}, ["event_type"])
+    a = tf.window(a, {"rk": ("rank",), "drk": ("dense_rank",), "prk": ("percent_rank",),
+                      "cd": ("cume_dist",)}, sort=["day"], groupby=["event_type"], tiebreak=["ts", "event_id"],
+                  distributed=True)
+    return a.select("event_id", "event_type", "rn", "rk", "drk", q6("prk").alias("prk"),
+                    q6("cd").alias("cd"), "nt", "prev_value", "next2_value", "first_value",
+                    "last_in_frame", "second_value", q6("running_sum").alias("running_sum"),
+                    q6("moving_avg").alias("moving_avg"), "group_max")
+
+
 # ------------------------------------------------------------------ W14 peers
 
 @job("w14_peer_frame", f"""

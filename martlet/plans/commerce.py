@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import count_if, dbl, pct2, round_half_up, sum_if, year_month
 from ..operators.ranking import global_ntile
-from ..sources.mart import Star
+from ..sources.mart import Star, with_status
 
 
 # Reference point for recency (the reference used the wall clock).
@@ -25,7 +25,7 @@ DEFAULT_AS_OF = _dt.datetime(2002, 1, 1)
 
 
 def _delivered(s: Star) -> DataFrame:
-    return s.orders.filter(F.col("status") == "delivered")
+    return with_status(s.orders, "delivered")
 
 
 def q1_monthly_gmv_rural_urban(s: Star) -> DataFrame:

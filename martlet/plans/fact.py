@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import year_month
-from ..sources.mart import Star
+from ..sources.mart import Star, with_status
 
 FACT_COLUMNS = [
     "order_id", "product_id", "seller_id", "quantity", "line_total", "customer_id", "order_date",
@@ -24,8 +24,7 @@ FACT_COLUMNS = [
 
 
 def build_fact(s: Star) -> DataFrame:
-    delivered = s.orders.filter(F.col("status") == "delivered") \
-                        .select("order_id", "customer_id", "order_date")
+    delivered = with_status(s.orders, "delivered").select("order_id", "customer_id", "order_date")
     fact = (s.order_items
             .join(delivered, "order_id", "inner")
             .join(s.customers.select("customer_id", "state", "is_rural", "age"), "customer_id", "left")

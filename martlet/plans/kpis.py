@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dbl, round_half_up, sum_if
-from ..sources.mart import Star
+from ..sources.mart import Star, with_status
 from .fact import build_fact, filter_fact, segment
 
 
@@ -37,8 +37,7 @@ def qoq_growth(fact: DataFrame) -> DataFrame:
 def headline_kpis(s: Star, fact: DataFrame | None = None) -> DataFrame:
     """K1: eight headline numbers as one row."""
     fact = fact if fact is not None else build_fact(s)
-    n_orders = s.orders.filter(F.col("status") == "delivered") \
-                       .select(F.countDistinct("order_id")).scalar()
+    n_orders = with_status(s.orders, "delivered").select(F.countDistinct("order_id")).scalar()
     qoq = qoq_growth(fact).select("qoq").scalar()
     base = fact.agg(F.sum("line_total").alias("rev"),
                     F.countDistinct("customer_id").alias("active_customers"),

@@ -45,18 +45,26 @@ def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("double")
 
 
+def _non_ascii(text: Column) -> Column:
+    """Cheap gate: a text without any non-ASCII character cannot score on the
+    accent, case, script, Arabic or CJK measures (the scan stops at the first hit)."""
+    return text.rlike("[^\\x00-\\x7F]")
+
+
 def symbol_noise(text: Column) -> Column:
     """G1: (punctuation + 2·symbols) / chars, a run of one repeated character counted
-    once; 0 below 0.3."""
-    collapsed = F.regexp_replace(text, "(?s)(.)\\1+", "$1")
-    r = F.try_divide(_count(collapsed, PUNCT) + 2 * _count(collapsed, SYMBOL), _n(text))
+    once (the run's last character: it is not followed by itself); 0 below 0.3."""
+    punct = _count(text, f"({PUNCT})(?!\\1)")
+    sym = _count(text, f"({SYMBOL})(?!\\1)")
+    r = F.try_divide(punct + 2 * sym, _n(text))
     return F.when(r >= SYMBOL_MIN_RATIO, r).otherwise(F.lit(0.0))
 
 
 def accent_noise(text: Column) -> Column:
     """Accented letters / chars for texts of at least 8 chars; 0 below 0.35."""
     r = F.try_divide(_count(text, ACCENTED), _n(text))
-    return F.when((_n(text) >= ACCENT_MIN_CHARS) & (r >= ACCENT_MIN_RATIO), r).otherwise(F.lit(0.0))
+    keep = _non_ascii(text) & (_n(text) >= ACCENT_MIN_CHARS)
+    return F.when(keep, F.when(r >= ACCENT_MIN_RATIO, r).otherwise(F.lit(0.0))).otherwise(F.lit(0.0))
 
 
 def unprintable_noise(text: Column) -> Column:
@@ -71,7 +79,8 @@ def case_flip_noise(text: Column) -> Column:
                      lambda w: (F.length(w) > 0) & (F.length(w) <= 64) & w.rlike("[^\\x00-\\x7F]"))
     flips = F.aggregate(words, F.lit(0.0),
                         lambda acc, w: acc + F.regexp_count(w, F.lit("(?=\\p{Ll}\\p{Lu})")).cast("double"))
-    return F.coalesce(F.try_divide(2 * flips, _n(text)), F.lit(0.0))
+    r = F.coalesce(F.try_divide(2 * flips, _n(text)), F.lit(0.0))
+    return F.when(_non_ascii(text), r).otherwise(F.lit(0.0))
 
 
 def duplicate_accent_noise(text: Column) -> Column:
@@ -79,7 +88,8 @@ def duplicate_accent_noise(text: Column) -> Column:
     letter) / chars."""
     both_upper = _count(text, f"(?={ACCENTED_UPPER}{ACCENTED_UPPER})")
     same = _count(text, f"(?=({ACCENTED})\\1)")
-    return F.coalesce(F.try_divide(2 * (both_upper + same), _n(text)), F.lit(0.0))
+    r = F.coalesce(F.try_divide(2 * (both_upper + same), _n(text)), F.lit(0.0))
+    return F.when(_non_ascii(text), r).otherwise(F.lit(0.0))
 
 
 _CJK_SCRIPTS = {"Han", "Hiragana", "Katakana"}
@@ -118,20 +128,23 @@ def weird_word_noise(text: Column) -> Column:
         acc = F.regexp_count(w, F.lit(ACCENTED))
         foreign = F.regexp_count(w, F.lit("[^\\x00-\\x7F]"))
         mixed = w.rlike("\\p{Ll}") & w.rlike("\\p{Lu}")
-        return ((n >= 4) & (acc * 2 >= n)) | (mixed & w.rlike(ACCENTED_UPPER + "$")) | \
-               ((n == 1) & (foreign == 1)) | (foreign >= 24)
+        # every rule needs a non-ASCII letter: test that first (AND short-circuits)
+        return w.rlike("[^\\x00-\\x7F]") & (
+            ((n >= 4) & (acc * 2 >= n)) | (mixed & w.rlike(ACCENTED_UPPER + "$")) |
+            ((n == 1) & (foreign == 1)) | (foreign >= 24))
 
-    letters = F.aggregate(words, F.lit(0), lambda acc, w: acc + F.length(w))
+    letters = F.length(F.regexp_replace(text, "[^\\p{L}]", ""))
     bad_letters = F.aggregate(words, F.lit(0),
                               lambda acc, w: acc + F.when(bad(w), F.length(w)).otherwise(F.lit(0)))
     r = F.try_divide(bad_letters.cast("double"), letters.cast("double"))
-    return F.when(F.size(words) > WEIRD_MIN_WORDS, F.coalesce(r, F.lit(0.0))).otherwise(F.lit(0.0))
+    scored = F.when(F.size(words) > WEIRD_MIN_WORDS, F.coalesce(r, F.lit(0.0))).otherwise(F.lit(0.0))
+    return F.when(_non_ascii(text), scored).otherwise(F.lit(0.0))
 
 
 def isolated_form_noise(text: Column) -> Column:
     """Isolated Arabic presentation forms / chars (texts of at least 8 chars)."""
     r = F.try_divide(_count(text, ARABIC_ISOLATED), _n(text))
-    return F.when(_n(text) >= 8, r).otherwise(F.lit(0.0))
+    return F.when(_non_ascii(text) & (_n(text) >= 8), r).otherwise(F.lit(0.0))
 
 
 def rare_cjk_noise(text: Column, common: str = "") -> Column:
@@ -139,7 +152,8 @@ def rare_cjk_noise(text: Column, common: str = "") -> Column:
     cjk = _count(text, CJK)
     rare = _count(text, f"[\\p{{IsHan}}&&[^{common}]]") if common else cjk
     r = F.try_divide(rare, cjk) / 10
-    return F.when((_n(text) >= 8) & (r > 0.5), r).otherwise(F.lit(0.0))
+    keep = _non_ascii(text) & (_n(text) >= 8)
+    return F.when(keep, F.when(r > 0.5, r).otherwise(F.lit(0.0))).otherwise(F.lit(0.0))
 
 
 MEASURES = {

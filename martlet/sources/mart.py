@@ -28,6 +28,14 @@ def money(c: str | Column) -> Column:
     return F.col(c).cast(MONEY) if isinstance(c, str) else c.cast(MONEY)
 
 
+STATUS_CODE = {"delivered": "F", "cancelled": "O", "returned": "P"}
+
+
+def with_status(orders: DataFrame, status: str) -> DataFrame:
+    """Orders of one status, filtered on the raw code (pushed down to the scan)."""
+    return orders.filter(F.col("status_code") == STATUS_CODE[status])
+
+
 @dataclass
 class Star:
     orders: DataFrame
@@ -54,6 +62,8 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
         F.when(F.col("o_orderstatus") == "F", "delivered")
         .when(F.col("o_orderstatus") == "O", "cancelled")
         .when(F.col("o_orderstatus") == "P", "returned").alias("status"),
+        # the raw code travels along so status filters reach the Parquet scan
+        F.col("o_orderstatus").alias("status_code"),
     )
     items = t.lineitem.select(
         F.col("l_orderkey").alias("order_id"),

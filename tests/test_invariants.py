@@ -62,3 +62,20 @@ def test_fold_then_pivot_is_identity(spark):
     df = spark.createDataFrame([(1, 2.0, 3.0), (2, 4.0, 5.0)], "id int, a double, b double")
     back = tf.pivot(tf.fold(df, ["a", "b"]), "key", "value", groupby=["id"], op="sum")
     assert sorted(map(tuple, back.select("id", "a", "b").collect())) == [(1, 2.0, 3.0), (2, 4.0, 5.0)]
+
+
+def test_distributed_running_matches_window(spark):
+    from pyspark.sql import Window
+    from martlet.operators.scan import running
+    df = spark.range(0, 4000).select(
+        (F.col("id") % 3).alias("g"), F.col("id").alias("o"),
+        ((F.col("id") * 37) % 101).cast("double").alias("x")).repartition(6)
+    ours = running(df, {"s": ("sum", "x"), "n": ("row_number",), "m": ("mean", "x"),
+                        "lo": ("min", "x"), "hi": ("max", "x")}, ["g"], ["o"])
+    w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.select("o", F.sum("x").over(w).alias("s2"), F.row_number().over(Window.partitionBy("g").orderBy("o")).alias("n2"),
+                    F.avg("x").over(w).alias("m2"), F.min("x").over(w).alias("lo2"), F.max("x").over(w).alias("hi2"))
+    j = ours.join(ref, "o")
+    bad = j.filter((F.col("s") != F.col("s2")) | (F.col("n") != F.col("n2")) | (F.abs(F.col("m") - F.col("m2")) > 1e-9)
+                   | (F.col("lo") != F.col("lo2")) | (F.col("hi") != F.col("hi2"))).count()
+    assert j.count() == 4000 and bad == 0
