@@ -650,3 +650,145 @@ SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.') || lpad(CAST((microsecond(ts
 def s9_sanitize(spark, d):
     from ..sources.io import sanitize
     return sanitize(T(spark, d).events.select("event_id", "ts", "value"))
+
+
+# ================================================================== remaining inventory items
+
+@job("s11_row_limit_guard", W("""
+SELECT strftime(o.order_date, '%Y-%m') AS year_month,
+       CASE WHEN c.is_rural THEN 'Rural' WHEN NOT c.is_rural THEN 'Urban' END AS seg,
+       CAST(SUM(oi.line_total) AS DOUBLE) AS line_total
+FROM star_order_items oi JOIN star_orders o USING (order_id)
+LEFT JOIN star_customers c USING (customer_id) WHERE o.status = 'delivered' GROUP BY 1, 2"""))
+def s11_row_limit_guard(spark, d):
+    from ..sources.io import limit_rows
+    from .kpis import monthly_segment_revenue
+    # the chart path: aggregate first, then refuse anything above the inline limit
+    return limit_rows(monthly_segment_revenue(_fact(spark, d)), 5000)
+
+
+@job("t20_keyword_agg", f"""
+SELECT l_returnflag, COUNT(*) AS n, {S6('AVG(l_quantity)')} AS mean_qty, MAX(l_discount) AS max_disc
+FROM lineitem GROUP BY 1""")
+def t20_keyword_agg(spark, d):
+    from ..operators.encoding import agg
+    out = agg(T(spark, d).lineitem, ["l_returnflag"], n=("count",), mean_qty=("mean", "l_quantity"),
+              max_disc=("max", "l_discount"))
+    return out.select("l_returnflag", "n", q6("mean_qty").alias("mean_qty"), "max_disc")
+
+
+@job("t22_boxplot_outliers", """
+WITH q AS (SELECT event_type, QUANTILE_CONT(value, 0.25) AS q1, QUANTILE_CONT(value, 0.75) AS q3
+           FROM events GROUP BY 1)
+SELECT e.event_id, e.event_type, e.value FROM events e JOIN q USING (event_type)
+WHERE e.value < q1 - 1.5 * (q3 - q1) OR e.value > q3 + 1.5 * (q3 - q1)""")
+def t22_boxplot_outliers(spark, d):
+    from ..operators.stats import boxplot_outliers
+    e = T(spark, d).events.select("event_id", "event_type", "value")
+    return boxplot_outliers(e, "value", ["event_type"]).select("event_id", "event_type", "value")
+
+
+@job("a6_product", f"""
+SELECT l_orderkey, {S6('PRODUCT(1 - l_discount)')} AS keep_factor FROM lineitem GROUP BY 1""")
+def a6_product(spark, d):
+    li = T(spark, d).lineitem.withColumn("keep", 1 - F.col("l_discount"))
+    a = tf.aggregate(li, {"keep_factor": ("product", "keep")}, ["l_orderkey"])
+    return a.select("l_orderkey", q6("keep_factor").alias("keep_factor"))
+
+
+@job("a15_values", """
+SELECT l_orderkey, list_sort(list(l_linenumber)) AS lines FROM lineitem GROUP BY 1""")
+def a15_values(spark, d):
+    li = T(spark, d).lineitem.select("l_orderkey", "l_linenumber")
+    # one list per order: bounded by the lines of an order
+    a = tf.aggregate(li, {"vals": ("values", "l_linenumber")}, ["l_orderkey"])
+    return a.select("l_orderkey", F.array_sort(F.transform("vals", lambda s: s["l_linenumber"])).alias("lines"))
+
+
+@job("e3_e6_e2_constants_branch_fields", f"""
+SELECT event_id, {S6('value * PI()')} AS circ, {S6('EXP(1) * value')} AS e_scaled,
+       CASE WHEN value > 100 THEN 'big' ELSE 'small' END AS size,
+       TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
+def e3_e6_e2(spark, d):
+    e = T(spark, d).events.withColumn("p", F.from_json("props", "struct<k:int>"))
+    return e.select("event_id", q6(F.col("value") * E.const("PI")).alias("circ"),
+                    q6(E.const("E") * F.col("value")).alias("e_scaled"),
+                    E.if_(F.col("value") > 100, F.lit("big"), F.lit("small")).alias("size"),
+                    E.field("datum.p.k").alias("k"))
+
+
+@job("e8_random")
+def e8_random(spark, d):
+    e = T(spark, d).events.select("event_id")
+    return e.select("event_id", E.random(1).alias("u"), E.sample_normal(0.0, 1.0, 2).alias("z"),
+                    E.sample_log_normal(0.0, 1.0, 3).alias("ln"), E.sample_uniform(5.0, 10.0, 4).alias("un"))
+
+
+@job("e10_array_more", """
+SELECT vec_id, array_to_string(list_transform(embedding[1:3], lambda x: CAST(label AS VARCHAR)), '|') AS joined,
+       CAST(embedding[1] AS DOUBLE) + 0.5 * (CAST(embedding[len(embedding)] AS DOUBLE) - CAST(embedding[1] AS DOUBLE)) AS lerp_half,
+       embedding[1] BETWEEN LEAST(embedding[2], embedding[3]) AND GREATEST(embedding[2], embedding[3]) AS inrange,
+       len(range(0, label + 3, 2)) AS seq_len
+FROM embeddings""")
+def e10_array_more(spark, d):
+    em = T(spark, d).embeddings
+    a = F.col("embedding")
+    labels = F.transform(F.slice(a, 1, 3), lambda x: F.col("label").cast("string"))
+    return em.select("vec_id", E.join(labels, "|").alias("joined"),
+                     E.lerp(a.cast("array<double>"), 0.5).alias("lerp_half"),
+                     E.inrange(a[0], F.array(a[1], a[2])).alias("inrange"),
+                     F.size(E.sequence(F.lit(0), F.col("label") + 3, F.lit(2))).alias("seq_len"))
+
+
+@job("c7_timezone_offset")
+def c7_timezone_offset(spark, d):
+    o = T(spark, d).orders.select("o_orderkey", "o_orderdate")
+    return o.select("o_orderkey", tu.timezone_offset("o_orderdate", "America/New_York").alias("ny_offset"),
+                    tu.time_ms("o_orderdate").alias("time"))
+
+
+@job("e16_tree_path_pairs", """
+WITH pairs AS (SELECT 'n' || a.n_nationkey AS src, 'n' || b.n_nationkey AS dst
+               FROM nation a JOIN nation b ON b.n_nationkey = (a.n_nationkey + 1) % 25)
+SELECT src, dst, CASE WHEN na.n_regionkey = nb.n_regionkey THEN [src, 'r' || na.n_regionkey, dst]
+                      ELSE [src, 'r' || na.n_regionkey, 'world', 'r' || nb.n_regionkey, dst] END AS path
+FROM pairs JOIN nation na ON src = 'n' || na.n_nationkey JOIN nation nb ON dst = 'n' || nb.n_nationkey""")
+def e16_tree_path_pairs(spark, d):
+    from ..operators.hierarchy import tree_path
+    t = T(spark, d)
+    edges = t.nation.select(F.concat(F.lit("n"), "n_nationkey").alias("node"),
+                            F.concat(F.lit("r"), "n_regionkey").alias("parent")) \
+        .unionByName(t.region.select(F.concat(F.lit("r"), "r_regionkey").alias("node"),
+                                     F.lit("world").alias("parent")))
+    pairs = t.nation.select(F.concat(F.lit("n"), "n_nationkey").alias("src"),
+                            F.concat(F.lit("n"), ((F.col("n_nationkey") + 1) % 25).cast("string")).alias("dst"))
+    return tree_path(edges, pairs)
+
+
+@job("x5_x6_set_ops", """
+SELECT 'intersect' AS op, COUNT(*) AS n FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'
+                                              INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')
+UNION ALL
+SELECT 'except', COUNT(*) FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'
+                                EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')
+UNION ALL
+SELECT 'union_distinct', COUNT(*) FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'
+                                        UNION SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')""")
+def x5_x6_set_ops(spark, d):
+    o = T(spark, d).orders
+    f = o.filter(F.col("o_orderstatus") == "F").select("o_custkey")
+    op = o.filter(F.col("o_orderstatus") == "O").select("o_custkey")
+    n = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("op"), "n")
+    return n(f.intersect(op), "intersect").unionByName(n(f.subtract(op), "except")) \
+        .unionByName(n(f.union(op).distinct(), "union_distinct"))
+
+
+@job("u2_transform_registry", f"""
+SELECT event_type, COUNT(*) AS n, {S6('SUM(value)')} AS total FROM events WHERE value > 1 GROUP BY 1""")
+def u2_transform_registry(spark, d):
+    reg = tf.TransformRegistry()
+    reg.register("default", lambda x: x)
+    reg.register("cleaned_totals", lambda x: x.filter(F.col("value") > 1).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), q6(F.sum("value")).alias("total")))
+    reg.enable("cleaned_totals")
+    return reg.apply(T(spark, d).events)
