@@ -24,6 +24,21 @@ AGG_OPS = (
 )
 
 
+# Above this many distinct values in one group, exact percentiles (a value -> count
+# map per group, merged in one task) give way to the mergeable quantile sketch.
+EXACT_PERCENTILE_LIMIT = 2_000_000
+
+
+def use_approx_percentile(df: DataFrame, field: str, groupby=None,
+                          limit: int = EXACT_PERCENTILE_LIMIT) -> bool:
+    """One cheap aggregate (HyperLogLog per group) decides exact vs sketch."""
+    g = [groupby] if isinstance(groupby, str) else list(groupby or [])
+    nd = F.approx_count_distinct(field)
+    per = df.groupBy(*g).agg(nd.alias("_nd")) if g else df.agg(nd.alias("_nd"))
+    top = per.agg(F.max("_nd")).first()[0]
+    return bool(top and top > limit)
+
+
 def _dtype(df: DataFrame | None, field: str | None):
     if df is None or field is None or "." in field:
         return None

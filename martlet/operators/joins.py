@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import global_row_number
+
 
 def _as_list(x) -> list:
     return [x] if isinstance(x, str) else list(x)
@@ -85,11 +87,18 @@ def asof(df: DataFrame, ts: str, schedule: DataFrame, occ: str = "occurrence",
     rows join on their own bucket and keep the interval containing ts."""
     as_ = as_ or f"{direction}_{occ}"
     s = schedule.select(F.col(occ).cast("timestamp_ntz").alias("_t")).distinct()
-    w = Window.orderBy("_t")
+    # neighbour of each schedule time through a distributed row number and a
+    # self-join on rn + 1 (the schedule may itself be a large table)
+    ranked = global_row_number(s, ["_t"], "_rn")
+    nxt = ranked.select((F.col("_rn") - 1).alias("_rn"), F.col("_t").alias("_next"))
+    pairs = ranked.join(nxt, "_rn", "left")
     if direction == "backward":
-        iv = s.select(F.col("_t").alias("_lo"), F.lead("_t").over(w).alias("_hi"), F.col("_t").alias("_v"))
+        iv = pairs.select(F.col("_t").alias("_lo"), F.col("_next").alias("_hi"), F.col("_t").alias("_v"))
     else:
-        iv = s.select(F.lag("_t").over(w).alias("_lo"), F.col("_t").alias("_hi"), F.col("_t").alias("_v"))
+        iv = pairs.select(F.col("_t").alias("_lo"), F.col("_next").alias("_hi"), F.col("_next").alias("_v")) \
+            .unionByName(ranked.filter(F.col("_rn") == 1).select(
+                F.lit(None).cast("timestamp_ntz").alias("_lo"), F.col("_t").alias("_hi"), F.col("_t").alias("_v"))) \
+            .filter(F.col("_v").isNotNull())
     # open ends: the first (backward) / last (forward) interval is unbounded on one side;
     # clamp it to the data's range so it stays a finite set of buckets
     rng = df.agg(F.min(ts).alias("a"), F.max(ts).alias("b"))

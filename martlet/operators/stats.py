@@ -119,7 +119,7 @@ def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
     x = F.col(field).cast("double")
     base = df.select(*g, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     stats = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
-                                 F.percentile("_x", F.array(F.lit(0.25), F.lit(0.75))).alias("_q"),
+                                 _pct(base, F.col("_x"), "_x", g, (0.25, 0.75)).alias("_q"),
                                  F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
                                  F.approx_count_distinct("_x").alias("_nd"))
     bw = F.lit(float(bandwidth)) if bandwidth else \
@@ -401,13 +401,20 @@ def regression(df: DataFrame, x: str, y: str, method: str = "linear", order: int
 
 # ---------------------------------------------------------------- T22 boxplot / T23 error extent
 
+def _pct(df: DataFrame, v: Column, field: str, g: list, probs: Sequence[float]) -> Column:
+    """Exact percentiles, or the quantile sketch for groups too large to hold exactly."""
+    from .aggregates import use_approx_percentile
+    arr = F.array(*[F.lit(p) for p in probs])
+    return F.percentile_approx(v, arr, 10000) if use_approx_percentile(df, field, g) else F.percentile(v, arr)
+
+
 def boxplot_stats(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
                   k: float | None = 1.5) -> DataFrame:
     """q1, median, q3, whiskers (furthest values within k·IQR of the box, or the
     min / max when ``k`` is None) and the outlier count per group."""
     g = _as_list(groupby)
     v = F.col(field).cast("double")
-    q = df.groupBy(*g).agg(F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
+    q = df.groupBy(*g).agg(_pct(df, v, field, g, (0.25, 0.5, 0.75)).alias("_q"),
                            F.min(v).alias("_min"), F.max(v).alias("_max"), F.count(v).alias("count"))
     q = q.select(*g, "count", "_min", "_max", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))
@@ -448,7 +455,7 @@ def error_extent(df: DataFrame, field: str, extent: str = "stderr",
         return a.select(*g, "center", (F.col("center") - F.col("_s")).alias("lower"),
                         (F.col("center") + F.col("_s")).alias("upper"))
     if extent == "iqr":
-        a = df.groupBy(*g).agg(F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
+        a = df.groupBy(*g).agg(_pct(df, v, field, g, (0.25, 0.5, 0.75)).alias("_q"))
         return a.select(*g, F.col("_q")[1].alias("center"), F.col("_q")[0].alias("lower"),
                         F.col("_q")[2].alias("upper"))
     ci = bootstrap_ci(df, field, g, reps, seed)
@@ -509,10 +516,13 @@ def threshold_bucket(df: DataFrame, field: str, cuts: Sequence[float], as_: str
 
 
 def quantile_bucket(df: DataFrame, field: str, n: int, groupby: Sequence[str] | None = None,
-                    as_: str = "bucket", approx: bool = False) -> DataFrame:
+                    as_: str = "bucket", approx: bool | None = None) -> DataFrame:
     """quantile: cuts at the 1/n ... (n-1)/n quantiles (one aggregate), then threshold."""
     g = _as_list(groupby)
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    if approx is None:
+        from .aggregates import use_approx_percentile
+        approx = use_approx_percentile(df, field, g)
     q = F.percentile_approx(field, probs, 10000) if approx else F.percentile(F.col(field).cast("double"), probs)
     cuts = df.groupBy(*g).agg(q.alias("_cuts")) if g else df.agg(q.alias("_cuts"))
     j = _attach(df, cuts, g)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .aggregates import agg_column
+from .aggregates import agg_column, use_approx_percentile
 
 Ops = dict[str, tuple]  # output name -> (op, field[, param])
 
@@ -45,11 +45,17 @@ def _sort_cols(sort) -> list[Column]:
 # ------------------------------------------------------------------ T1 aggregate
 
 def aggregate(df: DataFrame, ops: Ops, groupby: Sequence[str] | None = None,
-              approx: bool = False) -> DataFrame:
-    """``ops = {"mean_x": ("mean", "x"), "n": ("count",)}``; one group if no groupby."""
+              approx: bool | None = None) -> DataFrame:
+    """``ops = {"mean_x": ("mean", "x"), "n": ("count",)}``; one group if no groupby.
+
+    ``approx=None``: percentile ops (median, q1, q3) are exact unless a group holds
+    more distinct values than ``EXACT_PERCENTILE_LIMIT`` (checked by one sketch pass)."""
+    g = _as_list(groupby)
+    if approx is None:
+        pct_fields = {spec[1] for spec in ops.values() if spec[0] in ("median", "q1", "q3")}
+        approx = any(use_approx_percentile(df, f, g) for f in pct_fields)
     cols = [agg_column(spec[0], spec[1] if len(spec) > 1 else None, df, approx).alias(name)
             for name, spec in ops.items()]
-    g = _as_list(groupby)
     return df.groupBy(*g).agg(*cols) if g else df.agg(*cols)
 
 
@@ -120,8 +126,11 @@ def pivot(df: DataFrame, pivot_field: str, value: str, groupby: Sequence[str] |
 
 def quantile(df: DataFrame, field: str, probs: Sequence[float] | None = None, step: float = 0.01,
              groupby: Sequence[str] | None = None, as_: tuple[str, str] = ("prob", "value"),
-             approx: bool = False) -> DataFrame:
-    """Quantiles at ``probs`` or at step/2, 3·step/2, ... < 1."""
+             approx: bool | None = None) -> DataFrame:
+    """Quantiles at ``probs`` or at step/2, 3·step/2, ... < 1 (exact unless a
+    group is too large for an exact percentile, see ``aggregate``)."""
+    if approx is None:
+        approx = use_approx_percentile(df, field, groupby)
     if probs is None:
         n = int(math.floor((1 - step / 2) / step + 1e-9)) + 1
         probs = [round(step / 2 + i * step, 12) for i in range(n) if step / 2 + i * step < 1]
