@@ -103,7 +103,18 @@ def t2_bin(spark, d):
 
 # ------------------------------------------------------------------ T3 density (rows-only twin below)
 
-@job("t3_density")
+@job("t3_density", f"""
+WITH base AS (SELECT event_type, value AS x FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
+st AS (SELECT event_type, COUNT(*) AS n, STDDEV_SAMP(x) AS sd, QUANTILE_CONT(x, 0.25) AS q1,
+              QUANTILE_CONT(x, 0.75) AS q3 FROM base GROUP BY 1),
+ext AS (SELECT MIN(x) AS lo, MAX(x) AS hi FROM base),
+bw AS (SELECT event_type, n, 1.06 * CASE WHEN q3 - q1 > 0 THEN LEAST(sd, (q3 - q1) / 1.34) ELSE sd END
+              * POWER(CAST(n AS DOUBLE), -0.2) AS bw FROM st),
+w AS (SELECT event_type, x, COUNT(*) AS w FROM base GROUP BY 1, 2),
+grid AS (SELECT k, lo + k * (hi - lo) / 99 AS gx FROM ext, range(0, 100) r(k))
+SELECT w.event_type, {S6('gx')} AS value,
+       {R('SUM(w.w * EXP(-0.5 * ((gx - x) / bw) * ((gx - x) / bw)) / SQRT(2 * PI())) / n / bw', 9)} AS density
+FROM w JOIN bw USING (event_type), grid GROUP BY w.event_type, k, gx, n, bw""")
 def t3_density(spark, d):
     dn = stats.density(ev(spark, d), "value", groupby=["event_type"], steps=100)
     return dn.select("event_type", q6("value").alias("value"), round_half_up("density", 9).alias("density"))

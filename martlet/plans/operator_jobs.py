@@ -19,7 +19,9 @@ from ..operators import selections as P
 from ..operators import transforms as tf
 from ..sources.tables import Tables
 from . import text_profile as G
-from .oracle_sql import R, W
+from .oracle_sql import KPIS, R, W
+
+KPI_SQL = KPIS["k1_headline_kpis"]
 
 JOBS: dict = {}
 ORACLE: dict[str, str] = {}
@@ -374,7 +376,14 @@ def c15_easter(spark, d):
                       cal.easter("year", 1).alias("julian"))
 
 
-@job("c16_dst_audit")
+@job("c16_dst_audit", """
+WITH w AS (SELECT o_orderkey, o_orderdate + INTERVAL 150 MINUTE AS wall FROM orders),
+i AS (SELECT *, timezone('America/New_York', wall) AS inst FROM w)
+SELECT o_orderkey, wall, timezone('America/New_York', inst) <> wall AS imaginary,
+       (timezone('America/New_York', inst - INTERVAL 1 HOUR) = wall
+        OR timezone('America/New_York', inst + INTERVAL 1 HOUR) = wall) AS ambiguous,
+       timezone('America/New_York', inst) AS resolved
+FROM i""")
 def c16_dst_audit(spark, d):
     o = T(spark, d).orders
     wall = F.timestamp_add("MINUTE", F.lit(150), "o_orderdate")  # 02:30 wall time
@@ -383,7 +392,10 @@ def c16_dst_audit(spark, d):
                     a["ambiguous"].alias("ambiguous"), a["resolved"].alias("resolved"))
 
 
-@job("c17_zone_convert")
+@job("c17_zone_convert", """
+SELECT o_orderkey, timezone('Asia/Kolkata', timezone(CASE WHEN starts_with(o_orderpriority, '1')
+                                                      THEN 'Europe/Berlin' ELSE 'UTC' END, o_orderdate)) AS ist
+FROM orders""")
 def c17_zone_convert(spark, d):
     o = T(spark, d).orders
     zone = F.when(F.col("o_orderpriority").startswith("1"), F.lit("Europe/Berlin"))
@@ -494,7 +506,9 @@ def e11_base64_roundtrip(spark, d):
     return c.select("c_custkey", E.atob(E.btoa("c_name")).alias("back"))
 
 
-@job("e12_merge")
+@job("e12_merge", """
+SELECT event_id, map_concat(CAST(json(props) AS MAP(VARCHAR, INTEGER)),
+                            MAP {'k': CAST(user_id AS INTEGER), 'u': 1}) AS merged FROM events""")
 def e12_merge(spark, d):
     e = T(spark, d).events
     props = F.from_json("props", "map<string,int>")
@@ -587,7 +601,9 @@ def g7_language_coherence(spark, d):
     return G.coherence_accuracy(T(spark, d).documents)
 
 
-@job("g8_utf8_audit")
+@job("g8_utf8_audit", """
+SELECT source, COUNT(*) AS rows, COUNT(*) AS valid, CAST(0 AS BIGINT) AS repaired, CAST(0 AS BIGINT) AS rejected
+FROM documents GROUP BY 1""")
 def g8_utf8_audit(spark, d):
     docs = T(spark, d).documents
     return G.utf8_audit(docs.withColumn("raw", F.encode("text", "UTF-8")), "raw", "source")
@@ -615,7 +631,7 @@ def s3_parquet_roundtrip(spark, d):
                                           F.sum("line_total").cast("double").alias("revenue"))
 
 
-@job("s4_kpi_json_roundtrip")
+@job("s4_kpi_json_roundtrip", KPI_SQL)
 def s4_kpi_json_roundtrip(spark, d):
     from ..sources.io import scratch_path, write_json
     from ..sources.mart import star
@@ -740,7 +756,9 @@ def e10_array_more(spark, d):
                      F.size(E.sequence(F.lit(0), F.col("label") + 3, F.lit(2))).alias("seq_len"))
 
 
-@job("c7_timezone_offset")
+@job("c7_timezone_offset", """
+SELECT o_orderkey, CAST((epoch(o_orderdate) - epoch(timezone('America/New_York', o_orderdate))) / -60 AS INTEGER) AS ny_offset,
+       epoch_ms(o_orderdate) AS time FROM orders""")
 def c7_timezone_offset(spark, d):
     o = T(spark, d).orders.select("o_orderkey", "o_orderdate")
     return o.select("o_orderkey", tu.timezone_offset("o_orderdate", "America/New_York").alias("ny_offset"),
