@@ -57,7 +57,7 @@ def field_gte(f, v) -> Column:
 
 def field_valid(f: str, valid: bool = True) -> Column:
     c = _c(f)
-    ok = c.isNotNull() & ~F.isnan(c.cast("double")) if True else None
+    ok = c.isNotNull() & ~F.isnan(c.cast("double"))
     return ok if valid else ~ok
 
 

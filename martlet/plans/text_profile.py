@@ -148,12 +148,13 @@ def isolated_form_noise(text: Column) -> Column:
 
 
 def rare_cjk_noise(text: Column, common: str = "") -> Column:
-    """Share of CJK characters outside ``common`` / 10, kept above 0.5."""
+    """Share of CJK characters outside ``common``; reported / 10 when the
+    share is above 0.5 and the text holds at least 8 CJK characters."""
     cjk = _count(text, CJK)
     rare = _count(text, f"[\\p{{IsHan}}&&[^{common}]]") if common else cjk
-    r = F.try_divide(rare, cjk) / 10
-    keep = _non_ascii(text) & (_n(text) >= 8)
-    return F.when(keep, F.when(r > 0.5, r).otherwise(F.lit(0.0))).otherwise(F.lit(0.0))
+    share = F.try_divide(rare, cjk)
+    keep = _non_ascii(text) & (cjk >= 8) & (share > 0.5)
+    return F.when(keep, share / 10).otherwise(F.lit(0.0))
 
 
 MEASURES = {
@@ -165,11 +166,30 @@ MEASURES = {
 }
 
 
-def noise_scores(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id", "source", "lang")
-                 ) -> DataFrame:
-    """G1-G4, G9-G12 per document plus their sum ``mess``."""
+COMMON_CJK_TOP = 100
+
+
+def common_cjk(docs: DataFrame, text: str = "text", top: int = COMMON_CJK_TOP) -> str:
+    """The corpus's most frequent CJK characters (G6 restricted to Han), as a
+    regex class body; empty when the corpus has no CJK text (checked first, cheaply).
+    The result is at most ``top`` characters."""
+    if docs.filter(F.col(text).rlike(CJK)).limit(1).count() == 0:
+        return ""
+    han = F.regexp_replace(F.col(text), "[^\\p{IsHan}]", "")
+    counts = docs.select(F.explode(F.split(han, "")).alias("ch")).filter(F.col("ch") != "") \
+                 .groupBy("ch").agg(F.count(F.lit(1)).alias("n"))
+    chars = [r.ch for r in counts.orderBy(F.desc("n"), "ch").limit(top).collect()]
+    return "".join(chars)
+
+
+def noise_scores(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id", "source", "lang"),
+                 cjk_common: str | None = None) -> DataFrame:
+    """G1-G4, G9-G12 per document plus their sum ``mess``. The rare-CJK measure's
+    common set comes from the corpus itself unless given."""
     t = F.col(text)
-    cols = [fn(t).alias(name) for name, fn in MEASURES.items()]
+    common = common_cjk(docs, text) if cjk_common is None else cjk_common
+    cols = [(fn(t, common) if name == "rare_cjk_noise" else fn(t)).alias(name)
+            for name, fn in MEASURES.items()]
     out = docs.select(*[F.col(k) for k in keep], *cols)
     mess = sum((F.col(n) for n in MEASURES), F.lit(0.0))
     return out.withColumn("mess", mess)

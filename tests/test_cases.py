@@ -197,3 +197,19 @@ def test_geojson_and_inline(spark, tmp_path):
     assert g.name == "a" and g.type == "Feature"
     df = io.inline_rows(spark, {"values": [{"a": 1, "b": "x"}]}, "a int, b string")
     assert df.first().b == "x"
+
+
+def test_rare_cjk_uses_corpus_common_set(spark):
+    from martlet.plans import text_profile as G
+    docs = spark.createDataFrame([(1, "的的的的的一一是是 plain", "x", "zh"), (2, "的一是鬱鬱鬱鬱鬱鬱鬱鬱", "x", "zh")],
+                                 "doc_id long, text string, source string, lang string")
+    common = G.common_cjk(docs, top=3)
+    assert len(common) == 3 and "的" in common and "一" in common
+    s = {r.doc_id: r.rare_cjk_noise for r in G.noise_scores(docs, cjk_common="的一是").collect()}
+    assert s[1] == 0.0  # 9 CJK characters, none rare
+    assert abs(s[2] - (8 / 11) / 10) < 1e-12  # 8 of 11 rare: share above 0.5
+
+
+def test_window_without_sort_is_rejected(spark):
+    with pytest.raises(ValueError):
+        tf.window(spark.range(3), {"rn": ("row_number",)}, sort=None)
