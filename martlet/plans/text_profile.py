@@ -28,8 +28,49 @@ COHERENCE_MIN_LETTERS = 32
 _SAFE_CLASS = "".join("\\" + ch if ch in "[]\\-^&" else ch for ch in SAFE_ASCII)
 PUNCT = f"[\\p{{P}}&&[^{_SAFE_CLASS}]]"
 SYMBOL = f"[\\p{{S}}\\p{{No}}\\p{{Nl}}&&[^{_SAFE_CLASS}\\x{{1F300}}-\\x{{1FAFF}}]]"
-ACCENTED = "[À-ÅÇ-ÏÑ-ÖÙ-Ýà-åç-ïñ-öù-ýÿĀ-ķĹ-ňŌ-őŔ-ž]"
-ACCENTED_UPPER = "[À-ÅÇ-ÏÑ-ÖÙ-Ý]"
+
+
+def _accented_letters() -> tuple[str, str]:
+    """Latin letters (U+00C0-U+024F) whose canonical decomposition is a base letter
+    plus combining marks, and their base letters - derived from the Unicode data,
+    not listed by hand."""
+    import unicodedata
+    acc, base = [], []
+    for cp in range(0x00C0, 0x0250):
+        ch = chr(cp)
+        d = unicodedata.normalize("NFD", ch)
+        if len(d) > 1 and ch.isalpha() and all(unicodedata.combining(m) for m in d[1:]):
+            acc.append(ch)
+            base.append(d[0])
+    return "".join(acc), "".join(base)
+
+
+def _ranges(chars: str) -> str:
+    """Regex class body of a character set as compressed code-point ranges (a long
+    list of single characters is slow to test in Java regular expressions)."""
+    cps = sorted({ord(c) for c in chars})
+    out, i = [], 0
+    while i < len(cps):
+        j = i
+        while j + 1 < len(cps) and cps[j + 1] == cps[j] + 1:
+            j += 1
+        out.append(f"\\x{{{cps[i]:X}}}" + (f"-\\x{{{cps[j]:X}}}" if j > i else ""))
+        i = j + 1
+    return "".join(out)
+
+
+ACCENTED_CHARS, ACCENTED_BASES = _accented_letters()
+ACCENTED = "[" + _ranges(ACCENTED_CHARS) + "]"
+ACCENTED_UPPER_CHARS = "".join(c for c in ACCENTED_CHARS if c.isupper())
+ACCENTED_UPPER = "[" + _ranges(ACCENTED_UPPER_CHARS) + "]"
+# each accented letter -> a private-use code point carrying its base letter (with case)
+_PUA = 0xE000
+ACCENTED_CODES = "".join(chr(_PUA + ord(b)) for b in ACCENTED_BASES)
+# CJK ideographs, kana and Hangul as code-point blocks (faster than script lookups)
+GLYPH = ("[\\x{1100}-\\x{11FF}\\x{3040}-\\x{30FF}\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}"
+         "\\x{AC00}-\\x{D7AF}\\x{F900}-\\x{FAFF}\\x{20000}-\\x{2FA1F}]")
+WORD_SEPARATORS = "[\\s\\p{Z}\\p{P}｜+<>]+"
+WORD_SYMBOL = "[\\p{S}\\p{No}\\p{Nl}&&[^<>\\-=~|_]]"
 UNPRINTABLE = "[\\p{Cc}\\p{Cf}\\p{Co}\\p{Cn}\\p{Zl}\\p{Zp}&&[^\\s\\x{1A}\\x{FEFF}]]"
 SCRIPTS = ("Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Han", "Hiragana", "Katakana",
            "Hangul", "Thai", "Devanagari")
@@ -42,7 +83,16 @@ def _n(c: Column) -> Column:
 
 
 def _count(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern)).cast("double")
+    """Matches of a pattern that consumes exactly one character (look-arounds
+    allowed): the length lost when they are removed. No per-match strings, unlike
+    regexp_count."""
+    return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("double")
+
+
+def _count_set(text: Column, chars: str) -> Column:
+    """Occurrences of any character of a fixed set (a char map, no regex)."""
+    return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("double")
+
 
 
 def _non_ascii(text: Column) -> Column:
@@ -62,7 +112,7 @@ def symbol_noise(text: Column) -> Column:
 
 def accent_noise(text: Column) -> Column:
     """Accented letters / chars for texts of at least 8 chars; 0 below 0.35."""
-    r = F.try_divide(_count(text, ACCENTED), _n(text))
+    r = F.try_divide(_count_set(text, ACCENTED_CHARS), _n(text))
     keep = _non_ascii(text) & (_n(text) >= ACCENT_MIN_CHARS)
     return F.when(keep, F.when(r >= ACCENT_MIN_RATIO, r).otherwise(F.lit(0.0))).otherwise(F.lit(0.0))
 
@@ -73,21 +123,26 @@ def unprintable_noise(text: Column) -> Column:
 
 
 def case_flip_noise(text: Column) -> Column:
-    """2 per lower->upper flip inside words of at most 64 letters that hold a
-    non-ASCII letter, over chars (our reading of the rule)."""
-    words = F.filter(F.split(text, "[^\\p{L}]+"),
-                     lambda w: (F.length(w) > 0) & (F.length(w) <= 64) & w.rlike("[^\\x00-\\x7F]"))
-    flips = F.aggregate(words, F.lit(0.0),
-                        lambda acc, w: acc + F.regexp_count(w, F.lit("(?=\\p{Ll}\\p{Lu})")).cast("double"))
-    r = F.coalesce(F.try_divide(2 * flips, _n(text)), F.lit(0.0))
+    """Inside each chunk of cased letters (at most 64 long, holding a non-ASCII
+    letter, not cut by a digit) every two successive upper/lower flips add 2; an
+    alternating run of m letters holds m - 1 flips. Total over chars."""
+    chunks = F.filter(F.regexp_extract_all(text, F.lit("[\\p{Lu}\\p{Ll}]++(?!\\d)"), 0),
+                      lambda w: (F.length(w) <= 64) & w.rlike("[^\\x00-\\x7F]"))
+    runs = F.flatten(F.transform(chunks, lambda w: F.regexp_extract_all(
+        w, F.lit("(?:\\p{Lu}\\p{Ll})+\\p{Lu}?|(?:\\p{Ll}\\p{Lu})+\\p{Ll}?"), 0)))
+    flips = F.aggregate(runs, F.lit(0), lambda acc, r: acc + 2 * F.floor((F.length(r) - 1) / 2).cast("int"))
+    r = F.coalesce(F.try_divide(flips.cast("double"), _n(text)), F.lit(0.0))
     return F.when(_non_ascii(text), r).otherwise(F.lit(0.0))
 
 
 def duplicate_accent_noise(text: Column) -> Column:
-    """2 · (successive accented letters that are both upper case or the same
-    letter) / chars."""
-    both_upper = _count(text, f"(?={ACCENTED_UPPER}{ACCENTED_UPPER})")
-    same = _count(text, f"(?=({ACCENTED})\\1)")
+    """2 · (successive accented letters: +1 when both are upper case, +1 when
+    they share a base letter) / chars. Non-accented characters are blanked first,
+    so both tests become short patterns over accented letters only."""
+    coded = F.translate(text, ACCENTED_CHARS, ACCENTED_CODES)
+    up = f"[\\x{{{_PUA + 65:X}}}-\\x{{{_PUA + 90:X}}}]"
+    both_upper = _count(coded, f"{up}(?={up})")
+    same = _count(coded, f"([\\x{{{_PUA:X}}}-\\x{{{_PUA + 0xFF:X}}}])(?=\\1)")
     r = F.coalesce(F.try_divide(2 * (both_upper + same), _n(text)), F.lit(0.0))
     return F.when(_non_ascii(text), r).otherwise(F.lit(0.0))
 
@@ -117,28 +172,91 @@ def script_mix_noise(text: Column) -> Column:
 
 
 def weird_word_noise(text: Column) -> Column:
-    """Letters in suspicious words / letters in words, when there are more
-    than 10 words. Suspicious: >= 4 letters of which half are accented; mixed case
-    ending in an accented capital; a lone non-ASCII glyph; or >= 24 non-ASCII
-    letters."""
-    words = F.filter(F.split(text, "[^\\p{L}]+"), lambda w: F.length(w) > 0)
-
-    def bad(w):
-        n = F.length(w)
-        acc = F.regexp_count(w, F.lit(ACCENTED))
-        foreign = F.regexp_count(w, F.lit("[^\\x00-\\x7F]"))
-        mixed = w.rlike("\\p{Ll}") & w.rlike("\\p{Lu}")
-        # every rule needs a non-ASCII letter: test that first (AND short-circuits)
-        return w.rlike("[^\\x00-\\x7F]") & (
-            ((n >= 4) & (acc * 2 >= n)) | (mixed & w.rlike(ACCENTED_UPPER + "$")) |
-            ((n == 1) & (foreign == 1)) | (foreign >= 24))
-
-    letters = F.length(F.regexp_replace(text, "[^\\p{L}]", ""))
-    bad_letters = F.aggregate(words, F.lit(0),
-                              lambda acc, w: acc + F.when(bad(w), F.length(w)).otherwise(F.lit(0)))
-    r = F.try_divide(bad_letters.cast("double"), letters.cast("double"))
-    scored = F.when(F.size(words) > WEIRD_MIN_WORDS, F.coalesce(r, F.lit(0.0))).otherwise(F.lit(0.0))
-    return F.when(_non_ascii(text), scored).otherwise(F.lit(0.0))
+    """G11 for one text column (see ``weird_tokens``)."""
+    return weird_from_tokens(weird_tokens(text))
+
+
+def weird_tokens(text: Column) -> Column:
+    """Letters of suspicious words / letters of words, when there are more than
+    10 words or a long foreign word. A word (letters plus embedded symbols, split
+    at spaces, punctuation and separators) is suspicious when it holds a symbol; or
+    it has >= 4 letters and half are accented, or it ends in an accented capital
+    without being all capitals, or it holds exactly one CJK/Hangul/kana glyph; or it
+    has >= 24 letters with a foreign letter and is not camel case."""
+    tokens = F.split(text, WORD_SEPARATORS)
+    ascii_letters = "".join(chr(c) for c in range(65, 91)) + "".join(chr(c) for c in range(97, 123))
+    camel_free = f"[\\p{{L}}&&[^\\p{{IsLatin}}\\p{{IsHan}}\\p{{IsHangul}}\\p{{IsHiragana}}\\p{{IsKatakana}}]]|{ACCENTED}"
+
+    def measure(w):
+        # stage 1: per-word quantities, each computed once; character-set counts
+        # use translate (a char map), not a regular expression
+        plain = F.length(F.translate(w, ascii_letters, "")) == 0
+        n = F.when(plain, F.length(w)).otherwise(
+            F.length(F.regexp_replace(w, f"[^\\p{{L}}{WORD_SYMBOL[1:-1]}]", "")))
+        acc = F.length(w) - F.length(F.translate(w, ACCENTED_CHARS, ""))
+        return F.struct(w.alias("w"), plain.alias("plain"), n.alias("n"), acc.alias("acc"))
+
+    def rules(t):
+        # stage 2: the rules, cheapest tests first (AND / OR short-circuit)
+        w, n, acc = t["w"], t["n"], t["acc"]
+        upper = F.length(w) - F.length(F.regexp_replace(w, "\\p{Lu}", ""))
+        sym = w.rlike(WORD_SYMBOL)
+        r1 = (n >= 4) & (acc * 2 >= n)
+        r2 = (n >= 4) & (acc * 2 < n) & (acc > 0) & w.rlike(ACCENTED_UPPER + "[^\\p{L}]*$") & (upper != n)
+        glyph1 = w.rlike(GLYPH) & (F.regexp_count(w, F.lit(GLYPH)) == 1)
+        r3 = (n >= 4) & (acc * 2 < n) & ~F.coalesce(r2, F.lit(False)) & glyph1
+        r4 = (n >= 24) & w.rlike(camel_free) & ~((upper > 0) & (upper * 10 <= n * 3))
+        bad = F.when(t["plain"], F.lit(False)).otherwise(sym | r1 | r2 | r3 | r4)
+        fl = F.when(t["plain"], F.lit(0)).otherwise(r2.cast("int") + r3.cast("int") + r4.cast("int"))
+        return F.struct(n.alias("n"), bad.alias("bad"), fl.alias("fl"))
+
+    staged = F.transform(tokens, measure)
+    return F.filter(F.transform(staged, rules), lambda t: t["n"] > 0)
+
+
+def weird_word_table(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """G11 per document as rows: words exploded to rows (code-generated regex work),
+    then summed back per document. The explode keeps a document's words in its
+    partition, so partial aggregation ships one row per document."""
+    ascii_letters = "".join(chr(c) for c in range(65, 91)) + "".join(chr(c) for c in range(97, 123))
+    camel_free = f"[\\p{{L}}&&[^\\p{{IsLatin}}\\p{{IsHan}}\\p{{IsHangul}}\\p{{IsHiragana}}\\p{{IsKatakana}}]]|{ACCENTED}"
+    w = F.col("w")
+    words = docs.select(key, F.explode(F.split(F.col(text), WORD_SEPARATORS)).alias("w"))
+    plain = F.length(F.translate(w, ascii_letters, "")) == 0
+    letters_only = w.rlike("^\\p{L}+$")
+    n = F.when(plain | letters_only, F.length(w)).otherwise(
+        F.length(F.regexp_replace(w, f"[^\\p{{L}}{WORD_SYMBOL[1:-1]}]", "")))
+    words = words.select(key, "w", plain.alias("plain"), letters_only.alias("letters_only"), n.alias("n"),
+                         (F.length(w) - F.length(F.translate(w, ACCENTED_CHARS, ""))).alias("acc")) \
+                 .filter(F.col("n") > 0)
+    n, acc = F.col("n"), F.col("acc")
+    upper = F.length(w) - F.length(F.regexp_replace(w, "\\p{Lu}", ""))
+    r1 = (n >= 4) & (acc * 2 >= n)
+    # last letter is an accented capital: membership by translate, not a regex scan
+    last = F.substring(F.regexp_replace(w, "[^\\p{L}]+$", ""), -1, 1)
+    last_acc_upper = (F.length(last) == 1) & (F.length(F.translate(last, ACCENTED_UPPER_CHARS, "")) == 0)
+    r2 = (n >= 4) & (acc * 2 < n) & (acc > 0) & last_acc_upper & (upper != n)
+    r3 = (n >= 4) & (acc * 2 < n) & ~F.coalesce(r2, F.lit(False)) & w.rlike(GLYPH) & \
+        (F.regexp_count(w, F.lit(GLYPH)) == 1)
+    r4 = (n >= 24) & w.rlike(camel_free) & ~((upper > 0) & (upper * 10 <= n * 3))
+    sym = ~F.col("letters_only") & w.rlike(WORD_SYMBOL)
+    bad = F.when(F.col("plain"), F.lit(False)).otherwise(sym | r1 | r2 | r3 | r4)
+    fl = F.when(F.col("plain"), F.lit(0)).otherwise(r2.cast("int") + r3.cast("int") + r4.cast("int"))
+    per = words.groupBy(key).agg(F.count(F.lit(1)).alias("_words"), F.sum("n").alias("_chars"),
+                                 F.sum(F.when(bad, n).otherwise(F.lit(0))).alias("_bad"),
+                                 F.sum(fl).alias("_fl"))
+    r = F.coalesce(F.try_divide(F.col("_bad").cast("double"), F.col("_chars").cast("double")), F.lit(0.0))
+    score = F.when((F.col("_words") <= WEIRD_MIN_WORDS) & (F.col("_fl") == 0), F.lit(0.0)).otherwise(r)
+    return per.select(key, score.alias("weird_word_noise"))
+
+
+def weird_from_tokens(ws: Column) -> Column:
+    """G11 totals from the per-word (n, bad, fl) array of ``weird_tokens``."""
+    chars = F.aggregate(ws, F.lit(0), lambda acc, t: acc + t["n"])
+    bad_chars = F.aggregate(ws, F.lit(0), lambda acc, t: acc + F.when(t["bad"], t["n"]).otherwise(F.lit(0)))
+    foreign = F.aggregate(ws, F.lit(0), lambda acc, t: acc + t["fl"])
+    r = F.coalesce(F.try_divide(bad_chars.cast("double"), chars.cast("double")), F.lit(0.0))
+    return F.when((F.size(ws) <= WEIRD_MIN_WORDS) & (foreign == 0), F.lit(0.0)).otherwise(r)
 
 
 def isolated_form_noise(text: Column) -> Column:
@@ -173,7 +291,7 @@ def common_cjk(docs: DataFrame, text: str = "text", top: int = COMMON_CJK_TOP) -
     """The corpus's most frequent CJK characters (G6 restricted to Han), as a
     regex class body; empty when the corpus has no CJK text (checked first, cheaply).
     The result is at most ``top`` characters."""
-    if docs.filter(F.col(text).rlike(CJK)).limit(1).count() == 0:
+    if docs.filter(F.col(text).rlike(CJK)).limit(1).count() == 0:  # cheap probe
         return ""
     han = F.regexp_replace(F.col(text), "[^\\p{IsHan}]", "")
     counts = docs.select(F.explode(F.split(han, "")).alias("ch")).filter(F.col("ch") != "") \
@@ -188,9 +306,19 @@ def noise_scores(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
     common set comes from the corpus itself unless given."""
     t = F.col(text)
     common = common_cjk(docs, text) if cjk_common is None else cjk_common
-    cols = [(fn(t, common) if name == "rare_cjk_noise" else fn(t)).alias(name)
-            for name, fn in MEASURES.items()]
-    out = docs.select(*[F.col(k) for k in keep], *cols)
+    cols = []
+    for name, fn in MEASURES.items():
+        if name == "rare_cjk_noise":
+            cols.append(fn(t, common).alias(name))
+        elif name != "weird_word_noise":
+            cols.append(fn(t).alias(name))
+    per_text = docs.select(*[F.col(k) for k in keep], *cols)
+    # G11 works per word: words as rows, summed back per document, joined on the key
+    # (both sides hold one small row per document, no text)
+    ww = weird_word_table(docs, text, keep[0])
+    out = per_text.join(ww, keep[0], "left") \
+                  .withColumn("weird_word_noise", F.coalesce(F.col("weird_word_noise"), F.lit(0.0))) \
+                  .select(*keep, *MEASURES)
     mess = sum((F.col(n) for n in MEASURES), F.lit(0.0))
     return out.withColumn("mess", mess)
 

@@ -213,3 +213,33 @@ def test_rare_cjk_uses_corpus_common_set(spark):
 def test_window_without_sort_is_rejected(spark):
     with pytest.raises(ValueError):
         tf.window(spark.range(3), {"rn": ("row_number",)}, sort=None)
+
+
+def test_text_measures_hand_cases(spark):
+    from martlet.plans import text_profile as G
+    assert "é" in G.ACCENTED_CHARS and G.ACCENTED_BASES[G.ACCENTED_CHARS.index("é")] == "e"
+    assert "ß" not in G.ACCENTED_CHARS and "æ" not in G.ACCENTED_CHARS
+    rows = spark.createDataFrame([("aBcDé",), ("éÉ éé",), ("plain ascii text only",)], "t string")
+    got = rows.select(G.case_flip_noise(F.col("t")).alias("cf"),
+                      G.duplicate_accent_noise(F.col("t")).alias("da")).collect()
+    # "aBcDé": alternating run aBcDé has 4 flips -> +4; over 5 chars
+    assert abs(got[0].cf - 4 / 5) < 1e-12
+    # "éÉ": bases e/E differ and not both upper (0); "éé": same base (+1); 5 chars -> 2*1/5
+    assert abs(got[1].da - 2 / 5) < 1e-12
+    assert got[2].cf == 0.0 and got[2].da == 0.0
+    words = " ".join(["word"] * 11 + ["crÉme", "ça$va"])
+    w = spark.createDataFrame([(words,)], "t string").select(G.weird_word_noise(F.col("t")).alias("w")).first().w
+    letters = 11 * 4 + 5 + 5
+    # "ça$va" holds a symbol (5 chars incl. the symbol); "crÉme" trips no rule
+    assert abs(w - 5 / letters) < 1e-12
+
+
+def test_word_table_matches_column_form(spark):
+    from martlet.plans import text_profile as G
+    texts = [(1, "word " * 12 + "crÉme ça$va Ü日x"), (2, "ÀÉÎÕÜ àéîõü " * 3), (3, "tiny"),
+             (4, "a" * 30 + "é Bonjour tout le monde ici et là-bas encore une fois merci")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    table = {r.doc_id: r.weird_word_noise for r in G.weird_word_table(docs).collect()}
+    col = {r.doc_id: r.w for r in docs.select("doc_id", G.weird_word_noise(F.col("text")).alias("w")).collect()}
+    for k in col:
+        assert abs(table.get(k, 0.0) - col[k]) < 1e-12
