@@ -28,6 +28,23 @@ from pyspark.sql import functions as F
 _LOW33 = (1 << 33) - 1
 SCAN_OPS = ("count", "sum", "mean", "average", "min", "max", "row_number")
 
+# A group above this many rows is too big for one task: use the distributed path.
+MAX_GROUP_ROWS = 5_000_000
+
+
+def largest_group(df: DataFrame, groupby: Sequence[str]) -> int:
+    """Rows of the largest group (one partial + final aggregate, then a max)."""
+    g = list(groupby)
+    if not g:
+        return df.count()
+    top = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(top or 0)
+
+
+def is_skewed(df: DataFrame, groupby: Sequence[str], limit: int = MAX_GROUP_ROWS) -> bool:
+    """True when some group is too large to be processed by a single task."""
+    return largest_group(df, groupby) > limit
+
 
 def running(df: DataFrame, ops: dict[str, tuple], groupby: Sequence[str], order: Sequence) -> DataFrame:
     """``ops = {"cum": ("sum", "x"), "rn": ("row_number",)}`` -> running values per group."""

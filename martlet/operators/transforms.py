@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .aggregates import agg_column, use_approx_percentile
+from .scan import is_skewed, running
 
 Ops = dict[str, tuple]  # output name -> (op, field[, param])
 
@@ -174,10 +175,15 @@ def stack(df: DataFrame, field: str, groupby: Sequence[str], sort: Sequence | No
     order = _sort_cols(sort) or [F.monotonically_increasing_id()]
     v = F.col(field).cast("double")
     sign = F.when(v < 0, F.lit(-1)).otherwise(F.lit(1))
-    w = Window.partitionBy(*g, sign).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(v).over(w)
-    out = df.withColumn("_sign", sign).withColumn(as_[1], end) \
-            .withColumn(as_[0], F.col(as_[1]) - v)
+    signed = df.withColumn("_sign", sign)
+    if sort and is_skewed(signed, [*g, "_sign"]):
+        # a stack too large for one task: distributed running sum
+        out = running(signed.withColumn("_v", v), {as_[1]: ("sum", "_v")}, [*g, "_sign"], order) \
+            .drop("_v")
+    else:
+        w = Window.partitionBy(*g, "_sign").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        out = signed.withColumn(as_[1], F.sum(v).over(w))
+    out = out.withColumn(as_[0], F.col(as_[1]) - v)
     if offset == "normalize":
         tot = F.sum(F.abs(v)).over(Window.partitionBy(*g))
         out = out.withColumn(as_[0], F.try_divide(F.col(as_[0]), tot)) \
@@ -202,7 +208,7 @@ VALUE_OPS = {"lag", "lead", "first_value", "last_value", "nth_value"}
 def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
            groupby: Sequence[str] | None = None, frame: tuple = (None, 0),
            ignore_peers: bool = False, tiebreak: Sequence[str] | None = None,
-           distributed: bool = False) -> DataFrame:
+           distributed: bool | None = None) -> DataFrame:
     """``ops = {"cum": ("sum", "x"), "rk": ("rank",), "prev": ("lag", "x", 1)}``.
 
     ``frame`` = (lo, hi) row offsets, None = unbounded, default (None, 0).
@@ -219,6 +225,10 @@ def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
     order = _sort_cols(sort)
     if not order:
         raise ValueError("window needs an explicit sort (row order is not defined otherwise)")
+    if distributed is None:
+        # adaptive: Spark's window operator unless some group is too large for one
+        # task and every requested op has a distributed form
+        distributed = _distributable(ops, frame, ignore_peers) and is_skewed(df, g)
     if distributed:
         # skewed / low-cardinality group keys: no group is ever held by one task
         from .dwindow import window_distributed
@@ -269,6 +279,22 @@ def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
     return out
 
 
+def _distributable(ops: Ops, frame: tuple, ignore_peers: bool) -> bool:
+    from .dwindow import ADDITIVE
+    ok_rank = {"row_number", "rank", "dense_rank", "percent_rank", "cume_dist", "ntile", "lag", "lead"}
+    for spec in ops.values():
+        op = spec[0]
+        fr = spec[3] if len(spec) > 3 else frame
+        if op in ok_rank:
+            continue
+        if op in ("first_value", "last_value", "nth_value") and ignore_peers:
+            continue
+        if op in ADDITIVE and ignore_peers:
+            continue
+        return False
+    return True
+
+
 def window_peer_frame(df: DataFrame, name: str, op: str, field: str | None, sort,
                       groupby: Sequence[str] | None, lo: int | None, hi: int | None,
                       tiebreak: Sequence[str] | None = None) -> DataFrame:
@@ -282,14 +308,16 @@ def window_peer_frame(df: DataFrame, name: str, op: str, field: str | None, sort
     order = _sort_cols(sort) + _sort_cols(tiebreak)
     sort_names = [s if isinstance(s, str) else None for s in _as_list(sort)]
     sort_names = [s.lstrip("-") if s else None for s in sort_names]
-    w = Window.partitionBy(*g).orderBy(*order)
-    peers = Window.partitionBy(*g, *[F.col(s) for s in sort_names if s])
     val = F.lit(1.0) if op == "count" else F.col(field).cast("double")
-    ones = F.lit(1.0) if op != "count" else F.lit(1.0)
-    t = (df.withColumn("_rn", F.row_number().over(w))
-           .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*g)))
-           .withColumn("_ps", F.sum(val).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-           .withColumn("_pc", F.sum(ones).over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    # row numbers and prefix sums from the distributed scan: no group in one task
+    t = running(df.withColumn("_val", val).withColumn("_one", F.lit(1.0)),
+                {"_rn": ("row_number",), "_ps": ("sum", "_val"), "_pc": ("sum", "_one")}, g, order)
+    t = t.drop("_val", "_one")
+    sizes = t.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")) if g else None
+    t = t.join(sizes, g) if g else t.withColumn("_n", F.lit(t.count()))
+    # the numbered table feeds five self-joins below: checkpoint it once
+    from ..session import cut_lineage
+    t = cut_lineage(t)
     # first / last row number of every peer group
     peer = t.groupBy(*g, *sort_names).agg(F.min("_rn").alias("_p0"), F.max("_rn").alias("_p1"))
     t = t.join(peer, g + sort_names, "left")
