@@ -52,6 +52,30 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``martlet`` importable in the Python workers (pandas UDFs reference its
+    functions): zip the package once per application and add it with
+    ``addPyFile``, the programmatic form of ``--py-files``. The zip is a driver-side
+    artifact that Spark serves to the executors; no data goes through it."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+    from pathlib import Path
+    pkg = Path(__file__).resolve().parent
+    out = tempfile.mkdtemp(prefix="martlet-pyfiles-")
+    stage = os.path.join(out, "src")
+    shutil.copytree(pkg, os.path.join(stage, pkg.name),
+                    ignore=shutil.ignore_patterns("__pycache__", "*.pyc"))
+    zip_path = shutil.make_archive(os.path.join(out, pkg.name), "zip", root_dir=stage)
+    sc.addPyFile(zip_path)
+    _SHIPPED.add(app)
+
+
 def configure(spark: SparkSession) -> None:
     """Apply the SQL settings the library relies on to an existing session."""
     for k, v in SQL_CONF.items():
@@ -62,6 +86,7 @@ def configure(spark: SparkSession) -> None:
                 continue
         spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
