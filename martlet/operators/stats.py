@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from .ranking import global_row_number
 
 EPSILON = 1e-14
@@ -125,12 +126,13 @@ def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
     bw = F.lit(float(bandwidth)) if bandwidth else \
         scott_bandwidth(F.col("_n"), F.col("_sd"), F.col("_q")[1] - F.col("_q")[0])
     stats = stats.withColumn("_bw", bw)
+    if extent is None and resolve == "shared":
+        stats = stats.withColumn("_lo", F.min("_lo").over(Window.partitionBy())) \
+                     .withColumn("_hi", F.max("_hi").over(Window.partitionBy()))  # one row per group
+    # one row per group, read twice below: checkpoint instead of recomputing the pass
+    stats = cut_lineage(stats)
     if extent is not None:
         stats = stats.withColumn("_lo", F.lit(float(extent[0]))).withColumn("_hi", F.lit(float(extent[1])))
-    elif resolve == "shared":
-        lo_all = base.agg(F.min("_x")).scalar()
-        hi_all = base.agg(F.max("_x")).scalar()
-        stats = stats.withColumn("_lo", lo_all).withColumn("_hi", hi_all)
     cells = prebin or exact_limit
     if cells:
         ext = stats.select(*g, F.col("_lo").alias("_dlo"), F.col("_hi").alias("_dhi"), "_nd")
@@ -418,6 +420,7 @@ def boxplot_stats(df: DataFrame, field: str, groupby: Sequence[str] | None = Non
                            F.min(v).alias("_min"), F.max(v).alias("_max"), F.count(v).alias("count"))
     q = q.select(*g, "count", "_min", "_max", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))
+    q = cut_lineage(q)  # one row per group, read twice
     if k is None:
         return q.select(*g, "count", "q1", "median", "q3", F.col("_min").alias("lower"),
                         F.col("_max").alias("upper"), F.lit(0).cast("bigint").alias("outliers"))

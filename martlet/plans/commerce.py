@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import count_if, dbl, pct2, round_half_up, sum_if, year_month
 from ..operators.ranking import global_ntile
+from ..session import cut_lineage
 from ..sources.mart import Star, with_status
 
 
@@ -128,10 +129,15 @@ def rfm_base(s: Star, as_of: _dt.datetime = DEFAULT_AS_OF) -> DataFrame:
 
 
 def q10_rfm_scores(s: Star, as_of: _dt.datetime = DEFAULT_AS_OF) -> DataFrame:
-    base = rfm_base(s, as_of)
-    scored = global_ntile(base, 5, [F.desc("recency"), "customer_id"], "r_score")
-    scored = global_ntile(scored, 5, ["frequency", "customer_id"], "f_score")
-    scored = global_ntile(scored, 5, ["monetary", "customer_id"], "m_score")
+    # one row per customer, read by three scores: checkpointed so the order-item
+    # join runs once
+    base = cut_lineage(rfm_base(s, as_of))
+    r = global_ntile(base.select("customer_id", "recency"), 5, [F.desc("recency"), "customer_id"], "r_score")
+    f = global_ntile(base.select("customer_id", "frequency"), 5, ["frequency", "customer_id"], "f_score")
+    m = global_ntile(base.select("customer_id", "monetary"), 5, ["monetary", "customer_id"], "m_score")
+    scored = base.join(r.select("customer_id", "r_score"), "customer_id") \
+                 .join(f.select("customer_id", "f_score"), "customer_id") \
+                 .join(m.select("customer_id", "m_score"), "customer_id")
     return scored.select("customer_id", "recency", "frequency", "monetary",
                          "r_score", "f_score", "m_score")
 

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dbl, round_half_up
+from ..session import cut_lineage
 
 HORIZON = 6
 MIN_TRAIN = 6
@@ -37,9 +38,12 @@ def monthly_series(fact: DataFrame) -> DataFrame:
     """revenue per observed month with index t (0..n-1) and calendar month."""
     monthly = fact.groupBy("year_month").agg(F.sum("line_total").alias("revenue"))
     w = Window.orderBy("year_month")  # one row per month
-    return monthly.select("year_month", "revenue",
-                          (F.row_number().over(w) - 1).cast("bigint").alias("t"),
-                          F.substring("year_month", 6, 2).cast("int").alias("month"))
+    series = monthly.select("year_month", "revenue",
+                            (F.row_number().over(w) - 1).cast("bigint").alias("t"),
+                            F.substring("year_month", 6, 2).cast("int").alias("month"))
+    # the fit, the seasonal index, the backtest and the horizon all read the series:
+    # checkpoint it (one row per month) so the fact join runs once
+    return cut_lineage(series)
 
 
 def _ols(n: Column, st: Column, stt: Column, sy: Column, sty: Column):

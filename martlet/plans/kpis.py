@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dbl, round_half_up, sum_if
+from ..session import cut_lineage
 from ..sources.mart import Star, with_status
 from .fact import build_fact, filter_fact, segment
 
@@ -24,7 +25,10 @@ def _share(num: Column, den: Column) -> Column:
 
 def qoq_growth(fact: DataFrame) -> DataFrame:
     """K2: revenue of the last 3 observed months vs the 3 before (missing months not filled)."""
-    monthly = fact.groupBy("year_month").agg(F.sum("line_total").alias("rev"))
+    return _qoq_from_monthly(fact.groupBy("year_month").agg(F.sum("line_total").alias("rev")))
+
+
+def _qoq_from_monthly(monthly: DataFrame) -> DataFrame:
     # one row per observed month: bounded by the calendar, not by the data volume
     ranked = monthly.withColumn("rn", F.row_number().over(Window.orderBy(F.desc("year_month"))))
     return ranked.agg(sum_if(F.col("rn") <= 3, "rev").alias("last3"),
@@ -35,16 +39,26 @@ def qoq_growth(fact: DataFrame) -> DataFrame:
 
 
 def headline_kpis(s: Star, fact: DataFrame | None = None) -> DataFrame:
-    """K1: eight headline numbers as one row."""
+    """K1: eight headline numbers as one row.
+
+    One pass over the fact: a rollup on ``year_month`` yields the per-month revenue
+    rows (for K2) and the grand-total row together; that result (months + 1 rows)
+    is checkpointed and read twice. The delivered-order count (orders without items
+    included) is a scalar subquery on the orders table."""
     fact = fact if fact is not None else build_fact(s)
     n_orders = with_status(s.orders, "delivered").select(F.countDistinct("order_id")).scalar()
-    qoq = qoq_growth(fact).select("qoq").scalar()
-    base = fact.agg(F.sum("line_total").alias("rev"),
-                    F.countDistinct("customer_id").alias("active_customers"),
-                    F.countDistinct("seller_id").alias("active_sellers"),
-                    sum_if(F.col("is_rural"), "line_total").alias("rural"),
-                    F.sum(F.col("on_time").cast("int")).alias("on_time_n"),
-                    F.count("on_time").alias("on_time_d"))
+    r = fact.rollup("year_month").agg(
+        F.sum("line_total").alias("rev"),
+        F.countDistinct("customer_id").alias("active_customers"),
+        F.countDistinct("seller_id").alias("active_sellers"),
+        sum_if(F.col("is_rural"), "line_total").alias("rural"),
+        F.sum(F.col("on_time").cast("int")).alias("on_time_n"),
+        F.count("on_time").alias("on_time_d"),
+        F.grouping("year_month").alias("_total"))
+    r = cut_lineage(r)
+    monthly = r.filter(F.col("_total") == 0).select("year_month", "rev")
+    qoq = _qoq_from_monthly(monthly).select("qoq").scalar()
+    base = r.filter(F.col("_total") == 1)
     return base.select(
         round_half_up(dbl("rev"), 2).alias("total_revenue"),
         n_orders.alias("total_orders"),
