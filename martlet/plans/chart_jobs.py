@@ -322,21 +322,28 @@ FROM events
 WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id),
        wd AS (PARTITION BY event_type ORDER BY CAST(ts AS DATE))""")
 def t16_window(spark, d):
+    from ..operators.scan import is_skewed
     e = ev(spark, d).withColumn("day", F.to_date("ts"))
+    # every chained window below has the same groups: decide the strategy once
+    dist = is_skewed(e, ["event_type"])
     a = tf.window(e, {"rn": ("row_number",), "nt": ("ntile", None, 4),
                       "prev_value": ("lag", "value", 1), "next2_value": ("lead", "value", 2),
                       "first_value": ("first_value", "value")},
-                  sort=["ts", "event_id"], groupby=["event_type"], frame=(None, None), ignore_peers=True)
+                  sort=["ts", "event_id"], groupby=["event_type"], frame=(None, None), ignore_peers=True,
+                  distributed=dist)
     a = tf.window(a, {"last_in_frame": ("last_value", "value")}, sort=["ts", "event_id"],
-                  groupby=["event_type"], frame=(-2, 2), ignore_peers=True)
+                  groupby=["event_type"], frame=(-2, 2), ignore_peers=True, distributed=dist)
     a = tf.window(a, {"second_value": ("nth_value", "value", 2), "running_sum": ("sum", "value")},
-                  sort=["ts", "event_id"], groupby=["event_type"], frame=(None, 0), ignore_peers=True)
+                  sort=["ts", "event_id"], groupby=["event_type"], frame=(None, 0), ignore_peers=True,
+                  distributed=dist)
     a = tf.window(a, {"moving_avg": ("mean", "value")}, sort=["ts", "event_id"],
-                  groupby=["event_type"], frame=(-3, 0), ignore_peers=True)
+                  groupby=["event_type"], frame=(-3, 0), ignore_peers=True, distributed=dist)
     a = tf.window(a, {"group_max": ("max", "value")}, sort=["ts", "event_id"],
-                  groupby=["event_type"], frame=(None, None), ignore_peers=True)
+                  groupby=["event_type"], frame=(None, None), ignore_peers=True,
+                  distributed=dist)
     a = tf.window(a, {"rk": ("rank",), "drk": ("dense_rank",), "prk": ("percent_rank",),
-                      "cd": ("cume_dist",)}, sort=["day"], groupby=["event_type"])
+                      "cd": ("cume_dist",)}, sort=["day"], groupby=["event_type"],
+                  tiebreak=["ts", "event_id"], distributed=dist)
     return a.select("event_id", "event_type", "rn", "rk", "drk", q6("prk").alias("prk"),
                     q6("cd").alias("cd"), "nt", "prev_value", "next2_value", "first_value",
                     "last_in_frame", "second_value", q6("running_sum").alias("running_sum"),

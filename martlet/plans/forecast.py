@@ -103,7 +103,10 @@ def backtest_summary(bt: DataFrame) -> DataFrame:
 
 def forecast(fact: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """next ``horizon`` months = trend × seasonal index, band ×0.88 / ×1.12."""
-    series = monthly_series(fact)
+    return forecast_from_series(monthly_series(fact), horizon)
+
+
+def forecast_from_series(series: DataFrame, horizon: int = HORIZON) -> DataFrame:
     fit = trend_fit(series)
     seasonal = seasonal_index(series, fit)
     last = F.to_date(F.concat(F.col("last_ym"), F.lit("-01")))
@@ -121,7 +124,9 @@ def forecast(fact: DataFrame, horizon: int = HORIZON) -> DataFrame:
 
 
 def history_plus_forecast(fact: DataFrame, fc: DataFrame | None = None) -> DataFrame:
-    """Actual monthly revenue stacked over the forecast rows (missing columns null)."""
-    hist = fact.groupBy("year_month").agg(dbl(F.sum("line_total")).alias("actual"))
-    fc = fc if fc is not None else forecast(fact)
+    """Actual monthly revenue stacked over the forecast rows (missing columns null).
+    History and forecast read the same checkpointed monthly series (one fact pass)."""
+    series = monthly_series(fact)
+    hist = series.select("year_month", dbl("revenue").alias("actual"))
+    fc = fc if fc is not None else forecast_from_series(series)
     return hist.unionByName(fc, allowMissingColumns=True).orderBy("year_month")
