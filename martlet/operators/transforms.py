@@ -116,7 +116,11 @@ def pivot(df: DataFrame, pivot_field: str, value: str, groupby: Sequence[str] |
     names_df = df.select(F.col(pivot_field).cast("string").alias("v")).dropna().distinct().orderBy("v")
     if limit:
         names_df = names_df.limit(limit)
-    names = [r.v for r in names_df.collect()]
+    # the names become columns: read at most Spark's own pivot bound (+1 to detect overflow)
+    bound = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+    names = [r.v for r in names_df.limit(bound + 1).collect()]
+    if len(names) > bound:
+        raise ValueError(f"pivot: more than {bound} distinct values of {pivot_field!r}")
     g = _as_list(groupby)
     agg = agg_column(op, value, df)
     gd = df.groupBy(*g) if g else df.groupBy()
