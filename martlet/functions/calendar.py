@@ -185,12 +185,16 @@ def recurrence(spark: SparkSession, freq: str, dtstart, until=None, count: int |
                byweekday: Sequence[int | tuple[int, int]] | None = None,
                byyearday: Sequence[int] | None = None, byweekno: Sequence[int] | None = None,
                bysetpos: Sequence[int] | None = None, byeaster: Sequence[int] | None = None,
-               horizon_days: int = 366 * 50) -> DataFrame:
+               byhour: Sequence[int] | None = None, byminute: Sequence[int] | None = None,
+               bysecond: Sequence[int] | None = None, horizon_days: int = 366 * 50) -> DataFrame:
     """Occurrence table (column ``occurrence``, timestamp_ntz) of a recurrence rule.
 
     Weekdays are 0 = Monday ... 6 = Sunday; ``(wd, n)`` is the n-th such weekday of
     the period (negative from the end). Dates that do not exist (the 31st of a short
-    month) are skipped, never clipped. Time of day is the start's."""
+    month) are skipped, never clipped. Time of day is the start's unless
+    ``byhour`` / ``byminute`` / ``bysecond`` expand each day into several times
+    (set positions then count the expanded times of the period). Sub-daily
+    frequencies are not supported."""
     freq = freq.upper()
     if freq not in FREQS:
         raise ValueError(f"freq must be one of {FREQS}")
@@ -262,14 +266,20 @@ def recurrence(spark: SparkSession, freq: str, dtstart, until=None, count: int |
             for w, n in nth_wd:
                 wcond.append((F.col("_wd") == w) & ((F.col("_nup") == n) if n > 0 else (F.col("_ndn") == -n)))
         t = t.filter(_any(wcond))
+    hours = list(byhour) if byhour else [start.hour]
+    minutes = list(byminute) if byminute else [start.minute]
+    seconds = list(bysecond) if bysecond else [start.second]
+    # time-of-day expansion: a bounded literal list (at most 24 x 60 x 60 per day)
+    tods = sorted({h * 3600 + m * 60 + sec for h in hours for m in minutes for sec in seconds})
+    t = t.withColumn("_tod", F.explode(F.array(*[F.lit(x) for x in tods])))
+    t = t.withColumn("occurrence", F.timestamp_add("SECOND", F.col("_tod"), F.col("day").cast("timestamp_ntz")))
     if bysetpos:
-        up = Window.partitionBy("_period").orderBy("day")
-        down = Window.partitionBy("_period").orderBy(F.col("day").desc())
+        # per-period windows: a period holds at most one year of candidate times
+        up = Window.partitionBy("_period").orderBy("occurrence")
+        down = Window.partitionBy("_period").orderBy(F.col("occurrence").desc())
         t = t.withColumn("_sup", F.row_number().over(up)).withColumn("_sdn", F.row_number().over(down))
         t = t.filter(_any([(F.col("_sup") == k) if k > 0 else (F.col("_sdn") == -k) for k in bysetpos]))
-    tod = start.hour * 3600 + start.minute * 60 + start.second
-    occ = F.timestamp_add("SECOND", F.lit(tod), F.col("day").cast("timestamp_ntz"))
-    t = t.select(occ.alias("occurrence")).filter(
+    t = t.select("occurrence").filter(
         (F.col("occurrence") >= F.lit(start)) & (F.col("occurrence") <= F.lit(stop)))
     if count is not None:
         # the rule's own COUNT: first ``count`` occurrences (the feature, not a cap)

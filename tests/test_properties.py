@@ -117,3 +117,20 @@ def test_easter_matches_dateutil(spark):
     rows = years.select("y", *[cal.easter("y", m).alias(f"m{m}") for m in (1, 2, 3)]).collect()
     for r in rows:
         assert (r.m1, r.m2, r.m3) == (ref(r.y, 1), ref(r.y, 2), ref(r.y, 3)), r.y
+
+
+def test_recurrence_time_expansion_matches_rrule(spark):
+    from dateutil import rrule as R
+    start = dt.datetime(2021, 3, 1, 8, 30)
+    until = dt.datetime(2021, 7, 1)
+    cases = [
+        (dict(freq="WEEKLY", byweekday=[1, 3], byhour=[9, 17], byminute=[0, 30]),
+         dict(freq=R.WEEKLY, byweekday=(R.TU, R.TH), byhour=(9, 17), byminute=(0, 30))),
+        (dict(freq="MONTHLY", bymonthday=[1, 15], byhour=[6, 18], bysetpos=[-1, 1]),
+         dict(freq=R.MONTHLY, bymonthday=(1, 15), byhour=(6, 18), bysetpos=(-1, 1))),
+        (dict(freq="DAILY", interval=5, bysecond=[0, 45]), dict(freq=R.DAILY, interval=5, bysecond=(0, 45))),
+    ]
+    for ours, theirs in cases:
+        got = [r.occurrence for r in cal.recurrence(spark, dtstart=start, until=until, **ours)
+               .orderBy("occurrence").collect()]
+        assert got == list(R.rrule(dtstart=start, until=until, **theirs)), ours
