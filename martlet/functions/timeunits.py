@@ -54,10 +54,10 @@ def dow0(d) -> Column:
 
 
 def week0(d) -> Column:
-    """Sunday-based week of year; days before the first Sunday are week 0."""
+    """Sunday-based week of year: days before the first Sunday are week 0, the
+    first Sunday starts week 1."""
     d = _c(d)
-    jan1 = F.make_date(F.year(d), F.lit(1), F.lit(1))
-    return F.floor((F.dayofyear(d) - 1 + dow0(jan1)) / 7).cast("int")
+    return F.floor((F.dayofyear(d) - 1 + 7 - dow0(d)) / 7).cast("int")
 
 
 def millis(d) -> Column:
@@ -101,8 +101,12 @@ def timeunit(d, unit: str) -> Column:
         m = F.floor((F.month(d) - 1) / 3).cast("int") * 3 + 1
     else:
         m = F.lit(1)
-    if "week" in parts:
-        off = week0(d) * 7 - dow0(jan1) + (dow0(d) if "day" in parts else F.lit(0))
+    if "week" in parts and "year" in parts:
+        # the Sunday starting the date's week (plus the weekday when it is a part)
+        day = F.date_sub(F.to_date(d), (F.lit(0) if "day" in parts else dow0(d)).cast("int"))
+    elif "week" in parts:
+        # week w of the base year, which starts on a Sunday: week 1 starts on 1 January
+        off = (week0(d) - 1) * 7 + (dow0(d) if "day" in parts else F.lit(0))
         day = F.date_add(jan1, off.cast("int"))
     elif "dayofyear" in parts:
         day = F.date_add(jan1, (F.dayofyear(d) - 1).cast("int"))

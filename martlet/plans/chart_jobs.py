@@ -269,16 +269,17 @@ def _duck_unit(unit: str, d: str = "ts") -> str:
     y = f"year({d})" if "year" in parts else str(BASE_YEAR)
     jan1 = f"make_date({y}, 1, 1)"
     dow = f"dayofweek({d})"
-    dowj = f"dayofweek({jan1})"
-    wk = f"CAST(FLOOR((dayofyear({d}) - 1 + dayofweek(make_date(year({d}), 1, 1))) / 7) AS INTEGER)"
+    wk = f"CAST(strftime({d}, '%U') AS INTEGER)"
     if "month" in parts:
         m = f"month({d})"
     elif "quarter" in parts:
         m = f"(CAST(FLOOR((month({d}) - 1) / 3) AS INTEGER) * 3 + 1)"
     else:
         m = "1"
-    if "week" in parts:
-        off = f"({wk} * 7 - {dowj} + {dow if 'day' in parts else '0'})"
+    if "week" in parts and "year" in parts:
+        day = f"(CAST({d} AS DATE) - CAST({'0' if 'day' in parts else dow} AS INTEGER))"
+    elif "week" in parts:
+        off = f"(({wk} - 1) * 7 + {dow if 'day' in parts else '0'})"
         day = f"(CAST({jan1} AS DATE) + CAST({off} AS INTEGER))"
     elif "dayofyear" in parts:
         day = f"(CAST({jan1} AS DATE) + CAST(dayofyear({d}) - 1 AS INTEGER))"

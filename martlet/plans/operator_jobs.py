@@ -256,7 +256,7 @@ def p20_invalid_filter(spark, d):
 @job("c4_date_parts", """
 SELECT event_id, year(ts) AS year, CAST(FLOOR((month(ts) - 1) / 3) AS INTEGER) AS quarter,
        month(ts) - 1 AS month, day(ts) AS date, dayofweek(ts) AS day, dayofyear(ts) AS dayofyear,
-       CAST(FLOOR((dayofyear(ts) - 1 + dayofweek(make_date(year(ts), 1, 1))) / 7) AS INTEGER) AS week,
+       CAST(strftime(ts, '%U') AS INTEGER) AS week,
        hour(ts) AS hours, minute(ts) AS minutes, CAST(FLOOR(second(ts)) AS INTEGER) AS seconds,
        CAST(FLOOR(microsecond(ts) / 1000) % 1000 AS INTEGER) AS milliseconds,
        epoch_us(ts) // 1000 AS time

@@ -134,3 +134,41 @@ def test_recurrence_time_expansion_matches_rrule(spark):
         got = [r.occurrence for r in cal.recurrence(spark, dtstart=start, until=until, **ours)
                .orderBy("occurrence").collect()]
         assert got == list(R.rrule(dtstart=start, until=until, **theirs)), ours
+
+
+def test_time_parts_and_units_match_python(spark):
+    from martlet.functions import timeunits as tu
+    rnd = random.Random(3)
+    ts = [_random_ts(rnd) for _ in range(300)] + [dt.datetime(2012, 1, 1), dt.datetime(2017, 1, 1),
+                                                  dt.datetime(2016, 12, 31, 23, 59, 59)]
+    df = spark.createDataFrame([(t,) for t in ts], "t timestamp_ntz")
+    rows = df.select("t", tu.date_part("week", "t").alias("week"), tu.date_part("day", "t").alias("day"),
+                     tu.date_part("month", "t").alias("month"), tu.date_part("quarter", "t").alias("q"),
+                     tu.timeunit("t", "yearweek").alias("yw"), tu.timeunit("t", "yearquarter").alias("yq"),
+                     tu.timeunit("t", "monthdatehours").alias("mdh")).collect()
+    for r in rows:
+        t = r.t
+        assert r.week == int(t.strftime("%U"))
+        assert r.day == int(t.strftime("%w"))
+        assert r.month == t.month - 1 and r.q == (t.month - 1) // 3
+        sunday = (t - dt.timedelta(days=int(t.strftime("%w")))).replace(hour=0, minute=0, second=0, microsecond=0)
+        assert r.yw == sunday
+        assert r.yq == dt.datetime(t.year, 3 * ((t.month - 1) // 3) + 1, 1)
+        assert r.mdh == dt.datetime(2012, t.month, t.day, t.hour)
+
+
+def test_dst_audit_matches_zoneinfo(spark):
+    from zoneinfo import ZoneInfo
+    tz = ZoneInfo("America/New_York")
+    walls = [dt.datetime(y, m, d, h, mi) for y in (2017, 2018) for m, d in ((3, 11), (3, 12), (3, 10), (11, 4), (11, 5))
+             for h in (0, 1, 2, 3) for mi in (0, 30)]
+    df = spark.createDataFrame([(w,) for w in walls], "w timestamp_ntz")
+    rows = df.select("w", cal.dst_audit("w", "America/New_York").alias("a")).collect()
+    for r in rows:
+        w = r.w
+        a = w.replace(tzinfo=tz, fold=0)
+        b = w.replace(tzinfo=tz, fold=1)
+        imaginary = a.utcoffset() != b.utcoffset() and a.astimezone(dt.timezone.utc).astimezone(tz).replace(tzinfo=None) != w
+        ambiguous = a.utcoffset() != b.utcoffset() and not imaginary
+        assert r.a.imaginary == imaginary, w
+        assert r.a.ambiguous == ambiguous, w
