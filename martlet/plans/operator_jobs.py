@@ -810,3 +810,47 @@ def u2_transform_registry(spark, d):
         F.count(F.lit(1)).alias("n"), q6(F.sum("value")).alias("total")))
     reg.enable("cleaned_totals")
     return reg.apply(T(spark, d).events)
+
+
+G_ACC_SQL = f"""
+SELECT doc_id,
+  CASE WHEN regexp_matches(text, '[^\\x00-\\x7F]') AND length(text) >= 8
+            AND (length(text) - length(regexp_replace(text, '{G.ACCENTED}', '', 'g'))) * 1.0 / length(text) >= 0.35
+       THEN CAST(length(text) - length(regexp_replace(text, '{G.ACCENTED}', '', 'g')) AS DOUBLE) / length(text)
+       ELSE 0.0 END AS accent_noise,
+  CASE WHEN regexp_matches(text, '[^\\x00-\\x7F]') AND length(text) >= 8
+       THEN CAST(length(text) - length(regexp_replace(text, '{G.ARABIC_ISOLATED}', '', 'g')) AS DOUBLE) / length(text)
+       ELSE 0.0 END AS isolated_form_noise
+FROM documents"""
+
+
+@job("g2_g12_accent_isolated", G_ACC_SQL)
+def g2_g12_accent_isolated(spark, d):
+    t = F.col("text")
+    return T(spark, d).documents.select("doc_id", G.accent_noise(t).alias("accent_noise"),
+                                        G.isolated_form_noise(t).alias("isolated_form_noise"))
+
+
+ORACLE["g7_language_coherence"] = """
+WITH l AS (SELECT doc_id, lang, UNNEST(string_split(regexp_replace(lower(text), '[^\\p{L}]', '', 'g'), '')) AS letter
+           FROM documents),
+l2 AS (SELECT * FROM l WHERE letter <> ''),
+prof AS (SELECT lang AS profile_lang, letter,
+                ROW_NUMBER() OVER (PARTITION BY lang ORDER BY COUNT(*) DESC, letter) AS p_rank
+         FROM l2 GROUP BY lang, letter),
+prof26 AS (SELECT * FROM prof WHERE p_rank <= 26),
+per_doc AS (SELECT doc_id, letter, COUNT(*) AS n FROM l2 GROUP BY 1, 2),
+tot AS (SELECT doc_id, SUM(n) AS n_letters FROM per_doc GROUP BY 1),
+ranked AS (SELECT doc_id, letter, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY n DESC, letter) AS d_rank
+           FROM per_doc),
+r26 AS (SELECT r.* FROM ranked r JOIN tot t USING (doc_id) WHERE d_rank <= 26 AND n_letters > 32),
+n_top AS (SELECT doc_id, COUNT(*) AS n_top FROM r26 GROUP BY 1),
+score AS (SELECT r.doc_id, pr.profile_lang AS lang,
+                 CAST(SUM(CASE WHEN ABS(d_rank - p_rank) <= 4 THEN 1 ELSE 0 END) AS DOUBLE) / n.n_top AS score
+          FROM r26 r JOIN prof26 pr USING (letter) JOIN n_top n USING (doc_id)
+          GROUP BY r.doc_id, pr.profile_lang, n.n_top),
+best AS (SELECT doc_id, lang AS predicted,
+                ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) AS rk
+         FROM score WHERE score >= 0.1)
+SELECT d.lang, COUNT(*) AS docs, AVG(CAST(d.lang = b.predicted AS DOUBLE)) AS accuracy
+FROM documents d JOIN best b ON d.doc_id = b.doc_id AND b.rk = 1 GROUP BY 1""".strip()
