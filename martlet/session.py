@@ -20,8 +20,11 @@ SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # 32 MB: a dimension of this size is cheap to ship to every executor.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Static plans broadcast only inputs whose *estimated* size is tiny (file-size
+    # estimates of joined dimensions are products of their inputs, so they are not
+    # trusted for more); AQE broadcasts at runtime from the *measured* size of a
+    # finished shuffle stage, up to 32 MB, and sort-merge joins anything larger.
+    "spark.sql.autoBroadcastJoinThreshold": str(2 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
