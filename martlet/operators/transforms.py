@@ -361,9 +361,9 @@ def filter_(df: DataFrame, *predicates: Column | str, **equals) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, preds)) if preds else df
 
 
-# ------------------------------------------------------------------ T21 pipeline / U2 registry
+# ------------------------------------------------------------------ T21 transform chain / U2 registry
 
-def pipeline(df: DataFrame, steps: Iterable[Callable[[DataFrame], DataFrame]]) -> DataFrame:
+def chain(df: DataFrame, steps: Iterable[Callable[[DataFrame], DataFrame]]) -> DataFrame:
     """Apply transforms in order."""
     for f in steps:
         df = df.transform(f)

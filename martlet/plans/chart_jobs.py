@@ -530,7 +530,7 @@ def t9_loess(spark, d):
     return stats.loess(daily, "hour_index", "value", groupby=["event_type"], bandwidth=0.3)
 
 
-# ------------------------------------------------------------------ T28 layered / T21 pipeline
+# ------------------------------------------------------------------ T28 layered / T21 transform chain
 
 @job("t28_layered", f"""
 SELECT 'by_type' AS view, event_type AS k, COUNT(*) AS n, {S6('SUM(value)')} AS total FROM events GROUP BY 2
@@ -550,13 +550,13 @@ def t28_layered(spark, d):
     return out
 
 
-@job("t21_pipeline", f"""
+@job("t21_transform_chain", f"""
 SELECT event_type, COUNT(*) AS n, {S6('AVG(value * 2)')} AS mean_double
 FROM events WHERE value > 10 GROUP BY 1""")
-def t21_pipeline(spark, d):
+def t21_transform_chain(spark, d):
     steps = [lambda x: tf.calculate(x, double_value=F.col("value") * 2),
              lambda x: tf.filter_(x, F.col("value") > 10),
              lambda x: tf.aggregate(x, {"n": ("count",), "mean_double": ("mean", "double_value")},
                                     ["event_type"])]
-    out = tf.pipeline(ev(spark, d), steps)
+    out = tf.chain(ev(spark, d), steps)
     return out.select("event_type", "n", q6("mean_double").alias("mean_double"))

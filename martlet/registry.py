@@ -45,6 +45,14 @@ def _plain(fn) -> Job:
     return job
 
 
+def _fact_report(s):
+    """The fact table as reported: money as double (the table itself keeps decimals)."""
+    from pyspark.sql import functions as F
+    fact = build_fact(s)
+    money = ("line_total", "cost_price", "margin")
+    return fact.select(*[F.col(c).cast("double").alias(c) if c in money else F.col(c) for c in fact.columns])
+
+
 def _series(fn):
     return lambda fact: fn(forecast.monthly_series(fact))
 
@@ -69,7 +77,7 @@ def _f1(fact):
 def jobs() -> dict[str, Job]:
     out: dict[str, Job] = {}
     out.update({k: _on_star(f) for k, f in commerce.QUERIES.items()})
-    out["fact_sales"] = _on_star(build_fact)
+    out["fact_sales"] = _on_star(_fact_report)
     out["k1_headline_kpis"] = _on_star(kpis.headline_kpis)
     out["k2_qoq_growth"] = _on_fact(kpis.qoq_growth)
     out["k3_filtered_kpis"] = _on_fact(lambda f: kpis.filtered_kpis(f, seg="Rural"))
