@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .keys import join_on
 from .ranking import ntile_from_row_number
 from .scan import running
 
@@ -67,13 +68,13 @@ def window_distributed(df: DataFrame, ops: dict[str, tuple], sort: Sequence, gro
     cols = list(df.columns)
     base = cut_lineage(running(df, {"_rn": ("row_number",)}, g, order))
     sizes = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    t = base.join(sizes, g)
+    t = join_on(base, sizes, g) if g else base.withColumn("_n", F.lit(base.count()))
     need_peers = any(s[0] in ("rank", "dense_rank", "percent_rank", "cume_dist") for s in ops.values())
     if need_peers:
         peers = t.groupBy(*g, *keys).agg(F.min("_rn").alias("_p0"), F.max("_rn").alias("_p1"))
         if any(s[0] == "dense_rank" for s in ops.values()):
             peers = running(peers, {"_dr": ("row_number",)}, g, _order(sort))
-        t = t.join(peers, g + keys)
+        t = join_on(t, peers, g + keys)
     out: list[Column] = []
     lookups: list[tuple[str, Column, str]] = []  # (name, target row number, field)
     sums: dict[str, tuple[str, str | None, tuple]] = {}

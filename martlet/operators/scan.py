@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import join_on
+
 _LOW33 = (1 << 33) - 1
 SCAN_OPS = ("count", "sum", "mean", "average", "min", "max", "row_number")
 
@@ -94,7 +96,7 @@ def running(df: DataFrame, ops: dict[str, tuple], groupby: Sequence[str], order:
             offs.append(fn(f"_t_{name}").over(before).alias(f"_o_{name}"))
     # one row per (partition, group) segment: partitions + groups rows at most
     offsets = seg_tot.select(*offs)
-    j = s.join(offsets, ["_pid", *g], "left")
+    j = join_on(s, offsets, ["_pid", *g], "left")
     out = []
     for name, how in combine:
         if how == "sum":

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
+from .keys import join_on
 from .ranking import global_row_number
 
 EPSILON = 1e-14
@@ -34,7 +35,7 @@ def _attach(df: DataFrame, per_group: DataFrame, g: list) -> DataFrame:
     """Attach per-group values: an equi-join on the group keys, or, without
     groups, the single row's values as scalar subqueries (no join at all)."""
     if g:
-        return df.join(per_group, g)
+        return join_on(df, per_group, g)
     cols = [c for c in per_group.columns]
     return df.select("*", *[per_group.select(c).scalar().alias(c) for c in cols])
 
@@ -184,7 +185,7 @@ def impute(df: DataFrame, field: str, key: str, groupby: Sequence[str] | None =
     groups = df.select(*g).distinct() if g else df.sparkSession.range(1).select()
     full = groups.select(*g, F.explode(F.array(*[F.lit(k) for k in keys])).alias(key))
     present = df.select(*g, key, field).withColumn("_present", F.lit(True))
-    filled = full.join(present, [*g, key], "left")
+    filled = join_on(full, present, [*g, key], "left")
     if method == "value":
         fill = F.lit(value)
     else:
@@ -197,7 +198,7 @@ def impute(df: DataFrame, field: str, key: str, groupby: Sequence[str] | None =
     out = filled.withColumn(field, F.when(F.col("_present").isNull(), fill).otherwise(F.col(field)))
     extra = [c for c in df.columns if c not in (*g, key, field)]
     if extra:
-        out = out.join(df.select(*g, key, *extra).dropDuplicates([*g, key]), [*g, key], "left")
+        out = join_on(out, df.select(*g, key, *extra).dropDuplicates([*g, key]), [*g, key], "left")
     return out.drop("_present")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .aggregates import agg_column, use_approx_percentile
+from .keys import join_on
 from .scan import is_skewed, running
 
 Ops = dict[str, tuple]  # output name -> (op, field[, param])
@@ -318,25 +319,25 @@ def window_peer_frame(df: DataFrame, name: str, op: str, field: str | None, sort
                 {"_rn": ("row_number",), "_ps": ("sum", "_val"), "_pc": ("sum", "_one")}, g, order)
     t = t.drop("_val", "_one")
     sizes = t.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")) if g else None
-    t = t.join(sizes, g) if g else t.withColumn("_n", F.lit(t.count()))
+    t = join_on(t, sizes, g) if g else t.withColumn("_n", F.lit(t.count()))
     # the numbered table feeds five self-joins below: checkpoint it once
     from ..session import cut_lineage
     t = cut_lineage(t)
     # first / last row number of every peer group
     peer = t.groupBy(*g, *sort_names).agg(F.min("_rn").alias("_p0"), F.max("_rn").alias("_p1"))
-    t = t.join(peer, g + sort_names, "left")
+    t = join_on(t, peer, g + sort_names, "left")
     i0 = F.lit(1) if lo is None else F.greatest(F.lit(1), F.col("_rn") + lo)
     i1 = F.col("_n") if hi is None else F.least(F.col("_n"), F.col("_rn") + hi)
     t = t.withColumn("_i0", i0).withColumn("_i1", i1)
     look = t.select(*g, "_rn", "_p0", "_p1", "_ps", "_pc")
     a = look.select(*g, F.col("_rn").alias("_i0"), F.col("_p0").alias("_e0"))
     b = look.select(*g, F.col("_rn").alias("_i1"), F.col("_p1").alias("_e1"))
-    t = t.join(a, g + ["_i0"], "left").join(b, g + ["_i1"], "left")
+    t = join_on(join_on(t, a, g + ["_i0"], "left"), b, g + ["_i1"], "left")
     ps_at = look.select(*g, F.col("_rn").alias("_e1"), F.col("_ps").alias("_s1"),
                         F.col("_pc").alias("_c1"))
     ps_before = look.select(*g, (F.col("_rn") + 1).alias("_e0"), F.col("_ps").alias("_s0"),
                             F.col("_pc").alias("_c0"))
-    t = t.join(ps_at, g + ["_e1"], "left").join(ps_before, g + ["_e0"], "left")
+    t = join_on(join_on(t, ps_at, g + ["_e1"], "left"), ps_before, g + ["_e0"], "left")
     s = F.col("_s1") - F.coalesce(F.col("_s0"), F.lit(0.0))
     c = F.col("_c1") - F.coalesce(F.col("_c0"), F.lit(0.0))
     res = {"sum": s, "count": c.cast("bigint"), "mean": s / c, "average": s / c}[op]
