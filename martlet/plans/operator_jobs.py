@@ -6,6 +6,7 @@ twin when one exists.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -453,14 +454,60 @@ def e9_distributions(spark, d):
                     q6(E.cumulative_uniform("value", 0.0, 500.0)).alias("ucdf"))
 
 
-@job("e9_normal_cdf_quantile")
+def _d(v) -> str:
+    """A double literal for DuckDB (plain decimals there are DECIMAL)."""
+    return f"CAST({float(v)!r} AS DOUBLE)"
+
+
+def _horner(coefs, x: str) -> str:
+    out = _d(coefs[0])
+    for k in coefs[1:]:
+        out = f"(({out}) * ({x}) + {_d(k)})"
+    return out
+
+
+def _sql_erf(z: str) -> str:
+    a = f"ABS({z})"
+    t = f"({_d(1)} / ({_d(1)} + {_d(E.ERF_P)} * {a}))"
+    return f"(SIGN({z}) * ({_d(1)} - {t} * {_horner(tuple(reversed(E.ERF_A)), t)} * EXP(-{a} * {a})))"
+
+
+def _sql_cdf(x: str, m: float, sd: float) -> str:
+    return f"({_d(0.5)} * ({_d(1)} + {_sql_erf(f'(({x}) - {_d(m)}) / ({_d(sd)} * {_d(math.sqrt(2.0))})')}))"
+
+
+def _sql_qnorm(p: str, m: float, sd: float) -> str:
+    q = f"SQRT({_d(-2)} * LN({p}))"
+    low = f"({_horner(E.ACKLAM_C, q)} / ({_horner(E.ACKLAM_D, q)} * {q} + {_d(1)}))"
+    qc = f"({p} - {_d(0.5)})"
+    r = f"({qc} * {qc})"
+    mid = f"({_horner(E.ACKLAM_A, r)} * {qc} / ({_horner(E.ACKLAM_B, r)} * {r} + {_d(1)}))"
+    qh = f"SQRT({_d(-2)} * LN({_d(1)} - {p}))"
+    high = f"(-{_horner(E.ACKLAM_C, qh)} / ({_horner(E.ACKLAM_D, qh)} * {qh} + {_d(1)}))"
+    z = (f"(CASE WHEN {p} <= 0 OR {p} >= 1 THEN NULL WHEN {p} < {_d(0.02425)} THEN {low} "
+         f"WHEN {p} > {_d(1)} - {_d(0.02425)} THEN {high} ELSE {mid} END)")
+    return f"({_d(m)} + {_d(sd)} * {z})"
+
+
+_CDF = _sql_cdf("value", 100.0, 50.0)
+_LN = f"((LN(value) - {_d(0)}) / {_d(1)})"
+E9_SQL = f"""
+WITH c AS (SELECT event_id, value, {_CDF} AS p FROM events)
+SELECT event_id, {S6('p')} AS cdf, {S6(_sql_qnorm('p', 100.0, 50.0))} AS roundtrip,
+       {S6(f"CASE WHEN value <= 0 THEN {_d(0)} ELSE {_sql_cdf('LN(value)', 0.0, 1.0)} END")} AS lncdf,
+       {S6(f"CASE WHEN value <= 0 THEN {_d(0)} ELSE EXP({_d(-0.5)} * {_LN} * {_LN}) / ({_d(1)} * {_d(math.sqrt(2 * math.pi))} * value) END")} AS lnpdf,
+       {S6(f"{_d(0)} + {_d(0.25)} * (value - {_d(0)})")} AS uq
+FROM c"""
+
+
+@job("e9_normal_cdf_quantile", E9_SQL)
 def e9_normal_cdf_quantile(spark, d):
     e = T(spark, d).events
     p = E.cumulative_normal("value", 100.0, 50.0)
-    return e.select("event_id", p.alias("cdf"), E.quantile_normal(p, 100.0, 50.0).alias("roundtrip"),
-                    E.cumulative_log_normal("value").alias("lncdf"),
-                    E.density_log_normal("value").alias("lnpdf"),
-                    E.quantile_uniform(F.lit(0.25), 0.0, F.col("value")).alias("uq"))
+    return e.select("event_id", q6(p).alias("cdf"), q6(E.quantile_normal(p, 100.0, 50.0)).alias("roundtrip"),
+                    q6(E.cumulative_log_normal("value")).alias("lncdf"),
+                    q6(E.density_log_normal("value")).alias("lnpdf"),
+                    q6(E.quantile_uniform(F.lit(0.25), 0.0, F.col("value"))).alias("uq"))
 
 
 @job("e10_arrays", """
