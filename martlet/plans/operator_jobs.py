@@ -901,3 +901,60 @@ best AS (SELECT doc_id, lang AS predicted,
          FROM score WHERE score >= 0.1)
 SELECT d.lang, COUNT(*) AS docs, AVG(CAST(d.lang = b.predicted AS DOUBLE)) AS accuracy
 FROM documents d JOIN best b ON d.doc_id = b.doc_id AND b.rk = 1 GROUP BY 1""".strip()
+
+
+def _sql_in(chars: str) -> str:
+    return "(" + ", ".join("chr(%d)" % ord(c) for c in chars) + ")"
+
+
+_SCRIPT_CASE = "CASE " + " ".join(
+    f"WHEN regexp_matches(ch, '\\p{{{sc}}}') THEN '{sc}'" for sc in G.SCRIPTS) + " END"
+_CJK = "('Han', 'Hiragana', 'Katakana')"
+
+G_CHAR_SQL = f"""
+WITH d AS (SELECT doc_id, length(text) AS n, regexp_matches(text, '[^\\x00-\\x7F]') AS non_ascii,
+                  regexp_matches(text, '\\p{{L}}') AND regexp_matches(regexp_replace(text, '[^\\p{{L}}]', '', 'g'), '[^\\p{{Latin}}]') AS non_latin
+           FROM documents),
+c AS (SELECT doc_id, unnest(string_split(text, '')) AS ch, unnest(range(1, length(text) + 1)) AS pos FROM documents),
+f AS (SELECT doc_id, pos, ch,
+        regexp_matches(ch, '\\p{{P}}') AND ch NOT IN {_sql_in(G.SAFE_ASCII)} AS is_punct,
+        regexp_matches(ch, '[\\p{{S}}\\p{{No}}\\p{{Nl}}]') AND ch NOT IN {_sql_in(G.SAFE_ASCII)}
+          AND NOT (unicode(ch) BETWEEN 127744 AND 129791) AS is_sym,
+        unicode(ch) BETWEEN 192 AND 591 AND strip_accents(ch) <> ch AS acc,
+        regexp_matches(ch, '[\\p{{Cc}}\\p{{Cf}}\\p{{Co}}\\p{{Zl}}\\p{{Zp}}]')
+          AND ch NOT IN (chr(32), chr(9), chr(10), chr(11), chr(12), chr(13), chr(26), chr(65279)) AS unprintable,
+        unicode(ch) BETWEEN 65136 AND 65279 OR unicode(ch) BETWEEN 64336 AND 65023 AS isolated,
+        {_SCRIPT_CASE} AS script
+      FROM c),
+p AS (SELECT *, lead(ch) OVER w AS nxt, lead(acc) OVER w AS nxt_acc, lead(script) OVER w AS nxt_script
+      FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+agg AS (SELECT doc_id,
+          SUM(CASE WHEN is_punct AND (nxt IS NULL OR nxt <> ch) THEN 1 ELSE 0 END) AS punct,
+          SUM(CASE WHEN is_sym AND (nxt IS NULL OR nxt <> ch) THEN 1 ELSE 0 END) AS sym,
+          SUM(CASE WHEN acc THEN 1 ELSE 0 END) AS acc,
+          SUM(CASE WHEN unprintable THEN 1 ELSE 0 END) AS unp,
+          SUM(CASE WHEN isolated THEN 1 ELSE 0 END) AS iso,
+          SUM(CASE WHEN acc AND nxt_acc AND strip_accents(ch) BETWEEN 'A' AND 'Z' AND strip_accents(nxt) BETWEEN 'A' AND 'Z'
+                   AND length(strip_accents(ch)) = 1 AND length(strip_accents(nxt)) = 1 THEN 1 ELSE 0 END)
+          + SUM(CASE WHEN acc AND nxt_acc AND strip_accents(ch) = strip_accents(nxt) THEN 1 ELSE 0 END) AS dup,
+          SUM(CASE WHEN script IS NOT NULL AND nxt_script IS NOT NULL AND script <> nxt_script
+                    AND NOT (script IN {_CJK} AND nxt_script IN {_CJK}) THEN 1 ELSE 0 END) AS mix
+        FROM p GROUP BY 1)
+SELECT d.doc_id,
+  CASE WHEN CAST(COALESCE(punct, 0) + 2 * COALESCE(sym, 0) AS DOUBLE) / d.n >= 0.3
+       THEN CAST(COALESCE(punct, 0) + 2 * COALESCE(sym, 0) AS DOUBLE) / d.n ELSE 0.0 END AS symbol_noise,
+  CASE WHEN d.non_ascii AND d.n >= 8 AND CAST(COALESCE(acc, 0) AS DOUBLE) / d.n >= 0.35
+       THEN CAST(acc AS DOUBLE) / d.n ELSE 0.0 END AS accent_noise,
+  COALESCE(CAST(8 * COALESCE(unp, 0) AS DOUBLE) / d.n, 0.0) AS unprintable_noise,
+  CASE WHEN d.non_ascii THEN CAST(2 * COALESCE(dup, 0) AS DOUBLE) / d.n ELSE 0.0 END AS duplicate_accent_noise,
+  CASE WHEN d.n > 13 AND d.non_latin THEN CAST(2 * COALESCE(mix, 0) AS DOUBLE) / d.n ELSE 0.0 END AS script_mix_noise,
+  CASE WHEN d.non_ascii AND d.n >= 8 THEN CAST(COALESCE(iso, 0) AS DOUBLE) / d.n ELSE 0.0 END AS isolated_form_noise
+FROM d LEFT JOIN agg USING (doc_id)"""
+
+
+@job("g1_char_noise", G_CHAR_SQL)
+def g1_char_noise(spark, d):
+    t = F.col("text")
+    names = ["symbol_noise", "accent_noise", "unprintable_noise", "duplicate_accent_noise",
+             "script_mix_noise", "isolated_form_noise"]
+    return T(spark, d).documents.select("doc_id", *[G.MEASURES[n](t).alias(n) for n in names])
