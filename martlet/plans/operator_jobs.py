@@ -948,7 +948,9 @@ SELECT d.doc_id,
   COALESCE(CAST(8 * COALESCE(unp, 0) AS DOUBLE) / d.n, 0.0) AS unprintable_noise,
   CASE WHEN d.non_ascii THEN CAST(2 * COALESCE(dup, 0) AS DOUBLE) / d.n ELSE 0.0 END AS duplicate_accent_noise,
   CASE WHEN d.n > 13 AND d.non_latin THEN CAST(2 * COALESCE(mix, 0) AS DOUBLE) / d.n ELSE 0.0 END AS script_mix_noise,
-  CASE WHEN d.non_ascii AND d.n >= 8 THEN CAST(COALESCE(iso, 0) AS DOUBLE) / d.n ELSE 0.0 END AS isolated_form_noise
+  CASE WHEN d.non_ascii AND d.n >= 8 THEN CAST(COALESCE(iso, 0) AS DOUBLE) / d.n ELSE 0.0 END AS isolated_form_noise,
+  COALESCE(punct, 0) AS n_punct_runs, COALESCE(sym, 0) AS n_symbol_runs, COALESCE(acc, 0) AS n_accented,
+  COALESCE(unp, 0) AS n_unprintable, COALESCE(mix, 0) AS n_script_pairs
 FROM d LEFT JOIN agg USING (doc_id)"""
 
 
@@ -957,4 +959,10 @@ def g1_char_noise(spark, d):
     t = F.col("text")
     names = ["symbol_noise", "accent_noise", "unprintable_noise", "duplicate_accent_noise",
              "script_mix_noise", "isolated_form_noise"]
-    return T(spark, d).documents.select("doc_id", *[G.MEASURES[n](t).alias(n) for n in names])
+    # the raw counts behind the thresholds are reported too
+    raw = [G._count(t, f"({G.PUNCT})(?!\\1)").cast("bigint").alias("n_punct_runs"),
+           G._count(t, f"({G.SYMBOL})(?!\\1)").cast("bigint").alias("n_symbol_runs"),
+           G._count_set(t, G.ACCENTED_CHARS).cast("bigint").alias("n_accented"),
+           G._count(t, G.UNPRINTABLE).cast("bigint").alias("n_unprintable"),
+           G._count(t, G._script_pairs()).cast("bigint").alias("n_script_pairs")]
+    return T(spark, d).documents.select("doc_id", *[G.MEASURES[n](t).alias(n) for n in names], *raw)
