@@ -966,3 +966,42 @@ def g1_char_noise(spark, d):
            G._count(t, G.UNPRINTABLE).cast("bigint").alias("n_unprintable"),
            G._count(t, G._script_pairs()).cast("bigint").alias("n_script_pairs")]
     return T(spark, d).documents.select("doc_id", *[G.MEASURES[n](t).alias(n) for n in names], *raw)
+
+
+G4_SQL = """
+WITH d AS (SELECT doc_id, length(text) AS n, regexp_matches(text, '[^\\x00-\\x7F]') AS non_ascii FROM documents),
+c AS (SELECT doc_id, unnest(string_split(text, '')) AS ch, unnest(range(1, length(text) + 1)) AS pos FROM documents),
+f AS (SELECT doc_id, pos, ch, regexp_matches(ch, '[\\p{Lu}\\p{Ll}]') AS cased, regexp_matches(ch, '\\p{Lu}') AS up,
+             regexp_matches(ch, '^[0-9]$') AS digit FROM c),
+k AS (SELECT *, SUM(CASE WHEN cased THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS chunk,
+             lead(digit) OVER (PARTITION BY doc_id ORDER BY pos) AS next_digit,
+             lag(up) OVER (PARTITION BY doc_id ORDER BY pos) AS prev_up,
+             lag(cased) OVER (PARTITION BY doc_id ORDER BY pos) AS prev_cased FROM f),
+cased_only AS (SELECT * FROM k WHERE cased),
+chunks AS (SELECT doc_id, chunk, COUNT(*) AS len, MAX(unicode(ch)) > 127 AS has_non_ascii,
+                  COALESCE(arg_max(next_digit, pos), false) AS cut_by_digit
+           FROM cased_only GROUP BY 1, 2),
+runs AS (SELECT doc_id, chunk, pos,
+                SUM(CASE WHEN prev_cased AND up <> prev_up THEN 0 ELSE 1 END)
+                  OVER (PARTITION BY doc_id, chunk ORDER BY pos) AS run
+         FROM cased_only),
+run_len AS (SELECT doc_id, chunk, run, COUNT(*) AS m FROM runs GROUP BY 1, 2, 3),
+flips AS (SELECT r.doc_id, SUM(2 * CAST(FLOOR((r.m - 1) / 2) AS BIGINT)) AS flips
+          FROM run_len r JOIN chunks ch USING (doc_id, chunk)
+          WHERE ch.len <= 64 AND ch.has_non_ascii AND NOT ch.cut_by_digit GROUP BY 1)
+SELECT d.doc_id, CASE WHEN d.non_ascii THEN CAST(COALESCE(f.flips, 0) AS DOUBLE) / d.n ELSE 0.0 END AS case_flip_noise,
+       COALESCE(f.flips, 0) AS n_flip_points
+FROM d LEFT JOIN flips f USING (doc_id)"""
+
+
+@job("g4_case_flip", G4_SQL)
+def g4_case_flip(spark, d):
+    t = F.col("text")
+    chunks = F.filter(F.regexp_extract_all(t, F.lit("[\\p{Lu}\\p{Ll}]++(?!\\d)"), 0),
+                      lambda w: (F.length(w) <= 64) & w.rlike("[^\\x00-\\x7F]"))
+    runs = F.flatten(F.transform(chunks, lambda w: F.regexp_extract_all(
+        w, F.lit("(?:\\p{Lu}\\p{Ll})+\\p{Lu}?|(?:\\p{Ll}\\p{Lu})+\\p{Ll}?"), 0)))
+    points = F.aggregate(runs, F.lit(0).cast("bigint"),
+                         lambda acc, r: acc + 2 * F.floor((F.length(r) - 1) / 2).cast("bigint"))
+    return T(spark, d).documents.select("doc_id", G.case_flip_noise(t).alias("case_flip_noise"),
+                                        points.alias("n_flip_points"))
