@@ -941,14 +941,14 @@ agg AS (SELECT doc_id,
                     AND NOT (script IN {_CJK} AND nxt_script IN {_CJK}) THEN 1 ELSE 0 END) AS mix
         FROM p GROUP BY 1)
 SELECT d.doc_id,
-  CASE WHEN CAST(COALESCE(punct, 0) + 2 * COALESCE(sym, 0) AS DOUBLE) / d.n >= 0.3
-       THEN CAST(COALESCE(punct, 0) + 2 * COALESCE(sym, 0) AS DOUBLE) / d.n ELSE 0.0 END AS symbol_noise,
-  CASE WHEN d.non_ascii AND d.n >= 8 AND CAST(COALESCE(acc, 0) AS DOUBLE) / d.n >= 0.35
-       THEN CAST(acc AS DOUBLE) / d.n ELSE 0.0 END AS accent_noise,
-  COALESCE(CAST(8 * COALESCE(unp, 0) AS DOUBLE) / d.n, 0.0) AS unprintable_noise,
-  CASE WHEN d.non_ascii THEN CAST(2 * COALESCE(dup, 0) AS DOUBLE) / d.n ELSE 0.0 END AS duplicate_accent_noise,
-  CASE WHEN d.n > 13 AND d.non_latin THEN CAST(2 * COALESCE(mix, 0) AS DOUBLE) / d.n ELSE 0.0 END AS script_mix_noise,
-  CASE WHEN d.non_ascii AND d.n >= 8 THEN CAST(COALESCE(iso, 0) AS DOUBLE) / d.n ELSE 0.0 END AS isolated_form_noise,
+  CASE WHEN CAST(COALESCE(punct, 0) + 2 * COALESCE(sym, 0) AS DOUBLE) / NULLIF(d.n, 0) >= 0.3
+       THEN CAST(COALESCE(punct, 0) + 2 * COALESCE(sym, 0) AS DOUBLE) / NULLIF(d.n, 0) ELSE 0.0 END AS symbol_noise,
+  CASE WHEN d.non_ascii AND d.n >= 8 AND CAST(COALESCE(acc, 0) AS DOUBLE) / NULLIF(d.n, 0) >= 0.35
+       THEN CAST(acc AS DOUBLE) / NULLIF(d.n, 0) ELSE 0.0 END AS accent_noise,
+  COALESCE(CAST(8 * COALESCE(unp, 0) AS DOUBLE) / NULLIF(d.n, 0), 0.0) AS unprintable_noise,
+  CASE WHEN d.non_ascii THEN CAST(2 * COALESCE(dup, 0) AS DOUBLE) / NULLIF(d.n, 0) ELSE 0.0 END AS duplicate_accent_noise,
+  CASE WHEN d.n > 13 AND d.non_latin THEN CAST(2 * COALESCE(mix, 0) AS DOUBLE) / NULLIF(d.n, 0) ELSE 0.0 END AS script_mix_noise,
+  CASE WHEN d.non_ascii AND d.n >= 8 THEN CAST(COALESCE(iso, 0) AS DOUBLE) / NULLIF(d.n, 0) ELSE 0.0 END AS isolated_form_noise,
   COALESCE(punct, 0) AS n_punct_runs, COALESCE(sym, 0) AS n_symbol_runs, COALESCE(acc, 0) AS n_accented,
   COALESCE(unp, 0) AS n_unprintable, COALESCE(mix, 0) AS n_script_pairs
 FROM d LEFT JOIN agg USING (doc_id)"""
