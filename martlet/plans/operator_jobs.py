@@ -1005,3 +1005,48 @@ def g4_case_flip(spark, d):
                          lambda acc, r: acc + 2 * F.floor((F.length(r) - 1) / 2).cast("bigint"))
     return T(spark, d).documents.select("doc_id", G.case_flip_noise(t).alias("case_flip_noise"),
                                         points.alias("n_flip_points"))
+
+
+G11_SQL = """
+WITH w0 AS (SELECT doc_id, unnest(string_split_regex(text, '[\\s\\p{Z}\\p{P}｜+<>]+')) AS w FROM documents),
+w1 AS (SELECT doc_id, w, row_number() OVER () AS wid FROM w0),
+wc AS (SELECT wid, unnest(string_split(w, '')) AS ch FROM w1),
+acc AS (SELECT wid, SUM(CASE WHEN unicode(ch) BETWEEN 192 AND 591 AND strip_accents(ch) <> ch THEN 1 ELSE 0 END) AS acc,
+               SUM(CASE WHEN unicode(ch) BETWEEN 4352 AND 4607 OR unicode(ch) BETWEEN 12352 AND 12543
+                         OR unicode(ch) BETWEEN 13312 AND 19903 OR unicode(ch) BETWEEN 19968 AND 40959
+                         OR unicode(ch) BETWEEN 44032 AND 55215 OR unicode(ch) BETWEEN 63744 AND 64255
+                         OR unicode(ch) BETWEEN 131072 AND 195103 THEN 1 ELSE 0 END) AS glyph,
+               MAX(CASE WHEN (regexp_matches(ch, '\\p{L}') AND NOT regexp_matches(ch, '[\\p{Latin}\\p{Han}\\p{Hangul}\\p{Hiragana}\\p{Katakana}]'))
+                          OR (unicode(ch) BETWEEN 192 AND 591 AND strip_accents(ch) <> ch) THEN 1 ELSE 0 END) AS watch
+        FROM wc GROUP BY 1),
+m AS (SELECT w1.doc_id, w1.w, COALESCE(a.acc, 0) AS acc, COALESCE(a.glyph, 0) AS glyph, COALESCE(a.watch, 0) AS watch,
+             regexp_matches(w1.w, '^[A-Za-z]*$') AS plain,
+             length(regexp_replace(w1.w, '[^\\p{L}\\p{S}\\p{No}\\p{Nl}]', '', 'g'))
+               - (length(w1.w) - length(regexp_replace(w1.w, '[<>=~|]', '', 'g'))) AS n,
+             regexp_matches(regexp_replace(w1.w, '[<>=~|]', '', 'g'), '[\\p{S}\\p{No}\\p{Nl}]') AS sym,
+             length(w1.w) - length(regexp_replace(w1.w, '\\p{Lu}', '', 'g')) AS upper,
+             regexp_extract(w1.w, '(\\p{L})[^\\p{L}]*$', 1) AS last
+      FROM w1 LEFT JOIN acc a USING (wid)),
+r AS (SELECT doc_id, n, plain,
+             (n >= 4 AND acc * 2 >= n) AS r1,
+             (n >= 4 AND acc * 2 < n AND acc > 0 AND last <> '' AND unicode(last) BETWEEN 192 AND 591
+              AND strip_accents(last) <> last AND upper(last) = last AND lower(last) <> last AND upper <> n) AS r2,
+             glyph, watch, sym, upper FROM m WHERE n > 0),
+r3 AS (SELECT *, (n >= 4 AND NOT r1 AND NOT r2 AND glyph = 1) AS r3,
+              (n >= 24 AND watch = 1 AND NOT (upper > 0 AND upper * 10 <= n * 3)) AS r4 FROM r),
+per AS (SELECT doc_id, COUNT(*) AS words, SUM(n) AS chars,
+               SUM(CASE WHEN NOT plain AND (sym OR r1 OR r2 OR r3 OR r4) THEN n ELSE 0 END) AS bad,
+               SUM(CASE WHEN plain THEN 0 ELSE CAST(r2 AS INTEGER) + CAST(r3 AS INTEGER) + CAST(r4 AS INTEGER) END) AS fl
+        FROM r3 GROUP BY 1)
+SELECT d.doc_id,
+       CASE WHEN p.doc_id IS NULL OR (p.words <= 10 AND p.fl = 0) THEN 0.0
+            ELSE COALESCE(CAST(p.bad AS DOUBLE) / NULLIF(p.chars, 0), 0.0) END AS weird_word_noise
+FROM documents d LEFT JOIN per p USING (doc_id)"""
+
+
+@job("g11_weird_words", G11_SQL)
+def g11_weird_words(spark, d):
+    docs = T(spark, d).documents
+    table = G.weird_word_table(docs)
+    return docs.select("doc_id").join(table, "doc_id", "left") \
+               .select("doc_id", F.coalesce(F.col("weird_word_noise"), F.lit(0.0)).alias("weird_word_noise"))

@@ -18,6 +18,8 @@ TEXTS = [
     "",
     "ÀÉÎÕÜ àéîõü ÀÉÎÕÜ àéîõü ÀÉÎÕÜ àéîõü accentuated heavy ÀÉÎÕÜ",
     "camelCaseWordsÀndMore aXbYcZ dÉfÉgÉ tEsTé",
+    "one two three four five six seven eight nine ten eleven twelve crÈmE caf€ x日本y ça$va",
+    "a" * 30 + "é " + "Ωμέγαλφαβητααααααααααααααααα tail",
 ]
 
 
@@ -29,7 +31,7 @@ def test_text_jobs_match_sql_on_fixture(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{d}/documents.parquet/*.parquet')")
     jobs, sql = E.queries(), E.oracle_sql()
-    for name in ("g1_char_noise", "g4_case_flip", "g2_g12_accent_isolated"):
+    for name in ("g1_char_noise", "g4_case_flip", "g2_g12_accent_isolated", "g11_weird_words"):
         df = jobs[name](spark, d)
         got = {r.doc_id: r.asDict() for r in df.collect()}
         cur = con.execute(sql[name])
@@ -49,3 +51,5 @@ def test_text_jobs_match_sql_on_fixture(spark, tmp_path):
     assert flips[0] > 0 and flips[10] > 0
     assert chars[2].n_unprintable > 0 and chars[1].n_script_pairs > 0 and chars[3].symbol_noise > 0
     assert chars[4].isolated_form_noise > 0 and chars[5].duplicate_accent_noise > 0
+    weird = {r.doc_id: r.weird_word_noise for r in jobs["g11_weird_words"](spark, d).collect()}
+    assert weird[11] > 0 and weird[12] > 0
