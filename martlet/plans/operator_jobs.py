@@ -631,7 +631,9 @@ def g1_noise_scores(spark, d):
 
 @job("g5_noise_report")
 def g5_noise_report(spark, d):
-    return G.noise_report(T(spark, d).documents)
+    r = G.noise_report(T(spark, d).documents)
+    # a mean over documents: reported to 6 decimals (summation order differs by engine)
+    return r.withColumn("mean_mess", q6("mean_mess"))
 
 
 @job("g6_letter_profile", """
@@ -1050,3 +1052,40 @@ def g11_weird_words(spark, d):
     table = G.weird_word_table(docs)
     return docs.select("doc_id").join(table, "doc_id", "left") \
                .select("doc_id", F.coalesce(F.col("weird_word_noise"), F.lit(0.0)).alias("weird_word_noise"))
+
+
+def _strip_with(sql: str) -> str:
+    return sql.strip()
+
+
+RARE_CJK_SQL = """
+WITH c AS (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents),
+han AS (SELECT doc_id, ch FROM c WHERE regexp_matches(ch, '\\p{Han}')),
+common AS (SELECT ch FROM han GROUP BY ch ORDER BY COUNT(*) DESC, ch LIMIT 100),
+rc AS (SELECT doc_id, COUNT(*) AS cjk, SUM(CASE WHEN ch IN (SELECT ch FROM common) THEN 0 ELSE 1 END) AS rare
+       FROM han GROUP BY 1)
+SELECT d.doc_id,
+       CASE WHEN regexp_matches(d.text, '[^\\x00-\\x7F]') AND COALESCE(rc.cjk, 0) >= 8
+                 AND CAST(rc.rare AS DOUBLE) / rc.cjk > 0.5
+            THEN CAST(rc.rare AS DOUBLE) / rc.cjk / 10 ELSE 0.0 END AS rare_cjk_noise
+FROM documents d LEFT JOIN rc USING (doc_id)"""
+
+NOISE_SCORES_SQL = f"""
+WITH ch AS ({_strip_with(G_CHAR_SQL)}),
+cf AS ({_strip_with(G4_SQL)}),
+ww AS ({_strip_with(G11_SQL)}),
+rc AS ({_strip_with(RARE_CJK_SQL)}),
+s AS (SELECT d.doc_id, d.source, d.lang, ch.symbol_noise, ch.accent_noise, ch.unprintable_noise,
+             cf.case_flip_noise, ch.duplicate_accent_noise, ch.script_mix_noise, ww.weird_word_noise,
+             ch.isolated_form_noise, rc.rare_cjk_noise
+      FROM documents d JOIN ch USING (doc_id) JOIN cf USING (doc_id) JOIN ww USING (doc_id) JOIN rc USING (doc_id))
+SELECT *, ((((((((((CAST(0.0 AS DOUBLE) + symbol_noise) + accent_noise) + unprintable_noise) + case_flip_noise)
+          + duplicate_accent_noise) + script_mix_noise) + weird_word_noise) + isolated_form_noise) + rare_cjk_noise)) AS mess
+FROM s"""
+
+ORACLE["g1_noise_scores"] = NOISE_SCORES_SQL.strip()
+ORACLE["g5_noise_report"] = f"""
+WITH sc AS ({NOISE_SCORES_SQL.strip()})
+SELECT source, lang, COUNT(*) AS docs, {S6('AVG(mess)')} AS mean_mess,
+       AVG(CAST(mess > 0.2 AS DOUBLE)) * 100 AS noisy_pct
+FROM sc GROUP BY 1, 2""".strip()

@@ -31,7 +31,8 @@ def test_text_jobs_match_sql_on_fixture(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{d}/documents.parquet/*.parquet')")
     jobs, sql = E.queries(), E.oracle_sql()
-    for name in ("g1_char_noise", "g4_case_flip", "g2_g12_accent_isolated", "g11_weird_words"):
+    for name in ("g1_char_noise", "g4_case_flip", "g2_g12_accent_isolated", "g11_weird_words",
+                 "g1_noise_scores"):
         df = jobs[name](spark, d)
         got = {r.doc_id: r.asDict() for r in df.collect()}
         cur = con.execute(sql[name])
