@@ -243,3 +243,35 @@ def test_word_table_matches_column_form(spark):
     col = {r.doc_id: r.w for r in docs.select("doc_id", G.weird_word_noise(F.col("text")).alias("w")).collect()}
     for k in col:
         assert abs(table.get(k, 0.0) - col[k]) < 1e-12
+
+
+def test_loess_matches_brute_force(spark):
+    import random
+
+    import numpy as np
+    rnd = random.Random(5)
+    pts = [(rnd.uniform(0, 100), 0.0) for _ in range(120)]
+    pts = [(x, math.sin(x / 9) * 10 + rnd.gauss(0, 1)) for x, _ in pts]
+    df = spark.createDataFrame(pts, "x double, y double")
+    got = {round(r.x, 9): r.y for r in stats.loess(df, "x", "y", bandwidth=0.3).collect()}
+    xs = np.array(sorted(p[0] for p in pts))
+    ys = np.array([dict(pts)[x] for x in xs])
+    k = max(int(math.ceil(0.3 * len(xs))), 2)
+    for i, x0 in enumerate(xs):
+        idx = np.argsort(np.abs(xs - x0), kind="stable")[:k]
+        h = np.abs(xs[idx] - x0).max()
+        w = (1 - (np.abs(xs[idx] - x0) / h) ** 3) ** 3
+        W = w.sum()
+        xm, ym = (w * xs[idx]).sum() / W, (w * ys[idx]).sum() / W
+        b = (w * (xs[idx] - xm) * (ys[idx] - ym)).sum() / (w * (xs[idx] - xm) ** 2).sum()
+        assert abs(got[round(x0, 9)] - (ym + b * (x0 - xm))) < 1e-8
+
+
+def test_sample_is_deterministic_and_whole(spark):
+    df = spark.range(0, 5000).withColumn("v", F.col("id") % 7)
+    a = [r.id for r in tf.sample(df, n=300, seed=3).collect()]
+    b = [r.id for r in tf.sample(df.repartition(5), n=300, seed=3).collect()]
+    assert len(a) == 300 and len(set(a)) == 300 and sorted(a) == sorted(b)
+    assert tf.sample(df, n=10_000).count() == 5000
+    c = [r.id for r in tf.sample(df, n=300, seed=4).collect()]
+    assert sorted(a) != sorted(c)
