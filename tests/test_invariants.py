@@ -79,3 +79,17 @@ def test_distributed_running_matches_window(spark):
     bad = j.filter((F.col("s") != F.col("s2")) | (F.col("n") != F.col("n2")) | (F.abs(F.col("m") - F.col("m2")) > 1e-9)
                    | (F.col("lo") != F.col("lo2")) | (F.col("hi") != F.col("hi2"))).count()
     assert j.count() == 4000 and bad == 0
+
+
+def test_batch_run_writes_outputs(spark, tmp_path):
+    from martlet.batch import run_batch
+    paths = run_batch(spark, SF_MID, str(tmp_path / "out"))
+    fact = spark.read.parquet(paths["fact_sales"])
+    assert fact.count() == build_fact(star(spark, SF_MID)).count()
+    assert "year_month" in fact.columns and (tmp_path / "out" / "fact_sales").is_dir()
+    k = spark.read.json(paths["kpis"]).first()
+    assert abs(k.avg_order_value - round(k.total_revenue / k.total_orders, 2)) <= 0.011
+    f = spark.read.option("header", True).option("inferSchema", True).csv(paths["forecast"]).collect()
+    assert len(f) == 6 and all(abs(r.lower_88 - 0.88 * r.forecast) <= 0.011 for r in f)
+    b = spark.read.json(paths["backtest"]).first()
+    assert b.splits > 0 and b.rmse >= b.mae
