@@ -204,3 +204,24 @@ def top_sellers_by_name(fact: DataFrame, k: int = 10) -> DataFrame:
     """By seller name (sellers sharing a name merge)."""
     return fact.groupBy("seller_name").agg(dbl(F.sum("line_total")).alias("line_total")) \
                .orderBy(F.desc("line_total"), "seller_name").limit(k)
+
+
+def dashboard(fact: DataFrame, state: str = "All", category: str = "All",
+              seg: str = "All") -> dict[str, DataFrame]:
+    """Every dashboard panel for one filter selection (P5), as named DataFrames over
+    the same filtered fact. The forecast tab uses the unfiltered fact, as the
+    dashboard does."""
+    from .forecast import history_plus_forecast
+    df = filter_fact(fact, state, category, seg)
+    return {
+        "cards": filtered_kpis(fact, state, category, seg),
+        "monthly_segment_revenue": monthly_segment_revenue(df),
+        "payment_mix": payment_revenue_mix(df),
+        "delivery_trend": delivery_trend(df),
+        "repeat_rate": repeat_rate_filtered(df),
+        "age_bands": age_band_revenue(df),
+        "seller_leaderboard": seller_leaderboard(df),
+        "category_table": category_table(df),
+        "state_segment_revenue": state_segment_revenue(df),
+        "history_plus_forecast": history_plus_forecast(fact),
+    }

@@ -93,3 +93,16 @@ def test_batch_run_writes_outputs(spark, tmp_path):
     assert len(f) == 6 and all(abs(r.lower_88 - 0.88 * r.forecast) <= 0.011 for r in f)
     b = spark.read.json(paths["backtest"]).first()
     assert b.splits > 0 and b.rmse >= b.mae
+
+
+def test_dashboard_panels_respect_filters(spark):
+    fact = build_fact(star(spark, SF_MID))
+    panels = kpis.dashboard(fact, state="NATION_1", seg="Rural")
+    assert set(panels) >= {"cards", "seller_leaderboard", "history_plus_forecast"}
+    states = {r.state for r in panels["state_segment_revenue"].collect()}
+    assert states <= {"NATION_1"}
+    segs = {r.seg for r in panels["monthly_segment_revenue"].collect()}
+    assert segs <= {"Rural"}
+    card = panels["cards"].first()
+    total = panels["category_table"].agg(F.sum("revenue")).first()[0] or 0.0
+    assert abs(card.revenue - total) < 1e-6
