@@ -155,7 +155,7 @@ def t6_extent(spark, d):
 # ------------------------------------------------------------------ T7 flatten
 
 @job("t7_flatten", """
-SELECT vec_id, i - 1 AS idx, embedding[i] AS embedding, CASE WHEN i <= 8 THEN embedding[i] END AS head
+SELECT vec_id, CAST(i - 1 AS INTEGER) AS idx, embedding[i] AS embedding, CASE WHEN i <= 8 THEN embedding[i] END AS head
 FROM (SELECT vec_id, embedding, UNNEST(generate_series(1, len(embedding))) AS i FROM embeddings) t""")
 def t7_flatten(spark, d):
     emb = Tables(spark, d).embeddings.select("vec_id", "embedding",
@@ -329,8 +329,9 @@ def t15_timeunit(spark, d):
 
 @job("t16_window", f"""
 SELECT event_id, event_type,
-  ROW_NUMBER() OVER w AS rn, RANK() OVER wd AS rk, DENSE_RANK() OVER wd AS drk,
-  {S6('PERCENT_RANK() OVER wd')} AS prk, {S6('CUME_DIST() OVER wd')} AS cd, NTILE(4) OVER w AS nt,
+  CAST(ROW_NUMBER() OVER w AS INTEGER) AS rn, CAST(RANK() OVER wd AS INTEGER) AS rk,
+  CAST(DENSE_RANK() OVER wd AS INTEGER) AS drk,
+  {S6('PERCENT_RANK() OVER wd')} AS prk, {S6('CUME_DIST() OVER wd')} AS cd, CAST(NTILE(4) OVER w AS INTEGER) AS nt,
   LAG(value, 1) OVER w AS prev_value, LEAD(value, 2) OVER w AS next2_value,
   FIRST_VALUE(value) OVER w AS first_value,
   LAST_VALUE(value) OVER (w ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS last_in_frame,
@@ -370,7 +371,8 @@ def t16_window(spark, d):
                     q6("moving_avg").alias("moving_avg"), "group_max")
 
 
-T16_SQL = ORACLE["t16_window"]
+# the distributed row number is a bigint (its groups may exceed 2^31 rows)
+T16_SQL = ORACLE["t16_window"].replace("CAST(ROW_NUMBER() OVER w AS INTEGER) AS rn", "ROW_NUMBER() OVER w AS rn")
 
 
 @job("t16_window_distributed", T16_SQL)
@@ -481,7 +483,7 @@ def t24_repeat(spark, d):
 
 
 @job("t25_facet", """
-SELECT event_type, hour(ts) AS hour, COUNT(*) AS n FROM events GROUP BY 1, 2""")
+SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour, COUNT(*) AS n FROM events GROUP BY 1, 2""")
 def t25_facet(spark, d):
     e = ev(spark, d).withColumn("hour", F.hour("ts"))
     return tf.facet_aggregate(e, ["event_type"], {"n": ("count",)}, ["hour"])
@@ -528,7 +530,7 @@ def t26_quantile_scale(spark, d):
 # ------------------------------------------------------------------ T27 sort by other field
 
 @job("t27_sort_by_field", """
-SELECT p_type, CAST(s AS DOUBLE) AS sort_value, ROW_NUMBER() OVER (ORDER BY s DESC, p_type) AS "order"
+SELECT p_type, CAST(s AS DOUBLE) AS sort_value, CAST(ROW_NUMBER() OVER (ORDER BY s DESC, p_type) AS INTEGER) AS "order"
 FROM (SELECT p.p_type, SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS s
       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1) t""")
 def t27_sort_by_field(spark, d):

@@ -255,10 +255,11 @@ def p20_invalid_filter(spark, d):
 # ================================================================== C* date functions
 
 @job("c4_date_parts", """
-SELECT event_id, year(ts) AS year, CAST(FLOOR((month(ts) - 1) / 3) AS INTEGER) AS quarter,
-       month(ts) - 1 AS month, day(ts) AS date, dayofweek(ts) AS day, dayofyear(ts) AS dayofyear,
+SELECT event_id, CAST(year(ts) AS INTEGER) AS year, CAST(FLOOR((month(ts) - 1) / 3) AS INTEGER) AS quarter,
+       CAST(month(ts) - 1 AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS date, CAST(dayofweek(ts) AS INTEGER) AS day,
+       CAST(dayofyear(ts) AS INTEGER) AS dayofyear,
        CAST(strftime(ts, '%U') AS INTEGER) AS week,
-       hour(ts) AS hours, minute(ts) AS minutes, CAST(FLOOR(second(ts)) AS INTEGER) AS seconds,
+       CAST(hour(ts) AS INTEGER) AS hours, CAST(minute(ts) AS INTEGER) AS minutes, CAST(FLOOR(second(ts)) AS INTEGER) AS seconds,
        CAST(FLOOR(microsecond(ts) / 1000) % 1000 AS INTEGER) AS milliseconds,
        epoch_us(ts) // 1000 AS time
 FROM events""")
@@ -356,7 +357,7 @@ def c12_calendar_shift(spark, d):
 
 
 @job("c15_easter", """
-WITH y AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders),
+WITH y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders),
 w AS (SELECT y, y % 19 AS g, y // 100 AS c FROM y),
 w2 AS (SELECT *, (c - c // 4 - (8 * c + 13) // 25 + 19 * g + 15) % 30 AS h FROM w),
 w3 AS (SELECT *, h - (h // 28) * (1 - (h // 28) * (29 // (h + 1)) * ((21 - g) // 11)) AS i FROM w2),
@@ -511,7 +512,7 @@ def e9_normal_cdf_quantile(spark, d):
 
 
 @job("e10_arrays", """
-SELECT vec_id, list_min(embedding) AS mn, list_max(embedding) AS mx, len(embedding) AS n,
+SELECT vec_id, list_min(embedding) AS mn, list_max(embedding) AS mx, CAST(len(embedding) AS INTEGER) AS n,
        list_position(embedding, embedding[3]) - 1 AS idx3, embedding[len(embedding)] AS last_e,
        embedding[2:4] AS sl, list_reverse(embedding)[1] AS rev0, list_sort(embedding)[1] AS sorted0,
        list_max(embedding) - list_min(embedding) AS span
@@ -640,7 +641,7 @@ def g5_noise_report(spark, d):
 WITH l AS (SELECT lang, UNNEST(string_split(regexp_replace(lower(text), '[^\\p{L}]', '', 'g'), '')) AS letter
            FROM documents),
 c AS (SELECT lang, letter, COUNT(*) AS n FROM l WHERE letter <> '' GROUP BY 1, 2)
-SELECT lang, letter, n, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY n DESC, letter) AS rank FROM c""")
+SELECT lang, letter, n, CAST(ROW_NUMBER() OVER (PARTITION BY lang ORDER BY n DESC, letter) AS INTEGER) AS rank FROM c""")
 def g6_letter_profile(spark, d):
     return G.letter_profile(T(spark, d).documents)
 
@@ -793,7 +794,7 @@ def e8_random(spark, d):
 SELECT vec_id, array_to_string(list_transform(embedding[1:3], lambda x: CAST(label AS VARCHAR)), '|') AS joined,
        CAST(embedding[1] AS DOUBLE) + 0.5 * (CAST(embedding[len(embedding)] AS DOUBLE) - CAST(embedding[1] AS DOUBLE)) AS lerp_half,
        embedding[1] BETWEEN LEAST(embedding[2], embedding[3]) AND GREATEST(embedding[2], embedding[3]) AS inrange,
-       len(range(0, label + 3, 2)) AS seq_len
+       CAST(len(range(0, label + 3, 2)) AS INTEGER) AS seq_len
 FROM embeddings""")
 def e10_array_more(spark, d):
     em = T(spark, d).embeddings
@@ -951,8 +952,9 @@ SELECT d.doc_id,
   CASE WHEN d.non_ascii THEN CAST(2 * COALESCE(dup, 0) AS DOUBLE) / NULLIF(d.n, 0) ELSE 0.0 END AS duplicate_accent_noise,
   CASE WHEN d.n > 13 AND d.non_latin THEN CAST(2 * COALESCE(mix, 0) AS DOUBLE) / NULLIF(d.n, 0) ELSE 0.0 END AS script_mix_noise,
   CASE WHEN d.non_ascii AND d.n >= 8 THEN CAST(COALESCE(iso, 0) AS DOUBLE) / NULLIF(d.n, 0) ELSE 0.0 END AS isolated_form_noise,
-  COALESCE(punct, 0) AS n_punct_runs, COALESCE(sym, 0) AS n_symbol_runs, COALESCE(acc, 0) AS n_accented,
-  COALESCE(unp, 0) AS n_unprintable, COALESCE(mix, 0) AS n_script_pairs
+  CAST(COALESCE(punct, 0) AS BIGINT) AS n_punct_runs, CAST(COALESCE(sym, 0) AS BIGINT) AS n_symbol_runs,
+  CAST(COALESCE(acc, 0) AS BIGINT) AS n_accented, CAST(COALESCE(unp, 0) AS BIGINT) AS n_unprintable,
+  CAST(COALESCE(mix, 0) AS BIGINT) AS n_script_pairs
 FROM d LEFT JOIN agg USING (doc_id)"""
 
 
@@ -992,7 +994,7 @@ flips AS (SELECT r.doc_id, SUM(2 * CAST(FLOOR((r.m - 1) / 2) AS BIGINT)) AS flip
           FROM run_len r JOIN chunks ch USING (doc_id, chunk)
           WHERE ch.len <= 64 AND ch.has_non_ascii AND NOT ch.cut_by_digit GROUP BY 1)
 SELECT d.doc_id, CASE WHEN d.non_ascii THEN CAST(COALESCE(f.flips, 0) AS DOUBLE) / d.n ELSE 0.0 END AS case_flip_noise,
-       COALESCE(f.flips, 0) AS n_flip_points
+       CAST(COALESCE(f.flips, 0) AS BIGINT) AS n_flip_points
 FROM d LEFT JOIN flips f USING (doc_id)"""
 
 
