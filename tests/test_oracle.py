@@ -26,6 +26,19 @@ def _rows(cols, rows):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+          "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "smallint": "SMALLINT"}
+
+
+def _spark_type(t):
+    s = t.simpleString()
+    if s in _TYPES:
+        return _TYPES[s]
+    if s.startswith("array<"):
+        return _spark_type(t.elementType) + "[]"
+    return s.split("<")[0].split("(")[0].upper()
+
+
 def test_every_oracle_has_a_job():
     assert set(SQL) <= set(JOBS)
 
@@ -39,6 +52,14 @@ def test_matches_oracle(spark, duck, name):
     want = cur.fetchall()
     assert sorted(df.columns) == sorted(cols)
     assert _rows(df.columns, got) == _rows(cols, want)
+    rel = duck.sql(SQL[name])
+    duck_types = {c: str(t).split("(")[0] for c, t in zip(rel.columns, rel.types)}
+    for f in df.schema.fields:
+        a, b = _spark_type(f.dataType), duck_types[f.name]
+        if a.startswith(("MAP", "STRUCT")):
+            assert b.startswith(a[:3])
+        else:
+            assert a == b, (name, f.name, a, b)
 
 
 @pytest.mark.parametrize("name", sorted(set(JOBS) - set(SQL)))
