@@ -103,7 +103,9 @@ def agg_column(op: str, field: str | None = None, df: DataFrame | None = None,
     if op in ("argmin", "argmax"):
         cols = [F.col(n) for n in df.columns] if df is not None else [c]
         row = F.struct(*cols)
-        return F.min_by(row, c) if op == "argmin" else F.max_by(row, c)
+        # ties on the field are broken by the whole row, so the pick is deterministic
+        key = F.struct(c, row)
+        return F.min_by(row, key) if op == "argmin" else F.max_by(row, key)
     if op == "values":
         cols = [F.col(n) for n in df.columns] if df is not None else [c]
         return F.collect_list(F.struct(*cols))

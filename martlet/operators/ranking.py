@@ -6,7 +6,8 @@ task. Here the total order comes from a range-partitioned sort instead:
 encodes (partition index, position in partition); one count per partition (a table
 whose size is bounded by the partition count, so it is safe to broadcast) turns
 positions into global row numbers. Callers must give a total order (unique
-tie-break) for deterministic results.
+tie-break) for deterministic results. The numbered rows are checkpointed before
+they are read twice, so both reads see the same partition ids.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 _LOW33 = (1 << 33) - 1
 
 
@@ -25,6 +28,9 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str =
     ranked = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
     ranked = ranked.withColumn("_pid", F.shiftright("_mid", 33)) \
                    .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
+    # read twice below (counts and join): materialise the numbered rows once so both
+    # see the same partition ids (range bounds are sampled; executors can be lost)
+    ranked = cut_lineage(ranked)
     counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

@@ -14,6 +14,10 @@ partitions:
    aggregate over that small table;
 4. offsets joined back and combined with the in-segment values.
 
+The numbered rows are checkpointed (reliably, into ``spark.checkpoint.dir``)
+before they are used twice: partition ids come from a sampled range partitioning
+and ``monotonically_increasing_id``, which must not be recomputed differently.
+
 Supported ops are the associative ones: count, sum, mean, min, max and
 row_number. The order must be total (add a unique tie-break).
 """
@@ -25,6 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .keys import join_on
 
 _LOW33 = (1 << 33) - 1
@@ -82,6 +87,10 @@ def running(df: DataFrame, ops: dict[str, tuple], groupby: Sequence[str], order:
             totals.append(fn(F.col(field)).alias(f"_t_{name}"))
             combine.append((name, op))
     s = s.select("*", *local)
+    # the numbered rows feed two branches (segment totals and the final join): they
+    # are materialised once, so both see the same partition ids even if Spark would
+    # re-run the sort (its range bounds are sampled) or lose an executor
+    s = cut_lineage(s)
     seg_tot = s.groupBy("_pid", *g).agg(*totals)
     before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = [F.col("_pid"), *[F.col(k) for k in g]]

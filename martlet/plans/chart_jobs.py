@@ -56,7 +56,8 @@ SELECT event_type, COUNT(*) AS n, COUNT(value) FILTER (WHERE NOT isnan(value)) A
        MIN(value) AS min_value, MAX(value) AS max_value,
        {S6('QUANTILE_CONT(value, 0.5)')} AS median, {S6('QUANTILE_CONT(value, 0.25)')} AS q1,
        {S6('QUANTILE_CONT(value, 0.75)')} AS q3,
-       ARG_MIN(event_id, value) AS argmin_event, ARG_MAX(event_id, value) AS argmax_event
+       FIRST(event_id ORDER BY value, event_id) AS argmin_event,
+       FIRST(event_id ORDER BY value DESC, event_id DESC) AS argmax_event
 FROM events GROUP BY 1""")
 def t1_aggregate(spark, d):
     e = ev(spark, d)
