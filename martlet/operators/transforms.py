@@ -238,34 +238,41 @@ def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
         # skewed / low-cardinality group keys: no group is ever held by one task
         from .dwindow import window_distributed
         return window_distributed(df, ops, sort, g, frame, _as_list(tiebreak))
-    base = Window.partitionBy(*g).orderBy(*order)
-    lo, hi = frame
-    start = Window.unboundedPreceding if lo is None else lo
-    end = Window.unboundedFollowing if hi is None else hi
-    peers_range = (not ignore_peers) and (lo is None or lo == 0) and (hi is None or hi == 0)
-    if peers_range:
-        framed = base.rangeBetween(start if lo is None else Window.currentRow,
-                                   end if hi is None else Window.currentRow)
-    elif not ignore_peers:
-        framed = None
-    else:
-        framed = base.rowsBetween(start, end)
+    base = Window.partitionBy(*g).orderBy(*order + _sort_cols(tiebreak))
+
+    def framed_for(fr):
+        """The window for a (lo, hi) frame; None when it needs ``window_peer_frame``."""
+        lo, hi = fr
+        start = Window.unboundedPreceding if lo is None else lo
+        end = Window.unboundedFollowing if hi is None else hi
+        if (not ignore_peers) and (lo is None or lo == 0) and (hi is None or hi == 0):
+            # frames ending at the current row include its peers: a RANGE frame
+            return Window.partitionBy(*g).orderBy(*order).rangeBetween(
+                start if lo is None else Window.currentRow, end if hi is None else Window.currentRow)
+        if not ignore_peers:
+            return None
+        return base.rowsBetween(start, end)
+
     cols, peer_ops = [], []
     for name, spec in ops.items():
         op = spec[0]
         field = spec[1] if len(spec) > 1 else None
         param = spec[2] if len(spec) > 2 else None
+        fr = spec[3] if len(spec) > 3 else frame  # an op may carry its own frame
         if op in RANK_OPS:
+            rank_w = Window.partitionBy(*g).orderBy(*order) if op in ("rank", "dense_rank", "percent_rank",
+                                                                      "cume_dist") else base
             fn = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank,
                   "percent_rank": F.percent_rank, "cume_dist": F.cume_dist}.get(op)
-            col = F.ntile(int(param or 1)).over(base) if op == "ntile" else fn().over(base)
+            col = F.ntile(int(param or 1)).over(base) if op == "ntile" else fn().over(rank_w)
         elif op in ("lag", "lead"):
             fn = F.lag if op == "lag" else F.lead
             col = fn(field, int(param or 1)).over(base)
         else:
+            framed = framed_for(fr)
             if framed is None:
                 if op in ("sum", "count", "mean", "average"):
-                    peer_ops.append((name, op, field))
+                    peer_ops.append((name, op, field, fr))
                     continue
                 raise NotImplementedError("numeric frame with peers supports sum/count/mean; "
                                           "pass ignore_peers=True for other ops")
@@ -279,7 +286,7 @@ def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
                 col = agg_column(op, field, df).over(framed)
         cols.append(col.alias(name))
     out = df.select("*", *cols)
-    for name, op, field in peer_ops:
+    for name, op, field, (lo, hi) in peer_ops:
         out = window_peer_frame(out, name, op, field, sort, groupby, lo, hi, tiebreak)
     return out
 

@@ -106,3 +106,25 @@ def test_dashboard_panels_respect_filters(spark):
     card = panels["cards"].first()
     total = panels["category_table"].agg(F.sum("revenue")).first()[0] or 0.0
     assert abs(card.revenue - total) < 1e-6
+
+
+def test_distributed_window_on_many_range_partitions(spark):
+    """Regression: numbered rows must be consistent across branches when the sort
+    really produces several range partitions."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        df = spark.range(0, 30000).select((F.col("id") % 3).alias("g"), F.col("id").alias("o"),
+                                           ((F.col("id") * 7919) % 1000).cast("double").alias("x")).repartition(8)
+        ops = {"rn": ("row_number",), "nt": ("ntile", None, 7), "prev": ("lag", "x", 2),
+               "cum": ("sum", "x", None, (None, 0)), "mv": ("mean", "x", None, (-5, 0))}
+        d = tf.window(df, ops, sort=["o"], groupby=["g"], ignore_peers=True, distributed=True)
+        n = tf.window(df, ops, sort=["o"], groupby=["g"], ignore_peers=True, distributed=False)
+        j = d.alias("a").join(n.alias("b"), "o")
+        bad = j.filter(~F.col("a.rn").eqNullSafe(F.col("b.rn")) | ~F.col("a.nt").eqNullSafe(F.col("b.nt"))
+                       | ~F.col("a.prev").eqNullSafe(F.col("b.prev")) | (F.abs(F.col("a.cum") - F.col("b.cum")) > 1e-6)
+                       | (F.abs(F.col("a.mv") - F.col("b.mv")) > 1e-9)).count()
+        assert j.count() == 30000 and bad == 0
+    finally:
+        spark.conf.set(key, old)
