@@ -275,3 +275,21 @@ def test_sample_is_deterministic_and_whole(spark):
     assert tf.sample(df, n=10_000).count() == 5000
     c = [r.id for r in tf.sample(df, n=300, seed=4).collect()]
     assert sorted(a) != sorted(c)
+
+
+def test_bootstrap_ci_brackets_the_mean_and_is_repeatable(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 2).alias("g"), ((F.col("id") * 7919) % 1000).cast("double").alias("v"))
+    a = {r.g: (r.ci0, r.ci1) for r in stats.bootstrap_ci(df, "v", ["g"], reps=100, seed=9).collect()}
+    b = {r.g: (r.ci0, r.ci1) for r in stats.bootstrap_ci(df.repartition(7), "v", ["g"], reps=100, seed=9).collect()}
+    means = {r.g: r.m for r in df.groupBy("g").agg(F.avg("v").alias("m")).collect()}
+    for g, (lo, hi) in a.items():
+        assert lo < means[g] < hi and hi - lo < 60
+        assert (lo, hi) == b[g]
+
+
+def test_content_fingerprint_ignores_row_order(spark):
+    df = spark.range(0, 2000).select("id", (F.col("id") % 13).alias("k"))
+    a = io.content_fingerprint(df).first()
+    b = io.content_fingerprint(df.orderBy(F.desc("id")).repartition(5)).first()
+    c = io.content_fingerprint(df.filter(F.col("id") != 5)).first()
+    assert (a.rows, a.hash_sum) == (b.rows, b.hash_sum) and a.hash_sum != c.hash_sum
