@@ -1,10 +1,12 @@
 """Session helpers.
 
-The library never creates its own cluster settings beyond what a job needs to be
-correct: UTC session time zone, ANSI arithmetic, AQE with skew handling, and a
-size-checked automatic broadcast threshold (Catalyst only broadcasts a join side
-whose estimated size is below it and falls back to a sort-merge join otherwise;
-AQE re-checks with real shuffle sizes at runtime).
+The library sets only what its jobs rely on: UTC session time zone, AQE with
+skew-join splitting, and size-checked broadcasts - the static planner broadcasts
+only inputs estimated under 2 MB (estimates of joined tables are unreliable), and
+AQE broadcasts a side whose *measured* shuffle size is under 32 MB, sort-merge
+joining anything larger. A cluster's own broadcast thresholds are kept. It also
+points ``setCheckpointDir`` at the shared ``spark.checkpoint.dir`` and ships the
+package to the Python workers.
 """
 
 from __future__ import annotations
