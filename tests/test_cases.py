@@ -293,3 +293,16 @@ def test_content_fingerprint_ignores_row_order(spark):
     b = io.content_fingerprint(df.orderBy(F.desc("id")).repartition(5)).first()
     c = io.content_fingerprint(df.filter(F.col("id") != 5)).first()
     assert (a.rows, a.hash_sum) == (b.rows, b.hash_sum) and a.hash_sum != c.hash_sum
+
+
+def test_sequence_catalog_and_content_named_output(spark, tmp_path):
+    from conftest import SF_SMALL
+    assert [r.data for r in io.sequence_source(spark, 2, 11, 3).collect()] == [2, 5, 8]
+    cat = io.catalog(spark, SF_SMALL)
+    names = {r.name for r in io.catalog_filter(cat, temporal=True, nested=False).collect()}
+    assert names == {"orders", "lineitem", "events"}
+    df = spark.range(0, 500).select("id", (F.col("id") % 7).alias("k"))
+    p1 = io.write_content_named(df, str(tmp_path / "a"))
+    p2 = io.write_content_named(df.orderBy(F.desc("id")).repartition(3), str(tmp_path / "b"))
+    assert p1.rsplit("/", 1)[1] == p2.rsplit("/", 1)[1]
+    assert spark.read.json(p1).count() == 500
