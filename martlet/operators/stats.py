@@ -170,6 +170,7 @@ def impute(df: DataFrame, field: str, key: str, groupby: Sequence[str] | None =
            frame: tuple[int | None, int | None] = (None, None), max_keys: int = 100_000) -> DataFrame:
     """T4: add the missing (group, key) rows and fill ``field`` there.
 
+    ``keyvals`` is a list of extra keys or a sequence ``{"start", "stop", "step"}``.
     The output is every group × every key, so the key domain is read first and
     must not exceed ``max_keys`` (a row-limit guard, as the chart path has). Each
     group row is expanded by that bounded literal key list; the present rows are
@@ -181,6 +182,11 @@ def impute(df: DataFrame, field: str, key: str, groupby: Sequence[str] | None =
     probe = keys_df.limit(max_keys + 1).collect()
     if len(probe) > max_keys:
         raise ValueError(f"impute: more than {max_keys} distinct keys")
+    if isinstance(keyvals, dict):
+        # a number sequence {start, stop, step}: stop is exclusive
+        start, stop, step = keyvals.get("start", 0), keyvals["stop"], keyvals.get("step", 1)
+        n = max(0, math.ceil((stop - start) / step))
+        keyvals = [start + i * step for i in range(n)]
     keys = sorted({r[0] for r in probe} | set(keyvals or []))
     groups = df.select(*g).distinct() if g else df.sparkSession.range(1).select()
     full = groups.select(*g, F.explode(F.array(*[F.lit(k) for k in keys])).alias(key))

@@ -306,3 +306,10 @@ def test_sequence_catalog_and_content_named_output(spark, tmp_path):
     p2 = io.write_content_named(df.orderBy(F.desc("id")).repartition(3), str(tmp_path / "b"))
     assert p1.rsplit("/", 1)[1] == p2.rsplit("/", 1)[1]
     assert spark.read.json(p1).count() == 500
+
+
+def test_impute_with_key_sequence(spark):
+    df = spark.createDataFrame([("a", 0, 1.0), ("a", 4, 5.0)], "g string, k int, v double")
+    out = {r.k: r.v for r in stats.impute(df, "v", "k", ["g"], keyvals={"start": 0, "stop": 6, "step": 2},
+                                          method="value", value=-1.0).collect()}
+    assert out == {0: 1.0, 2: -1.0, 4: 5.0}
