@@ -104,11 +104,15 @@ def scott_bandwidth(n: Column, sd: Column, iqr: Column) -> Column:
 
 def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
             bandwidth: float | None = None, extent: tuple[float, float] | None = None,
-            steps: int = 100, counts: bool = False, cumulative: bool = False,
+            steps: int | None = None, counts: bool = False, cumulative: bool = False,
             resolve: str = "shared", as_: tuple[str, str] = ("value", "density"),
-            prebin: int | None = None, exact_limit: int = 20_000) -> DataFrame:
+            prebin: int | None = None, exact_limit: int = 20_000,
+            minsteps: int = 25, maxsteps: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid of ``steps`` points over the
-    extent (shared over groups unless ``resolve='independent'``).
+    extent (shared over groups unless ``resolve='independent'``). Without ``steps``
+    the grid has ``maxsteps`` points: the densest sampling the adaptive curve
+    sampler may use (our definition; a uniform grid keeps densities stackable).
+    A bandwidth of None or 0 is estimated (Scott's rule).
 
     Rows are first reduced to (group, value, weight): a partial + final aggregate.
     A group with more than ``exact_limit`` distinct values (approximate count) has
@@ -118,6 +122,7 @@ def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
     from ..functions.expr import erf  # local: avoid an import cycle
 
     g = _as_list(groupby)
+    steps = int(steps) if steps else max(int(minsteps), int(maxsteps))
     x = F.col(field).cast("double")
     base = df.select(*g, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     stats = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
