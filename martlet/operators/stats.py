@@ -44,13 +44,19 @@ def _attach(df: DataFrame, per_group: DataFrame, g: list) -> DataFrame:
 
 def nice_bins(lo: float, hi: float, maxbins: int = 10, step: float | None = None,
               nice: bool = True, minstep: float = 0.0, divide: Sequence[int] = (5, 2),
-              base: int = 10) -> tuple[float, float, float]:
+              base: int = 10, steps: Sequence[float] | None = None,
+              anchor: float | None = None) -> tuple[float, float, float]:
     """Bin start, stop and step: a step of 1, 2 or 5 × 10^k giving at most
-    ``maxbins`` bins over [lo, hi], the span widened to whole steps."""
+    ``maxbins`` bins over [lo, hi], the span widened to whole steps. ``steps``
+    restricts the choice to the smallest allowed step giving at most ``maxbins``
+    bins; ``anchor`` shifts the boundaries so one falls on it."""
     span = hi - lo
     if span == 0:
         span = abs(lo) if lo != 0 else 1.0
     logb = math.log(base)
+    if step is None and steps:
+        fitting = [x for x in sorted(steps) if x >= minstep and span / x <= maxbins]
+        step = fitting[0] if fitting else max(steps)
     if step is None:
         level = math.ceil(math.log(maxbins) / logb)
         step = max(minstep, base ** (round(math.log(span) / logb) - level))
@@ -67,6 +73,10 @@ def nice_bins(lo: float, hi: float, maxbins: int = 10, step: float | None = None
         v = math.floor(lo / step + eps) * step
         lo = v - step if lo < v else v
         hi = math.ceil(hi / step) * step
+    if anchor is not None:
+        shift = anchor - (lo + step * math.floor((anchor - lo) / step))
+        if shift:
+            lo, hi = lo + shift - step, hi + shift
     return lo, hi, step
 
 
@@ -82,14 +92,15 @@ def bin_expr(c: Column, start: float, stop: float, step: float) -> Column:
 
 def bin_(df: DataFrame, field: str, as_: tuple[str, str] | None = None, maxbins: int = 10,
          step: float | None = None, extent: tuple[float, float] | None = None,
-         nice: bool = True) -> DataFrame:
+         nice: bool = True, **params) -> DataFrame:
     """Add [bin_start, bin_end) columns. The extent (one min/max aggregate) is
-    read first; everything else is a column expression."""
+    read first; everything else is a column expression. ``params``: base, divide,
+    minstep, steps, anchor (see ``nice_bins``)."""
     as_ = as_ or (f"bin_{field}", f"bin_{field}_end")
     if extent is None:
         r = df.agg(F.min(field).alias("lo"), F.max(field).alias("hi")).first()
         extent = (float(r.lo), float(r.hi)) if r.lo is not None else (0.0, 1.0)
-    start, stop, st = nice_bins(extent[0], extent[1], maxbins, step, nice)
+    start, stop, st = nice_bins(extent[0], extent[1], maxbins, step, nice, **params)
     b = bin_expr(F.col(field), start, stop, st)
     return df.withColumn(as_[0], b).withColumn(as_[1], F.col(as_[0]) + F.lit(st))
 

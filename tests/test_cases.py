@@ -313,3 +313,11 @@ def test_impute_with_key_sequence(spark):
     out = {r.k: r.v for r in stats.impute(df, "v", "k", ["g"], keyvals={"start": 0, "stop": 6, "step": 2},
                                           method="value", value=-1.0).collect()}
     assert out == {0: 1.0, 2: -1.0, 4: 5.0}
+
+
+def test_bin_parameters():
+    assert stats.nice_bins(0, 97, 10, steps=[7, 11, 25]) == (0, 99, 11)
+    lo, hi, step = stats.nice_bins(3, 97, 10, anchor=5)
+    assert step == 10 and (5 - lo) % 10 == 0 and lo <= 3 and hi >= 97
+    assert stats.nice_bins(0, 1, 10, minstep=0.5)[2] >= 0.5
+    assert stats.nice_bins(0, 100, 10, divide=(2,))[2] in (10, 20)
