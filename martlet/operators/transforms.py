@@ -170,13 +170,15 @@ def sample_fraction(df: DataFrame, frac: float, seed: int = 42) -> DataFrame:
 # ------------------------------------------------------------------ T14 stack
 
 def stack(df: DataFrame, field: str, groupby: Sequence[str], sort: Sequence | None = None,
-          offset: str = "zero", as_: tuple[str, str] = ("y0", "y1")) -> DataFrame:
+          offset: str = "zero", as_: tuple[str, str] | str = ("y0", "y1")) -> DataFrame:
     """Running start/end of ``field`` within each stack (``groupby`` = the stack id).
 
     Negative values stack downward apart from positives (offset 'zero');
     'normalize' divides by the stack's absolute total; 'center' shifts each stack
     by (max total - total) / 2."""
     g = _as_list(groupby)
+    if isinstance(as_, str):  # one name: start field, end field gets "_end"
+        as_ = (as_, f"{as_}_end")
     order = _sort_cols(sort) or [F.monotonically_increasing_id()]
     v = F.col(field).cast("double")
     sign = F.when(v < 0, F.lit(-1)).otherwise(F.lit(1))

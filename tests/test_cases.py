@@ -321,3 +321,9 @@ def test_bin_parameters():
     assert step == 10 and (5 - lo) % 10 == 0 and lo <= 3 and hi >= 97
     assert stats.nice_bins(0, 1, 10, minstep=0.5)[2] >= 0.5
     assert stats.nice_bins(0, 100, 10, divide=(2,))[2] in (10, 20)
+
+
+def test_stack_single_output_name(spark):
+    df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0)], "g string, k string, v double")
+    cols = tf.stack(df, "v", ["g"], sort=["k"], as_="s").columns
+    assert "s" in cols and "s_end" in cols
