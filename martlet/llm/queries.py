@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import sentencepiece_codec
+from . import license_scan, sentencepiece_codec, url_filter
 
-_MODULES = (sentencepiece_codec,)
+_MODULES = (license_scan, url_filter, sentencepiece_codec)
 
 QUERIES = {name: job for m in _MODULES for name, job in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
