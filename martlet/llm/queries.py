@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import license_scan, sentencepiece_codec, toxicity, url_filter
+from . import decontaminate, license_scan, sentencepiece_codec, toxicity, url_filter
 
-_MODULES = (toxicity, license_scan, url_filter, sentencepiece_codec)
+_MODULES = (toxicity, license_scan, url_filter, sentencepiece_codec, decontaminate)
 
 QUERIES = {name: job for m in _MODULES for name, job in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}

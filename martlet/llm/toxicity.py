@@ -121,6 +121,29 @@ class Chain:
         return out
 
 
+def _fit_and_predict(k: int):
+    """Of one model of category ``k``: a row of weights (all rows), or the left-out fold's predictions."""
+    def one(pdf):
+        import pandas as pd
+        pdf = pdf.sort_values("id", ignore_index=True)
+        model = int(pdf["model"].iloc[0])
+        y = np.array([x[k] if x[k] is not None else np.nan for x in pdf["y"]], float)
+        use = ~np.isnan(y) & (pdf["fold"].to_numpy() != model)
+        seen = pdf[use].reset_index(drop=True)
+        if not len(seen) or len(set(y[use])) < 2:
+            w = np.zeros(0)
+        else:
+            w = fit(*_matrix(seen), np.array(list(seen["oof"]), float).reshape(len(seen), k), y[use])
+        rest = pdf[pdf["fold"] == model].reset_index(drop=True)
+        p = predict(w, *_matrix(rest), np.array(list(rest["oof"]), float).reshape(len(rest), k)) if len(w) else np.zeros(len(rest))
+        out = pd.DataFrame({"id": rest["id"], "p": p, "w": None})
+        if model < 0:
+            out = pd.DataFrame({"id": pdf["id"].iloc[:1], "p": [0.0], "w": [w.astype(np.float32).tobytes()]})
+        return out
+
+    return one
+
+
 def train(docs: DataFrame, labels: DataFrame, categories: Sequence[tuple[str, Column]], id_column: str = "doc_id",
           text: str = "text", sample: int = SAMPLE, folds: int = FOLDS) -> tuple[Chain, DataFrame | None]:
     """The fitted chain, and the sample's rows (id, y: labels, oof: out-of-fold probabilities)."""
@@ -151,25 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[tuple[str, Co
         # model -1 is fitted on all rows; model f leaves out fold f and predicts it
         copies = got.withColumn("model", F.explode(F.sequence(F.lit(-1), F.lit(folds - 1))))
 
-        def one(pdf, k=k):
-            import pandas as pd
-            pdf = pdf.sort_values("id", ignore_index=True)
-            model = int(pdf["model"].iloc[0])
-            y = np.array([x[k] if x[k] is not None else np.nan for x in pdf["y"]], float)
-            use = ~np.isnan(y) & (pdf["fold"].to_numpy() != model)
-            seen = pdf[use].reset_index(drop=True)
-            if not len(seen) or len(set(y[use])) < 2:
-                w = np.zeros(0)
-            else:
-                w = fit(*_matrix(seen), np.array(list(seen["oof"]), float).reshape(len(seen), k), y[use])
-            rest = pdf[pdf["fold"] == model].reset_index(drop=True)
-            p = predict(w, *_matrix(rest), np.array(list(rest["oof"]), float).reshape(len(rest), k)) if len(w) else np.zeros(len(rest))
-            out = pd.DataFrame({"id": rest["id"], "p": p, "w": None})
-            if model < 0:
-                out = pd.DataFrame({"id": pdf["id"].iloc[:1], "p": [0.0], "w": [w.astype(np.float32).tobytes()]})
-            return out
-
-        done = cut(copies.groupBy("model").applyInPandas(one, f"id {docs.schema[id_column].dataType.simpleString()}, p double, w binary"))
+        done = cut(copies.groupBy("model").applyInPandas(_fit_and_predict(k), f"id {docs.schema[id_column].dataType.simpleString()}, p double, w binary"))
         w = [r[0] for r in done.filter("w is not null").select("w").collect()]  # one row of fixed size
         weights.append(np.frombuffer(w[0], np.float32).astype(float) if w else np.zeros(0))
         got = cut(got.join(done.filter("w is null").select("id", "p"), "id")
