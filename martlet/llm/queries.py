@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, license_scan, sentencepiece_codec, toxicity, url_filter
+from . import decontaminate, jaccard_join, license_scan, sentencepiece_codec, token_counts, toxicity, url_filter
 
-_MODULES = (toxicity, license_scan, jaccard_join, url_filter, sentencepiece_codec, decontaminate)
+_MODULES = (toxicity, token_counts, license_scan, jaccard_join, url_filter, sentencepiece_codec, decontaminate)
 
 QUERIES = {name: job for m in _MODULES for name, job in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
