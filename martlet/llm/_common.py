@@ -158,6 +158,19 @@ def in_bitmap(bm: np.ndarray, h: np.ndarray, bits: int = BITMAP_BITS) -> np.ndar
     return (bm[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) != 0
 
 
+def likely_rows(rows: DataFrame, wanted: DataFrame, id_column: str = "id") -> DataFrame:
+    """The rows whose id is probably in ``wanted`` (all that are, and few others): what a join with
+    ``wanted`` has to shuffle."""
+    some = rows.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.xxhash64(id_column).alias("h")), "h"))
+    n = len(rows.columns)
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(b.columns[:n], names=b.schema.names[:n]).filter(pa.array(in_bitmap(some.value, b.column(n).to_numpy())))
+
+    return rows.withColumn("__h", F.xxhash64(id_column)).mapInArrow(run, rows.schema)
+
+
 # --- connected components -----------------------------------------------------------------------
 
 def components(edges: DataFrame) -> DataFrame:

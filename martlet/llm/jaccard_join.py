@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import bitmap, combine, components, cut, in_bitmap, mix, prepare, table, text_chunks, words
+from ._common import combine, components, cut, likely_rows, mix, prepare, table, text_chunks, words
 
 #: log2 of the counters of the frequency sketch, and the shared shingles that a pair needs at least.
 SKETCH_BITS, LEAST_SHARED = 22, 4
@@ -121,16 +121,14 @@ def _features(rows: DataFrame, level: np.ndarray, size: int, num: int, den: int)
 def _sets(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(id, set) of the ids in ``wanted``."""
     kind = rows.schema["id"].dataType.simpleString()
-    some = rows.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.xxhash64("id").alias("h")), "h"))
 
     def run(batches):
         for b in batches:
-            b = b.filter(pa.array(in_bitmap(some.value, b.column(2).to_numpy())))
             for lo, hi, data, offs in text_chunks(b, 1):
                 sets = [s.view(np.int64) for s in shingle_sets(data, offs, size)]
                 yield pa.RecordBatch.from_arrays([b.slice(lo, hi - lo).column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
-    return rows.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(run, f"id {kind}, set array<bigint>").join(wanted, "id", "left_semi")
+    return likely_rows(rows, wanted).mapInArrow(run, f"id {kind}, set array<bigint>").join(wanted, "id", "left_semi")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, size: int, num: int, den: int) -> DataFrame:
