@@ -146,9 +146,9 @@ def near_lines(rows: DataFrame, firsts: DataFrame) -> DataFrame:
         .select("x.*").groupBy("h1", "h2").agg(F.min(F.struct("i0", "k0")).alias("near"))
 
 
-def line_dedup(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with the lines removed from its texts, and two more columns: n_lines (of the input)
-    and n_removed."""
+def line_dedup(df: DataFrame, id_column: str = "doc_id", text: str = "text", counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """``df`` with the lines removed from its texts, and two more columns (of the names ``counts``,
+    replacing columns of these names): lines of the input and lines removed."""
     prepare(df.sparkSession)
     rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     lines = _line_rows(rows)
@@ -165,15 +165,15 @@ def line_dedup(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     gone = hit.filter(F.col("id").isNull() | (F.col("near") < F.struct(F.col("id").alias("i0"), F.col("k").alias("k0")))).select("id", "k", "h1")
     per = gone.groupBy(F.col("id").alias("__id")).agg(F.collect_set(F.struct("k", "h1")).alias("__gone"))
     joined = df.join(per, F.col(id_column).eqNullSafe(F.col("__id")), "left").drop("__id")
-    return _rebuilt(joined, text, df)
+    return _rebuilt(joined, text, df, counts)
 
 
-def _rebuilt(joined: DataFrame, text: str, df: DataFrame) -> DataFrame:
+def _rebuilt(joined: DataFrame, text: str, df: DataFrame, counts: tuple[str, str]) -> DataFrame:
     """Texts without the lines in ``__gone`` and without their own repeats."""
-    keep = [c for c in df.columns if c not in ("n_lines", "n_removed")]
+    keep = [c for c in df.columns if c not in counts]
     joined = joined.select(*keep, "__gone")
     at = keep.index(text)
-    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
+    schema = T.StructType([*[df.schema[c] for c in keep], *[T.StructField(c, T.LongType()) for c in counts]])
 
     def run(batches):
         for b in batches:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, license_scan, line_dedup, sentencepiece_codec, substring_dedup, token_counts, toxicity, url_filter
+from . import decontaminate, jaccard_join, license_scan, line_dedup, nearest, sentencepiece_codec, substring_dedup, token_counts, toxicity, url_filter
 
-_MODULES = (toxicity, token_counts, license_scan, jaccard_join, line_dedup, url_filter, substring_dedup, sentencepiece_codec, decontaminate)
+_MODULES = (toxicity, token_counts, license_scan, jaccard_join, line_dedup, url_filter, substring_dedup, sentencepiece_codec, nearest, decontaminate)
 
 QUERIES = {name: job for m in _MODULES for name, job in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}

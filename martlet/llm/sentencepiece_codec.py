@@ -21,6 +21,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -283,8 +284,8 @@ def encode_column(df: DataFrame, model_file: str, text: str = "text", ids: str =
     def run(batches):
         codec = piece_table(model_file)
         for b in batches:
-            tail = [codec.end_id] if end else []
-            got = pa.array([[int(i) for w in said for i in w.split()] + tail for part in _texts(b, at) for _, said in codec.words_of(part)],
+            tail = str(codec.end_id) if end else ""
+            got = pa.array([np.fromstring("".join(said) + tail, np.int32, sep=" ") for part in _texts(b, at) for _, said in codec.words_of(part)],
                            pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*b.columns, got], names=[*b.schema.names, ids])
 

@@ -183,9 +183,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[tuple[str, Co
 
 
 def score(df: DataFrame, chain: Chain, names: Sequence[str], text: str = "text") -> DataFrame:
-    """``df`` with a probability column ``p_<name>`` per category."""
+    """``df`` with a probability column of the given name per category."""
     spark = prepare(df.sparkSession)
-    cols = [f"p_{n}" for n in names]
+    cols = list(names)
     df = df.drop(*cols)
     at_text = df.columns.index(text)
     schema = T.StructType([*df.schema.fields, *[T.StructField(c, T.DoubleType()) for c in cols]])
@@ -207,17 +207,22 @@ def label_columns() -> list[tuple[str, Column]]:
     return [("poor", 1 - F.col("quality")), ("toxic", F.col("toxic"))]
 
 
-def score_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` with p_poor, p_toxic and ``toxic`` (the decision), trained on the labels."""
-    everything = table(spark, sf_dir, "documents")
-    chain, _ = train(everything, table(spark, sf_dir, "labels"), label_columns())
-    return score(docs, chain, ["poor", "toxic"]).withColumn("toxic", F.col("p_toxic") >= THRESHOLD)
+def score_documents(spark: SparkSession, docs: DataFrame, sf_dir: str, names: Sequence[str] = ("p_poor", "p_toxic")) -> DataFrame:
+    """``docs`` with the two probabilities, by a chain trained on those of the documents that have labels."""
+    chain, _ = train(docs, table(spark, sf_dir, "labels"), label_columns())
+    return score(docs, chain, names)
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that are not toxic, with the columns that they have."""
+    scored = score_documents(spark, docs, sf_dir, ("__p_poor", "__p_toxic"))
+    return scored.filter(F.col("__p_toxic") < THRESHOLD).select(*docs.columns)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probabilities and decision for every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score_documents(spark, docs, sf_dir).select("doc_id", "p_poor", "p_toxic", "toxic")
+    return score_documents(spark, docs, sf_dir).withColumn("toxic", F.col("p_toxic") >= THRESHOLD).select("doc_id", "p_poor", "p_toxic", "toxic")
 
 
 QUERIES = {"op1_toxicity": op1_toxicity}
