@@ -1,0 +1,10 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """A documents table from (id, text) pairs, with columns whose names clash with helper columns."""
+    def make(rows, partitions=3):
+        df = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], "doc_id long, text string, id string, n int, h1 string")
+        return df.repartition(partitions) if rows else df
+    return make
