@@ -72,11 +72,10 @@ def calendar_shift(d, years=0, months=0, weeks=0, days=0, hours=0, minutes=0, se
     out = F.timestamp_add("MICROSECOND", total_us, F.timestamp_add("DAY", extra_days, base))
     if weekday is not None:
         wd, nth = weekday[0], (weekday[1] or 1)
-        cur = F.pmod(F.dayofweek(out) + 5, F.lit(7))  # Monday = 0
-        if nth > 0:
-            jump = F.lit((abs(nth) - 1) * 7) + F.pmod(F.lit(7) - cur + wd, F.lit(7))
-        else:
-            jump = -(F.lit((abs(nth) - 1) * 7) + F.pmod(cur - wd, F.lit(7)))
+        name, day = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")[wd], out.cast("date")
+        nearest = F.next_day(F.date_sub(day, 1 if nth > 0 else 7), name)
+        further = 7 * (nth - 1 if nth > 0 else nth + 1)
+        jump = F.datediff(nearest, day) + F.lit(further)
         out = F.timestamp_add("DAY", jump, out)
     return out
 
@@ -85,27 +84,23 @@ def calendar_shift(d, years=0, months=0, weeks=0, days=0, hours=0, minutes=0, se
 
 def easter(year, method: int = 3) -> Column:
     """Easter Sunday for a year column: 1 = Julian, 2 = Orthodox (Gregorian date),
-    3 = Western (default). Integer arithmetic of the standard computus."""
+    3 = Western (default). The Sunday after the paschal full moon, whose day in March
+    comes from the epact (Western) or the 19-year cycle of the Julian calendar."""
     y = _c(year).cast("int")
-    g = F.pmod(y, F.lit(19))
-    if method < 3:
-        i = F.pmod(19 * g + 15, F.lit(30))
-        j = F.pmod(y + F.floor(y / 4) + i, F.lit(7))
-        if method == 2:
-            e = F.lit(10) + F.when(y > 1600, F.floor(y / 100) - 16 - F.floor((F.floor(y / 100) - 16) / 4)) \
-                              .otherwise(F.lit(0))
-        else:
-            e = F.lit(0)
-    else:
-        c = F.floor(y / 100)
-        h = F.pmod(c - F.floor(c / 4) - F.floor((8 * c + 13) / 25) + 19 * g + 15, F.lit(30))
-        i = h - F.floor(h / 28) * (1 - F.floor(h / 28) * F.floor(29 / (h + 1)) * F.floor((21 - g) / 11))
-        j = F.pmod(y + F.floor(y / 4) + i + 2 - c + F.floor(c / 4), F.lit(7))
-        e = F.lit(0)
-    p = i - j + e
-    d = 1 + F.pmod(p + 27 + F.floor((p + 6) / 40), F.lit(31))
-    m = 3 + F.floor((p + 26) / 30)
-    return F.make_date(y, m.cast("int"), d.cast("int"))
+    golden = F.pmod(y, F.lit(19)) + 1
+    century = F.floor(y / 100) + 1
+    if method == 3:
+        solar = F.floor(3 * century / 4) - 12
+        lunar = F.floor((8 * century + 5) / 25) - 5
+        epact = F.pmod(11 * golden + 20 + lunar - solar, F.lit(30))
+        epact = epact + F.when((epact == 24) | ((epact == 25) & (golden > 11)), F.lit(1)).otherwise(F.lit(0))
+        moon = F.when(epact > 23, 74 - epact).otherwise(44 - epact)
+        return F.next_day(F.date_add(F.make_date(y, F.lit(3), F.lit(1)), (moon - 1).cast("int")), "Sun")
+    # the Julian date's distance to the Gregorian calendar after February
+    ahead = (F.floor(y / 100) - F.floor(y / 400) - 2).cast("int")
+    moon = F.pmod(19 * (golden - 1) + 15, F.lit(30)).cast("int")
+    sunday = F.next_day(F.date_add(F.make_date(y, F.lit(3), F.lit(21)), moon + ahead), "Sun")
+    return sunday if method == 2 else F.date_sub(sunday, ahead)
 
 
 # ---------------------------------------------------------------- C16 dst_audit / C17 zones
@@ -118,12 +113,17 @@ def dst_audit(wall, tz: str) -> Column:
     w = _c(wall).cast("timestamp_ntz")
     inst = F.to_utc_timestamp(w.cast("timestamp"), tz)
     back = F.from_utc_timestamp(inst, tz).cast("timestamp_ntz")
-    hour_us = 3_600_000_000
-    early = F.from_utc_timestamp(F.timestamp_add("MICROSECOND", F.lit(-hour_us), inst), tz) \
-             .cast("timestamp_ntz")
-    late = F.from_utc_timestamp(F.timestamp_add("MICROSECOND", F.lit(hour_us), inst), tz) \
-            .cast("timestamp_ntz")
-    ambiguous = (early == w) | (late == w)
+
+    def offset(days: int) -> Column:
+        at = F.timestamp_add("DAY", F.lit(days), inst)
+        return F.timestamp_diff("MICROSECOND", at.cast("timestamp_ntz"), F.from_utc_timestamp(at, tz).cast("timestamp_ntz"))
+
+    def reads_so(off: Column) -> Column:
+        at = F.timestamp_add("MICROSECOND", -off, w.cast("timestamp"))
+        return F.from_utc_timestamp(at, tz).cast("timestamp_ntz") == w
+
+    # the offsets in force around the wall time both give it, and differ
+    ambiguous = (offset(-1) != offset(1)) & reads_so(offset(-1)) & reads_so(offset(1))
     return F.struct((back != w).alias("imaginary"), ambiguous.alias("ambiguous"),
                     back.alias("resolved"))
 
@@ -156,9 +156,9 @@ def parse_date_any(s, dayfirst: bool = False, formats: Sequence[str] | None = No
 
 def normalise_dates(df: DataFrame, field: str, as_: str = "parsed", dayfirst: bool = False
                     ) -> tuple[DataFrame, DataFrame]:
-    """(parsed rows, rejected rows) for a mixed-format text column."""
+    """(parsed rows, rejected rows) for a mixed-format text column; null texts are rejected."""
     out = df.withColumn(as_, parse_date_any(field, dayfirst))
-    return out.filter(F.col(as_).isNotNull()), out.filter(F.col(as_).isNull() & F.col(field).isNotNull())
+    return out.filter(F.col(as_).isNotNull()), out.filter(F.col(as_).isNull())
 
 
 # ---------------------------------------------------------------- C13 / C14 recurrence
@@ -186,7 +186,7 @@ def recurrence(spark: SparkSession, freq: str, dtstart, until=None, count: int |
                byyearday: Sequence[int] | None = None, byweekno: Sequence[int] | None = None,
                bysetpos: Sequence[int] | None = None, byeaster: Sequence[int] | None = None,
                byhour: Sequence[int] | None = None, byminute: Sequence[int] | None = None,
-               bysecond: Sequence[int] | None = None, horizon_days: int = 366 * 50) -> DataFrame:
+               bysecond: Sequence[int] | None = None) -> DataFrame:
     """Occurrence table (column ``occurrence``, timestamp_ntz) of a recurrence rule.
 
     Weekdays are 0 = Monday ... 6 = Sunday; ``(wd, n)`` is the n-th such weekday of
@@ -199,24 +199,23 @@ def recurrence(spark: SparkSession, freq: str, dtstart, until=None, count: int |
     if freq not in FREQS:
         raise ValueError(f"freq must be one of {FREQS}")
     start = dtstart if isinstance(dtstart, _dt.datetime) else _dt.datetime.fromisoformat(str(dtstart))
-    stop = until if until is not None else start + _dt.timedelta(days=horizon_days)
+    if until is None and count is None:
+        raise ValueError("a rule without end needs until or count")
+    # a count may lie far ahead: the days to the calendar's end are a lazy range
+    stop = until if until is not None else _dt.datetime(9999, 12, 31)
     if not isinstance(stop, _dt.datetime):
         stop = _dt.datetime.fromisoformat(str(stop))
     days = day_table(spark, start.date(), stop.date())
     d = F.col("day")
     wd = F.pmod(F.dayofweek(d) + 5, F.lit(7))  # Monday = 0
     # defaults expanded from the start date when no by-rule names the day
-    if not any([bymonth, bymonthday, byweekday, byyearday, byweekno, byeaster]):
+    if not any([bymonthday, byweekday, byyearday, byweekno, byeaster]):
         if freq == "YEARLY":
-            bymonth, bymonthday = [start.month], [start.day]
+            bymonth, bymonthday = bymonth or [start.month], [start.day]
         elif freq == "MONTHLY":
             bymonthday = [start.day]
         elif freq == "WEEKLY":
             byweekday = [start.weekday()]
-    elif freq == "YEARLY" and bymonthday and not bymonth and not byyearday and not byweekno:
-        pass
-    if freq == "YEARLY" and byweekday and not (bymonth or byweekno or byyearday or bymonthday):
-        pass
     conds = []
     if bymonth:
         conds.append(F.month(d).isin(list(bymonth)))
@@ -229,7 +228,10 @@ def recurrence(spark: SparkSession, freq: str, dtstart, until=None, count: int |
         yd = [F.dayofyear(d) == k if k > 0 else F.dayofyear(d) == ylen + k + 1 for k in byyearday]
         conds.append(_any(yd))
     if byweekno:
-        conds.append(F.weekofyear(d).isin([k for k in byweekno if k > 0]))
+        # negative numbers count from the last week of the week's own year
+        week_year = F.year(F.date_add(d, (3 - wd).cast("int")))
+        weeks = F.weekofyear(F.make_date(week_year, F.lit(12), F.lit(28)))
+        conds.append(_any([F.weekofyear(d) == k if k > 0 else F.weekofyear(d) == weeks + 1 + k for k in byweekno]))
     if byeaster:
         e = easter(F.year(d))
         conds.append(_any([d == F.date_add(e, k) for k in byeaster]))

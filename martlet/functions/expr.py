@@ -76,17 +76,24 @@ def const(name: str) -> Column:
 
 # ---------------------------------------------------------------- E4 type tests (schema-static)
 
+def _number(c: Column) -> Column:
+    """The number that a value of any type stands for; null if it stands for none."""
+    return c.cast("string").try_cast("double")
+
+
 def is_valid(x) -> Column:
+    """Not null and, for floating types, not NaN (a text is valid whatever it says)."""
     c = _c(x)
-    return c.isNotNull() & ~F.isnan(c.cast("double"))
+    floating = F.typeof(c).isin("float", "double")
+    return c.isNotNull() & ~(floating & F.coalesce(F.isnan(_number(c)), F.lit(False)))
 
 
 def is_nan(x) -> Column:
-    return F.coalesce(F.isnan(_c(x).cast("double")), F.lit(False))
+    return F.coalesce(F.isnan(_number(_c(x))), F.lit(False))
 
 
 def is_finite(x) -> Column:
-    d = _c(x).cast("double")
+    d = _number(_c(x))
     return d.isNotNull() & ~F.isnan(d) & (F.abs(d) != float("inf"))
 
 
@@ -446,29 +453,52 @@ def merge(*maps) -> Column:
 # ---------------------------------------------------------------- E13 number format
 
 def number_format(x, spec: str) -> Column:
-    """Supported subset of d3 number specifiers: ',' '.nf' ',.nf' '.n%' '.ne' '.ns'(SI) 'd'."""
+    """Number specifiers ``[,][.n][f|%|e|s|d]``: fixed, percent, exponent, SI prefix with ``n``
+    significant digits (6 without), integer; without a type up to 12 significant digits
+    and no trailing zeros."""
     c = _c(x).cast("double")
     m = re.fullmatch(r"(,)?(?:\.(\d+))?([f%esd])?", spec)
     if not m:
         raise ValueError(f"unsupported number format {spec!r}")
-    comma, prec, kind = m.group(1), m.group(2), m.group(3) or "f"
-    p = int(prec) if prec is not None else (0 if kind in ("d",) or comma else 6)
+    comma, kind = m.group(1) or "", m.group(3)
+    p = int(m.group(2)) if m.group(2) is not None else None
     if kind == "%":
+        p = 6 if p is None else p
         v = F.floor(c * 100 * 10 ** p + 0.5) / 10 ** p
-        body = F.format_string(f"%{',' if comma else ''}.{p}f", v.cast("double"))
-        return F.concat(body, F.lit("%"))
+        return F.concat(F.format_string(f"%{comma}.{p}f", v.cast("double")), F.lit("%"))
     if kind == "e":
-        return F.format_string(f"%.{p}e", c)
+        # one digit at least in the exponent, as in 4.2e+1
+        return F.regexp_replace(F.format_string(f"%.{6 if p is None else p}e", c), r"e([+-])0(\d)$", "e$1$2")
     if kind == "s":
-        prefixes = ["y", "z", "a", "f", "p", "n", "µ", "m", "", "k", "M", "G", "T", "P", "E", "Z", "Y"]
-        k = F.when(c == 0, F.lit(0)).otherwise(
-            F.least(F.greatest(F.floor(F.log10(F.abs(c)) / 3), F.lit(-8)), F.lit(8))).cast("int")
-        scaled = c / F.pow(F.lit(1000.0), k)
-        sig = p if prec is not None else 6
-        arr = F.array(*[F.lit(s) for s in prefixes])
-        return F.concat(F.format_string(f"%.{max(sig - 1, 0)}g", scaled), F.element_at(arr, k + 9))
+        return _si(c, max(6 if p is None else p, 1))
+    if kind is None:
+        digits = 12 if p is None else max(p, 1)
+        exponent = F.when(c == 0, F.lit(0)).otherwise(F.floor(F.log10(F.abs(c)))).cast("int")
+        scale = F.pow(F.lit(10.0), F.lit(digits - 1) - exponent)
+        v = F.when(c == 0, c).otherwise(F.round(c * scale) / scale)
+        return F.regexp_replace(F.regexp_replace(F.format_string(f"%{comma}.12f", v), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    p = 0 if kind == "d" else 6 if p is None else p
     v = F.floor(c * 10 ** p + 0.5) / 10 ** p
-    return F.format_string(f"%{',' if comma else ''}.{p}f", v.cast("double"))
+    return F.format_string(f"%{comma}.{p}f", v.cast("double"))
+
+
+def _si(c: Column, p: int) -> Column:
+    """``p`` significant digits with an SI prefix."""
+    prefixes = ["y", "z", "a", "f", "p", "n", "µ", "m", "", "k", "M", "G", "T", "P", "E", "Z", "Y"]
+
+    def exponent(v: Column) -> Column:
+        return F.when(v == 0, F.lit(0)).otherwise(F.floor(F.log10(F.abs(v)))).cast("int")
+
+    scale = F.pow(F.lit(10.0), F.lit(p - 1) - exponent(c))
+    rounded = F.when(c == 0, c).otherwise(F.round(c * scale) / scale)  # 999.9 may become 1000
+    e = exponent(rounded)
+    k = F.least(F.greatest(F.floor(e / 3), F.lit(-8)), F.lit(8)).cast("int")
+    scaled = rounded / F.pow(F.lit(1000.0), k)
+    decimals = F.greatest(F.lit(p - 1) - (e - 3 * k), F.lit(0))
+    body = F.format_string("%.0f", scaled)
+    for n in range(1, p + 3):
+        body = F.when(decimals == n, F.format_string(f"%.{n}f", scaled)).otherwise(body)
+    return F.concat(body, F.element_at(F.array(*[F.lit(s) for s in prefixes]), k + 9))
 
 
 # ---------------------------------------------------------------- E14 regex

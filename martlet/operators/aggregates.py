@@ -2,8 +2,9 @@
 
 ``agg_column(op, field, df)`` returns a Spark aggregate Column. All are built-in
 aggregates (partial + final, so they combine map-side); the percentile family uses
-``percentile`` (exact, linear interpolation) or ``percentile_approx`` when
-``approx=True`` for very large groups.
+``percentile`` (exact, linear interpolation, whatever a group's size) or
+``percentile_approx`` when the caller asks for ``approx=True``; no other op is ever
+approximate.
 """
 
 from __future__ import annotations
@@ -24,21 +25,6 @@ AGG_OPS = (
 )
 
 
-# Above this many distinct values in one group, exact percentiles (a value -> count
-# map per group, merged in one task) give way to the mergeable quantile sketch.
-EXACT_PERCENTILE_LIMIT = 2_000_000
-
-
-def use_approx_percentile(df: DataFrame, field: str, groupby=None,
-                          limit: int = EXACT_PERCENTILE_LIMIT) -> bool:
-    """One cheap aggregate (HyperLogLog per group) decides exact vs sketch."""
-    g = [groupby] if isinstance(groupby, str) else list(groupby or [])
-    nd = F.approx_count_distinct(field)
-    per = df.groupBy(*g).agg(nd.alias("_nd")) if g else df.agg(nd.alias("_nd"))
-    top = per.agg(F.max("_nd")).first()[0]
-    return bool(top and top > limit)
-
-
 def _dtype(df: DataFrame | None, field: str | None):
     if df is None or field is None or "." in field:
         return None
@@ -76,7 +62,7 @@ def agg_column(op: str, field: str | None = None, df: DataFrame | None = None,
     if op == "missing":
         return F.count(F.when(is_missing(c, dtype), F.lit(1)))
     if op == "distinct":
-        return F.approx_count_distinct(c) if approx else F.countDistinct(c)
+        return F.countDistinct(c)
     if op == "sum":
         return F.sum(c)
     if op == "product":
@@ -103,8 +89,9 @@ def agg_column(op: str, field: str | None = None, df: DataFrame | None = None,
     if op in ("argmin", "argmax"):
         cols = [F.col(n) for n in df.columns] if df is not None else [c]
         row = F.struct(*cols)
-        # ties on the field are broken by the whole row, so the pick is deterministic
-        key = F.struct(c, row)
+        # ties on the field are broken by the whole row, so the pick is deterministic; rows
+        # whose field is null or NaN have a null key and are never picked
+        key = F.when(is_valid(c, dtype), F.struct(c, row))
         return F.min_by(row, key) if op == "argmin" else F.max_by(row, key)
     if op == "values":
         cols = [F.col(n) for n in df.columns] if df is not None else [c]

@@ -121,12 +121,20 @@ def window_distributed(df: DataFrame, ops: dict[str, tuple], sort: Sequence, gro
         cond = [F.col(k).eqNullSafe(F.col(f"_lk_{k}")) for k in g] + [F.col("_target") == F.col("_lrn")]
         t = t.join(src, cond, "left").drop("_target", "_lrn", *[f"_lk_{k}" for k in g])
     if sums:
-        run_ops = {}
+        # per field: the finite values' sum, the non-null count, and the counts of NaN and of
+        # the infinities, which a difference of running sums could not take back
+        run_ops, derived = {}, []
         for name, (op, field, _fr) in sums.items():
-            run_ops[f"_s_{name}"] = ("sum", field) if op != "count" else ("count", field or "_rn")
             run_ops[f"_c_{name}"] = ("count", field or "_rn")
+            if op != "count":
+                v = F.col(field).cast("double")
+                odd = {"n": F.isnan(v), "p": v == float("inf"), "m": v == float("-inf")}
+                derived += [F.when(~(odd["n"] | odd["p"] | odd["m"]), v).alias(f"_v_{name}"),
+                            *[F.when(o, 1).alias(f"_{k}v_{name}") for k, o in odd.items()]]
+                run_ops[f"_s_{name}"] = ("sum", f"_v_{name}")
+                run_ops.update({f"_{k}_{name}": ("count", f"_{k}v_{name}") for k in odd})
         fields = sorted({f for _, f, _ in sums.values() if f})
-        pref = cut_lineage(running(base.select(*g, "_rn", *fields), run_ops, g, ["_rn"]))
+        pref = cut_lineage(running(base.select(*g, "_rn", *fields, *derived), run_ops, g, ["_rn"]))
         pref = pref.select(*[F.col(k).alias(f"_pk_{k}") for k in g], F.col("_rn").alias("_prn"),
                            *[F.col(c) for c in run_ops])
         for i, (name, (op, _field, (lo, hi))) in enumerate(sums.items()):
@@ -134,19 +142,22 @@ def window_distributed(df: DataFrame, ops: dict[str, tuple], sort: Sequence, gro
             b = F.col("_n") if hi is None else F.least(F.col("_n"), F.col("_rn") + hi)
             ea, eb = f"_fa{i}", f"_fb{i}"
             t = t.withColumn(ea, a - 1).withColumn(eb, b)
+            parts = "c" if op == "count" else "csnpm"
             for edge in (ea, eb):
                 sel = pref.select(*[F.col(f"_pk_{k}").alias(f"{edge}_k_{k}") for k in g],
                                   F.col("_prn").alias(f"{edge}_rn"),
-                                  F.col(f"_s_{name}").alias(f"{edge}_s"), F.col(f"_c_{name}").alias(f"{edge}_c"))
+                                  *[F.col(f"_{x}_{name}").alias(f"{edge}_{x}") for x in parts])
                 cond = [F.col(k).eqNullSafe(F.col(f"{edge}_k_{k}")) for k in g] + \
                        [F.col(edge) == F.col(f"{edge}_rn")]
                 t = t.join(sel, cond, "left")
-            s1 = F.coalesce(F.col(f"{eb}_s"), F.lit(0.0))
-            s0 = F.coalesce(F.col(f"{ea}_s"), F.lit(0.0))
-            c1 = F.coalesce(F.col(f"{eb}_c"), F.lit(0))
-            c0 = F.coalesce(F.col(f"{ea}_c"), F.lit(0))
-            val = {"sum": s1 - s0, "count": (c1 - c0).cast("bigint"),
-                   "mean": F.try_divide(s1 - s0, (c1 - c0).cast("double")),
-                   "average": F.try_divide(s1 - s0, (c1 - c0).cast("double"))}[op]
-            t = t.withColumn(name, F.when(F.col(ea) < F.col(eb), val))
+            within = {x: F.coalesce(F.col(f"{eb}_{x}"), F.lit(0)) - F.coalesce(F.col(f"{ea}_{x}"), F.lit(0)) for x in parts}
+            if op == "count":
+                val = F.when(F.col(ea) < F.col(eb), within["c"]).otherwise(F.lit(0)).cast("bigint")
+            else:
+                total = (F.when((within["n"] > 0) | ((within["p"] > 0) & (within["m"] > 0)), float("nan"))
+                         .when(within["p"] > 0, float("inf")).when(within["m"] > 0, float("-inf")).otherwise(within["s"]))
+                val = total if op == "sum" else total / within["c"].cast("double")
+                # a frame without values has neither sum nor mean
+                val = F.when((F.col(ea) < F.col(eb)) & (within["c"] > 0), val)
+            t = t.withColumn(name, val)
     return cut_lineage(t.select(*cols, *ops.keys()))

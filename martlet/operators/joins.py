@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .ranking import global_row_number
 
@@ -27,7 +28,9 @@ def lookup(df: DataFrame, from_df: DataFrame, key: str | Sequence[str], from_key
            fields: Sequence[str] | None = None, as_: Sequence[str] | None = None,
            default=None) -> DataFrame:
     """Left equi lookup. The secondary table is de-duplicated on its key (first
-    row by key order of the remaining columns) so the row count never grows."""
+    row by key order of the remaining columns) so the row count never grows.
+    ``default`` (a value, or one per output field in a dict) stands in where no row
+    matches; a null of a matched row stays null. A text default makes its field a text."""
     keys = _as_list(key)
     fkeys = _as_list(from_key) if from_key is not None else keys
     fields = list(fields or [c for c in from_df.columns if c not in fkeys])
@@ -41,7 +44,17 @@ def lookup(df: DataFrame, from_df: DataFrame, key: str | Sequence[str], from_key
     out = df.join(first, cond, "left")
     vals = [F.col("_v")[a] for a in as_]
     if default is not None:
-        vals = [F.coalesce(v, F.lit(default)) for v in vals]
+        per = default if isinstance(default, dict) else dict.fromkeys(as_, default)
+        kinds = {a: from_df.schema[f].dataType for f, a in zip(fields, as_)}
+
+        def filled(v: Column, a: str) -> Column:
+            if per.get(a) is None:
+                return v
+            if isinstance(per[a], str) and not isinstance(kinds[a], T.StringType):
+                v = v.cast("string")
+            return F.when(F.col("_v").isNotNull(), v).otherwise(F.lit(per[a]))
+
+        vals = [filled(v, a) for v, a in zip(vals, as_)]
     return out.select(*[df[c] for c in df.columns], *[v.alias(a) for v, a in zip(vals, as_)])
 
 

@@ -35,24 +35,6 @@ from .keys import join_on
 _LOW33 = (1 << 33) - 1
 SCAN_OPS = ("count", "sum", "mean", "average", "min", "max", "row_number")
 
-# A group above this many rows is too big for one task: use the distributed path.
-MAX_GROUP_ROWS = 5_000_000
-
-
-def largest_group(df: DataFrame, groupby: Sequence[str]) -> int:
-    """Rows of the largest group (one partial + final aggregate, then a max)."""
-    g = list(groupby)
-    if not g:
-        return df.count()
-    top = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(top or 0)
-
-
-def is_skewed(df: DataFrame, groupby: Sequence[str], limit: int = MAX_GROUP_ROWS) -> bool:
-    """True when some group is too large to be processed by a single task."""
-    return largest_group(df, groupby) > limit
-
-
 def running(df: DataFrame, ops: dict[str, tuple], groupby: Sequence[str], order: Sequence) -> DataFrame:
     """``ops = {"cum": ("sum", "x"), "rn": ("row_number",)}`` -> running values per group."""
     g = list(groupby)
@@ -96,7 +78,7 @@ def running(df: DataFrame, ops: dict[str, tuple], groupby: Sequence[str], order:
     offs = [F.col("_pid"), *[F.col(k) for k in g]]
     for name, how in combine:
         if how == "sum":
-            offs.append(F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_o_{name}"))
+            offs.append(F.sum(f"_t_{name}").over(before).alias(f"_o_{name}"))
         elif how == "mean":
             offs.append(F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0.0)).alias(f"_o_{name}"))
             offs.append(F.coalesce(F.sum(f"_tc_{name}").over(before), F.lit(0)).alias(f"_oc_{name}"))
@@ -109,10 +91,13 @@ def running(df: DataFrame, ops: dict[str, tuple], groupby: Sequence[str], order:
     out = []
     for name, how in combine:
         if how == "sum":
-            out.append((F.col(f"_l_{name}") + F.col(f"_o_{name}")).alias(name))
+            # null as long as no value has been seen, here or in the segments before
+            none = F.col(f"_l_{name}").isNull() & F.col(f"_o_{name}").isNull()
+            both = F.coalesce(f"_l_{name}", F.lit(0)) + F.coalesce(f"_o_{name}", F.lit(0))
+            out.append(F.when(~none, both).alias(name))
         elif how == "mean":
-            out.append(((F.col(f"_l_{name}") + F.col(f"_o_{name}"))
-                        / (F.col(f"_lc_{name}") + F.col(f"_oc_{name}"))).alias(name))
+            out.append(F.try_divide(F.coalesce(f"_l_{name}", F.lit(0.0)) + F.col(f"_o_{name}"),
+                                    (F.col(f"_lc_{name}") + F.col(f"_oc_{name}")).cast("double")).alias(name))
         else:
             fn = F.least if how == "min" else F.greatest
             out.append(F.coalesce(fn(F.col(f"_l_{name}"), F.col(f"_o_{name}")), F.col(f"_l_{name}")).alias(name))

@@ -56,8 +56,8 @@ def field_gte(f, v) -> Column:
 
 
 def field_valid(f: str, valid: bool = True) -> Column:
-    c = _c(f)
-    ok = c.isNotNull() & ~F.isnan(c.cast("double"))
+    from ..functions.expr import is_valid
+    ok = is_valid(_c(f))
     return ok if valid else ~ok
 
 
@@ -104,9 +104,7 @@ def point_select(df: DataFrame, chosen: DataFrame, fields: Sequence[str],
     hit = df.join(keys, list(fields), "left_semi")
     if not empty_all:
         return hit
-    is_empty = ~keys.select(F.lit(1)).exists() if hasattr(keys, "exists") else None
-    if is_empty is None:
-        return hit
+    is_empty = ~keys.select(F.lit(1)).exists()
     return df.filter(is_empty).unionByName(hit)
 
 

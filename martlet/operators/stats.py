@@ -117,7 +117,6 @@ def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
             bandwidth: float | None = None, extent: tuple[float, float] | None = None,
             steps: int | None = None, counts: bool = False, cumulative: bool = False,
             resolve: str = "shared", as_: tuple[str, str] = ("value", "density"),
-            prebin: int | None = None, exact_limit: int = 20_000,
             minsteps: int = 25, maxsteps: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid of ``steps`` points over the
     extent (shared over groups unless ``resolve='independent'``). Without ``steps``
@@ -126,10 +125,8 @@ def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
     A bandwidth of None or 0 is estimated (Scott's rule).
 
     Rows are first reduced to (group, value, weight): a partial + final aggregate.
-    A group with more than ``exact_limit`` distinct values (approximate count) has
-    its values snapped to ``prebin`` (default ``exact_limit``) even cells of its
-    extent first, so the kernel work per group is at most cells × steps whatever
-    the input size; smaller groups are evaluated exactly."""
+    Every distinct value is evaluated exactly at every grid point; the sums combine
+    map-side, so groups × steps rows are shuffled."""
     from ..functions.expr import erf  # local: avoid an import cycle
 
     g = _as_list(groupby)
@@ -138,26 +135,17 @@ def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
     base = df.select(*g, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     stats = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
                                  _pct(base, F.col("_x"), "_x", g, (0.25, 0.75)).alias("_q"),
-                                 F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
-                                 F.approx_count_distinct("_x").alias("_nd"))
+                                 F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     bw = F.lit(float(bandwidth)) if bandwidth else \
         scott_bandwidth(F.col("_n"), F.col("_sd"), F.col("_q")[1] - F.col("_q")[0])
     stats = stats.withColumn("_bw", bw)
     if extent is None and resolve == "shared":
-        stats = stats.withColumn("_lo", F.min("_lo").over(Window.partitionBy())) \
-                     .withColumn("_hi", F.max("_hi").over(Window.partitionBy()))  # one row per group
+        whole = base.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+        stats = stats.withColumn("_lo", whole.select("lo").scalar()).withColumn("_hi", whole.select("hi").scalar())
     # one row per group, read twice below: checkpoint instead of recomputing the pass
     stats = cut_lineage(stats)
     if extent is not None:
         stats = stats.withColumn("_lo", F.lit(float(extent[0]))).withColumn("_hi", F.lit(float(extent[1])))
-    cells = prebin or exact_limit
-    if cells:
-        ext = stats.select(*g, F.col("_lo").alias("_dlo"), F.col("_hi").alias("_dhi"), "_nd")
-        b = _attach(base, ext, g)
-        cell = (F.col("_dhi") - F.col("_dlo")) / cells
-        snapped = F.col("_dlo") + (F.floor((F.col("_x") - F.col("_dlo")) / cell) + 0.5) * cell
-        big = (F.col("_nd") > exact_limit) | F.lit(bool(prebin))
-        base = b.select(*g, F.when(big & (cell > 0), snapped).otherwise(F.col("_x")).alias("_x"))
     weights = base.groupBy(*g, "_x").agg(F.count(F.lit(1)).alias("_w"))
     # every (value, weight) row is evaluated at each of the `steps` grid points of its
     # group: rows are per distinct value (or per pre-bin cell), not per input row
@@ -183,29 +171,32 @@ def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
 
 def impute(df: DataFrame, field: str, key: str, groupby: Sequence[str] | None = None,
            keyvals: Sequence | None = None, method: str = "value", value=None,
-           frame: tuple[int | None, int | None] = (None, None), max_keys: int = 100_000) -> DataFrame:
+           frame: tuple[int | None, int | None] = (None, None)) -> DataFrame:
     """T4: add the missing (group, key) rows and fill ``field`` there.
 
     ``keyvals`` is a list of extra keys or a sequence ``{"start", "stop", "step"}``.
-    The output is every group × every key, so the key domain is read first and
-    must not exceed ``max_keys`` (a row-limit guard, as the chart path has). Each
-    group row is expanded by that bounded literal key list; the present rows are
-    joined back on (group, key). Filled values: a constant, or mean / median / min /
+    The output is every group × every key (the feature). The keys are dealt into
+    buckets and every group is expanded by the buckets, then joined to them on the
+    bucket, so neither side is collected; the present rows are joined back on (group,
+    key). Filled values: a constant, or mean / median / min /
     max of the present values of the group within ``frame`` (row offsets over the
     key order; None = unbounded)."""
     g = _as_list(groupby)
     keys_df = df.select(key).dropna().distinct()
-    probe = keys_df.limit(max_keys + 1).collect()
-    if len(probe) > max_keys:
-        raise ValueError(f"impute: more than {max_keys} distinct keys")
     if isinstance(keyvals, dict):
         # a number sequence {start, stop, step}: stop is exclusive
         start, stop, step = keyvals.get("start", 0), keyvals["stop"], keyvals.get("step", 1)
         n = max(0, math.ceil((stop - start) / step))
         keyvals = [start + i * step for i in range(n)]
-    keys = sorted({r[0] for r in probe} | set(keyvals or []))
+    if keyvals:
+        more = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(k) for k in keyvals])).alias(key))
+        more = more.select(F.col(key).cast(df.schema[key].dataType))
+        keys_df = keys_df.unionByName(more).distinct()
+    buckets = 16
+    dealt = keys_df.withColumn("_b", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
     groups = df.select(*g).distinct() if g else df.sparkSession.range(1).select()
-    full = groups.select(*g, F.explode(F.array(*[F.lit(k) for k in keys])).alias(key))
+    groups = groups.select(*g, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_b"))
+    full = groups.join(dealt, "_b").select(*g, key)
     present = df.select(*g, key, field).withColumn("_present", F.lit(True))
     filled = join_on(full, present, [*g, key], "left")
     if method == "value":
@@ -427,10 +418,8 @@ def regression(df: DataFrame, x: str, y: str, method: str = "linear", order: int
 # ---------------------------------------------------------------- T22 boxplot / T23 error extent
 
 def _pct(df: DataFrame, v: Column, field: str, g: list, probs: Sequence[float]) -> Column:
-    """Exact percentiles, or the quantile sketch for groups too large to hold exactly."""
-    from .aggregates import use_approx_percentile
-    arr = F.array(*[F.lit(p) for p in probs])
-    return F.percentile_approx(v, arr, 10000) if use_approx_percentile(df, field, g) else F.percentile(v, arr)
+    """Exact percentiles, for groups of any size."""
+    return F.percentile(v, F.array(*[F.lit(p) for p in probs]))
 
 
 def boxplot_stats(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
@@ -515,10 +504,15 @@ def bootstrap_ci(df: DataFrame, field: str, groupby: Sequence[str] | None = None
     v = F.col(field).cast("double")
     base = df.select(*g, v.alias("_v"), F.xxhash64(F.lit(seed), *[F.col(c) for c in key]).alias("_h")) \
              .filter(F.col("_v").isNotNull())
+    # equal rows are told apart by their number among their equals
+    base = base.groupBy(*g, "_v", "_h").agg(F.count(F.lit(1)).alias("_n")) \
+               .withColumn("_o", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))) \
+               .select(*g, "_v", F.xxhash64("_h", "_o").alias("_h"))
     rep = base.select(*g, "_v", "_h", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("_r"))
     u = (F.pmod(F.xxhash64(F.col("_h"), F.col("_r")), F.lit(1 << 53)).cast("double") / float(1 << 53))
     rep = rep.withColumn("_w", _poisson1(u))
-    means = rep.groupBy(*g, "_r").agg((F.sum(F.col("_w") * F.col("_v")) / F.sum("_w")).alias("_m"))
+    # a replicate that draws no row at all has no mean
+    means = rep.groupBy(*g, "_r").agg(F.try_divide(F.sum(F.col("_w") * F.col("_v")), F.sum("_w").cast("double")).alias("_m"))
     a = (1 - level) / 2
     out = means.groupBy(*g).agg(F.percentile("_m", F.array(F.lit(a), F.lit(1 - a))).alias("_ci"))
     return out.select(*g, F.col("_ci")[0].alias("ci0"), F.col("_ci")[1].alias("ci1"))
@@ -530,7 +524,8 @@ def quantize_bucket(df: DataFrame, field: str, n: int, as_: str = "bucket") -> D
     """quantize: n equal-width buckets over the extent -> 0..n-1."""
     lo = df.agg(F.min(field)).scalar()
     hi = df.agg(F.max(field)).scalar()
-    idx = F.floor((F.col(field) - lo) / (hi - lo) * n)
+    # a constant column has one bucket, the first
+    idx = F.floor(F.coalesce(F.try_divide((F.col(field) - lo).cast("double"), (hi - lo).cast("double")), F.col(field) * 0.0) * n)
     return df.withColumn(as_, F.least(F.greatest(idx, F.lit(0)), F.lit(n - 1)).cast("int"))
 
 
@@ -542,13 +537,10 @@ def threshold_bucket(df: DataFrame, field: str, cuts: Sequence[float], as_: str
 
 
 def quantile_bucket(df: DataFrame, field: str, n: int, groupby: Sequence[str] | None = None,
-                    as_: str = "bucket", approx: bool | None = None) -> DataFrame:
+                    as_: str = "bucket", approx: bool = False) -> DataFrame:
     """quantile: cuts at the 1/n ... (n-1)/n quantiles (one aggregate), then threshold."""
     g = _as_list(groupby)
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    if approx is None:
-        from .aggregates import use_approx_percentile
-        approx = use_approx_percentile(df, field, g)
     q = F.percentile_approx(field, probs, 10000) if approx else F.percentile(F.col(field).cast("double"), probs)
     cuts = df.groupBy(*g).agg(q.alias("_cuts")) if g else df.agg(q.alias("_cuts"))
     j = _attach(df, cuts, g)

@@ -13,9 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .aggregates import agg_column, use_approx_percentile
+from .aggregates import agg_column
 from .keys import join_on
-from .scan import is_skewed, running
+from .scan import running
 
 Ops = dict[str, tuple]  # output name -> (op, field[, param])
 
@@ -47,15 +47,12 @@ def _sort_cols(sort) -> list[Column]:
 # ------------------------------------------------------------------ T1 aggregate
 
 def aggregate(df: DataFrame, ops: Ops, groupby: Sequence[str] | None = None,
-              approx: bool | None = None) -> DataFrame:
+              approx: bool = False) -> DataFrame:
     """``ops = {"mean_x": ("mean", "x"), "n": ("count",)}``; one group if no groupby.
 
-    ``approx=None``: percentile ops (median, q1, q3) are exact unless a group holds
-    more distinct values than ``EXACT_PERCENTILE_LIMIT`` (checked by one sketch pass)."""
+    Percentile ops (median, q1, q3) are exact for groups of any size; ``approx=True``
+    asks for the mergeable sketch instead."""
     g = _as_list(groupby)
-    if approx is None:
-        pct_fields = {spec[1] for spec in ops.values() if spec[0] in ("median", "q1", "q3")}
-        approx = any(use_approx_percentile(df, f, g) for f in pct_fields)
     cols = [agg_column(spec[0], spec[1] if len(spec) > 1 else None, df, approx).alias(name)
             for name, spec in ops.items()]
     return df.groupBy(*g).agg(*cols) if g else df.agg(*cols)
@@ -132,11 +129,9 @@ def pivot(df: DataFrame, pivot_field: str, value: str, groupby: Sequence[str] |
 
 def quantile(df: DataFrame, field: str, probs: Sequence[float] | None = None, step: float = 0.01,
              groupby: Sequence[str] | None = None, as_: tuple[str, str] = ("prob", "value"),
-             approx: bool | None = None) -> DataFrame:
-    """Quantiles at ``probs`` or at step/2, 3·step/2, ... < 1 (exact unless a
-    group is too large for an exact percentile, see ``aggregate``)."""
-    if approx is None:
-        approx = use_approx_percentile(df, field, groupby)
+              approx: bool = False) -> DataFrame:
+    """Quantiles at ``probs`` or at step/2, 3·step/2, ... < 1 (exact unless the
+    caller asks for ``approx=True``)."""
     if probs is None:
         n = int(math.floor((1 - step / 2) / step + 1e-9)) + 1
         probs = [round(step / 2 + i * step, 12) for i in range(n) if step / 2 + i * step < 1]
@@ -170,7 +165,7 @@ def sample_fraction(df: DataFrame, frac: float, seed: int = 42) -> DataFrame:
 # ------------------------------------------------------------------ T14 stack
 
 def stack(df: DataFrame, field: str, groupby: Sequence[str], sort: Sequence | None = None,
-          offset: str = "zero", as_: tuple[str, str] | str = ("y0", "y1")) -> DataFrame:
+          offset: str = "zero", as_: tuple[str, str] | str = ("y0", "y1"), distributed: bool = False) -> DataFrame:
     """Running start/end of ``field`` within each stack (``groupby`` = the stack id).
 
     Negative values stack downward apart from positives (offset 'zero');
@@ -183,8 +178,7 @@ def stack(df: DataFrame, field: str, groupby: Sequence[str], sort: Sequence | No
     v = F.col(field).cast("double")
     sign = F.when(v < 0, F.lit(-1)).otherwise(F.lit(1))
     signed = df.withColumn("_sign", sign)
-    if sort and is_skewed(signed, [*g, "_sign"]):
-        # a stack too large for one task: distributed running sum
+    if sort and distributed:
         out = running(signed.withColumn("_v", v), {as_[1]: ("sum", "_v")}, [*g, "_sign"], order) \
             .drop("_v")
     else:
@@ -215,7 +209,7 @@ VALUE_OPS = {"lag", "lead", "first_value", "last_value", "nth_value"}
 def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
            groupby: Sequence[str] | None = None, frame: tuple = (None, 0),
            ignore_peers: bool = False, tiebreak: Sequence[str] | None = None,
-           distributed: bool | None = None) -> DataFrame:
+           distributed: bool = False) -> DataFrame:
     """``ops = {"cum": ("sum", "x"), "rk": ("rank",), "prev": ("lag", "x", 1)}``.
 
     ``frame`` = (lo, hi) row offsets, None = unbounded, default (None, 0).
@@ -225,18 +219,17 @@ def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
     explicit order to be deterministic, so a sort is required.
 
     Spark's window operator gives each group to one task. For few or skewed
-    groups pass ``distributed=True`` (``dwindow.window_distributed``): row numbers
+    groups pass ``distributed=True`` (``dwindow.window_distributed``; the caller's choice,
+    never made by size): row numbers
     from a range-partitioned scan, everything else by joins on row numbers.
     """
     g = _as_list(groupby)
     order = _sort_cols(sort)
     if not order:
         raise ValueError("window needs an explicit sort (row order is not defined otherwise)")
-    if distributed is None:
-        # adaptive: Spark's window operator unless some group is too large for one
-        # task and every requested op has a distributed form
-        distributed = _distributable(ops, frame, ignore_peers) and is_skewed(df, g)
     if distributed:
+        if not _distributable(ops, frame, ignore_peers):
+            raise ValueError("an op of this window has no distributed form; call window without distributed=True for it")
         # skewed / low-cardinality group keys: no group is ever held by one task
         from .dwindow import window_distributed
         return window_distributed(df, ops, sort, g, frame, _as_list(tiebreak))
@@ -322,11 +315,11 @@ def window_peer_frame(df: DataFrame, name: str, op: str, field: str | None, sort
     order = _sort_cols(sort) + _sort_cols(tiebreak)
     sort_names = [s if isinstance(s, str) else None for s in _as_list(sort)]
     sort_names = [s.lstrip("-") if s else None for s in sort_names]
-    val = F.lit(1.0) if op == "count" else F.col(field).cast("double")
+    val = F.lit(1.0) if op == "count" and field is None else F.col(field).cast("double") if op != "count" else F.when(F.col(field).isNotNull(), 1.0)
     # row numbers and prefix sums from the distributed scan: no group in one task
-    t = running(df.withColumn("_val", val).withColumn("_one", F.lit(1.0)),
-                {"_rn": ("row_number",), "_ps": ("sum", "_val"), "_pc": ("sum", "_one")}, g, order)
-    t = t.drop("_val", "_one")
+    t = running(df.withColumn("_val", val),
+                {"_rn": ("row_number",), "_ps": ("sum", "_val"), "_pc": ("count", "_val")}, g, order)
+    t = t.drop("_val")
     sizes = t.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")) if g else None
     t = join_on(t, sizes, g) if g else t.withColumn("_n", F.lit(t.count()))
     # the numbered table feeds five self-joins below: checkpoint it once
@@ -347,9 +340,11 @@ def window_peer_frame(df: DataFrame, name: str, op: str, field: str | None, sort
     ps_before = look.select(*g, (F.col("_rn") + 1).alias("_e0"), F.col("_ps").alias("_s0"),
                             F.col("_pc").alias("_c0"))
     t = join_on(join_on(t, ps_at, g + ["_e1"], "left"), ps_before, g + ["_e0"], "left")
-    s = F.col("_s1") - F.coalesce(F.col("_s0"), F.lit(0.0))
-    c = F.col("_c1") - F.coalesce(F.col("_c0"), F.lit(0.0))
-    res = {"sum": s, "count": c.cast("bigint"), "mean": s / c, "average": s / c}[op]
+    c = F.col("_c1") - F.coalesce(F.col("_c0"), F.lit(0))
+    # a frame of nulls only has no sum and no mean
+    s = F.when(c > 0, F.coalesce("_s1", F.lit(0.0)) - F.coalesce("_s0", F.lit(0.0)))
+    mean = F.try_divide(s, c.cast("double"))
+    res = {"sum": s, "count": c.cast("bigint"), "mean": mean, "average": mean}[op]
     res = F.when(F.col("_i0") <= F.col("_i1"), res)
     keep = [x for x in df.columns]
     return t.select(*keep, res.alias(name))

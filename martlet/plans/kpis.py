@@ -110,16 +110,21 @@ def state_revenue_cards(fact: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- dashboard tabs
 
+def _keyed(fact: DataFrame, *keys: str) -> DataFrame:
+    """The rows whose group keys are all known."""
+    return fact.dropna(subset=list(keys))
+
+
 def monthly_segment_revenue(fact: DataFrame) -> DataFrame:
-    """D1."""
-    return fact.groupBy("year_month", segment().alias("seg")) \
+    """D1. Rows without a group key are left out, here and in the other tabs."""
+    return _keyed(fact, "year_month", "is_rural").groupBy("year_month", segment().alias("seg")) \
                .agg(dbl(F.sum("line_total")).alias("line_total")) \
                .orderBy("year_month", "seg")
 
 
 def payment_revenue_mix(fact: DataFrame) -> DataFrame:
     """Revenue by method and its share of the total."""
-    g = fact.groupBy("method").agg(F.sum("line_total").alias("rev"))
+    g = _keyed(fact, "method").groupBy("method").agg(F.sum("line_total").alias("rev"))
     total = F.sum("rev").over(Window.partitionBy())  # one row per method
     return g.select("method", dbl("rev").alias("line_total"),
                     round_half_up(_share(F.col("rev"), total), 2).alias("share_pct")) \
@@ -128,14 +133,14 @@ def payment_revenue_mix(fact: DataFrame) -> DataFrame:
 
 def delivery_trend(fact: DataFrame) -> DataFrame:
     """D3: mean delivery days by (month, segment)."""
-    return fact.groupBy("year_month", segment().alias("segment")) \
+    return _keyed(fact, "year_month", "is_rural").groupBy("year_month", segment().alias("segment")) \
                .agg(F.avg("delivery_days").alias("avg_days")) \
                .orderBy("year_month", "segment")
 
 
 def repeat_rate_filtered(fact: DataFrame) -> DataFrame:
     """Share of customers with more than one order in the (filtered) fact."""
-    per = fact.groupBy("customer_id").agg(F.countDistinct("order_id").alias("n"))
+    per = _keyed(fact, "customer_id").groupBy("customer_id").agg(F.countDistinct("order_id").alias("n"))
     return per.agg(round_half_up(_share(F.sum((F.col("n") > 1).cast("int")), F.count(F.lit(1))), 1)
                    .alias("repeat_rate_pct"))
 
@@ -162,7 +167,7 @@ def age_band_revenue(fact: DataFrame) -> DataFrame:
 
 def seller_leaderboard(fact: DataFrame, k: int = 20) -> DataFrame:
     """Top sellers; rating depends on the seller only, so max() = first()."""
-    g = fact.groupBy("seller_id", "seller_name").agg(
+    g = _keyed(fact, "seller_id", "seller_name").groupBy("seller_id", "seller_name").agg(
         F.sum("line_total").alias("rev"),
         F.countDistinct("order_id").alias("orders"),
         round_half_up(F.avg(F.col("on_time").cast("int")) * 100, 1).alias("on_time_pct"),
@@ -174,7 +179,7 @@ def seller_leaderboard(fact: DataFrame, k: int = 20) -> DataFrame:
 
 def category_table(fact: DataFrame) -> DataFrame:
     """Revenue, margin and margin % (1 dp) per category."""
-    g = fact.groupBy("category").agg(F.sum("line_total").alias("rev"), F.sum("margin").alias("mar"))
+    g = _keyed(fact, "category").groupBy("category").agg(F.sum("line_total").alias("rev"), F.sum("margin").alias("mar"))
     return g.select("category", dbl("rev").alias("revenue"), dbl("mar").alias("margin"),
                     round_half_up(_share(F.col("mar"), F.col("rev")), 1).alias("margin_pct")) \
             .orderBy(F.desc("revenue"), "category")
@@ -182,7 +187,7 @@ def category_table(fact: DataFrame) -> DataFrame:
 
 def state_segment_revenue(fact: DataFrame) -> DataFrame:
     """D8."""
-    return fact.groupBy("state", segment().alias("seg")) \
+    return _keyed(fact, "state", "is_rural").groupBy("state", segment().alias("seg")) \
                .agg(dbl(F.sum("line_total")).alias("line_total")).orderBy("state", "seg")
 
 
@@ -202,7 +207,7 @@ def rural_urban_split(fact: DataFrame) -> DataFrame:
 
 def top_sellers_by_name(fact: DataFrame, k: int = 10) -> DataFrame:
     """By seller name (sellers sharing a name merge)."""
-    return fact.groupBy("seller_name").agg(dbl(F.sum("line_total")).alias("line_total")) \
+    return _keyed(fact, "seller_name").groupBy("seller_name").agg(dbl(F.sum("line_total")).alias("line_total")) \
                .orderBy(F.desc("line_total"), "seller_name").limit(k)
 
 

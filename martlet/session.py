@@ -95,13 +95,19 @@ def configure(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) create a private scratch folder."""
+    """The shared folder named by ``spark.checkpoint.dir``, else the one already set on
+    the context. Only a local master, where all tasks share the machine, may go without:
+    then a private scratch folder is made; on a cluster that is an error."""
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if path:
         sc.setCheckpointDir(path)
         return path
+    given = sc._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get()
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     global _LOCAL_CKPT
     if _LOCAL_CKPT is None:
         _LOCAL_CKPT = tempfile.mkdtemp(prefix="martlet-ckpt-")

@@ -6,6 +6,7 @@ nothing passes through the driver, and a rerun task rewrites its own file.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -33,11 +34,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("year
                   mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
     """S3: Parquet partitioned by month (month filters prune whole folders).
 
-    No shuffle to the partition column (a month holding a third of the rows would
-    land in one task): each task sorts its own rows by the partition column and
-    writes one file per month it holds, split at ``max_records_per_file``."""
+    Rows are rebalanced on the partition column first: a month's rows meet in few
+    tasks and so in few files, and Spark splits a month that is too large for one
+    task. Files end at ``max_records_per_file`` rows."""
     parts = list(partition_by)
-    out = df.sortWithinPartitions(*parts) if parts else df
+    out = df.hint("rebalance", *parts).sortWithinPartitions(*parts) if parts else df
     w = out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if parts:
         w = w.partitionBy(*parts)
@@ -59,8 +60,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def content_fingerprint(df: DataFrame) -> DataFrame:
     """Order-insensitive table fingerprint: row count and the sum of per-row
     64-bit hashes (as a decimal, so the sum cannot overflow and does not depend on
-    row order or partitioning)."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
+    row order or partitioning). The hash covers the column names and which values are
+    null, as a null alone leaves a row's hash unchanged."""
+    parts = [p for c in df.columns for p in (F.lit(c), F.col(c).isNull(), F.col(c))]
+    h = F.xxhash64(*parts).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(h), F.lit(0)).alias("hash_sum"))
 
 
@@ -135,11 +138,15 @@ def limit_rows(df: DataFrame, max_rows: int = 5000) -> DataFrame:
 
 # ---------------------------------------------------------------- S12 sequence source
 
-def sequence_source(spark: SparkSession, start: int, stop: int | None = None, step: int = 1,
+def sequence_source(spark: SparkSession, start: float, stop: float | None = None, step: float = 1,
                     as_: str = "data") -> DataFrame:
-    """Numbers start..stop (exclusive) as a distributed range."""
+    """Numbers start..stop (exclusive) as a distributed range; fractions give doubles."""
     if stop is None:
         start, stop = 0, start
+    if any(isinstance(v, float) and v != int(v) for v in (start, stop, step)):
+        n = max(0, math.ceil((stop - start) / step))
+        return spark.range(n).select((F.lit(float(start)) + F.col("id") * F.lit(float(step))).alias(as_))
+    start, stop, step = int(start), int(stop), int(step)
     return spark.range(start, stop, step).select(F.col("id").alias(as_))
 
 
