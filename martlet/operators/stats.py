@@ -526,7 +526,8 @@ def quantize_bucket(df: DataFrame, field: str, n: int, as_: str = "bucket") -> D
     hi = df.agg(F.max(field)).scalar()
     # a constant column has one bucket, the first
     idx = F.floor(F.coalesce(F.try_divide((F.col(field) - lo).cast("double"), (hi - lo).cast("double")), F.col(field) * 0.0) * n)
-    return df.withColumn(as_, F.least(F.greatest(idx, F.lit(0)), F.lit(n - 1)).cast("int"))
+    bucket = F.least(F.greatest(idx, F.lit(0)), F.lit(n - 1)).cast("int")
+    return df.withColumn(as_, F.when(F.col(field).isNotNull(), bucket))
 
 
 def threshold_bucket(df: DataFrame, field: str, cuts: Sequence[float], as_: str = "bucket") -> DataFrame:
