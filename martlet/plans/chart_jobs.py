@@ -380,7 +380,7 @@ def t16_window_distributed(spark, d):
                       "second_value": ("nth_value", "value", 2, (None, 0)),
                       "running_sum": ("sum", "value", None, (None, 0)),
                       "moving_avg": ("mean", "value", None, (-3, 0))},
-                  sort=["ts", "event_id"], groupby=["event_type"], distributed=True)
+                  sort=["ts", "event_id"], groupby=["event_type"], ignore_peers=True, distributed=True)
     a = tf.joinaggregate(a, {"group_max": ("max", "value")}, ["event_type"])
     a = tf.window(a, {"rk": ("rank",), "drk": ("dense_rank",), "prk": ("percent_rank",),
                       "cd": ("cume_dist",)}, sort=["day"], groupby=["event_type"], tiebreak=["ts", "event_id"],
