@@ -1,30 +1,34 @@
 """Tree helpers (E16): node -> ancestors list and the path between two nodes.
 
-The walk is a recursive CTE evaluated by Spark (each step is a distributed join of
-the frontier with the edge table), not a driver loop.
+The walk doubles its reach with every round: a table of jumps over 1, 2, 4, ... parents is joined
+to itself and to what is known so far, so a tree of any depth takes a logarithmic number of joins.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def ancestors(edges: DataFrame, node: str = "node", parent: str = "parent",
-              max_depth: int = 100) -> DataFrame:
-    """(node, ancestor, depth) rows: depth 0 is the node itself, then up to the root."""
-    spark = edges.sparkSession
-    view = f"edges_{uuid.uuid4().hex[:8]}"
-    edges.select(F.col(node).alias("node"), F.col(parent).alias("parent")).createOrReplaceTempView(view)
-    return spark.sql(f"""
-        WITH RECURSIVE walk(node, ancestor, depth) AS (
-          SELECT node, node, 0 FROM {view}
-          UNION ALL
-          SELECT w.node, e.parent, w.depth + 1 FROM walk w JOIN {view} e ON e.node = w.ancestor
-          WHERE w.depth < {max_depth})
-        SELECT node, ancestor, depth FROM walk""")
+from ..session import cut_lineage
+
+
+def ancestors(edges: DataFrame, node: str = "node", parent: str = "parent") -> DataFrame:
+    """(node, ancestor, depth) rows: depth 0 is the node itself, then up to the root. A null
+    parent marks a root. A cycle is an error."""
+    e = cut_lineage(edges.select(F.col(node).alias("node"), F.col(parent).alias("parent")))
+    jumps = e.filter("parent IS NOT NULL").select("node", F.col("parent").alias("to"))
+    ids = e.select("node").union(jumps.select("to")).distinct()
+    n_ids, step = ids.count(), 1
+    known = ids.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"))
+    while not jumps.isEmpty():
+        if step >= n_ids:
+            raise ValueError("the edges have a cycle")
+        further = known.select(F.col("node").alias("to"), "ancestor", (F.col("depth") + step).alias("depth"))
+        known = cut_lineage(known.unionByName(jumps.join(further, "to").select("node", "ancestor", "depth")))
+        second = jumps.select(F.col("node").alias("to"), F.col("to").alias("next"))
+        jumps = cut_lineage(jumps.join(second, "to").select("node", F.col("next").alias("to")))
+        step *= 2
+    return known.join(e.select("node").distinct(), "node", "left_semi")
 
 
 def tree_ancestors(edges: DataFrame, **kw) -> DataFrame:

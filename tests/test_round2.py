@@ -133,3 +133,12 @@ def test_fact_files_are_few(spark, tmp_path):
     df = spark.range(20_000).select(F.format_string("2020-%02d", (F.col("id") % 12 + 1)).alias("year_month"), "id").repartition(16)
     io.write_parquet(df, str(tmp_path / "f"))
     assert len(list((tmp_path / "f").rglob("*.parquet"))) <= 3 * 12
+
+
+def test_deep_trees_and_cycles(spark):
+    from martlet.operators.hierarchy import ancestors, tree_ancestors
+    chain = spark.range(1, 201).select(F.col("id").alias("node"), (F.col("id") - 1).alias("parent"))
+    got = {r.node: r.ancestors for r in tree_ancestors(chain).collect()}
+    assert got[200] == list(range(200, -1, -1)) and got[1] == [1, 0] and len(got) == 200
+    with pytest.raises(ValueError):
+        ancestors(spark.createDataFrame([(1, 2), (2, 1)], "node int, parent int"))
