@@ -12,6 +12,15 @@ SF = "/root/testdata/sf0.001"
 EDGES = [(900, None), (901, ""), (902, " \n\t "), (903, "one"), (904, "word " * 6000), (905, "word " * 6000)]
 
 
+@pytest.fixture(scope="module")
+def docs_of(spark):
+    """A documents table from (id, text) pairs, with columns whose names clash with helper columns."""
+    def make(rows, partitions=3):
+        df = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], "doc_id long, text string, id string, n int, h1 string")
+        return df.repartition(partitions) if rows else df
+    return make
+
+
 def test_chain_learns_and_keeps_clean_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

@@ -13,6 +13,15 @@ from martlet.llm.substring_dedup import LENGTH, dedup_substrings
 EDGES = [(900, None), (901, ""), (902, " \n\t "), (903, "one"), (904, "two words"), (905, "two words"), (906, "x" * 30_000)]
 
 
+@pytest.fixture(scope="module")
+def docs_of(spark):
+    """A documents table from (id, text) pairs, with columns whose names clash with helper columns."""
+    def make(rows, partitions=3):
+        df = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], "doc_id long, text string, id string, n int, h1 string")
+        return df.repartition(partitions) if rows else df
+    return make
+
+
 def one_edit(a, b):
     if abs(len(a) - len(b)) > 1:
         return False
