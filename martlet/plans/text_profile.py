@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Characters treated as ordinary ASCII markup (not counted as
 # punctuation noise), and the noise-measure thresholds.
 SAFE_ASCII = "<>=:/&;{}[],|\"-()"
@@ -347,19 +349,23 @@ def letter_profile(docs: DataFrame, top: int | None = None) -> DataFrame:
     return out.filter(F.col("rank") <= top) if top else out
 
 
-def language_coherence(docs: DataFrame, top: int = 26, max_shift: int = 4) -> DataFrame:
+def language_coherence(docs: DataFrame, max_shift: int = 4) -> DataFrame:
     """Score each document against each language profile: share of the
-    document's top letters whose rank differs by at most ``max_shift`` from the
+    document's letters whose rank differs by at most ``max_shift`` from the
     language's rank (our definition); scores >= 0.1 kept, best first per document.
-    Documents with 32 letters or fewer are skipped."""
-    profile = letter_profile(docs, top).select(F.col("lang").alias("profile_lang"), "letter",
-                                               F.col("rank").alias("p_rank"))
-    per_doc = letters(docs, keep=("doc_id",)).groupBy("doc_id", "letter") \
-        .agg(F.count(F.lit(1)).alias("n"))
+    Documents with 32 letters or fewer are skipped. The texts are read once: letters
+    per document are counted, and the profiles are sums of these counts."""
+    # (language, document, letter) counts, read by the profiles and the documents
+    counts = cut_lineage(letters(docs, keep=("lang", "doc_id")).groupBy("lang", "doc_id", "letter")
+                         .agg(F.count(F.lit(1)).alias("n")))
+    by_lang = Window.partitionBy("lang").orderBy(F.desc("n"), "letter")
+    profile = counts.groupBy("lang", "letter").agg(F.sum("n").alias("n")) \
+        .select(F.col("lang").alias("profile_lang"), "letter", F.row_number().over(by_lang).alias("p_rank"))
+    per_doc = counts.groupBy("doc_id", "letter").agg(F.sum("n").alias("n"))
     tot = per_doc.groupBy("doc_id").agg(F.sum("n").alias("n_letters"))
     # per-document window: one row per distinct letter of the document
     w = Window.partitionBy("doc_id").orderBy(F.desc("n"), "letter")
-    ranked = per_doc.withColumn("d_rank", F.row_number().over(w)).filter(F.col("d_rank") <= top)
+    ranked = per_doc.withColumn("d_rank", F.row_number().over(w))
     ranked = ranked.join(tot, "doc_id").filter(F.col("n_letters") > COHERENCE_MIN_LETTERS)
     n_top = ranked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_top"))
     j = ranked.join(profile, "letter")
