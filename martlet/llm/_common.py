@@ -8,6 +8,7 @@ they may be broadcast at any input size.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,14 +20,19 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, ship_package
 
 #: Bytes of text that a numpy kernel handles at once.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 #: Bits of a scan bitmap (4 MB).
 BITMAP_BITS = 25
+#: Rows of an Arrow batch where the session has Spark's default: documents are long rows.
+BATCH_ROWS = 1000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Checkpoint folder of the session, and the package for the Python workers."""
+    """Checkpoint folder of the session, Arrow batches of moderate size, and the package for the
+    Python workers."""
     ensure_checkpoint_dir(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     ship_package(spark)
     return spark
 
@@ -36,9 +42,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint: the rows are written once to the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """A reliable checkpoint: the rows are written once to the shared checkpoint folder. What was
+    shuffled for them is then of no use; Spark drops it when the driver collects its garbage, which
+    is asked for here, so that the disks hold one step's shuffles and not all."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    out = df.checkpoint(eager=True)
+    del df
+    gc.collect()
+    spark._jvm.System.gc()
+    return out
 
 
 def text_chunks(batch: pa.RecordBatch, column: int, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -158,17 +171,25 @@ def in_bitmap(bm: np.ndarray, h: np.ndarray, bits: int = BITMAP_BITS) -> np.ndar
     return (bm[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) != 0
 
 
-def likely_rows(rows: DataFrame, wanted: DataFrame, id_column: str = "id") -> DataFrame:
-    """The rows whose id is probably in ``wanted`` (all that are, and few others): what a join with
-    ``wanted`` has to shuffle."""
-    some = rows.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.xxhash64(id_column).alias("h")), "h"))
+def split_rows(rows: DataFrame, wanted: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose keys are probably in ``wanted``: all that are, and few others; all other rows).
+    The first are what a join with ``wanted`` has to shuffle."""
+    some = rows.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.xxhash64(*keys).alias("h")), "h"))
     n = len(rows.columns)
 
-    def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(b.columns[:n], names=b.schema.names[:n]).filter(pa.array(in_bitmap(some.value, b.column(n).to_numpy())))
+    def part(inside: bool):
+        def run(batches):
+            for b in batches:
+                hit = in_bitmap(some.value, b.column(n).to_numpy())
+                yield pa.RecordBatch.from_arrays(b.columns[:n], names=b.schema.names[:n]).filter(pa.array(hit == inside))
+        return rows.withColumn("__h", F.xxhash64(*keys)).mapInArrow(run, rows.schema)
+
+    return part(True), part(False)
+
 
-    return rows.withColumn("__h", F.xxhash64(id_column)).mapInArrow(run, rows.schema)
+def likely_rows(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """The rows whose keys are probably in ``wanted``."""
+    return split_rows(rows, wanted, *(keys or ("id",)))[0]
 
 
 # --- connected components -----------------------------------------------------------------------

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ._common import combine, components, cut, likely_rows, mix, prepare, table, text_chunks, words
 
 #: log2 of the counters of the frequency sketch, and the shared shingles that a pair needs at least.
-SKETCH_BITS, LEAST_SHARED = 22, 4
+SKETCH_BITS, LEAST_SHARED = 21, 4
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int) -> list[np.ndarray]:
@@ -71,7 +71,7 @@ def sketch(rows: DataFrame, size: int) -> np.ndarray:
             for _, _, data, offs in text_chunks(b, 1):
                 waiting += [(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int32) for s in shingle_sets(data, offs, size)]
                 many += len(data)
-                if many > 16 << 20:
+                if many > 8 << 20:
                     total += np.bincount(np.concatenate(waiting), minlength=len(total))
                     waiting, many = [], 0
         if waiting:
