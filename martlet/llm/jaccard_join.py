@@ -38,6 +38,8 @@ from ._common import combine, components, cut, likely_rows, mix, prepare, table,
 
 #: log2 of the counters of the frequency sketch, and the shared shingles that a pair needs at least.
 SKETCH_BITS, LEAST_SHARED = 21, 4
+#: Neighbours of a group that the first join verifies; what they leave apart is left to the second.
+NEIGHBOURS = 3
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int) -> list[np.ndarray]:
@@ -166,6 +168,9 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text: str = "te
             .withColumn("g2", F.lag("g").over(by)).withColumn("n2", F.lag("n").over(by))
             .filter("g2 IS NOT NULL").filter(fits).groupBy("g2", "g", "n2", "n").agg(F.count(F.lit(1)).alias("c"))
             .filter(_enough("n", "n2", F.col("c"), num, den)))
+    # of each group's neighbours (at most one a prefix shingle) those that share most
+    best = Window.partitionBy("g").orderBy(F.desc("c"), "g2")
+    near = near.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= NEIGHBOURS)
     chain = members.withColumn("a", F.lag("rep").over(Window.partitionBy("g").orderBy("rep"))).filter("a IS NOT NULL")
     links = cut(_verified(near.select(F.col("g").alias("a"), F.col("g2").alias("b")).union(chain.select("a", F.col("rep").alias("b"))),
                           rows, size, num, den))
@@ -190,7 +195,8 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text: str = "te
         inside.select("g", F.col("rep").alias("b"), F.col("comp").alias("cb")), "g").filter("a < b")
     late = wide.select("a", "b", "ca", "cb").unionByName(own.select("a", "b", "ca", "cb")).filter("ca <> cb")
     more = cut(_verified(late, rows, size, num, den))
-    final = components(links.union(more))
+    found_so_far = placed.filter(F.col("rep") != F.col("comp")).select(F.col("rep").alias("a"), F.col("comp").alias("b"))
+    final = components(found_so_far.union(more))
 
     reps = classes.select("n", "d1", "d2", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left")
     out = (feats.select("id", "n", "d1", "d2").join(reps, ["n", "d1", "d2"], "left")
