@@ -12,12 +12,11 @@ as soon as their rank is unique:
    the same seed at the same offset, so sampling loses none; about one position in 35 is left. The
    seeds are grouped by their hash. A seed that stands in one document only is unique: all windows
    that chose it are dropped.
-2. Doubling: the next rank of a position is the pair of its rank and that of the position one seed
-   further on each side, which is as much as the whole run of windows that chose the seed, its
-   context, holds. Seeds whose context is the same wherever they stand are done: all their windows
-   repeat, and the smallest id has the first ones.
-3. Threshold: only where one seed stands in different contexts (at the borders of repeats) are its
-   single windows of LENGTH bytes ranked, by document and hash.
+2. Doubling: the next rank of a position joins its rank to what stands on both sides of it, out to
+   the whole run of windows that chose the seed, its context (LENGTH to LENGTH + 68 bytes). Where a
+   context stands in a smaller id too, all its windows repeat; seeds with one context only are done.
+3. Threshold: of seeds with different contexts (at the borders of repeats), every context is taken
+   once, where it stands first, and its single windows of LENGTH bytes are ranked.
 
 Ranks are 64-bit fingerprints instead of sort positions; windows have a second one. Each step is
 an aggregate on a key, so a string that a third of all documents hold is combined before it is
@@ -40,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import bitmap, byte_sums, cut, in_bitmap, mix, prepare, span, table, text_chunks
+from ._common import bitmap, byte_sums, combine, cut, in_bitmap, mix, prepare, span, split_rows, table, text_chunks
 
 #: Bytes of a repeated string, and of the seeds that positions are first ranked by.
 LENGTH, SEED = 100, 32
@@ -118,18 +117,13 @@ def _ranked(rows: DataFrame, kind: str) -> DataFrame:
     return rows.mapInArrow(run, f"q bigint, c bigint, id {kind}")
 
 
-def _windows_of(rows: DataFrame, kind: str, mixed: np.ndarray) -> DataFrame:
-    """(w1, w2, q, id) of the windows of seeds in the bitmap of mixed ones, once a document."""
-    known = rows.sparkSession.sparkContext.broadcast(mixed)  # 2**BITMAP_BITS bits
+def _place(s: Seeds, at: np.ndarray, c: np.ndarray, ih: np.ndarray) -> np.ndarray:
+    """Key of (seed, context, document) of the seeds ``at``."""
+    return combine([s.q[at], c, ih[s.doc[at]].view(np.uint64)])
 
-    def run(batches):
-        for b in batches:
-            for part, s in _chunks(b):
-                owner, _, w1, w2 = s.windows(np.flatnonzero(in_bitmap(known.value, s.q)))
-                if len(owner):
-                    yield pa.RecordBatch.from_arrays([_signed(w1), _signed(w2), part.column(0).take(pa.array(s.doc[owner]))], names=["w1", "w2", "id"])
 
-    return rows.mapInArrow(run, f"w1 bigint, w2 bigint, id {kind}")
+def _hash_of(part: pa.RecordBatch) -> np.ndarray:
+    return part.column(3).to_numpy()
 
 
 def _own_repeats(s: Seeds) -> np.ndarray:
@@ -153,22 +147,51 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text")
     """(id, t: hash of the text, first, last): runs of window starts, by byte position
     in the document, whose windows start earlier as well."""
     prepare(df.sparkSession)
-    rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("t")).filter("id IS NOT NULL")
+    rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("t"),
+                     F.xxhash64(id_column).alias("ih")).filter("id IS NOT NULL")
     kind = rows.schema["id"].dataType.simpleString()
+    spark = df.sparkSession
 
-    # ranks of SEED bytes, with the next rank (the context) beside them: unique seeds are dropped
+    # ranks of SEED bytes: unique seeds are dropped; ``done``: one context only
     ranks = cut(_ranked(rows, kind).groupBy("q")
                 .agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("id").alias("i0"), F.max("id").alias("i1"))
-                .filter("i0 <> i1").select("q", (F.col("lo") == F.col("hi")).alias("done"), "i0"))
-    spark = df.sparkSession
+                .filter("i0 <> i1").select("q", (F.col("lo") == F.col("hi")).alias("done"), F.col("lo").alias("c"), "i0"))
     seeds = spark.sparkContext.broadcast(bitmap(ranks, "q"))
-    mixed_bits = bitmap(ranks.filter("NOT done"), "q")
-    mixed = spark.sparkContext.broadcast(mixed_bits)
+    mixed = spark.sparkContext.broadcast(bitmap(ranks.filter("NOT done"), "q"))
 
-    # at the borders of repeats: single windows, with the smallest id that has them
-    windows = cut(_windows_of(rows, kind, mixed_bits).groupBy("w1", "w2")
-                  .agg(F.min("id").alias("i0"), F.max("id").alias("i1")).filter("i0 <> i1").select("w1", "w2", "i0"))
+    # doubled: contexts of the others, each with the smallest id that has it
+    def contexts(batches):
+        for b in batches:
+            for part, s in _chunks(b):
+                at = np.flatnonzero(in_bitmap(mixed.value, s.q))
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([_signed(s.q[at]), _signed(s.context()[at]), part.column(0).take(pa.array(s.doc[at]))],
+                                                     names=["q", "c", "id"])
 
+    firsts = cut(rows.mapInArrow(contexts, f"q bigint, c bigint, id {kind}").groupBy("q", "c").agg(F.min("id").alias("i0")))
+
+    def placed(batches):
+        for b in batches:
+            q, c, ih = (b.column(k).to_numpy().view(np.uint64) for k in range(3))
+            yield pa.RecordBatch.from_arrays([_signed(combine([q, c, ih]))], names=["h"])
+
+    places = spark.sparkContext.broadcast(bitmap(firsts.select("q", "c", F.xxhash64("i0").alias("ih")).mapInArrow(placed, "h bigint"), "h"))
+
+    # of every context, once, where it stands first: single windows and the smallest id that has them
+    def first_windows(part, s):
+        at = np.flatnonzero(in_bitmap(mixed.value, s.q))
+        at = at[in_bitmap(places.value, _place(s, at, s.context()[at], _hash_of(part)))]
+        return s.windows(at)
+
+    def windows_of(batches):
+        for b in batches:
+            for part, s in _chunks(b):
+                owner, _, w1, w2 = first_windows(part, s)
+                if len(owner):
+                    yield pa.RecordBatch.from_arrays([_signed(w1), _signed(w2), part.column(0).take(pa.array(s.doc[owner]))], names=["w1", "w2", "id"])
+
+    windows = cut(rows.mapInArrow(windows_of, f"w1 bigint, w2 bigint, id {kind}").groupBy("w1", "w2")
+                  .agg(F.min("id").alias("i0"), F.max("id").alias("i1")).filter("i0 <> i1").select("w1", "w2", "i0"))
     repeated = spark.sparkContext.broadcast(bitmap(windows, "w1"))
 
     def seeds_in_question(batches):
@@ -178,13 +201,14 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text")
                 if len(at):
                     base, doc = s.offs[s.doc[at]], pa.array(s.doc[at])
                     yield pa.RecordBatch.from_arrays(
-                        [_signed(s.q[at]), part.column(0).take(doc), part.column(2).take(doc), pa.array((s.first[at] - base).astype(np.int32)),
-                         pa.array((s.last[at] - base).astype(np.int32))], names=["q", "id", "t", "first", "last"])
+                        [_signed(s.q[at]), _signed(s.context()[at]), part.column(0).take(doc), part.column(2).take(doc),
+                         pa.array((s.first[at] - base).astype(np.int32)), pa.array((s.last[at] - base).astype(np.int32))],
+                        names=["q", "c", "id", "t", "first", "last"])
 
     def windows_in_question(batches):
         for b in batches:
             for part, s in _chunks(b):
-                owner, start, w1, w2 = s.windows(np.flatnonzero(in_bitmap(mixed.value, s.q)))
+                owner, start, w1, w2 = first_windows(part, s)
                 keep = np.flatnonzero(in_bitmap(repeated.value, w1))
                 if len(keep):
                     doc = s.doc[owner[keep]]
@@ -193,10 +217,12 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text")
                     yield pa.RecordBatch.from_arrays([_signed(w1[keep]), _signed(w2[keep]), part.column(0).take(doc), part.column(2).take(doc), at],
                                                      names=["w1", "w2", "id", "t", "first"])
 
-    whole = (rows.mapInArrow(seeds_in_question, f"q bigint, id {kind}, t bigint, first int, last int")
-             .join(ranks.filter("done").select("q", "i0"), "q").filter("i0 < id").select("id", "t", "first", "last"))
-    single = (rows.mapInArrow(windows_in_question, f"w1 bigint, w2 bigint, id {kind}, t bigint, first int")
-              .join(windows, ["w1", "w2"]).filter("i0 < id").select("id", "t", "first", F.col("first").alias("last")))
+    # whole contexts that stand in a smaller id, and windows of first contexts that do
+    first_of = ranks.filter("done").select("q", "c", "i0").unionByName(firsts)
+    whole = cut(rows.mapInArrow(seeds_in_question, f"q bigint, c bigint, id {kind}, t bigint, first int, last int")
+                .join(first_of, ["q", "c"]).filter("i0 < id").select("id", "t", "first", "last"))
+    single = cut(rows.mapInArrow(windows_in_question, f"w1 bigint, w2 bigint, id {kind}, t bigint, first int")
+                 .join(windows, ["w1", "w2"]).filter("i0 < id").select("id", "t", "first", F.col("first").alias("last")))
     return whole.unionByName(single)
 
 
@@ -212,7 +238,9 @@ def dedup_substrings(df: DataFrame, id_column: str = "doc_id", text: str = "text
     per = spans.groupBy("id", "t").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     per = cut(per.select("id", "t", "spans.first", "spans.last"))
     rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))
-    joined = rows.join(per, ["id", "t"], "left").select("id", "text", "first", "last")
+    touched, others = split_rows(rows, per, "id", "t")  # only the first are shuffled
+    joined = touched.join(per, ["id", "t"], "left").select("id", "text", "first", "last")
+    alone = others.select("id", "text", *[F.lit(None).cast("array<int>").alias(c) for c in ("first", "last")])
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"{id_column} {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if keep_text else "")
     names = [id_column, "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_text else [])]
@@ -247,7 +275,7 @@ def dedup_substrings(df: DataFrame, id_column: str = "doc_id", text: str = "text
                 cols = [part.column(0), *(pa.array(v, pa.int64()) for v in (size, gone, spans)), pa.array(digest, pa.string())]
                 yield pa.RecordBatch.from_arrays([*cols, *([pa.array(kept, pa.binary())] if keep_text else [])], names=names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).unionByName(alone.mapInArrow(run, schema))
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
