@@ -8,7 +8,9 @@ they may be broadcast at any input size.
 
 from __future__ import annotations
 
+import atexit
 import gc
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +56,25 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut``, but as a Parquet table in the checkpoint folder: for many narrow rows it takes
+    a fraction of a checkpoint's room. The table goes when the driver's Python ends."""
+    spark, schema = df.sparkSession, df.schema
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    del df
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def text_chunks(batch: pa.RecordBatch, column: int, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Consecutive rows ``lo:hi`` with the bytes of their texts (null: none) and their offsets."""
     col = batch.column(column).cast(pa.large_binary())

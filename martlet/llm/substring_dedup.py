@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import bitmap, byte_sums, combine, cut, in_bitmap, mix, prepare, span, split_rows, table, text_chunks
+from ._common import bitmap, byte_sums, combine, in_bitmap, mix, prepare, span, split_rows, stored, table, text_chunks
 
 #: Bytes of a repeated string, and of the seeds that positions are first ranked by.
 LENGTH, SEED = 100, 32
@@ -153,7 +153,7 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text")
     spark = df.sparkSession
 
     # ranks of SEED bytes: unique seeds are dropped; ``done``: one context only
-    ranks = cut(_ranked(rows, kind).groupBy("q")
+    ranks = stored(_ranked(rows, kind).groupBy("q")
                 .agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("id").alias("i0"), F.max("id").alias("i1"))
                 .filter("i0 <> i1").select("q", (F.col("lo") == F.col("hi")).alias("done"), F.col("lo").alias("c"), "i0"))
     seeds = spark.sparkContext.broadcast(bitmap(ranks, "q"))
@@ -168,7 +168,7 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text")
                     yield pa.RecordBatch.from_arrays([_signed(s.q[at]), _signed(s.context()[at]), part.column(0).take(pa.array(s.doc[at]))],
                                                      names=["q", "c", "id"])
 
-    firsts = cut(rows.mapInArrow(contexts, f"q bigint, c bigint, id {kind}").groupBy("q", "c").agg(F.min("id").alias("i0")))
+    firsts = stored(rows.mapInArrow(contexts, f"q bigint, c bigint, id {kind}").groupBy("q", "c").agg(F.min("id").alias("i0")))
 
     def placed(batches):
         for b in batches:
@@ -190,7 +190,7 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text")
                 if len(owner):
                     yield pa.RecordBatch.from_arrays([_signed(w1), _signed(w2), part.column(0).take(pa.array(s.doc[owner]))], names=["w1", "w2", "id"])
 
-    windows = cut(rows.mapInArrow(windows_of, f"w1 bigint, w2 bigint, id {kind}").groupBy("w1", "w2")
+    windows = stored(rows.mapInArrow(windows_of, f"w1 bigint, w2 bigint, id {kind}").groupBy("w1", "w2")
                   .agg(F.min("id").alias("i0"), F.max("id").alias("i1")).filter("i0 <> i1").select("w1", "w2", "i0"))
     repeated = spark.sparkContext.broadcast(bitmap(windows, "w1"))
 
@@ -219,9 +219,9 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text")
 
     # whole contexts that stand in a smaller id, and windows of first contexts that do
     first_of = ranks.filter("done").select("q", "c", "i0").unionByName(firsts)
-    whole = cut(rows.mapInArrow(seeds_in_question, f"q bigint, c bigint, id {kind}, t bigint, first int, last int")
+    whole = (rows.mapInArrow(seeds_in_question, f"q bigint, c bigint, id {kind}, t bigint, first int, last int")
                 .join(first_of, ["q", "c"]).filter("i0 < id").select("id", "t", "first", "last"))
-    single = cut(rows.mapInArrow(windows_in_question, f"w1 bigint, w2 bigint, id {kind}, t bigint, first int")
+    single = (rows.mapInArrow(windows_in_question, f"w1 bigint, w2 bigint, id {kind}, t bigint, first int")
                  .join(windows, ["w1", "w2"]).filter("i0 < id").select("id", "t", "first", F.col("first").alias("last")))
     return whole.unionByName(single)
 
@@ -236,7 +236,7 @@ def dedup_substrings(df: DataFrame, id_column: str = "doc_id", text: str = "text
     """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept: the remaining bytes]) of every row."""
     spans = repeated_spans(df, id_column, text)
     per = spans.groupBy("id", "t").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    per = cut(per.select("id", "t", "spans.first", "spans.last"))
+    per = stored(per.select("id", "t", "spans.first", "spans.last"))
     rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))
     touched, others = split_rows(rows, per, "id", "t")  # only the first are shuffled
     joined = touched.join(per, ["id", "t"], "left").select("id", "text", "first", "last")
