@@ -4,8 +4,10 @@ A text is made canonical - lower case, copyright lines dropped, punctuation and
 single blanks, equivalent spellings made one - and the SHA-256 of the result is looked up among
 the digests of the known licence texts, which go through the very same expressions. Two units are
 looked up: the whole document, and each of its lines as a text of its own (notices stand on a line
-amid other text). Everything is DataFrame expressions and one join on the digest; the side of the
-known licences has as many rows as the fixed list below.
+amid other text). No spelling changes the first characters of a word, so a unit that begins like no
+known text needs no digest: its first characters are part of the key. Everything is DataFrame
+expressions and one join on the digest; the side of the known licences has as many rows as the fixed
+list below.
 
 Defined cases: a null or empty text, or one of nothing but copyright lines and punctuation, is no
 licence; repeated rows of one id count as one document with all their lines; a table without rows
@@ -73,40 +75,51 @@ NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE US
 
 #: Copyright lines: a whole line that begins with the word or its sign.
 COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+COPYRIGHT_START = r"^[ \t]*(copyright|\(c\)|©|all rights reserved)"
 #: Punctuation and white space; letters and digits of any script stay.
-LAYOUT = "[\\x00-/:-@\\[-`{-\\x7F «»‐-―‘-‟…  ]+"
+LAYOUT = "[\\x00-/:-@\\[-`{-\\x7F «»‐-―‘-‟…  ]+"
+#: No spelling above changes the first characters of what it replaces, so these are a key too.
+KEY = 3
 
 
-def canonical(text: Column) -> Column:
-    """Lower case, without copyright lines, punctuation and layout, in one spelling."""
-    kept = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
-    plain = F.trim(F.regexp_replace(F.replace(kept, F.lit("&"), F.lit(" and ")), LAYOUT, " "))
-    return reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, plain)
+def plain_lines(text: Column) -> Column:
+    """The lines of a text in lower case, without copyright lines, punctuation and layout; lines of
+    which nothing is left are dropped. Joined by a blank they are the plain text."""
+    def plain(line: Column) -> Column:
+        low = F.lower(line)
+        return F.when(low.rlike(COPYRIGHT_START), "").otherwise(
+            F.trim(F.regexp_replace(F.replace(low, F.lit("&"), F.lit(" and ")), LAYOUT, " ")))
 
+    return F.filter(F.transform(F.split(text, "\n", -1), plain), lambda x: x != "")
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical text, null if nothing is left of it."""
-    c = canonical(text)
-    return F.when(c != "", F.sha2(c, 256))
+
+def digest(plain: Column) -> Column:
+    """SHA-256 of a plain text in one spelling, null if it is empty."""
+    one = reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, plain)
+    return F.when(plain != "", F.sha2(one, 256))
 
 
 def known_digests(spark: SparkSession) -> DataFrame:
-    """(digest, license) of the fixed list: one row per text."""
-    rows = spark.createDataFrame([(n, t) for n, t in KNOWN], "license string, known string")
-    return rows.select(digest(F.col("known")).alias("digest"), "license").distinct()
+    """(digest, key: first characters, license) of the fixed list: one row per text."""
+    fixed = F.array(*[F.struct(F.lit(n).alias("license"), F.lit(t).alias("known")) for n, t in KNOWN])
+    rows = spark.range(1).select(F.explode(fixed).alias("k")).select("k.*")
+    plain = F.array_join(plain_lines(F.col("known")), " ")
+    return rows.select(digest(plain).alias("digest"), F.substring(plain, 1, KEY).alias("key"), "license").distinct()
 
 
 def scan_licenses(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: (id, text_license: licence that the whole text is, n_license_lines: lines that
     are a licence or notice, line_licenses: their names, sorted)."""
     known = known_digests(prepare(df.sparkSession))
-    docs = df.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    lines = F.filter(F.split("t", "\n", -1), lambda x: x != "")
+    keys = [r[0] for r in known.select("key").distinct().collect()]  # of the fixed list
+    docs = df.select(F.col(id_column).alias("id"), plain_lines(F.coalesce(F.col(text), F.lit(""))).alias("lines"))
+    # the text itself, and those of its lines that begin like a known text
     units = docs.select("id", F.explode(F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), F.col("t").alias("u"))),
-        F.transform(lines, lambda x: F.struct(F.lit(False).alias("whole"), x.alias("u"))))).alias("x"))
-    hits = (units.select("id", "x.whole", digest(F.col("x.u")).alias("digest"))
-            .join(F.broadcast(known), "digest", "left"))  # as many rows as KNOWN
+        F.array(F.struct(F.lit(True).alias("whole"), F.array_join("lines", " ").alias("u"))),
+        F.transform(F.filter("lines", lambda x: F.substring(x, 1, KEY).isin(keys)), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("u"))))).alias("x"))
+    found = F.when(F.substring("x.u", 1, KEY).isin(keys), digest(F.col("x.u")))
+    hits = (units.select("id", "x.whole", found.alias("digest"))
+            .join(F.broadcast(known.select("digest", "license")), "digest", "left"))  # as many rows as KNOWN
     one = F.when(F.col("whole"), F.col("license"))
     line = F.when(~F.col("whole"), F.col("license"))
     return hits.groupBy(F.col("id").alias(id_column)).agg(
