@@ -31,7 +31,9 @@ from ._common import prepare, table
 BLANK = "▁"
 #: Words in each of the two halves of a worker's table of frequent words, and the longest word that
 #: is kept. When the young half is full it becomes the old one, so words in use are never lost.
-KEEP_WORDS, KEEP_LENGTH = 350_000, 48
+KEEP_WORDS, KEEP_LENGTH = 60_000, 48
+#: Answers about pairs of pieces that a worker keeps.
+KEEP_PAIRS = 100_000
 _NEVER = float("inf")
 
 
@@ -103,7 +105,7 @@ class PieceTable:
         key = (one, two)
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) > 1_000_000:
+            if len(self.fits) > KEEP_PAIRS:
                 self.fits.clear()
             known = self.fits[key] = self._compatible(self.right[self.pieces[one]], self.left[self.pieces[two]])
         return known
@@ -184,6 +186,10 @@ class PieceTable:
             before = w
         return got
 
+    def forget(self) -> None:
+        """Drop the words and pairs kept: between tasks a worker holds the vocabulary only."""
+        self.young, self.old, self.fits, self.differs = {}, {}, {}, {}
+
     def words_of(self, texts: list[str]) -> Iterator[tuple[list[str], list[str]]]:
         """The words of each text, and the ids of each word as text with a blank behind each id."""
         lists = [self.word.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
@@ -259,7 +265,7 @@ def piece_table(model_file: str) -> PieceTable:
 
 
 #: Characters of text that are encoded together.
-CHUNK = 1_500_000
+CHUNK = 400_000
 
 
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[list[str]]:
@@ -288,6 +294,7 @@ def encode_column(df: DataFrame, model_file: str, text: str = "text", ids: str =
             got = pa.array([np.fromstring("".join(said) + tail, np.int32, sep=" ") for part in _texts(b, at) for _, said in codec.words_of(part)],
                            pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*b.columns, got], names=[*b.schema.names, ids])
+        codec.forget()
 
     return df.mapInArrow(run, schema)
 
@@ -328,6 +335,7 @@ def round_trip(df: DataFrame, model_file: str, id_column: str = "doc_id", text:
                 z.append(hashlib.sha256(codec.finish(codec.decoded(words))).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count, pa.int64()), pa.array(a), pa.array(z)],
                                              names=[id_column, "n_tokens", "ids_sha256", "decoded_sha256"])
+        codec.forget()
 
     return df.mapInArrow(run, schema)
 

@@ -35,7 +35,7 @@ from ._common import prepare, table
 
 #: Pre-tokens below one leaf of the stored tree, pre-tokens kept in a worker's table of counts, and
 #: the longest one that is kept.
-LEAF, KEEP, KEEP_LENGTH = 32, 300_000, 40
+LEAF, KEEP, KEEP_LENGTH = 32, 200_000, 40
 EDITS = "array<struct<start:int,end:int,replacement:string>>"
 
 
