@@ -39,7 +39,7 @@ from ._common import combine, components, cut, likely_rows, mix, prepare, table,
 #: log2 of the counters of the frequency sketch, and the shared shingles that a pair needs at least.
 SKETCH_BITS, LEAST_SHARED = 21, 4
 #: Neighbours of a group that the first join verifies; what they leave apart is left to the second.
-NEIGHBOURS = 3
+NEIGHBOURS = 8
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int) -> list[np.ndarray]:
