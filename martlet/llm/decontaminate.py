@@ -15,8 +15,9 @@ the benchmark's side, and the documents' side of that join may be split. Items s
 ``MIN_TILE`` words are one seed as a whole.
 
 Defined cases: null or empty texts and items have no words and match nothing; repeated document
-rows are judged together (the largest coverage counts); repeated items are one item per id; an
-empty benchmark contaminates nothing. Other columns are ignored.
+rows are judged together (the largest coverage counts); every distinct text of an item id, a null
+id too, is a passage of its own that is searched, and the best covered one is reported for the id;
+an empty benchmark contaminates nothing. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -115,8 +116,8 @@ def tile(a: np.ndarray, b: np.ndarray, size: int) -> list[tuple[int, int, int]]:
 
 
 def _items(benchmark: DataFrame, item_column: str, text: str) -> DataFrame:
-    """(item, words, seeds) of every item."""
-    rows = benchmark.select(F.col(item_column).alias("item"), F.col(text).alias("text")).filter("item IS NOT NULL").dropDuplicates(["item"])
+    """(passage: a number of its own, item, words, seeds) of every distinct (item id, text)."""
+    rows = benchmark.select(F.col(item_column).alias("item"), F.col(text).alias("text")).distinct()
     kind = rows.schema["item"].dataType.simpleString()
 
     def run(batches):
@@ -129,15 +130,17 @@ def _items(benchmark: DataFrame, item_column: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.slice(lo, hi - lo).column(0), pa.array(words, pa.list_(pa.int64())),
                                                   pa.array(seeds, pa.list_(pa.int64()))], names=["item", "words", "seeds"])
 
-    return rows.mapInArrow(run, f"item {kind}, words array<bigint>, seeds array<bigint>")
+    return cut(rows.mapInArrow(run, f"item {kind}, words array<bigint>, seeds array<bigint>")
+               .withColumn("passage", F.monotonically_increasing_id()))
 
 
 def match_items(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", item_column: str = "item_id",
                 item_text: str = "text") -> DataFrame:
-    """Every (id, item) pair with a common tile: n_words of the item, n_covered, n_tiles, coverage."""
+    """Every (id, item) pair with a common tile: n_words, n_covered, n_tiles and coverage of the
+    item's best covered passage."""
     spark = prepare(docs.sparkSession)
-    items = cut(_items(benchmark, item_column, item_text))
-    seeds = items.select("item", F.explode("seeds").alias("seed"))
+    items = _items(benchmark, item_column, item_text)
+    seeds = items.select("passage", F.explode("seeds").alias("seed"))
     size = MIN_TILE
     known = spark.sparkContext.broadcast(bitmap(seeds, "seed"))  # 2**BITMAP_BITS bits
     # items of fewer words than a tile: their whole sequence is looked for, by its length
@@ -172,9 +175,9 @@ def match_items(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id"
     likely = cut(rows.mapInArrow(run, f"id {kind}, words array<bigint>, seeds array<bigint>")
                  .withColumn("row", F.monotonically_increasing_id()))
     pairs = (likely.select("row", F.explode("seeds").alias("seed")).join(seeds, "seed")
-             .select("row", "item").distinct())
+             .select("row", "passage").distinct())
     both = (pairs.join(likely.select("row", "id", F.col("words").alias("a")), "row")
-            .join(items.select("item", F.col("words").alias("b")), "item").select("id", "item", "a", "b"))
+            .join(items.select("passage", "item", F.col("words").alias("b")), "passage").select("id", "item", "a", "b"))
 
     def tiled(batches):
         for b in batches:
@@ -192,8 +195,8 @@ def match_items(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id"
     out = both.mapInArrow(tiled, f"id {kind}, item {item_kind}, n_words bigint, n_covered bigint, n_tiles bigint")
     return (out.withColumn("coverage", F.col("n_covered") / F.col("n_words"))
             .groupBy(F.col("id").alias(id_column), F.col("item").alias(item_column))
-            .agg(F.max("n_words").alias("n_words"), F.max("n_covered").alias("n_covered"), F.max("n_tiles").alias("n_tiles"),
-                 F.max("coverage").alias("coverage")))
+            .agg(F.max(F.struct("coverage", "n_covered", "n_words", "n_tiles")).alias("best"))
+            .select(id_column, item_column, "best.n_words", "best.n_covered", "best.n_tiles", "best.coverage"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", item_column: str = "item_id", **columns) -> DataFrame:

@@ -199,6 +199,14 @@ def test_reordered_passages_are_found(spark, docs_of):
     assert decontaminate.contaminated(docs_of(rows), bench.limit(0)).collect() == []
 
 
+def test_every_passage_of_an_item_is_searched(spark, docs_of):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(20)) for x in "abc")
+    rows = [(1, f"x {a} y"), (2, f"x {b} y"), (3, f"x {c} y"), (4, "nothing of them"), (5, " ".join(a.split()[:12]) + " x " + b)]
+    bench = spark.createDataFrame([(7, a), (7, b), (7, a), (None, c), (None, None)], "item_id long, text string").repartition(3)
+    got = sorted(map(tuple, decontaminate.contaminated(docs_of(rows), bench).collect()), key=str)
+    assert got == [(1, 7, 20, 20, 1, 1.0), (2, 7, 20, 20, 1, 1.0), (3, None, 20, 20, 1, 1.0), (5, 7, 20, 20, 1, 1.0)]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
