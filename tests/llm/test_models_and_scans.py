@@ -1,6 +1,7 @@
 """Toxicity, token counts, licences, urls, tokens, neighbours, decontamination and the pipeline."""
 
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -75,6 +76,27 @@ def test_licences(docs_of):
     assert license_scan.scan_licenses(docs_of([])).collect() == []
 
 
+def test_whole_licences_with_title_copyright_and_comment_signs(docs_of):
+    title = {"MIT": "The MIT License (MIT)", "ISC": "ISC License", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License"}
+    texts = [*license_scan.KNOWN[:2], *license_scan.whole_texts()]
+    assert {n for n, _ in texts} >= {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0"}
+    rows, want = [], {}
+    for name, text in texts:
+        for sign in ("", "# ", "// ", " * ", "dnl ", "REM "):
+            lines = [title.get(name, ""), "", "Copyright (c) 2020 A. Person", "(c) 2021 B. Person", *text.split("\n")]
+            want[len(rows)] = name
+            rows.append((len(rows), "\n".join(sign + x for x in lines)))
+    mit, bsd = license_scan.KNOWN[0][1], dict(license_scan.whole_texts())["BSD-3-Clause"]
+    narrow = "\n".join("\n".join(textwrap.wrap(p, 30)) for p in mit.split("\n\n"))
+    other = bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ").replace("the University", "Some Company, Inc.")
+    for name, text in [("MIT", "MIT License\n" + narrow), ("BSD-3-Clause", other), ("ISC", " ".join(license_scan.KNOWN[1][1].split())),
+                       (None, mit + "\nbut not on Sundays"), (None, "MIT License")]:
+        want[len(rows)] = name
+        rows.append((len(rows), text))
+    got = {r.doc_id: r.text_license for r in license_scan.scan_licenses(docs_of(rows)).collect()}
+    assert {k: (want[k], got[k]) for k in want if want[k] != got[k]} == {}
+
+
 def test_no_spelling_changes_first_characters():
     assert all(a[:license_scan.KEY] == b[:license_scan.KEY] for a, b in license_scan.SPELLINGS)
 
