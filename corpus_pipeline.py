@@ -2,7 +2,8 @@
 
 Every stage takes all documents that the one before kept. ``run`` writes each stage's result as
 Parquet under the session's checkpoint folder, reads it again for the next, and drops the folder of
-the stage before it.
+the stage before it. Rows are told apart by ids of their own: those with a null or a repeated
+``doc_id`` are documents like all others.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.llm import decontaminate, jaccard_join, line_dedup, sentencepiece_codec, toxicity
-from martlet.llm._common import table
+from martlet.llm._common import cut, own_ids, table
 from martlet.session import ensure_checkpoint_dir
 
 #: Words of a shingle and similarity (in hundredths) of near duplicates.
@@ -34,17 +35,22 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component of near duplicates the document of smallest id stays."""
-    groups = jaccard_join.jaccard_components(docs, size=SHINGLE, num=SIMILAR, den=100)
-    others = groups.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("__id"))
-    return docs.join(others, docs["doc_id"] == others["__id"], "left_anti")
+    """Of every component of near duplicates the document of smallest id stays, one without an id
+    only if none has one; of rows that share that id, one."""
+    own = own_ids(docs, "__own", repeats=True)
+    groups = jaccard_join.jaccard_components(own, id_column="__own", size=SHINGLE, num=SIMILAR, den=100).filter("n_shingles > 0")
+    rows = cut(groups.select("__own", "component_id").join(own.select("__own", "doc_id"), "__own"))
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__own")).alias("x"))
+    others = rows.join(first.select("x.__own"), "__own", "left_anti").select(F.col("__own").alias("__id"))
+    return own.join(others, own["__own"] == others["__id"], "left_anti").select(*docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark item in them go."""
-    leaks = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    leaks = leaks.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(leaks, docs["doc_id"] == leaks["__id"], "left_anti")
+    own = own_ids(docs, "__own", repeats=True)
+    leaks = decontaminate.contaminated(own, table(spark, sf_dir, "benchmark"), id_column="__own")
+    leaks = leaks.select(F.col("__own").alias("__id")).distinct()
+    return own.join(leaks, own["__own"] == leaks["__id"], "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir, ship_package
 
@@ -213,6 +214,35 @@ def likely_rows(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
     return split_rows(rows, wanted, *(keys or ("id",)))[0]
 
 
+def own_ids(df: DataFrame, name: str, id_column: str = "doc_id", text: str = "text", repeats: bool = False) -> DataFrame:
+    """``df`` with a column ``name``: the id, and for rows without one (with ``repeats`` also for
+    rows whose id other rows have) an id of the row's own behind all others, by the texts' digests.
+    Only such rows, and with ``repeats`` few others, are stored for it; their old id stays."""
+    prepare(df.sparkSession)
+    col = F.col(id_column)
+    kind = df.schema[id_column].dataType
+    if not isinstance(kind, (T.IntegralType, T.StringType)):
+        raise TypeError(f"{id_column}: ids are integers or strings, not {kind.simpleString()}")
+    whole = isinstance(kind, T.IntegralType)
+    plain = col.cast("bigint") if whole else col
+    if repeats:
+        odd = cut(df.groupBy(id_column).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | col.isNull()).select(id_column))
+        if odd.isEmpty():
+            return df.withColumn(name, plain)
+        some, rest = split_rows(df, odd, id_column)
+    else:
+        if df.filter(col.isNull()).isEmpty():
+            return df.withColumn(name, plain)
+        some, rest = df.filter(col.isNull()), df.filter(col.isNotNull())
+    top = df.agg(F.max(plain)).first()[0]
+    # in one order whatever the partitions; equal rows are dealt over tasks by the last column
+    order = [F.sha2(F.coalesce(text, F.lit("")), 256), F.xxhash64(*df.columns), F.col("__at")]
+    at = F.monotonically_increasing_id()
+    some = some.withColumn("__at", at).orderBy(*order).drop("__at")
+    own = F.lit(top or 0) + 1 + at if whole else F.concat(F.lit(top or ""), F.lpad(at.cast("string"), 20, "0"))
+    return rest.withColumn(name, plain).unionByName(stored(some.withColumn(name, own)))
+
+
 # --- connected components -----------------------------------------------------------------------
 
 def components(edges: DataFrame) -> DataFrame:

@@ -20,7 +20,8 @@ words. Blank lines stay.
 
 Defined cases: a null text stays null and has no lines; an empty text has none to lose; rows that
 repeat an id are told apart by their text, equal rows are kept all alike, each judged as the id's
-lines; a null id sorts behind all others; an empty table gives an empty table. All columns of the
+lines; a row with a null id is a document of its own behind all others, and such rows are ordered by
+their texts' digests; ids are integers or strings; an empty table gives an empty table. All columns of the
 table are kept.
 """
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import cut, likely_rows, prepare, table
+from ._common import cut, likely_rows, own_ids, prepare, table
 
 #: Edits between near lines, and characters of the shortest line that is compared by edits.
 MAX_EDITS, SHORT = 1, 12
@@ -150,10 +151,11 @@ def line_dedup(df: DataFrame, id_column: str = "doc_id", text: str = "text", cou
     """``df`` with the lines removed from its texts, and two more columns (of the names ``counts``,
     replacing columns of these names): lines of the input and lines removed."""
     prepare(df.sparkSession)
-    rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
+    own = own_ids(df, "__own", id_column, text)
+    rows = own.select(F.col("__own").alias("id"), F.col(text).alias("text"))
     lines = _line_rows(rows)
     # the earliest place of every distinct line; equal rows of an id share their lines
-    first = lines.filter("id IS NOT NULL").groupBy("h1", "h2", "id").agg(F.min("k").alias("k"), F.first("keys").alias("keys"))
+    first = lines.groupBy("h1", "h2", "id").agg(F.min("k").alias("k"), F.first("keys").alias("keys"))
     places = cut(first.groupBy("h1", "h2").agg(F.min(F.struct("id", "k")).alias("p"), F.count(F.lit(1)).alias("docs"), F.first("keys").alias("keys"))
                  .select("h1", "h2", "p.id", "p.k", "docs", "keys"))
     near = cut(near_lines(rows, places.filter("keys IS NOT NULL")))
@@ -162,9 +164,9 @@ def line_dedup(df: DataFrame, id_column: str = "doc_id", text: str = "text", cou
     verdict = cut(base.filter("docs > 1 OR near IS NOT NULL").select(
         "h1", "h2", F.least(F.struct(F.col("id").alias("i0"), F.col("k").alias("k0")), F.coalesce("near", F.struct(F.col("id").alias("i0"), F.col("k").alias("k0")))).alias("near")))
     hit = _line_rows(rows, with_keys=False).select("id", "k", "h1", "h2").join(verdict, ["h1", "h2"])
-    gone = hit.filter(F.col("id").isNull() | (F.col("near") < F.struct(F.col("id").alias("i0"), F.col("k").alias("k0")))).select("id", "k", "h1")
+    gone = hit.filter(F.col("near") < F.struct(F.col("id").alias("i0"), F.col("k").alias("k0"))).select("id", "k", "h1")
     per = gone.groupBy(F.col("id").alias("__id")).agg(F.collect_set(F.struct("k", "h1")).alias("__gone"))
-    joined = df.join(per, F.col(id_column).eqNullSafe(F.col("__id")), "left").drop("__id")
+    joined = own.join(per, own["__own"] == per["__id"], "left").drop("__id", "__own")
     return _rebuilt(joined, text, df, counts)
 
 

@@ -248,6 +248,26 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
+def test_pipeline_stages_on_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect() if r.text)
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    docs = spark.createDataFrame(
+        [(None, a), (5, a), (3, a), (None, b), (None, b + " more"), (7, c), (7, c), (7, d), (8, d), (None, ""), (None, None), (9, "x " + item), (None, "y " + item)],
+        "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("int")})
+    docs = docs.select(*spark.read.parquet(f"{SF}/documents.parquet").columns).repartition(4)
+
+    def left(out):
+        assert out.columns == docs.columns
+        return sorted(((r.doc_id, (r.text or "")[:2]) for r in out.collect()), key=str)
+
+    near = left(corpus_pipeline.near_duplicates(spark, docs.filter("doc_id IS NULL OR doc_id <> 9"), SF))
+    assert near == sorted([(3, "a0"), (None, "b0"), (7, "c0"), (7, "d0"), (None, ""), (None, ""), (None, "y ")], key=str)
+    clean = left(corpus_pipeline.benchmark_leaks(spark, docs, SF))
+    assert len(clean) == 11 and not {(9, "x "), (None, "y ")} & set(clean)
+
+
 @pytest.mark.parametrize("name", ["op3_license_scan", "op5_url_filter"])
 def test_sql(spark, duck, name):
     from martlet.llm.queries import ORACLE, QUERIES

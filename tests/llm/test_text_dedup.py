@@ -68,6 +68,15 @@ def test_lines_of_empty_table_and_repeated_rows(docs_of):
     assert sorted((r.doc_id or 9, r.text) for r in got) == [(1, "a line that repeats")] * 2 + [(2, ""), (9, "")]
 
 
+def test_lines_of_rows_without_an_id(docs_of):
+    rows = [(1, "first common line\nan own line of one"), (None, "first common line\nsecond common line"), (None, "second common line\nfirst common lime"),
+            (None, "a line but once"), (None, None)]
+    got = line_dedup(docs_of(rows, 4)).collect()
+    assert [r.text for r in got if r.doc_id] == [rows[0][1]]
+    texts = [r.text for r in got if r.doc_id is None]
+    assert sorted(texts, key=str) == ["", None, "a line but once", "second common line"]
+
+
 def brute_bytes(rows):
     seen, out = set(), {}
     for i, t in sorted(rows):
