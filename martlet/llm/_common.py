@@ -44,6 +44,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint: the rows are written once to the shared checkpoint folder. What was
     shuffled for them is then of no use; Spark drops it when the driver collects its garbage, which

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import prepare, table
+from ._common import free_name, prepare, table
 
 #: Fewest words of a run, and words that are worked on together (more if one text has more).
 LEAST, TOGETHER = 12, 1 << 16
@@ -204,7 +204,7 @@ def periodic_runs(df: DataFrame, text: str = "text", runs: str = "runs", collaps
     prepare(df.sparkSession)
     new = [runs, collapsed]
     keep = [c for c in df.columns if c not in new]
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("__text"))
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias(free_name(df, "__text")))
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(runs, T.ArrayType(RUN, False)), T.StructField(collapsed, T.StringType())])
 
     def run(batches):
