@@ -185,9 +185,12 @@ class Model:
 def _sample(rows: DataFrame) -> DataFrame:
     """(id, lang, text) of the documents to learn from: of each language those of smallest hash."""
     ids = rows.groupBy("id").agg(F.min("lang").alias("lang"))
-    # a limit by rank is applied before the shuffle too, so a hot language sends few rows
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    few = cut(ids.withColumn("rank", rank).filter(F.col("rank") <= PER_LANGUAGE).drop("rank"))
+    # by its number of documents a language gives half as many again as are wanted, whatever its size
+    many = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("many"))
+    part = F.pmod(F.xxhash64("id"), F.lit(1 << 31)) * F.col("many") < F.lit(PER_LANGUAGE * 3 << 30)
+    some = ids.join(many, "lang").filter(part).select("id", "lang")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 31)), "id"))
+    few = cut(some.withColumn("rank", rank).filter(F.col("rank") <= PER_LANGUAGE).drop("rank"))
     texts = rows.join(F.broadcast(few), ["id", "lang"])  # PER_LANGUAGE rows a language
     return texts.groupBy("id", "lang").agg(F.min("text").alias("text"))
 
