@@ -163,7 +163,10 @@ def normalise_dates(df: DataFrame, field: str, as_: str = "parsed", dayfirst: bo
 
 # ---------------------------------------------------------------- C13 / C14 recurrence
 
-FREQS = ("YEARLY", "MONTHLY", "WEEKLY", "DAILY")
+FREQS = ("YEARLY", "MONTHLY", "WEEKLY", "DAILY", "HOURLY", "MINUTELY", "SECONDLY")
+# Sub-daily frequencies: seconds of a step.
+_UNIT = {"HOURLY": 3600, "MINUTELY": 60, "SECONDLY": 1}
+_LAST_DAY = _dt.datetime(9999, 12, 31, 23, 59, 59)
 
 
 def day_table(spark: SparkSession, start, end, step_days: int = 1) -> DataFrame:
@@ -179,6 +182,23 @@ def day_table(spark: SparkSession, start, end, step_days: int = 1) -> DataFrame:
         F.date_add(F.lit(start_d), F.col("id").cast("int")).alias("day"))
 
 
+def _moment(x) -> _dt.datetime:
+    return x if isinstance(x, _dt.datetime) else _dt.datetime.fromisoformat(str(x))
+
+
+def _whole_periods(freq: str, first: _dt.date, last: _dt.date, wkst: int) -> tuple[_dt.date, _dt.date]:
+    """The span of days widened to whole years, months or weeks of the frequency."""
+    if freq == "YEARLY":
+        return first.replace(month=1, day=1), last.replace(month=12, day=31)
+    if freq == "MONTHLY":
+        behind = (last.replace(day=28) + _dt.timedelta(days=4)) if last < _dt.date(9999, 12, 1) else None
+        return first.replace(day=1), (behind - _dt.timedelta(days=behind.day)) if behind else _LAST_DAY.date()
+    if freq == "WEEKLY":
+        more = 6 - (last.weekday() - wkst) % 7
+        return first - _dt.timedelta(days=(first.weekday() - wkst) % 7), last + _dt.timedelta(days=min(more, (_LAST_DAY.date() - last).days))
+    return first, last
+
+
 def recurrence(spark: SparkSession, freq: str, dtstart, until=None, count: int | None = None,
                interval: int = 1, bymonth: Sequence[int] | None = None,
                bymonthday: Sequence[int] | None = None,
@@ -186,26 +206,55 @@ def recurrence(spark: SparkSession, freq: str, dtstart, until=None, count: int |
                byyearday: Sequence[int] | None = None, byweekno: Sequence[int] | None = None,
                bysetpos: Sequence[int] | None = None, byeaster: Sequence[int] | None = None,
                byhour: Sequence[int] | None = None, byminute: Sequence[int] | None = None,
-               bysecond: Sequence[int] | None = None) -> DataFrame:
+               bysecond: Sequence[int] | None = None, wkst: int = 0, within: tuple | None = None) -> DataFrame:
     """Occurrence table (column ``occurrence``, timestamp_ntz) of a recurrence rule.
 
     Weekdays are 0 = Monday ... 6 = Sunday; ``(wd, n)`` is the n-th such weekday of
-    the period (negative from the end). Dates that do not exist (the 31st of a short
-    month) are skipped, never clipped. Time of day is the start's unless
-    ``byhour`` / ``byminute`` / ``bysecond`` expand each day into several times
-    (set positions then count the expanded times of the period). Sub-daily
-    frequencies are not supported."""
+    the month or year (negative from the end; n counts for MONTHLY and YEARLY only);
+    weeks start on ``wkst``. Dates that do not exist (the 31st of a short month) are
+    skipped, never clipped. Time of day is the start's unless ``byhour`` /
+    ``byminute`` / ``bysecond`` expand it; below the frequency's own unit they
+    expand, above it they filter. Set positions count the times of a whole period,
+    also of those that the start or ``until`` cuts.
+
+    A rule without ``until`` and ``count`` goes on for ever: ``within`` = (lo, hi)
+    names the part that is wanted (it may be given with any rule). Only its days are
+    made, as the steps of a rule are found from the day number by congruence, not by
+    walking from the start. A rule with a count is followed as far as it needs."""
     freq = freq.upper()
     if freq not in FREQS:
         raise ValueError(f"freq must be one of {FREQS}")
-    start = dtstart if isinstance(dtstart, _dt.datetime) else _dt.datetime.fromisoformat(str(dtstart))
-    if until is None and count is None:
-        raise ValueError("a rule without end needs until or count")
-    # a count may lie far ahead: the days to the calendar's end are a lazy range
-    stop = until if until is not None else _dt.datetime(9999, 12, 31)
-    if not isinstance(stop, _dt.datetime):
-        stop = _dt.datetime.fromisoformat(str(stop))
-    days = day_table(spark, start.date(), stop.date())
+    start = _moment(dtstart).replace(microsecond=0)
+    if until is None and count is None and within is None:
+        raise ValueError("a rule without end needs until, count or within")
+    stop = _moment(until) if until is not None else _LAST_DAY
+    lo, hi = (_moment(x) for x in within) if within else (start, stop)
+    rule = dict(freq=freq, start=start, interval=interval, bymonth=bymonth, bymonthday=bymonthday, byweekday=byweekday,
+                byyearday=byyearday, byweekno=byweekno, bysetpos=bysetpos, byeaster=byeaster, byhour=byhour, byminute=byminute,
+                bysecond=bysecond, wkst=wkst)
+    if count is None:
+        return _occurrences(spark, max(start, lo), min(stop, hi), **rule)
+    # as far as the count needs: the horizon grows until the rule has given enough
+    days = {"YEARLY": 366, "MONTHLY": 31, "WEEKLY": 7, "DAILY": 1}.get(freq, _UNIT.get(freq, 0) / 86400)
+    ahead = min(count * interval * days, 3_000_000) + 62
+    while True:
+        end = min(stop, start + _dt.timedelta(days=ahead)) if ahead < (stop - start).days else stop
+        t = _occurrences(spark, start, end, **rule)
+        if end == stop or t.count() >= count:
+            break
+        ahead *= 8
+    # the rule's own COUNT: first ``count`` occurrences (the feature, not a cap)
+    t = t.orderBy("occurrence").limit(count)
+    return t.filter((F.col("occurrence") >= F.lit(lo)) & (F.col("occurrence") <= F.lit(hi))) if within else t
+
+
+def _occurrences(spark, lo, hi, freq, start, interval, bymonth, bymonthday, byweekday, byyearday, byweekno, bysetpos, byeaster,
+                 byhour, byminute, bysecond, wkst) -> DataFrame:
+    """The rule's occurrences in [lo, hi], which lies within its bounds."""
+    first, last = _whole_periods(freq, lo.date(), hi.date(), wkst) if lo <= hi else (lo.date(), lo.date() - _dt.timedelta(days=1))
+    if freq == "WEEKLY":
+        first = max(first, start.date())  # the first week counts from the start
+    t = day_table(spark, first, last)
     d = F.col("day")
     wd = F.pmod(F.dayofweek(d) + 5, F.lit(7))  # Monday = 0
     # defaults expanded from the start date when no by-rule names the day
@@ -216,77 +265,85 @@ def recurrence(spark: SparkSession, freq: str, dtstart, until=None, count: int |
             bymonthday = [start.day]
         elif freq == "WEEKLY":
             byweekday = [start.weekday()]
-    conds = []
+    # steps of the rule: the period's number from the start's
+    since = F.datediff(d, F.lit(start.date()))
+    if freq == "YEARLY":
+        step = F.year(d) - start.year
+    elif freq == "MONTHLY":
+        step = F.year(d) * 12 + F.month(d) - (start.year * 12 + start.month)
+    elif freq == "WEEKLY":
+        step = F.floor((since + (start.weekday() - wkst) % 7) / 7)
+    else:
+        step = since
+    if freq not in _UNIT:
+        t = t.filter((step >= 0) & (F.pmod(step, F.lit(interval)) == 0))
+    of_month, of_year = F.dayofmonth(d), F.dayofyear(d)
+    month_days, year_days = F.dayofmonth(F.last_day(d)), F.dayofyear(F.make_date(F.year(d), F.lit(12), F.lit(31)))
     if bymonth:
-        conds.append(F.month(d).isin(list(bymonth)))
+        t = t.filter(F.month(d).isin(list(bymonth)))
     if bymonthday:
-        last = F.dayofmonth(F.last_day(d))
-        md = [F.dayofmonth(d) == k if k > 0 else F.dayofmonth(d) == last + k + 1 for k in bymonthday]
-        conds.append(_any(md))
+        t = t.filter(_any([of_month == (F.lit(k) if k > 0 else month_days + k + 1) for k in bymonthday]))
     if byyearday:
-        ylen = F.dayofyear(F.make_date(F.year(d), F.lit(12), F.lit(31)))
-        yd = [F.dayofyear(d) == k if k > 0 else F.dayofyear(d) == ylen + k + 1 for k in byyearday]
-        conds.append(_any(yd))
+        t = t.filter(_any([of_year == (F.lit(k) if k > 0 else year_days + k + 1) for k in byyearday]))
     if byweekno:
-        # negative numbers count from the last week of the week's own year
-        week_year = F.year(F.date_add(d, (3 - wd).cast("int")))
-        weeks = F.weekofyear(F.make_date(week_year, F.lit(12), F.lit(28)))
-        conds.append(_any([F.weekofyear(d) == k if k > 0 else F.weekofyear(d) == weeks + 1 + k for k in byweekno]))
+        # a week belongs to the year of its fourth day; negative numbers count from that year's last week
+        fourth = F.date_add(d, (3 - F.pmod(wd - wkst, F.lit(7))).cast("int"))
+        number = F.floor((F.dayofyear(fourth) - 1) / 7) + 1
+        rest = F.dayofyear(F.make_date(F.year(fourth), F.lit(12), F.lit(31))) - F.dayofyear(fourth)
+        weeks = number + F.floor(rest / 7)
+        t = t.filter(_any([number == (F.lit(k) if k > 0 else weeks + 1 + k) for k in byweekno]))
     if byeaster:
         e = easter(F.year(d))
-        conds.append(_any([d == F.date_add(e, k) for k in byeaster]))
-    plain_wd = [w for w in (byweekday or []) if not isinstance(w, tuple)]
-    nth_wd = [w for w in (byweekday or []) if isinstance(w, tuple)]
-    # period of the rule
-    if freq == "YEARLY":
-        period = F.year(d)
-        pidx = F.year(d) - start.year
-    elif freq == "MONTHLY":
-        period = F.year(d) * 12 + F.month(d)
-        pidx = period - (start.year * 12 + start.month)
-    elif freq == "WEEKLY":
-        monday = F.date_sub(d, wd.cast("int"))
-        s_monday = start.date() - _dt.timedelta(days=start.weekday())
-        period = F.datediff(monday, F.lit(s_monday))
-        pidx = F.floor(period / 7)
-    else:
-        period = F.datediff(d, F.lit(start.date()))
-        pidx = period
-    t = days.withColumn("_period", period).withColumn("_pidx", pidx).withColumn("_wd", wd)
-    t = t.filter((F.pmod(F.col("_pidx"), F.lit(interval)) == 0) & (F.col("_pidx") >= 0))
-    for cnd in conds:
-        t = t.filter(cnd)
-    if plain_wd or nth_wd:
-        wcond = [F.col("_wd").isin(plain_wd)] if plain_wd else []
-        if nth_wd:
-            # rank of the weekday inside its period (month for MONTHLY or when
-            # bymonth is set, else the year)
-            per = F.year(d) * 12 + F.month(d) if (freq == "MONTHLY" or bymonth) else F.year(d)
-            up = Window.partitionBy(per, "_wd").orderBy("day")
-            down = Window.partitionBy(per, "_wd").orderBy(F.col("day").desc())
-            t = t.withColumn("_nup", F.row_number().over(up)).withColumn("_ndn", F.row_number().over(down))
-            for w, n in nth_wd:
-                wcond.append((F.col("_wd") == w) & ((F.col("_nup") == n) if n > 0 else (F.col("_ndn") == -n)))
-        t = t.filter(_any(wcond))
-    hours = list(byhour) if byhour else [start.hour]
-    minutes = list(byminute) if byminute else [start.minute]
-    seconds = list(bysecond) if bysecond else [start.second]
-    # time-of-day expansion: a bounded literal list (at most 24 x 60 x 60 per day)
-    tods = sorted({h * 3600 + m * 60 + sec for h in hours for m in minutes for sec in seconds})
-    t = t.withColumn("_tod", F.explode(F.array(*[F.lit(x) for x in tods])))
-    t = t.withColumn("occurrence", F.timestamp_add("SECOND", F.col("_tod"), F.col("day").cast("timestamp_ntz")))
+        t = t.filter(_any([d == F.date_add(e, k) for k in byeaster]))
+    if byweekday:
+        named = []
+        for w in byweekday:
+            day, n = w if isinstance(w, tuple) else (w, 0)
+            if not n or freq not in ("YEARLY", "MONTHLY"):
+                named.append(wd == day)
+                continue
+            # its number in the month (also of a yearly rule that names months) or year
+            at, size = (of_month, month_days) if freq == "MONTHLY" or bymonth else (of_year, year_days)
+            place = F.floor((at - 1) / 7) + 1 if n > 0 else F.floor((size - at) / 7) + 1
+            named.append((wd == day) & (place == abs(n)))
+        t = t.filter(_any(named))
+    t = t.withColumn("_second", F.explode(_seconds(freq, start, interval, since, byhour, byminute, bysecond)))
+    t = t.withColumn("occurrence", F.timestamp_add("SECOND", F.col("_second"), d.cast("timestamp_ntz")))
     if bysetpos:
         # per-period windows: a period holds at most one year of candidate times
+        period = step if freq not in _UNIT else F.floor((since.cast("bigint") * 86400 + F.col("_second")) / _UNIT[freq])
+        t = t.withColumn("_period", period)
         up = Window.partitionBy("_period").orderBy("occurrence")
         down = Window.partitionBy("_period").orderBy(F.col("occurrence").desc())
-        t = t.withColumn("_sup", F.row_number().over(up)).withColumn("_sdn", F.row_number().over(down))
-        t = t.filter(_any([(F.col("_sup") == k) if k > 0 else (F.col("_sdn") == -k) for k in bysetpos]))
-    t = t.select("occurrence").filter(
-        (F.col("occurrence") >= F.lit(start)) & (F.col("occurrence") <= F.lit(stop)))
-    if count is not None:
-        # the rule's own COUNT: first ``count`` occurrences (the feature, not a cap)
-        t = t.orderBy("occurrence").limit(count)
-    return t
+        t = t.withColumn("_up", F.row_number().over(up)).withColumn("_down", F.row_number().over(down))
+        t = t.filter(_any([(F.col("_up") == k) if k > 0 else (F.col("_down") == -k) for k in bysetpos]))
+    return t.select("occurrence").filter((F.col("occurrence") >= F.lit(lo)) & (F.col("occurrence") <= F.lit(hi)))
+
+
+def _seconds(freq: str, start: _dt.datetime, interval: int, since: Column, byhour, byminute, bysecond) -> Column:
+    """The seconds of a day at which the rule stands, as an array."""
+    def times(hours, minutes, seconds):
+        return sorted({h * 3600 + m * 60 + x for h in hours for m in minutes for x in seconds})
+
+    if freq not in _UNIT:
+        out = times(byhour or [start.hour], byminute or [start.minute], bysecond or [start.second])
+        return F.array(*[F.lit(x) for x in out])
+    unit = _UNIT[freq]
+    per_day = 86400 // unit
+    # the day's steps: those congruent to the start's modulo the interval
+    at_start = (start.hour * 3600 + start.minute * 60 + start.second) // unit
+    lead = F.pmod(F.lit(at_start) - since.cast("bigint") * per_day, F.lit(interval)).cast("int")
+    steps = F.when(lead < per_day, F.sequence(lead, F.lit(per_day - 1), F.lit(interval))).otherwise(F.array().cast("array<int>"))
+    if byhour:
+        steps = F.filter(steps, lambda x: F.floor(x * unit / 3600).isin(list(byhour)))
+    if byminute and unit < 3600:
+        steps = F.filter(steps, lambda x: F.pmod(F.floor(x * unit / 60), F.lit(60)).isin(list(byminute)))
+    if bysecond and unit == 1:
+        steps = F.filter(steps, lambda x: F.pmod(x, F.lit(60)).isin(list(bysecond)))
+    minutes = (byminute or [start.minute]) if unit == 3600 else [0]
+    seconds = (bysecond or [start.second]) if unit > 1 else [0]
+    inner = times([0], minutes, seconds)
+    return F.flatten(F.transform(steps, lambda x: F.array(*[x * unit + F.lit(k) for k in inner])))
 
 
 def _any(conds: list[Column]) -> Column:

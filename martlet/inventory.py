@@ -178,7 +178,7 @@ _add("C10", "format / parse / names", ["functions.timeunits:time_format", "funct
      ["c10_time_format", "c10_time_parse"])
 _add("C11", "month difference", ["functions.calendar:month_diff"], ["c11_month_diff"])
 _add("C12", "calendar shift", ["functions.calendar:calendar_shift"], ["c12_calendar_shift"])
-_add("C13", "recurrence calendar", ["functions.calendar:recurrence"], ["c13_recurrence"])
+_add("C13", "recurrence calendar", ["functions.calendar:recurrence"], ["c13_recurrence", "c13_nth_weekday", "c13_subdaily"])
 _add("C14", "recurrence set", ["functions.calendar:recurrence_set"], ["c14_recurrence_set"])
 _add("C15", "Easter dates", ["functions.calendar:easter"], ["c15_easter"])
 _add("C16", "DST audit", ["functions.calendar:dst_audit"], ["c16_dst_audit"])

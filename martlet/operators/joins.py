@@ -1,10 +1,9 @@
 """Lookup, membership, as-of and range joins.
 
-All are equi-joins on real or derived keys, so Spark can hash-partition both sides
-(or broadcast a side whose estimated size is under the session threshold). Range
-and as-of conditions are turned into equi-joins on a time bucket plus a filter:
-the event side is never exploded; only the schedule / interval side is replicated
-into the buckets it covers.
+Lookup and membership are equi-joins on real keys, so Spark can hash-partition both
+sides (or broadcast a side whose estimated size is under the session threshold).
+As-of and between put rows and schedule into one order and scan it; the tolerance
+join turns its condition into an equi-join on a time bucket plus a filter.
 """
 
 from __future__ import annotations
@@ -15,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from .ranking import global_row_number
+from .scan import running
 
 
 def _as_list(x) -> list:
@@ -74,80 +75,60 @@ def indata(df: DataFrame, other: DataFrame, field: str, other_field: str | None
              .select(*[df[c] for c in df.columns], F.coalesce(F.col("_hit"), F.lit(False)).alias(as_))
 
 
-# ---------------------------------------------------------------- bucketing helpers
-
-def _day_bucket(c: Column, bucket_days: int) -> Column:
-    return F.floor(F.unix_date(F.to_date(c)) / bucket_days).cast("bigint")
-
-
-def _intervals_into_buckets(iv: DataFrame, lo: str, hi: str, bucket_days: int) -> DataFrame:
-    """Replicate each [lo, hi) interval row into every day bucket it touches."""
-    b0 = _day_bucket(F.col(lo), bucket_days)
-    b1 = _day_bucket(F.coalesce(F.col(hi), F.col(lo)), bucket_days)
-    return iv.withColumn("_b", F.explode(F.sequence(b0, b1)))
-
-
 # ---------------------------------------------------------------- J7 as-of
 
 def asof(df: DataFrame, ts: str, schedule: DataFrame, occ: str = "occurrence",
-         direction: str = "backward", inclusive: bool = True, as_: str | None = None,
-         bucket_days: int = 31) -> DataFrame:
-    """For each row, the last schedule time <= ts (backward) or the first >= ts
-    (forward); strict with ``inclusive=False``.
-
-    The schedule becomes validity intervals [t_i, t_{i+1}) (a window over the
-    schedule table only), replicated into the day buckets each interval covers;
-    rows join on their own bucket and keep the interval containing ts."""
-    as_ = as_ or f"{direction}_{occ}"
-    s = schedule.select(F.col(occ).cast("timestamp_ntz").alias("_t")).distinct()
-    # neighbour of each schedule time through a distributed row number and a
-    # self-join on rn + 1 (the schedule may itself be a large table)
-    ranked = global_row_number(s, ["_t"], "_rn")
-    nxt = ranked.select((F.col("_rn") - 1).alias("_rn"), F.col("_t").alias("_next"))
-    pairs = ranked.join(nxt, "_rn", "left")
-    if direction == "backward":
-        iv = pairs.select(F.col("_t").alias("_lo"), F.col("_next").alias("_hi"), F.col("_t").alias("_v"))
-    else:
-        iv = pairs.select(F.col("_t").alias("_lo"), F.col("_next").alias("_hi"), F.col("_next").alias("_v")) \
-            .unionByName(ranked.filter(F.col("_rn") == 1).select(
-                F.lit(None).cast("timestamp_ntz").alias("_lo"), F.col("_t").alias("_hi"), F.col("_t").alias("_v"))) \
-            .filter(F.col("_v").isNotNull())
-    # open ends: the first (backward) / last (forward) interval is unbounded on one side;
-    # clamp it to the data's range so it stays a finite set of buckets
-    rng = df.agg(F.min(ts).alias("a"), F.max(ts).alias("b"))
-    lo_all, hi_all = rng.select("a").scalar(), rng.select("b").scalar()
-    iv = iv.withColumn("_lo2", F.coalesce(F.col("_lo"), F.least(lo_all, F.col("_hi")))) \
-           .withColumn("_hi2", F.coalesce(F.col("_hi"), F.greatest(hi_all, F.col("_lo"))))
-    ivb = _intervals_into_buckets(iv, "_lo2", "_hi2", bucket_days)
-    t = F.col(ts).cast("timestamp_ntz")
-    left = df.withColumn("_b", _day_bucket(t, bucket_days))
-    if direction == "backward":
-        cond = (F.col("_lo").isNotNull()) & (F.col("_lo") <= t if inclusive else F.col("_lo") < t) & \
-               (F.col("_hi").isNull() | ((t < F.col("_hi")) if inclusive else (t <= F.col("_hi"))))
-    else:
-        cond = (F.col("_hi").isNotNull()) & (t <= F.col("_hi") if inclusive else t < F.col("_hi")) & \
-               (F.col("_lo").isNull() | ((F.col("_lo") < t) if inclusive else (F.col("_lo") <= t)))
-    right = ivb.select(F.col("_b").alias("_b2"), "_lo", "_hi", "_v")
-    # intervals do not overlap, so at most one matches a row: the row count is kept
-    j = left.join(right, (F.col("_b") == F.col("_b2")) & cond, "left")
-    return j.select(*df.columns, F.col("_v").alias(as_))
+         direction: str = "backward", inclusive: bool = True, as_: str | Sequence[str] | None = None,
+         by: Sequence[str] = (), value: str | None = None) -> DataFrame:
+    """For each row, the last schedule time <= ts (backward), the first >= ts
+    (forward), or ``both`` in two columns; strict with ``inclusive=False``. ``by``
+    matches within equal keys; ``value`` returns that schedule column instead of the time.
+
+    Rows and schedule are put into one time order and a segmented scan carries the
+    nearest schedule row to each row: one sort whatever the direction, no time buckets,
+    and neither a dense schedule nor a hot key meets in one task. A null time finds
+    nothing; null schedule times are left out. Of equal schedule times the largest
+    ``value`` counts."""
+    if direction not in ("backward", "forward", "both"):
+        raise ValueError(f"direction {direction!r}: backward, forward or both")
+    by = _as_list(by)
+    names = [f"backward_{occ}", f"forward_{occ}"] if direction == "both" else [f"{direction}_{occ}"]
+    if as_ is not None:
+        names = _as_list(as_)
+    # at equal times a schedule row stands before the rows (0), after them (2), or on both sides
+    wanted = {d: (0 if (d == "backward") == inclusive else 2) for d in (("backward", "forward") if direction == "both" else (direction,))}
+    keys = [f"_by{i}" for i in range(len(by))]
+    time = F.col(occ).cast("timestamp_ntz")
+    found = F.col(value) if value else time
+    times = schedule.select(*[F.col(k).alias(a) for k, a in zip(by, keys)], time.alias("_t"), found.alias("_v")).filter(F.col("_t").isNotNull())
+    times = times.groupBy(*keys, "_t").agg(F.max("_v").alias("_v"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    both = df.select(*[F.col(k).alias(a) for k, a in zip(by, keys)], F.col(ts).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_side"), row.alias("_row"))
+    for side in sorted(set(wanted.values())):
+        marks = [F.when(F.lit(wanted.get(d) == side), F.struct("_v")).alias(f"_{d}") for d in wanted]
+        both = both.unionByName(times.select(*keys, "_t", F.lit(side).alias("_side"), *marks), allowMissingColumns=True)
+    ops = {f"_got_{d}": ("last", f"_{d}", "before" if d == "backward" else "after") for d in wanted}
+    out = running(both, ops, keys, ["_t", "_side"]).filter("_side = 1")
+    return out.select("_row.*", *[F.when(F.col("_t").isNotNull(), F.col(f"_got_{d}._v")).alias(n) for d, n in zip(wanted, names)])
 
 
 # ---------------------------------------------------------------- J8 occurrences between
 
 def between(df: DataFrame, lo: str, hi: str, schedule: DataFrame, occ: str = "occurrence",
-            inclusive: bool = False, bucket_days: int = 31) -> DataFrame:
+            inclusive: bool = False) -> DataFrame:
     """One output row per (input row, schedule time in (lo, hi) or [lo, hi]).
 
-    The input row's [lo, hi] span is replicated into its day buckets and joined to
-    the schedule on the bucket: an equi-join, then the exact bound filter."""
-    s = schedule.select(F.col(occ).cast("timestamp_ntz").alias(occ)).distinct() \
-                .withColumn("_b", _day_bucket(F.col(occ), bucket_days))
-    left = _intervals_into_buckets(df, lo, hi, bucket_days)
-    j = left.join(s, "_b")
-    a, b, t = F.col(lo).cast("timestamp_ntz"), F.col(hi).cast("timestamp_ntz"), F.col(occ)
-    cond = (t >= a) & (t <= b) if inclusive else (t > a) & (t < b)
-    return j.filter(cond).drop("_b")
+    The schedule times are numbered in order and both ends of a row are ranked among
+    them by the as-of scan; the numbers between the ranks are then the row's
+    occurrences, looked up by number. The work beside the sorts is that of the output."""
+    times = schedule.select(F.col(occ).cast("timestamp_ntz").alias(occ)).filter(F.col(occ).isNotNull()).distinct()
+    times = cut_lineage(global_row_number(times, [occ], "_k"))
+    ranked = asof(df, lo, times, occ, inclusive=not inclusive, as_="_a", value="_k")
+    ranked = asof(ranked, hi, times, occ, inclusive=inclusive, as_="_b", value="_k")
+    first, last = F.coalesce("_a", F.lit(0)) + 1, F.coalesce("_b", F.lit(0))
+    some = ranked.filter(F.col(lo).isNotNull() & F.col(hi).isNotNull() & (first <= last))
+    each = some.withColumn("_k", F.explode(F.sequence(first, last))).drop("_a", "_b")
+    return each.join(times, "_k").drop("_k")
 
 
 # ---------------------------------------------------------------- P19 tolerance match

@@ -18,87 +18,179 @@ The numbered rows are checkpointed (reliably, into ``spark.checkpoint.dir``)
 before they are used twice: partition ids come from a sampled range partitioning
 and ``monotonically_increasing_id``, which must not be recomputed differently.
 
-Supported ops are the associative ones: count, sum, mean, min, max and
-row_number. The order must be total (add a unique tie-break).
+Supported ops are the associative ones: count, sum, mean, min, max, row_number,
+last and first (the nearest and the earliest value that is not null), and decayed
+(an exponentially weighted sum; associative as (sum, number of values), though the
+order matters). Every op but row_number and decayed also runs from the group's end
+(``"after"``). The order must be total (add a unique tie-break) unless equal rows
+may stand in any order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .keys import join_on
 
 _LOW33 = (1 << 33) - 1
-SCAN_OPS = ("count", "sum", "mean", "average", "min", "max", "row_number")
+SCAN_OPS = ("count", "sum", "mean", "average", "min", "max", "row_number", "last", "first", "decayed")
+
+
+def _fold(op: str, c: Column) -> Column:
+    """The aggregate (usable over a window) that an op folds its values with."""
+    return {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max,
+            "last": lambda x: F.last(x, ignorenulls=True), "first": lambda x: F.first(x, ignorenulls=True)}[op](c)
+
+
+def _join(op: str, near: Column, far: Column) -> Column:
+    """Values of a segment up to a row (``near``) and of all segments before it (``far``)."""
+    if op in ("count", "sum"):
+        # null as long as no value has been seen, here or in the segments before
+        return F.when(near.isNotNull() | far.isNotNull(), F.coalesce(near, F.lit(0)) + F.coalesce(far, F.lit(0)))
+    if op == "min":
+        return F.least(near, far)
+    if op == "max":
+        return F.greatest(near, far)
+    return F.coalesce(near, far) if op == "last" else F.coalesce(far, near)
+
 
 def running(df: DataFrame, ops: dict[str, tuple], groupby: Sequence[str], order: Sequence) -> DataFrame:
-    """``ops = {"cum": ("sum", "x"), "rn": ("row_number",)}`` -> running values per group."""
+    """``ops = {"cum": ("sum", "x"), "rn": ("row_number",), "left": ("count", "x", "after"),
+    "ema": ("decayed", "x", 0.5)}`` -> running values per group."""
     g = list(groupby)
     cols = list(df.columns)
-    s = df.orderBy(*g, *order).withColumn("_mid", F.monotonically_increasing_id())
-    s = s.withColumn("_pid", F.shiftright("_mid", 33))
-    seg = Window.partitionBy("_pid", *g).orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
-    local, totals, combine = [], [], []
+    s = df.orderBy(*g, *order)
+    parts: list[tuple[str, str, Column, bool]] = []  # (column, op, value, from the end)
+    out: list[Column] = []
+    decayed = []
     for name, spec in ops.items():
         op = spec[0]
         field = spec[1] if len(spec) > 1 else None
+        after = len(spec) > 2 and spec[2] == "after"
         if op not in SCAN_OPS:
             raise ValueError(f"running op {op!r} not supported; use transforms.window")
-        v = F.col(field).cast("double") if field else None
-        if op in ("count", "row_number"):
-            local.append(F.count(F.lit(1) if op == "row_number" else F.col(field)).over(seg).alias(f"_l_{name}"))
-            totals.append(F.count(F.lit(1) if op == "row_number" else F.col(field)).alias(f"_t_{name}"))
-            combine.append((name, "sum"))
-        elif op == "sum":
-            local.append(F.sum(v).over(seg).alias(f"_l_{name}"))
-            totals.append(F.sum(v).alias(f"_t_{name}"))
-            combine.append((name, "sum"))
+        if op == "row_number":
+            parts.append((f"_{name}", "count", F.lit(1), False))
+            out.append(F.col(f"_{name}").alias(name))
         elif op in ("mean", "average"):
-            local.append(F.sum(v).over(seg).alias(f"_l_{name}"))
-            local.append(F.count(v).over(seg).alias(f"_lc_{name}"))
-            totals.append(F.sum(v).alias(f"_t_{name}"))
-            totals.append(F.count(v).alias(f"_tc_{name}"))
-            combine.append((name, "mean"))
+            v = F.col(field).cast("double")
+            parts += [(f"_{name}", "sum", v, after), (f"_n_{name}", "count", v, after)]
+            out.append(F.try_divide(F.col(f"_{name}"), F.col(f"_n_{name}").cast("double")).alias(name))
+        elif op == "decayed":
+            decayed.append((name, field, float(spec[2])))
+            parts.append((f"_n_{name}", "count", _finite(field), False))
+            out.append(F.col(f"_{name}").alias(name))
         else:
-            fn = F.min if op == "min" else F.max
-            local.append(fn(F.col(field)).over(seg).alias(f"_l_{name}"))
-            totals.append(fn(F.col(field)).alias(f"_t_{name}"))
-            combine.append((name, op))
-    s = s.select("*", *local)
+            v = F.col(field).cast("double") if op == "sum" else F.col(field)
+            parts.append((f"_{name}", op, v, after))
+            out.append(F.col(f"_{name}").alias(name))
+    if decayed:
+        s = _decayed_within(s, decayed, g)
+    s = s.withColumn("_mid", F.monotonically_increasing_id())
+    s = s.withColumn("_pid", F.shiftright("_mid", 33))
+    up = Window.partitionBy("_pid", *g).orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("_pid", *g).orderBy(F.col("_mid").desc()).rowsBetween(Window.unboundedPreceding, 0)
     # the numbered rows feed two branches (segment totals and the final join): they
     # are materialised once, so both see the same partition ids even if Spark would
     # re-run the sort (its range bounds are sampled) or lose an executor
-    s = cut_lineage(s)
-    seg_tot = s.groupBy("_pid", *g).agg(*totals)
+    s = cut_lineage(s.select("*", *[_fold(op, v).over(down if after else up).alias(f"_l{c}") for c, op, v, after in parts]))
+    totals = [F.max_by(F.struct(f"_l{c}"), F.when(F.lit(after), -F.col("_mid")).otherwise(F.col("_mid")))[f"_l{c}"].alias(f"_t{c}")
+              for c, _, _, after in parts]
+    totals += [F.max_by(f"_d_{name}", "_mid").alias(f"_td_{name}") for name, _, _ in decayed]
+    segments = s.groupBy("_pid", *g).agg(*totals)
     before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = [F.col("_pid"), *[F.col(k) for k in g]]
-    for name, how in combine:
-        if how == "sum":
-            offs.append(F.sum(f"_t_{name}").over(before).alias(f"_o_{name}"))
-        elif how == "mean":
-            offs.append(F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0.0)).alias(f"_o_{name}"))
-            offs.append(F.coalesce(F.sum(f"_tc_{name}").over(before), F.lit(0)).alias(f"_oc_{name}"))
-        else:
-            fn = F.min if how == "min" else F.max
-            offs.append(fn(f"_t_{name}").over(before).alias(f"_o_{name}"))
+    behind = Window.partitionBy(*g).orderBy(F.col("_pid").desc()).rowsBetween(Window.unboundedPreceding, -1)
     # one row per (partition, group) segment: partitions + groups rows at most
-    offsets = seg_tot.select(*offs)
+    offsets = segments.select("_pid", *g, *[_fold("sum" if op == "count" else op, F.col(f"_t{c}")).over(behind if after else before).alias(f"_o{c}")
+                                            for c, op, _, after in parts])
+    if decayed:
+        offsets = join_on(offsets, _decayed_before(segments, decayed, g), ["_pid", *g])
     j = join_on(s, offsets, ["_pid", *g], "left")
-    out = []
-    for name, how in combine:
-        if how == "sum":
-            # null as long as no value has been seen, here or in the segments before
-            none = F.col(f"_l_{name}").isNull() & F.col(f"_o_{name}").isNull()
-            both = F.coalesce(f"_l_{name}", F.lit(0)) + F.coalesce(f"_o_{name}", F.lit(0))
-            out.append(F.when(~none, both).alias(name))
-        elif how == "mean":
-            out.append(F.try_divide(F.coalesce(f"_l_{name}", F.lit(0.0)) + F.col(f"_o_{name}"),
-                                    (F.col(f"_lc_{name}") + F.col(f"_oc_{name}")).cast("double")).alias(name))
-        else:
-            fn = F.least if how == "min" else F.greatest
-            out.append(F.coalesce(fn(F.col(f"_l_{name}"), F.col(f"_o_{name}")), F.col(f"_l_{name}")).alias(name))
+    j = j.select("*", *[_join(op, F.col(f"_l{c}"), F.col(f"_o{c}")).alias(c) for c, op, _, _ in parts],
+                 *[(F.col(f"_d_{name}") + F.pow(F.lit(1 - alpha), F.col(f"_l_n_{name}")) * F.col(f"_od_{name}")).alias(f"_{name}")
+                   for name, _, alpha in decayed])
     return j.select(*cols, *out)
+
+
+# ------------------------------------------------------------------ exponentially weighted sums
+
+def _finite(field: str) -> Column:
+    """The values that count: neither null nor NaN."""
+    v = F.col(field).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def _decayed_within(s: DataFrame, decayed: list, g: list[str]) -> DataFrame:
+    """Per row and op the sum of alpha (1 - alpha)**k v over the values of its group so far in its
+    sorted partition, k values back each. Spans of 1, 2, 4, ... values are added up, as long as a
+    weight is of any size; the last sum of a batch is carried to the next."""
+    s = s.withColumn("_key", F.struct(*g) if g else F.lit(1))
+    s = s.withColumn("_key", F.xxhash64(F.to_json(F.struct("_key"))))
+    s = s.select("*", *[_finite(field).alias(f"_v_{name}") for name, field, _ in decayed])
+    keep = len(s.columns) - len(decayed) - 1
+    schema = T.StructType([*s.schema.fields[:keep], *[T.StructField(f"_d_{name}", T.DoubleType()) for name, _, _ in decayed]])
+
+    def run(batches):
+        key, sums = None, [0.0] * len(decayed)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = b.column(keep).to_numpy()
+            found = []
+            for k, (_, _, alpha) in enumerate(decayed):
+                v = b.column(keep + 1 + k).to_numpy(zero_copy_only=False).astype(float)
+                some = np.flatnonzero(~np.isnan(v))
+                total = np.zeros(b.num_rows)
+                same = keys[some]
+                x = alpha * v[some]
+                # values of the batch's first group go on from the batch before
+                lead = same == key
+                back = np.cumsum(lead)
+                step, weight = 1, 1 - alpha
+                while step < len(x) and weight > 1e-300:
+                    add = np.where(same[step:] == same[:-step], weight * x[:-step], 0.0)
+                    x[step:] += add
+                    step, weight = 2 * step, weight * weight
+                x = x + np.where(lead, sums[k] * (1 - alpha) ** np.minimum(back, 1 << 40).astype(float), 0.0)
+                # rows without a value repeat the sum before them in their group
+                at = np.searchsorted(some, np.arange(b.num_rows), "right") - 1
+                has = (at >= 0) & (same[np.maximum(at, 0)] == keys) if len(some) else np.zeros(b.num_rows, bool)
+                total[has] = x[at[has]]
+                rest = ~has & (keys == key)
+                total[rest] = sums[k]
+                sums[k] = float(total[-1])
+                found.append(pa.array(total))
+            key = keys[-1]
+            yield pa.RecordBatch.from_arrays([*b.columns[:keep], *found], names=schema.names)
+
+    return s.mapInArrow(run, schema)
+
+
+def _decayed_before(segments: DataFrame, decayed: list, g: list[str]) -> DataFrame:
+    """Per segment the weighted sums of all segments before it: (sum, values) pairs folded in
+    order. A group has at most one row per partition here."""
+    cols = [x for name, _, _ in decayed for x in (f"_td_{name}", f"_t_n_{name}")]
+    rows = segments.select("_pid", *g, *cols)
+    schema = T.StructType([rows.schema["_pid"], *[rows.schema[k] for k in g], *[T.StructField(f"_od_{name}", T.DoubleType()) for name, _, _ in decayed]])
+
+    def fold(pdf):
+        pdf = pdf.sort_values("_pid", ignore_index=True)
+        out = pdf[["_pid", *g]].copy()
+        for name, _, alpha in decayed:
+            so_far, held = 0.0, []
+            for total, n in zip(pdf[f"_td_{name}"], pdf[f"_t_n_{name}"]):
+                held.append(so_far)
+                so_far = total + (1 - alpha) ** float(n) * so_far
+            out[f"_od_{name}"] = held
+        return out
+
+    if g:
+        return rows.groupBy(*g).applyInPandas(fold, schema)
+    return rows.groupBy(F.lit(0)).applyInPandas(fold, schema)

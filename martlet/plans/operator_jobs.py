@@ -94,12 +94,13 @@ def paydays(spark, t: Tables) -> DataFrame:
                           byweekday=[0, 1, 2, 3, 4], bysetpos=[-1])
 
 
+# the last day of every month, moved back over a weekend
 PAYDAY_SQL = """
 span AS (SELECT MIN(o_orderdate) AS a, MAX(o_orderdate) AS b FROM orders),
-days AS (SELECT CAST(g AS TIMESTAMP) AS day FROM span,
-         generate_series(CAST(date_trunc('month', a) AS TIMESTAMP), CAST(b + INTERVAL 40 DAY AS TIMESTAMP), INTERVAL 1 DAY) t(g)),
-bd AS (SELECT day FROM days WHERE dayofweek(day) BETWEEN 1 AND 5),
-payday AS (SELECT MAX(day) AS occurrence FROM bd GROUP BY year(day), month(day)),
+months AS (SELECT CAST(g AS TIMESTAMP) AS month FROM span,
+           generate_series(CAST(date_trunc('month', a) AS TIMESTAMP), CAST(date_trunc('month', b + INTERVAL 40 DAY) AS TIMESTAMP), INTERVAL 1 MONTH) t(g)),
+ends AS (SELECT CAST(last_day(month) AS TIMESTAMP) AS day FROM months),
+payday AS (SELECT day - to_days(CASE dayofweek(day) WHEN 6 THEN 1 WHEN 0 THEN 2 ELSE 0 END) AS occurrence FROM ends),
 paydays AS (SELECT occurrence FROM payday, span WHERE occurrence <= b + INTERVAL 40 DAY)
 """
 
@@ -120,6 +121,48 @@ def c13_recurrence(spark, d):
     return _orders_on(t, paydays(spark, t))
 
 
+@job("c13_nth_weekday", f"""
+WITH span AS (SELECT MIN(o_orderdate) + INTERVAL 9 DAY AS a, MAX(o_orderdate) - INTERVAL 9 DAY AS b FROM orders),
+days AS (SELECT CAST(g AS TIMESTAMP) AS day FROM span, generate_series(CAST(date_trunc('year', a) AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 DAY) t(g)),
+monday AS (SELECT 'first monday' AS rule, day AS occurrence FROM days WHERE dayofweek(day) = 1 AND day(day) <= 7),
+friday AS (SELECT 'last friday', day FROM days WHERE dayofweek(day) = 5 AND month(day + INTERVAL 7 DAY) <> month(day)),
+tuesday AS (SELECT 'second tuesday', day FROM days WHERE dayofweek(day) = 2 AND dayofyear(day) BETWEEN 8 AND 14),
+every AS (SELECT * FROM monday UNION ALL SELECT * FROM friday UNION ALL SELECT * FROM tuesday)
+SELECT rule, occurrence, {ORDERS_ON_SQL} FROM every, span WHERE occurrence BETWEEN a AND b""")
+def c13_nth_weekday(spark, d):
+    """Rules whose first and last period are cut by the start and the end of the orders."""
+    t = T(spark, d)
+    a, b = _span(t)
+    a, b = a + _dt.timedelta(days=9), b - _dt.timedelta(days=9)
+    rules = {"first monday": ("MONTHLY", (0, 1)), "last friday": ("MONTHLY", (4, -1)), "second tuesday": ("YEARLY", (1, 2))}
+    out = None
+    for name, (freq, day) in rules.items():
+        one = _orders_on(t, cal.recurrence(spark, freq, a, until=b, byweekday=[day])).select(F.lit(name).alias("rule"), "occurrence", "orders")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@job("c13_subdaily", """
+WITH span AS (SELECT date_trunc('hour', MIN(ts)) AS a, MAX(ts) AS b FROM events),
+hours AS (SELECT 'seven hours' AS rule, g AS occurrence FROM span, generate_series(a, b, INTERVAL 7 HOUR) t(g)
+          WHERE hour(g) BETWEEN 8 AND 17 AND dayofweek(g) BETWEEN 1 AND 5),
+minutes AS (SELECT 'fifty minutes', g FROM span, generate_series(a, b, INTERVAL 50 MINUTE) t(g) WHERE minute(g) IN (0, 20) AND day(g) = 3),
+every AS (SELECT * FROM hours UNION ALL SELECT * FROM minutes)
+SELECT rule, occurrence, (SELECT COUNT(*) FROM events WHERE date_trunc('hour', ts) = date_trunc('hour', occurrence)) AS events FROM every""")
+def c13_subdaily(spark, d):
+    """Hourly and minutely rules over the span of the events, with the events of each one's hour."""
+    e = T(spark, d).events
+    r = e.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    start = r.a.replace(minute=0, second=0, microsecond=0, tzinfo=None)
+    until = r.b.replace(tzinfo=None)
+    hours = cal.recurrence(spark, "HOURLY", start, until=until, interval=7, byhour=list(range(8, 18)), byweekday=[0, 1, 2, 3, 4])
+    minutes = cal.recurrence(spark, "MINUTELY", start, until=until, interval=50, byminute=[0, 20], bymonthday=[3])
+    every = hours.select(F.lit("seven hours").alias("rule"), "occurrence").unionByName(minutes.select(F.lit("fifty minutes").alias("rule"), "occurrence"))
+    per_hour = e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    j = every.join(per_hour, F.date_trunc("hour", "occurrence").cast("timestamp_ntz") == F.col("hour"), "left")
+    return j.select("rule", "occurrence", F.coalesce("n", F.lit(0)).alias("events"))
+
+
 @job("j7_asof", f"""
 WITH {PAYDAY_SQL}
 SELECT o.o_orderkey, o.o_orderdate,
@@ -130,8 +173,7 @@ def j7_asof(spark, d):
     t = T(spark, d)
     pd_ = paydays(spark, t)
     o = t.orders.select("o_orderkey", "o_orderdate")
-    a = J.asof(o, "o_orderdate", pd_, direction="backward", as_="last_payday")
-    return J.asof(a, "o_orderdate", pd_, direction="forward", as_="next_payday")
+    return J.asof(o, "o_orderdate", pd_, direction="both", as_=["last_payday", "next_payday"])
 
 
 @job("j8_between", f"""
@@ -147,7 +189,7 @@ def j8_between(spark, d):
 
 @job("c14_recurrence_set", f"""
 WITH {PAYDAY_SQL},
-mid AS (SELECT CAST(make_date(year(day), month(day), 15) AS TIMESTAMP) AS occurrence FROM days GROUP BY 1),
+mid AS (SELECT month + INTERVAL 14 DAY AS occurrence FROM months),
 allocc AS (SELECT occurrence FROM paydays UNION SELECT occurrence FROM mid, span WHERE occurrence >= date_trunc('month', a) AND occurrence <= b + INTERVAL 40 DAY)
 SELECT occurrence, {ORDERS_ON_SQL} FROM allocc WHERE month(occurrence) <> 12""")
 def c14_recurrence_set(spark, d):
