@@ -121,7 +121,7 @@ _add("T5", "joinaggregate", ["operators.transforms:joinaggregate"], ["t5_joinagg
 _add("T6", "extent", ["operators.transforms:extent"], ["t6_extent"])
 _add("T7", "flatten", ["operators.transforms:flatten"], ["t7_flatten"])
 _add("T8", "fold", ["operators.transforms:fold"], ["t8_fold"])
-_add("T9", "loess", ["operators.stats:loess"], ["t9_loess"])
+_add("T9", "loess", ["operators.loess:loess"], ["t9_loess"])
 _add("T10", "pivot", ["operators.transforms:pivot"], ["t10_pivot"])
 _add("T11", "quantile", ["operators.transforms:quantile"], ["t11_quantile"])
 _add("T12", "regression", ["operators.stats:regression", "operators.stats:regression_params"],
@@ -154,13 +154,13 @@ _add("A1,A2,A3,A4,A5,A7,A8,A9,A10,A11,A12,A13", "aggregate ops by name", ["opera
 _add("A6", "product", ["operators.aggregates:agg_column"], ["a6_product"])
 _add("A14", "bootstrap confidence interval", ["operators.stats:bootstrap_ci"], ["a14_bootstrap_ci"])
 _add("A15", "values", ["operators.aggregates:agg_column"], ["a15_values"])
-_add("A16,A17", "exponential / exponentialb", ["operators.stats:exponential"], ["a16_exponential"])
+_add("A16,A17", "exponential / exponentialb", ["operators.stats:exponential", "operators.stats:exponential_both"], ["a16_exponential", "a16_running_exponential"])
 
 # ---------------------------------------------------------------- window ops
 _add("W1,W2,W3,W4,W5,W6,W7,W8,W9,W10,W11,W12,W13", "window ops and frames",
      ["operators.transforms:window", "operators.dwindow:window_distributed", "operators.scan:running"],
      ["t16_window", "t16_window_distributed"])
-_add("W14", "frames widened to peer groups", ["operators.transforms:window_peer_frame"], ["w14_peer_frame"])
+_add("W14", "frames widened to peer groups", ["operators.dwindow:window_distributed"], ["w14_peer_frame", "w14_peer_frame_all_ops"])
 _add("W15", "no sort rejected", ["operators.transforms:window"], [], "unit test")
 _add("W16", "SQL windows of the queries", ["operators.ranking:global_ntile"],
      ["q8_payment_mix", "q10_rfm_scores", "q11_growing_categories"])

@@ -1,10 +1,11 @@
 """Aggregate operations by name (A1-A17), usable in aggregate, joinaggregate and window.
 
 ``agg_column(op, field, df)`` returns a Spark aggregate Column. All are built-in
-aggregates (partial + final, so they combine map-side); the percentile family uses
-``percentile`` (exact, linear interpolation, whatever a group's size) or
-``percentile_approx`` when the caller asks for ``approx=True``; no other op is ever
-approximate.
+aggregates (partial + final, so they combine map-side). Ops that are no aggregate of
+their own - percentiles by selection, bootstrap bounds, exponential averages - are
+done by ``transforms.aggregate`` and ``transforms.window``; as a Column a percentile
+is Spark's ``percentile`` (exact; for window frames) or ``percentile_approx`` when
+the caller asks for ``approx=True``.
 """
 
 from __future__ import annotations
@@ -96,5 +97,4 @@ def agg_column(op: str, field: str | None = None, df: DataFrame | None = None,
     if op == "values":
         cols = [F.col(n) for n in df.columns] if df is not None else [c]
         return F.collect_list(F.struct(*cols))
-    raise ValueError(f"unsupported aggregate op {op!r} (ci0/ci1 see stats.bootstrap_ci; "
-                     "exponential see exponential_moving)")
+    raise ValueError(f"aggregate op {op!r} has no Column form; use aggregate, joinaggregate or window")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timeunits import parse_unit, timeunit
-from .aggregates import AGG_OPS, agg_column
+from .aggregates import AGG_OPS
 
 
 def _is_timeunit(op: str) -> bool:
@@ -33,26 +33,30 @@ def channel(spec) -> tuple[str, str | None, str | None]:
 
 def chart_aggregate(df: DataFrame, bin_maxbins: int = 10, **channels) -> DataFrame:
     """``chart_aggregate(df, x=("yearmonth", "ts"), y=("mean", "value"), color="kind")``."""
-    keys: list[Column] = []
-    aggs: list[Column] = []
+    from .transforms import aggregate
+    keys: list[tuple[Column, str]] = []
+    aggs: dict[str, tuple] = {}
     for _, spec in channels.items():
         op, fld, name = channel(spec)
         if op == "field":
-            keys.append(F.col(fld).alias(name))
+            keys.append((F.col(fld), name))
         elif op in AGG_OPS:
-            aggs.append(agg_column(op, fld, df).alias(name))
+            # behind the name: what an ordered op needs (its parameter and the order)
+            aggs[name] = (op, fld, *spec[3:])
         elif op == "bin":
             from .stats import bin_expr, nice_bins
             r = df.agg(F.min(fld).alias("lo"), F.max(fld).alias("hi")).first()
             s, e, st = nice_bins(float(r.lo), float(r.hi), bin_maxbins)
-            keys.append(bin_expr(F.col(fld), s, e, st).alias(name))
+            keys.append((bin_expr(F.col(fld), s, e, st), name))
         elif _is_timeunit(op):
-            keys.append(timeunit(fld, op).alias(name))
+            keys.append((timeunit(fld, op), name))
         else:
             raise ValueError(f"unknown encoding op {op!r}")
     if not aggs:
-        return df.select(*keys).distinct()
-    return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+        return df.select(*[c.alias(n) for c, n in keys]).distinct()
+    held = [f"_key{i}" for i in range(len(keys))]
+    out = aggregate(df.select("*", *[c.alias(h) for (c, _), h in zip(keys, held)]), aggs, held)
+    return out.select(*[F.col(h).alias(n) for (_, n), h in zip(keys, held)], *aggs)
 
 
 def agg(df: DataFrame, groupby=None, **outputs) -> DataFrame:

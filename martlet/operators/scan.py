@@ -193,4 +193,4 @@ def _decayed_before(segments: DataFrame, decayed: list, g: list[str]) -> DataFra
 
     if g:
         return rows.groupBy(*g).applyInPandas(fold, schema)
-    return rows.groupBy(F.lit(0)).applyInPandas(fold, schema)
+    return rows.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(fold, schema)

@@ -1,10 +1,9 @@
-"""Statistical transforms: bin (T2), density (T3), impute (T4), loess (T9),
-regression (T12), boxplot (T22), error extent (T23), scale binning (T26),
-bootstrap confidence interval (A14) and exponential averages (A16, A17).
+"""Statistical transforms: bin (T2), density (T3), impute (T4), regression (T12),
+boxplot (T22), error extent (T23), scale binning (T26), bootstrap confidence interval (A14) and exponential averages (A16, A17).
 
 Work that grows with the data stays in Spark aggregates: a value is reduced to
 per-group sums or to (distinct value, weight) rows before anything else happens.
-Only bounded per-group tables (knots, sums) reach pandas/numpy inside tasks.
+Only bounded per-group tables (power sums) reach pandas/numpy inside tasks.
 """
 
 from __future__ import annotations
@@ -20,7 +19,8 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .keys import join_on
-from .ranking import global_row_number
+from .scan import running
+from .selecting import exact_quantiles
 
 EPSILON = 1e-14
 
@@ -134,8 +134,9 @@ def density(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
     x = F.col(field).cast("double")
     base = df.select(*g, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     stats = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
-                                 _pct(base, F.col("_x"), "_x", g, (0.25, 0.75)).alias("_q"),
                                  F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    if not bandwidth:
+        stats = _attach(stats, exact_quantiles(base, F.col("_x"), (0.25, 0.75), g, "_q"), g)
     bw = F.lit(float(bandwidth)) if bandwidth else \
         scott_bandwidth(F.col("_n"), F.col("_sd"), F.col("_q")[1] - F.col("_q")[0])
     stats = stats.withColumn("_bw", bw)
@@ -215,88 +216,6 @@ def impute(df: DataFrame, field: str, key: str, groupby: Sequence[str] | None =
     return out.drop("_present")
 
 
-# ---------------------------------------------------------------- T9 loess
-
-_LOESS_OUT = T.StructType([T.StructField("_x", T.DoubleType()), T.StructField("_fit", T.DoubleType())])
-
-
-def _loess_knots(pdf: pd.DataFrame, bandwidth: float) -> pd.DataFrame:
-    """Local linear fit with tricube weights at every knot of one group.
-
-    Knots carry (x, count w, sum of y). The neighbourhood of a knot is the span of
-    nearest knots holding bandwidth · n points; distances are scaled by its widest
-    point. No robustness iterations (our definition)."""
-    pdf = pdf.sort_values("_x")
-    x = pdf["_x"].to_numpy(float)
-    w = pdf["_w"].to_numpy(float)
-    sy = pdf["_sy"].to_numpy(float)
-    n_pts = w.sum()
-    need = max(bandwidth * n_pts, 2.0)
-    out = np.empty(len(x))
-    lo, hi = 0, 0
-    cum = np.concatenate([[0.0], np.cumsum(w)])
-    for i in range(len(x)):
-        lo, hi = i, i
-        while cum[hi + 1] - cum[lo] < need and (lo > 0 or hi < len(x) - 1):
-            left = x[i] - x[lo - 1] if lo > 0 else np.inf
-            right = x[hi + 1] - x[i] if hi < len(x) - 1 else np.inf
-            if left <= right:
-                lo -= 1
-            else:
-                hi += 1
-        xs, ws, sys_ = x[lo:hi + 1], w[lo:hi + 1], sy[lo:hi + 1]
-        h = max(x[i] - xs[0], xs[-1] - x[i])
-        d = np.abs(xs - x[i]) / h if h > 0 else np.zeros_like(xs)
-        tri = np.clip(1 - d ** 3, 0, None) ** 3
-        if h > 0:
-            tri = np.where(d >= 1, tri, tri)
-        kw = tri * ws
-        if kw.sum() <= 0:
-            kw = ws
-        W = kw.sum()
-        xm = (kw * xs).sum() / W
-        ym = (tri * sys_).sum() / W
-        sxx = (kw * (xs - xm) ** 2).sum()
-        sxy = (tri * (xs - xm) * sys_).sum()
-        slope = sxy / sxx if sxx > 0 else 0.0
-        out[i] = ym + slope * (x[i] - xm)
-    return pd.DataFrame({"_x": x, "_fit": out})
-
-
-def loess(df: DataFrame, x: str, y: str, groupby: Sequence[str] | None = None,
-          bandwidth: float = 0.3, knots: int = 2000) -> DataFrame:
-    """Locally weighted linear fit of y on x, one output row per knot.
-
-    Values are reduced to (group, distinct x, count, Σy) in Spark; when a group has
-    more than ``knots`` distinct x they are snapped to ``knots`` even cells first.
-    Each group's knot table (bounded by ``knots`` rows) is fitted in one task."""
-    g = _as_list(groupby)
-    base = df.select(*g, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")) \
-             .dropna(subset=["_x", "_y"])
-    stats = base.groupBy(*g).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
-                                 F.approx_count_distinct("_x").alias("_nd"))
-    b = _attach(base, stats, g)
-    cell = (F.col("_hi") - F.col("_lo")) / knots
-    snapped = F.col("_lo") + (F.floor((F.col("_x") - F.col("_lo")) / cell) + 0.5) * cell
-    b = b.withColumn("_x", F.when((F.col("_nd") > knots) & (cell > 0), snapped).otherwise(F.col("_x")))
-    kn = b.groupBy(*g, "_x").agg(F.count(F.lit(1)).cast("double").alias("_w"),
-                                 F.sum("_y").alias("_sy"))
-    schema = T.StructType([*[f for f in df.select(*g).schema.fields], *_LOESS_OUT.fields])
-
-    def fit(key, pdf):
-        res = _loess_knots(pdf, bandwidth)
-        for i, name in enumerate(g):
-            res.insert(i, name, key[i])
-        return res
-
-    if g:
-        out = kn.groupBy(*g).applyInPandas(fit, schema)
-    else:
-        out = kn.withColumn("_g", F.lit(0)).groupBy("_g").applyInPandas(
-            lambda pdf: _loess_knots(pdf, bandwidth), _LOESS_OUT)
-    return out.withColumnRenamed("_x", x).withColumnRenamed("_fit", y)
-
-
 # ---------------------------------------------------------------- T12 regression
 
 def regression_params(df: DataFrame, x: str, y: str, method: str = "linear", order: int = 3,
@@ -417,19 +336,15 @@ def regression(df: DataFrame, x: str, y: str, method: str = "linear", order: int
 
 # ---------------------------------------------------------------- T22 boxplot / T23 error extent
 
-def _pct(df: DataFrame, v: Column, field: str, g: list, probs: Sequence[float]) -> Column:
-    """Exact percentiles, for groups of any size."""
-    return F.percentile(v, F.array(*[F.lit(p) for p in probs]))
-
-
 def boxplot_stats(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
                   k: float | None = 1.5) -> DataFrame:
     """q1, median, q3, whiskers (furthest values within k·IQR of the box, or the
     min / max when ``k`` is None) and the outlier count per group."""
     g = _as_list(groupby)
     v = F.col(field).cast("double")
-    q = df.groupBy(*g).agg(_pct(df, v, field, g, (0.25, 0.5, 0.75)).alias("_q"),
-                           F.min(v).alias("_min"), F.max(v).alias("_max"), F.count(v).alias("count"))
+    q = df.groupBy(*g).agg(F.min(v).alias("_min"), F.max(v).alias("_max"), F.count(v).alias("count"))
+    quartiles = exact_quantiles(df, v, (0.25, 0.5, 0.75), g, "_q")
+    q = join_on(q, quartiles, g, "left") if g else _attach(q, quartiles, g)
     q = q.select(*g, "count", "_min", "_max", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))
     q = cut_lineage(q)  # one row per group, read twice
@@ -470,7 +385,7 @@ def error_extent(df: DataFrame, field: str, extent: str = "stderr",
         return a.select(*g, "center", (F.col("center") - F.col("_s")).alias("lower"),
                         (F.col("center") + F.col("_s")).alias("upper"))
     if extent == "iqr":
-        a = df.groupBy(*g).agg(_pct(df, v, field, g, (0.25, 0.5, 0.75)).alias("_q"))
+        a = exact_quantiles(df, v, (0.25, 0.5, 0.75), g, "_q")
         return a.select(*g, F.col("_q")[1].alias("center"), F.col("_q")[0].alias("lower"),
                         F.col("_q")[2].alias("upper"))
     ci = bootstrap_ci(df, field, g, reps, seed)
@@ -541,10 +456,12 @@ def quantile_bucket(df: DataFrame, field: str, n: int, groupby: Sequence[str] |
                     as_: str = "bucket", approx: bool = False) -> DataFrame:
     """quantile: cuts at the 1/n ... (n-1)/n quantiles (one aggregate), then threshold."""
     g = _as_list(groupby)
-    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    q = F.percentile_approx(field, probs, 10000) if approx else F.percentile(F.col(field).cast("double"), probs)
-    cuts = df.groupBy(*g).agg(q.alias("_cuts")) if g else df.agg(q.alias("_cuts"))
-    j = _attach(df, cuts, g)
+    probs = [i / n for i in range(1, n)]
+    if approx:
+        cuts = df.groupBy(*g).agg(F.percentile_approx(field, F.array(*[F.lit(p) for p in probs]), 10000).alias("_cuts"))
+    else:
+        cuts = exact_quantiles(df, F.col(field), probs, g, "_cuts")
+    j = join_on(df, cuts, g, "left") if g else _attach(df, cuts, g)
     c = F.col(field)
     idx = F.aggregate(F.col("_cuts"), F.lit(0), lambda acc, t: acc + F.when(c >= t, 1).otherwise(0))
     return j.withColumn(as_, F.when(c.isNull(), F.lit(None)).otherwise(idx).cast("int")).drop("_cuts")
@@ -552,24 +469,28 @@ def quantile_bucket(df: DataFrame, field: str, n: int, groupby: Sequence[str] |
 
 # ---------------------------------------------------------------- A16 / A17 exponential
 
-def exponential(df: DataFrame, field: str, order: Sequence, alpha: float = 0.5,
-                groupby: Sequence[str] | None = None, bias_corrected: bool = False,
-                as_: str = "exponential") -> DataFrame:
-    """A16 exponential (e1 = v1, ek = α·vk + (1-α)·e(k-1)) and A17 exponentialb
-    (start at 0, divide by the weight sum) as one aggregate per group.
+def exponential_both(df: DataFrame, field: str, order: Sequence, alpha: float = 0.5,
+                     groupby: Sequence[str] | None = None) -> DataFrame:
+    """A16 ``exponential`` (e1 = v1, ek = alpha vk + (1 - alpha) e(k-1)) and A17
+    ``exponentialb`` (start at 0, divided by the sum of the weights) per group, of the
+    values that are neither null nor NaN.
 
-    Positions come from a distributed global row number (no per-group window), so a
-    group with a third of all rows is still spread over many tasks."""
+    The weighted sums come from the segmented scan, so a group with a third of all rows
+    is spread over many tasks."""
+    from .dwindow import _names, _order
     g = _as_list(groupby)
-    ranked = global_row_number(df, [*g, *order], "_rn")
-    lo = ranked.groupBy(*g).agg(F.min("_rn").alias("_r0"), F.max("_rn").alias("_r1"))
-    j = _attach(ranked, lo, g)
-    age = F.col("_r1") - F.col("_rn")  # 0 for the last row
-    wgt = F.pow(F.lit(1 - alpha), age.cast("double"))
     v = F.col(field).cast("double")
-    if bias_corrected:
-        agg = j.groupBy(*g).agg((F.sum(wgt * v) / F.sum(wgt)).alias(as_))
-    else:
-        first_w = F.when(F.col("_rn") == F.col("_r0"), wgt).otherwise(alpha * wgt)
-        agg = j.groupBy(*g).agg(F.sum(first_w * v).alias(as_))
-    return agg
+    rows = df.select(*dict.fromkeys([*g, *_names(order)]), F.when(~F.isnan(v), v).alias("_v"))
+    s = running(rows, {"_d": ("decayed", "_v", alpha), "_k": ("count", "_v"), "_f": ("first", "_v"), "_rn": ("row_number",)}, g, _order(order))
+    last = s.groupBy(*g).agg(F.max_by(F.struct("_d", "_k", "_f"), "_rn").alias("_l"))
+    left = F.pow(F.lit(1 - float(alpha)), F.col("_l._k").cast("double"))
+    return last.select(*g, (F.col("_l._d") + left * F.col("_l._f")).alias("exponential"),
+                       F.try_divide(F.col("_l._d"), 1 - left).alias("exponentialb"))
+
+
+def exponential(df: DataFrame, field: str, order: Sequence, alpha: float = 0.5,
+                groupby: Sequence[str] | None = None, bias_corrected: bool = False,
+                as_: str = "exponential") -> DataFrame:
+    """A16, or A17 with ``bias_corrected``."""
+    both = exponential_both(df, field, order, alpha, groupby)
+    return both.select(*_as_list(groupby), F.col("exponentialb" if bias_corrected else "exponential").alias(as_))

@@ -46,16 +46,48 @@ def _sort_cols(sort) -> list[Column]:
 
 # ------------------------------------------------------------------ T1 aggregate
 
+QUANTILE_OPS = {"median": 0.5, "q1": 0.25, "q3": 0.75}
+
+
 def aggregate(df: DataFrame, ops: Ops, groupby: Sequence[str] | None = None,
               approx: bool = False) -> DataFrame:
     """``ops = {"mean_x": ("mean", "x"), "n": ("count",)}``; one group if no groupby.
 
-    Percentile ops (median, q1, q3) are exact for groups of any size; ``approx=True``
-    asks for the mergeable sketch instead."""
+    Percentile ops (median, q1, q3) are exact and selected from the ordered values of
+    all groups at once; ``approx=True`` asks for the mergeable sketch instead.
+    ``ci0`` / ``ci1`` are bootstrap bounds of the mean; ``("exponential", field, alpha,
+    order)`` and ``exponentialb`` need the fields that order the rows."""
+    from . import stats
+    from .selecting import exact_quantiles
     g = _as_list(groupby)
-    cols = [agg_column(spec[0], spec[1] if len(spec) > 1 else None, df, approx).alias(name)
-            for name, spec in ops.items()]
-    return df.groupBy(*g).agg(*cols) if g else df.agg(*cols)
+    plain, parts, quantiles, bounds, averages = [], [], {}, {}, {}
+    for name, spec in ops.items():
+        op, field = spec[0].lower(), spec[1] if len(spec) > 1 else None
+        if op in QUANTILE_OPS and not approx:
+            quantiles.setdefault(field, {})[name] = QUANTILE_OPS[op]
+        elif op in ("ci0", "ci1"):
+            bounds.setdefault(field, {})[name] = op
+        elif op in ("exponential", "exponentialb"):
+            if len(spec) < 4:
+                raise ValueError(f"{op!r} needs the fields that order the rows: ({op!r}, field, alpha, order)")
+            averages.setdefault((field, 0.5 if spec[2] is None else spec[2], tuple(_as_list(spec[3]))), {})[name] = op
+        else:
+            plain.append(agg_column(op, field, df, approx).alias(name))
+    for field, names in quantiles.items():
+        q = exact_quantiles(df, F.col(field), list(names.values()), g, "_q")
+        parts.append(q.select(*g, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]))
+    for field, names in bounds.items():
+        ci = stats.bootstrap_ci(df, field, g)
+        parts.append(ci.select(*g, *[F.col(op).alias(n) for n, op in names.items()]))
+    for (field, alpha, order), names in averages.items():
+        both = stats.exponential_both(df, field, order, alpha, g)
+        parts.append(both.select(*g, *[F.col(op).alias(n) for n, op in names.items()]))
+    plain = plain or [F.count(F.lit(1)).alias("_rows")]
+    out = df.groupBy(*g).agg(*plain) if g else df.agg(*plain)
+    for part in parts:
+        # without groups both sides are single rows
+        out = join_on(out, part, g, "left") if g else out.join(F.broadcast(part), F.lit(True), "left")
+    return out.select(*g, *ops)
 
 
 # ------------------------------------------------------------------ T5 joinaggregate
@@ -120,7 +152,11 @@ def pivot(df: DataFrame, pivot_field: str, value: str, groupby: Sequence[str] |
     if len(names) > bound:
         raise ValueError(f"pivot: more than {bound} distinct values of {pivot_field!r}")
     g = _as_list(groupby)
-    agg = agg_column(op, value, df)
+    agg = agg_column(op, value, df) if op not in (*QUANTILE_OPS, "ci0", "ci1") else None
+    if agg is None:
+        # not a Spark aggregate: computed per cell first
+        df = aggregate(df.filter(F.col(pivot_field).isNotNull()), {"_cell": (op, value)}, [*g, pivot_field])
+        agg = F.first("_cell")
     gd = df.groupBy(*g) if g else df.groupBy()
     return gd.pivot(pivot_field, names).agg(agg)
 
@@ -137,9 +173,11 @@ def quantile(df: DataFrame, field: str, probs: Sequence[float] | None = None, st
         probs = [round(step / 2 + i * step, 12) for i in range(n) if step / 2 + i * step < 1]
     g = _as_list(groupby)
     arr = F.array(*[F.lit(float(p)) for p in probs])
-    q = F.percentile_approx(field, arr, 10000) if approx else F.percentile(F.col(field), arr)
-    gd = df.groupBy(*g) if g else df.groupBy()
-    out = gd.agg(q.alias("_q"))
+    if approx:
+        out = (df.groupBy(*g) if g else df.groupBy()).agg(F.percentile_approx(field, arr, 10000).alias("_q"))
+    else:
+        from .selecting import exact_quantiles
+        out = exact_quantiles(df, F.col(field), probs, g, "_q")
     return out.select(*g, F.posexplode("_q").alias("_i", as_[1])) \
               .select(*g, arr[F.col("_i")].alias(as_[0]), as_[1])
 
@@ -214,8 +252,8 @@ def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
 
     ``frame`` = (lo, hi) row offsets, None = unbounded, default (None, 0).
     With ``ignore_peers=False`` and a sort, frames ending at the current row widen
-    to the whole peer group (a RANGE frame); numeric frames with peers are done by
-    ``window_peer_frame``. A window without sort has no peers (W15) and needs an
+    to the whole peer group (a RANGE frame); numeric frames with peers, and running
+    exponential averages, are done by ``dwindow.window_distributed``. A window without sort has no peers (W15) and needs an
     explicit order to be deterministic, so a sort is required.
 
     Spark's window operator gives each group to one task. For few or skewed
@@ -227,16 +265,14 @@ def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
     order = _sort_cols(sort)
     if not order:
         raise ValueError("window needs an explicit sort (row order is not defined otherwise)")
+    from .dwindow import distributable, window_distributed
     if distributed:
-        if not _distributable(ops, frame, ignore_peers):
-            raise ValueError("an op of this window has no distributed form; call window without distributed=True for it")
         # skewed / low-cardinality group keys: no group is ever held by one task
-        from .dwindow import window_distributed
-        return window_distributed(df, ops, sort, g, frame, _as_list(tiebreak))
+        return window_distributed(df, ops, sort, g, frame, _as_list(tiebreak), ignore_peers)
     base = Window.partitionBy(*g).orderBy(*order + _sort_cols(tiebreak))
 
     def framed_for(fr):
-        """The window for a (lo, hi) frame; None when it needs ``window_peer_frame``."""
+        """The window for a (lo, hi) frame; None for a numeric frame with peers."""
         lo, hi = fr
         start = Window.unboundedPreceding if lo is None else lo
         end = Window.unboundedFollowing if hi is None else hi
@@ -248,7 +284,7 @@ def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
             return None
         return base.rowsBetween(start, end)
 
-    cols, peer_ops = [], []
+    cols, scanned, whole = [], {}, {}
     for name, spec in ops.items():
         op = spec[0]
         field = spec[1] if len(spec) > 1 else None
@@ -263,14 +299,28 @@ def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
         elif op in ("lag", "lead"):
             fn = F.lag if op == "lag" else F.lead
             col = fn(field, int(param or 1)).over(base)
+        elif op in ("ci0", "ci1"):
+            if fr != (None, None):
+                raise NotImplementedError("bootstrap bounds are taken over whole groups: frame=(None, None)")
+            whole[name] = (op, field)
+            continue
+        elif op in ("exponential", "exponentialb"):
+            # averages in row order: peers don't count; a running one is a scan
+            if tuple(fr) == (None, 0):
+                scanned[name] = (op, field, param, fr)
+                continue
+            lo, hi = fr
+            frame_rows = base.rowsBetween(Window.unboundedPreceding if lo is None else lo, Window.unboundedFollowing if hi is None else hi)
+            values = F.when(~F.isnan(F.col(field).cast("double")), F.col(field).cast("double"))
+            col = _exponential(F.collect_list(values).over(frame_rows), op, 0.5 if param is None else float(param))
         else:
             framed = framed_for(fr)
             if framed is None:
-                if op in ("sum", "count", "mean", "average"):
-                    peer_ops.append((name, op, field, fr))
-                    continue
-                raise NotImplementedError("numeric frame with peers supports sum/count/mean; "
-                                          "pass ignore_peers=True for other ops")
+                # a numeric frame with peers
+                if not distributable(op, *fr, False):
+                    raise NotImplementedError(f"{op!r} over a numeric frame widened to peers; pass ignore_peers=True")
+                scanned[name] = (op, field, param, fr)
+                continue
             if op == "first_value":
                 col = F.first(field).over(framed)
             elif op == "last_value":
@@ -281,73 +331,23 @@ def window(df: DataFrame, ops: Ops, sort: Sequence | None = None,
                 col = agg_column(op, field, df).over(framed)
         cols.append(col.alias(name))
     out = df.select("*", *cols)
-    for name, op, field, (lo, hi) in peer_ops:
-        out = window_peer_frame(out, name, op, field, sort, groupby, lo, hi, tiebreak)
-    return out
-
-
-def _distributable(ops: Ops, frame: tuple, ignore_peers: bool) -> bool:
-    from .dwindow import ADDITIVE
-    ok_rank = {"row_number", "rank", "dense_rank", "percent_rank", "cume_dist", "ntile", "lag", "lead"}
-    for spec in ops.values():
-        op = spec[0]
-        fr = spec[3] if len(spec) > 3 else frame
-        if op in ok_rank:
-            continue
-        if op in ("first_value", "last_value", "nth_value") and ignore_peers:
-            continue
-        if op in ADDITIVE and ignore_peers:
-            continue
-        return False
-    return True
-
-
-def window_peer_frame(df: DataFrame, name: str, op: str, field: str | None, sort,
-                      groupby: Sequence[str] | None, lo: int | None, hi: int | None,
-                      tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """W14 for sum / count / mean with a numeric frame and ``ignorePeers=False``.
-
-    Peers are rows equal on every ``sort`` field; ``tiebreak`` only fixes the row
-    numbering inside a peer group. Row numbers give the frame edges; each edge is
-    moved out to the first (start) or last (end) row of its peer group; a running
-    prefix sum is read at both edges through a self-join on (group, row number)."""
-    g = _as_list(groupby)
-    order = _sort_cols(sort) + _sort_cols(tiebreak)
-    sort_names = [s if isinstance(s, str) else None for s in _as_list(sort)]
-    sort_names = [s.lstrip("-") if s else None for s in sort_names]
-    val = F.lit(1.0) if op == "count" and field is None else F.col(field).cast("double") if op != "count" else F.when(F.col(field).isNotNull(), 1.0)
-    # row numbers and prefix sums from the distributed scan: no group in one task
-    t = running(df.withColumn("_val", val),
-                {"_rn": ("row_number",), "_ps": ("sum", "_val"), "_pc": ("count", "_val")}, g, order)
-    t = t.drop("_val")
-    sizes = t.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")) if g else None
-    t = join_on(t, sizes, g) if g else t.withColumn("_n", F.lit(t.count()))
-    # the numbered table feeds five self-joins below: checkpoint it once
-    from ..session import cut_lineage
-    t = cut_lineage(t)
-    # first / last row number of every peer group
-    peer = t.groupBy(*g, *sort_names).agg(F.min("_rn").alias("_p0"), F.max("_rn").alias("_p1"))
-    t = join_on(t, peer, g + sort_names, "left")
-    i0 = F.lit(1) if lo is None else F.greatest(F.lit(1), F.col("_rn") + lo)
-    i1 = F.col("_n") if hi is None else F.least(F.col("_n"), F.col("_rn") + hi)
-    t = t.withColumn("_i0", i0).withColumn("_i1", i1)
-    look = t.select(*g, "_rn", "_p0", "_p1", "_ps", "_pc")
-    a = look.select(*g, F.col("_rn").alias("_i0"), F.col("_p0").alias("_e0"))
-    b = look.select(*g, F.col("_rn").alias("_i1"), F.col("_p1").alias("_e1"))
-    t = join_on(join_on(t, a, g + ["_i0"], "left"), b, g + ["_i1"], "left")
-    ps_at = look.select(*g, F.col("_rn").alias("_e1"), F.col("_ps").alias("_s1"),
-                        F.col("_pc").alias("_c1"))
-    ps_before = look.select(*g, (F.col("_rn") + 1).alias("_e0"), F.col("_ps").alias("_s0"),
-                            F.col("_pc").alias("_c0"))
-    t = join_on(join_on(t, ps_at, g + ["_e1"], "left"), ps_before, g + ["_e0"], "left")
-    c = F.col("_c1") - F.coalesce(F.col("_c0"), F.lit(0))
-    # a frame of nulls only has no sum and no mean
-    s = F.when(c > 0, F.coalesce("_s1", F.lit(0.0)) - F.coalesce("_s0", F.lit(0.0)))
-    mean = F.try_divide(s, c.cast("double"))
-    res = {"sum": s, "count": c.cast("bigint"), "mean": mean, "average": mean}[op]
-    res = F.when(F.col("_i0") <= F.col("_i1"), res)
-    keep = [x for x in df.columns]
-    return t.select(*keep, res.alias(name))
+    averages = {n: x for n, x in scanned.items() if x[0].startswith("exponential")}
+    if averages:
+        out = window_distributed(out, averages, sort, g, frame, _as_list(tiebreak), True)
+    peers = {n: x for n, x in scanned.items() if n not in averages}
+    if peers:
+        out = window_distributed(out, peers, sort, g, frame, _as_list(tiebreak), False)
+    if whole:
+        out = joinaggregate(out, whole, g)
+    return out.select(*df.columns, *ops)
+
+
+def _exponential(values: Column, op: str, alpha: float) -> Column:
+    """The exponential average of an array of values, oldest first."""
+    if op == "exponential":
+        return F.aggregate(values, F.lit(None).cast("double"), lambda e, v: F.coalesce(alpha * v + (1 - alpha) * e, v))
+    total = F.aggregate(values, F.lit(0.0), lambda e, v: alpha * v + (1 - alpha) * e)
+    return F.try_divide(total, 1 - F.pow(F.lit(1 - alpha), F.size(values).cast("double")))
 
 
 # ------------------------------------------------------------------ T19 calculate / T18 filter

@@ -14,6 +14,7 @@ from ..functions.numeric import dbl, round_half_up
 from ..functions.timeunits import timeunit
 from ..operators import stats
 from ..operators import transforms as tf
+from ..operators.loess import loess
 from ..sources.tables import Tables
 from .oracle_sql import R
 
@@ -379,9 +380,9 @@ def t16_window_distributed(spark, d):
                       "last_in_frame": ("last_value", "value", None, (-2, 2)),
                       "second_value": ("nth_value", "value", 2, (None, 0)),
                       "running_sum": ("sum", "value", None, (None, 0)),
-                      "moving_avg": ("mean", "value", None, (-3, 0))},
+                      "moving_avg": ("mean", "value", None, (-3, 0)),
+                      "group_max": ("max", "value", None, (None, None))},
                   sort=["ts", "event_id"], groupby=["event_type"], ignore_peers=True, distributed=True)
-    a = tf.joinaggregate(a, {"group_max": ("max", "value")}, ["event_type"])
     a = tf.window(a, {"rk": ("rank",), "drk": ("dense_rank",), "prk": ("percent_rank",),
                       "cd": ("cume_dist",)}, sort=["day"], groupby=["event_type"], tiebreak=["ts", "event_id"],
                   distributed=True)
@@ -415,6 +416,38 @@ def w14_peer_frame(spark, d):
     return s.select("event_id", "event_type", "day", q6("peer_sum").alias("peer_sum"), "peer_count")
 
 
+# a third of the values are null or NaN; frames of every kind, widened to whole days
+ODD_SQL = """CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN CAST('nan' AS DOUBLE) ELSE value END"""
+W14_OPS = {"peer_min": ("min", "x", None, (-3, 3)), "peer_max": ("max", "x", None, (-1, 1)), "peer_first": ("first_value", "x", None, (-2, 0)),
+           "peer_last": ("last_value", "x", None, (0, 4)), "peer_third": ("nth_value", "x", 3, (-1, 2)), "peer_valid": ("valid", "x", None, (-4, -1)),
+           "peer_count": ("count", None, None, (1, 3)), "min_so_far": ("min", "x", None, (None, 2)), "max_from_here": ("max", "x", None, (-2, None)),
+           "sum_ahead": ("sum", "x", None, (1, 2))}
+
+
+def _over(lo: int, hi: int, value: str) -> str:
+    """An aggregate over the rows of a frame's peer groups, by a join on row numbers."""
+    return f"""(SELECT {value} FROM r, (SELECT MIN(p0) AS e0, MAX(p1) AS e1 FROM r b WHERE b.event_type = a.event_type
+                AND b.rn BETWEEN a.rn + ({lo}) AND a.rn + ({hi})) e WHERE r.event_type = a.event_type AND r.rn BETWEEN e0 AND e1)"""
+
+
+@job("w14_peer_frame_all_ops", f"""
+WITH d AS (SELECT event_id, event_type, CAST(ts AS DATE) AS day, {ODD_SQL} AS x FROM events),
+r0 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY day, event_id) AS rn FROM d),
+r AS (SELECT *, MIN(rn) OVER (PARTITION BY event_type, day) AS p0, MAX(rn) OVER (PARTITION BY event_type, day) AS p1 FROM r0)
+SELECT event_id, {_over(-3, 3, 'MIN(x)')} AS peer_min, {_over(-1, 1, 'MAX(x)')} AS peer_max,
+  {_over(-2, 0, 'FIRST(x ORDER BY rn)')} AS peer_first, {_over(0, 4, 'LAST(x ORDER BY rn)')} AS peer_last,
+  {_over(-1, 2, 'LIST(x ORDER BY rn)[3]')} AS peer_third, {_over(-4, -1, 'COUNT(x) FILTER (WHERE NOT isnan(x))')} AS peer_valid,
+  {_over(1, 3, 'COUNT(*)')} AS peer_count, {_over(-1000000000, 2, 'MIN(x)')} AS min_so_far, {_over(-2, 1000000000, 'MAX(x)')} AS max_from_here,
+  CASE WHEN isnan({_over(1, 2, 'SUM(x)')}) THEN CAST('nan' AS DOUBLE) ELSE {S6(_over(1, 2, 'SUM(x)'))} END AS sum_ahead
+FROM r a""")
+def w14_peer_frame_all_ops(spark, d):
+    x = F.when(F.col("event_id") % 7 == 0, None).when(F.col("event_id") % 11 == 0, float("nan")).otherwise(F.col("value"))
+    e = ev(spark, d).select("event_id", "event_type", F.to_date("ts").alias("day"), x.alias("x"))
+    w = tf.window(e, W14_OPS, sort=["day"], groupby=["event_type"], tiebreak=["event_id"])
+    total = F.when(F.isnan("sum_ahead"), F.col("sum_ahead")).otherwise(q6("sum_ahead"))
+    return w.select("event_id", *[n for n in W14_OPS if n != "sum_ahead"], total.alias("sum_ahead"))
+
+
 # ------------------------------------------------------------------ T22 boxplot / T23 error extent
 
 @job("t22_boxplot", """
@@ -457,12 +490,26 @@ SELECT event_type,
        {S6('SUM(POWER(0.5, n - rn) * value) / SUM(POWER(0.5, n - rn))')} AS exponentialb
 FROM r GROUP BY 1""")
 def a16_exponential(spark, d):
-    e = ev(spark, d)
-    a = stats.exponential(e, "value", ["ts", "event_id"], 0.5, ["event_type"])
-    b = stats.exponential(e, "value", ["ts", "event_id"], 0.5, ["event_type"], bias_corrected=True,
-                          as_="exponentialb")
-    return a.join(b, "event_type").select("event_type", q6("exponential").alias("exponential"),
-                                          q6("exponentialb").alias("exponentialb"))
+    order = ["ts", "event_id"]
+    out = tf.aggregate(ev(spark, d), {"exponential": ("exponential", "value", 0.5, order), "exponentialb": ("exponentialb", "value", 0.5, order)}, ["event_type"])
+    return out.select("event_type", q6("exponential").alias("exponential"), q6("exponentialb").alias("exponentialb"))
+
+
+@job("a16_running_exponential", f"""
+WITH r AS (SELECT event_id, event_type, {ODD_SQL} AS x, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events),
+v AS (SELECT event_type, x, rn, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY rn) AS k FROM r WHERE x IS NOT NULL AND NOT isnan(x)),
+n AS (SELECT r.event_id, r.event_type, (SELECT COUNT(*) FROM v WHERE v.event_type = r.event_type AND v.rn <= r.rn) AS n FROM r),
+s AS (SELECT n.event_id, SUM(CASE WHEN k = 1 THEN 1.0 ELSE 0.2 END * POWER(0.8, n - k) * x) AS a,
+             SUM(0.2 * POWER(0.8, n - k) * x) / (1 - POWER(0.8, ANY_VALUE(n))) AS b
+      FROM n JOIN v ON v.event_type = n.event_type AND v.k <= n.n AND v.k > n.n - 200 GROUP BY 1)
+SELECT r.event_id, {S6('a')} AS average, {S6('b')} AS corrected FROM r LEFT JOIN s USING (event_id)""")
+def a16_running_exponential(spark, d):
+    """Running exponential averages (A16, A17) of all values so far that are neither null nor NaN."""
+    x = F.when(F.col("event_id") % 7 == 0, None).when(F.col("event_id") % 11 == 0, float("nan")).otherwise(F.col("value"))
+    e = ev(spark, d).select("event_id", "event_type", "ts", x.alias("x"))
+    w = tf.window(e, {"average": ("exponential", "x", 0.2), "corrected": ("exponentialb", "x", 0.2)}, sort=["ts", "event_id"],
+                  groupby=["event_type"], ignore_peers=True)
+    return w.select("event_id", q6("average").alias("average"), q6("corrected").alias("corrected"))
 
 
 # ------------------------------------------------------------------ T24 repeat / T25 facet / T29
@@ -563,7 +610,7 @@ def t9_loess(spark, d):
     daily = ev(spark, d).groupBy("event_type", (F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
                                  .cast("bigint").alias("hour_index")) \
                         .agg(F.sum("value").alias("value"))
-    fit = stats.loess(daily, "hour_index", "value", groupby=["event_type"], bandwidth=0.3)
+    fit = loess(daily, "hour_index", "value", groupby=["event_type"], bandwidth=0.3)
     # a local least-squares fit: reported to 4 decimals (sum orders differ around 1e-10)
     return fit.select("event_type", round_half_up("hour_index", 4).alias("hour_index"),
                       round_half_up("value", 4).alias("value"))

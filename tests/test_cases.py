@@ -11,6 +11,7 @@ from martlet.functions import expr as E
 from martlet.functions import timeunits as tu
 from martlet.operators import joins as J
 from martlet.operators import stats
+from martlet.operators.loess import loess
 from martlet.operators import transforms as tf
 from martlet.sources import io
 
@@ -145,7 +146,7 @@ def test_regression_poly_recovers_coefficients(spark):
 
 def test_loess_on_a_line_is_the_line(spark):
     df = spark.createDataFrame([(float(x), 3.0 * x + 1) for x in range(50)], "x double, y double")
-    for r in stats.loess(df, "x", "y").collect():
+    for r in loess(df, "x", "y").collect():
         assert abs(r.y - (3 * r.x + 1)) < 1e-6
 
 
@@ -253,7 +254,7 @@ def test_loess_matches_brute_force(spark):
     pts = [(rnd.uniform(0, 100), 0.0) for _ in range(120)]
     pts = [(x, math.sin(x / 9) * 10 + rnd.gauss(0, 1)) for x, _ in pts]
     df = spark.createDataFrame(pts, "x double, y double")
-    got = {round(r.x, 9): r.y for r in stats.loess(df, "x", "y", bandwidth=0.3).collect()}
+    got = {round(r.x, 9): r.y for r in loess(df, "x", "y", bandwidth=0.3).collect()}
     xs = np.array(sorted(p[0] for p in pts))
     ys = np.array([dict(pts)[x] for x in xs])
     k = max(int(math.ceil(0.3 * len(xs))), 2)

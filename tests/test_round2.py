@@ -35,7 +35,7 @@ def test_distributed_frames_with_nulls_and_nan(spark, frame):
 
 def test_peer_frame_mean_counts_values_only(spark):
     df = spark.createDataFrame([(1, 1, 1.0), (1, 1, None), (1, 2, None)], "g int, o int, x double")
-    got = tf.window_peer_frame(df, "m", "mean", "x", ["o"], ["g"], 0, 0).collect()
+    got = tf.window(df, {"m": ("mean", "x")}, ["o"], ["g"], (0, 0), distributed=True).collect()
     assert sorted((r.o, r.m) for r in got if r.o == 1) == [(1, 1.0)] * 2 and [r.m for r in got if r.o == 2] == [None]
 
 
