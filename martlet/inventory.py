@@ -116,7 +116,7 @@ _add("F5", "forecast horizon", ["plans.forecast:forecast", "plans.forecast:forec
 _add("T1", "aggregate", ["operators.transforms:aggregate"], ["t1_aggregate"])
 _add("T2", "bin", ["operators.stats:bin_", "operators.stats:nice_bins"], ["t2_bin"])
 _add("T3", "density", ["operators.stats:density"], ["t3_density"])
-_add("T4", "impute", ["operators.stats:impute"], ["t4_impute"])
+_add("T4", "impute", ["operators.stats:impute"], ["t4_impute", "t4_impute_methods"])
 _add("T5", "joinaggregate", ["operators.transforms:joinaggregate"], ["t5_joinaggregate"])
 _add("T6", "extent", ["operators.transforms:extent"], ["t6_extent"])
 _add("T7", "flatten", ["operators.transforms:flatten"], ["t7_flatten"])
@@ -139,7 +139,7 @@ _add("T20", "field shorthand as keywords", ["operators.encoding:agg"], ["t20_key
 _add("T21", "ordered transform chain", ["operators.transforms:chain"], ["t21_transform_chain"])
 _add("T22", "boxplot statistics", ["operators.stats:boxplot_stats", "operators.stats:boxplot_outliers"],
      ["t22_boxplot", "t22_boxplot_outliers"])
-_add("T23", "error extent", ["operators.stats:error_extent"], ["t23_error_extent"])
+_add("T23", "error extent", ["operators.stats:error_extent"], ["t23_error_extent", "t23_quartiles"])
 _add("T24", "repeat columns", ["operators.transforms:repeat_columns"], ["t24_repeat"])
 _add("T25", "facet groups", ["operators.transforms:facet_aggregate"], ["t25_facet"])
 _add("T26", "scale binning", ["operators.stats:quantize_bucket", "operators.stats:threshold_bucket",

@@ -252,4 +252,6 @@ def _frame_value(df: DataFrame, i: int, spec: tuple, rows, scans: dict, ignore_p
         return F.nth_value(field, int(param or 1)).over(rows)
     if op == "sum":
         return F.sum(F.col(field).cast("double")).over(rows)
+    if op == "count" and field is not None:
+        return F.count(field).over(rows)
     return agg_column(op, field, df).over(rows)

@@ -176,12 +176,12 @@ def impute(df: DataFrame, field: str, key: str, groupby: Sequence[str] | None =
     """T4: add the missing (group, key) rows and fill ``field`` there.
 
     ``keyvals`` is a list of extra keys or a sequence ``{"start", "stop", "step"}``.
-    The output is every group × every key (the feature). The keys are dealt into
-    buckets and every group is expanded by the buckets, then joined to them on the
-    bucket, so neither side is collected; the present rows are joined back on (group,
-    key). Filled values: a constant, or mean / median / min /
-    max of the present values of the group within ``frame`` (row offsets over the
-    key order; None = unbounded)."""
+    The output is every group × every key (the feature). Groups and keys are both dealt
+    into as many parts as make one task per pair of parts and shuffle partition, and
+    joined on the pair, so neither side is collected or held by a few tasks; the present
+    rows are joined back on (group, key). Filled values: a constant, or mean / median /
+    min / max of the present values of the group within ``frame`` (row offsets over the
+    key order; None = unbounded), over blocks of rows rather than whole groups."""
     g = _as_list(groupby)
     keys_df = df.select(key).dropna().distinct()
     if isinstance(keyvals, dict):
@@ -193,27 +193,32 @@ def impute(df: DataFrame, field: str, key: str, groupby: Sequence[str] | None =
         more = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(k) for k in keyvals])).alias(key))
         more = more.select(F.col(key).cast(df.schema[key].dataType))
         keys_df = keys_df.unionByName(more).distinct()
-    buckets = 16
-    dealt = keys_df.withColumn("_b", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    parts = max(1, math.ceil(math.sqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
+    every = F.sequence(F.lit(0), F.lit(parts - 1))
+    dealt = keys_df.select(key, F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("_b"), F.explode(every).alias("_a"))
     groups = df.select(*g).distinct() if g else df.sparkSession.range(1).select()
-    groups = groups.select(*g, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_b"))
-    full = groups.join(dealt, "_b").select(*g, key)
+    groups = groups.select(*g, (F.pmod(F.xxhash64(*g), F.lit(parts)) if g else F.lit(0)).cast("int").alias("_a"), F.explode(every).alias("_b"))
+    full = groups.join(dealt, ["_a", "_b"]).select(*g, key)
     present = df.select(*g, key, field).withColumn("_present", F.lit(True))
     filled = join_on(full, present, [*g, key], "left")
     if method == "value":
         fill = F.lit(value)
+    elif method == "median" and tuple(frame) == (None, None):
+        from .transforms import joinaggregate
+        filled = joinaggregate(filled, {"_fill": ("median", field)}, g)
+        fill = F.col("_fill")
     else:
+        from .transforms import window
         lo, hi = frame
-        w = Window.partitionBy(*g).orderBy(key).rowsBetween(
-            Window.unboundedPreceding if lo is None else lo,
-            Window.unboundedFollowing if hi is None else hi)
-        fn = {"mean": F.avg, "min": F.min, "max": F.max}.get(method)
-        fill = fn(field).over(w) if fn else F.percentile(F.col(field), F.lit(0.5)).over(w)
+        # a median has no distributed form where its frame is open to one side
+        spread = method != "median" or (lo is not None and hi is not None)
+        filled = window(filled, {"_fill": (method, field)}, [key], g, (lo, hi), ignore_peers=True, distributed=spread)
+        fill = F.col("_fill")
     out = filled.withColumn(field, F.when(F.col("_present").isNull(), fill).otherwise(F.col(field)))
     extra = [c for c in df.columns if c not in (*g, key, field)]
     if extra:
         out = join_on(out, df.select(*g, key, *extra).dropDuplicates([*g, key]), [*g, key], "left")
-    return out.drop("_present")
+    return out.drop("_present", "_fill")
 
 
 # ---------------------------------------------------------------- T12 regression
@@ -374,7 +379,8 @@ def boxplot_outliers(df: DataFrame, field: str, groupby: Sequence[str] | None =
 
 
 def error_extent(df: DataFrame, field: str, extent: str = "stderr",
-                 groupby: Sequence[str] | None = None, reps: int = 200, seed: int = 42) -> DataFrame:
+                 groupby: Sequence[str] | None = None, reps: int = 200, seed: int = 42,
+                 key: Sequence[str] | None = None) -> DataFrame:
     """Center and [lower, upper] per group for stderr / stdev (mean ± it),
     iqr (median, q1..q3) or ci (mean, 95 % bootstrap interval)."""
     g = _as_list(groupby)
@@ -388,7 +394,7 @@ def error_extent(df: DataFrame, field: str, extent: str = "stderr",
         a = exact_quantiles(df, v, (0.25, 0.5, 0.75), g, "_q")
         return a.select(*g, F.col("_q")[1].alias("center"), F.col("_q")[0].alias("lower"),
                         F.col("_q")[2].alias("upper"))
-    ci = bootstrap_ci(df, field, g, reps, seed)
+    ci = bootstrap_ci(df, field, g, reps, seed, key)
     m = df.groupBy(*g).agg(F.avg(v).alias("center"))
     out = _attach(m, ci, g)
     return out.select(*g, "center", F.col("ci0").alias("lower"), F.col("ci1").alias("upper"))
@@ -396,41 +402,79 @@ def error_extent(df: DataFrame, field: str, extent: str = "stderr",
 
 # ---------------------------------------------------------------- A14 bootstrap ci
 
-def _poisson1(u: Column) -> Column:
-    """Inverse CDF of Poisson(1) for a uniform u (thresholds from e^-1 Σ 1/j!)."""
-    cdf, acc, out = [], 0.0, None
-    for j in range(12):
+# Replicate weights are drawn modulo this prime (the largest below 2^28).
+DRAWS = 268435399
+
+
+def poisson_steps() -> list[int]:
+    """Draws from which a Poisson(1) weight is at least 1, 2, ...: p times e^-1 sum 1/j!."""
+    steps, acc = [], 0.0
+    for j in range(11):
         acc += math.exp(-1.0) / math.factorial(j)
-        cdf.append(acc)
-    for j, c in enumerate(cdf):
-        out = F.when(u < c, F.lit(j)) if out is None else out.when(u < c, F.lit(j))
-    return out.otherwise(F.lit(len(cdf)))
+        steps.append(int(acc * DRAWS))
+    return steps
+
+
+def _replicate_sums(batches, reps: int):
+    """Per group of a task (key ``_k``) the replicates' sums of weights and of weighted values."""
+    steps, r = np.array(poisson_steps()), np.arange(1, reps + 1)
+    held: dict = {}
+
+    def out():
+        frame = pd.DataFrame({"_k": list(held), "_sw": [x[0] for x in held.values()], "_sv": [x[1] for x in held.values()]})
+        held.clear()
+        return frame
+
+    for pdf in batches:
+        for lo in range(0, len(pdf), 4096):
+            part = pdf.iloc[lo:lo + 4096]
+            codes, keys = pd.factorize(part["_k"])
+            order = np.argsort(codes, kind="stable")
+            draws = (part["_a"].to_numpy()[order, None] + r * part["_b"].to_numpy()[order, None]) % DRAWS
+            weight = np.searchsorted(steps, draws, "right").astype(float)
+            first = np.searchsorted(codes[order], np.arange(len(keys)))
+            sw = np.add.reduceat(weight, first)
+            sv = np.add.reduceat(weight * part["_v"].to_numpy(float)[order, None], first)
+            for k, key in enumerate(keys):
+                old = held.get(key)
+                held[key] = (sw[k], sv[k]) if old is None else (old[0] + sw[k], old[1] + sv[k])
+        if len(held) > 5000:
+            yield out()
+    if held:
+        yield out()
 
 
 def bootstrap_ci(df: DataFrame, field: str, groupby: Sequence[str] | None = None,
                  reps: int = 200, seed: int = 42, key: Sequence[str] | None = None,
                  level: float = 0.95) -> DataFrame:
-    """A14 ci0 / ci1: percentile interval of the mean over ``reps`` Poisson
-    bootstrap replicates. Each row's replicate weight comes from a seeded hash of
-    (row key, replicate), so reruns and recomputed tasks give the same numbers;
-    replicate sums combine map-side, so only (group, replicate) rows are shuffled."""
+    """A14 ci0 / ci1: percentile interval of the mean over ``reps`` Poisson bootstrap
+    replicates. A row's weight in replicate r is drawn by (a + r b) mod p, with a and b
+    from the MD5 digest of the seed and the row's ``key`` (default: all columns, equal
+    rows being numbered), so reruns and recomputed tasks give the same numbers.
+
+    A task keeps one array of weights and one of weighted sums per group and adds its
+    rows to them; rows are never multiplied by the replicates, and what is shuffled is
+    one pair of arrays per task and group. Null and NaN values are left out."""
     g = _as_list(groupby)
-    key = list(key or df.columns)
     v = F.col(field).cast("double")
-    base = df.select(*g, v.alias("_v"), F.xxhash64(F.lit(seed), *[F.col(c) for c in key]).alias("_h")) \
-             .filter(F.col("_v").isNotNull())
-    # equal rows are told apart by their number among their equals
-    base = base.groupBy(*g, "_v", "_h").agg(F.count(F.lit(1)).alias("_n")) \
-               .withColumn("_o", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))) \
-               .select(*g, "_v", F.xxhash64("_h", "_o").alias("_h"))
-    rep = base.select(*g, "_v", "_h", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("_r"))
-    u = (F.pmod(F.xxhash64(F.col("_h"), F.col("_r")), F.lit(1 << 53)).cast("double") / float(1 << 53))
-    rep = rep.withColumn("_w", _poisson1(u))
+    named = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (key or df.columns)])
+    group = F.to_json(F.struct(*g)) if g else F.lit("{}")
+    base = df.select(group.alias("_k"), v.alias("_v"), named.alias("_h")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if key is None:
+        # equal rows are told apart by their number among their equals
+        base = base.groupBy("_k", "_v", "_h").agg(F.count(F.lit(1)).alias("_n")) \
+                   .withColumn("_o", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))) \
+                   .select("_k", "_v", F.concat_ws("|", "_h", "_o").alias("_h"))
+    digest = F.md5("_h")
+    base = base.select("_k", "_v", F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint").alias("_a"), F.conv(F.substring(digest, 9, 7), 16, 10).cast("bigint").alias("_b"))
+    parts = base.mapInPandas(lambda batches: _replicate_sums(batches, reps), "_k string, _sw array<double>, _sv array<double>")
+    each = parts.select("_k", F.posexplode(F.arrays_zip("_sw", "_sv")).alias("_r", "_x"))
     # a replicate that draws no row at all has no mean
-    means = rep.groupBy(*g, "_r").agg(F.try_divide(F.sum(F.col("_w") * F.col("_v")), F.sum("_w").cast("double")).alias("_m"))
+    means = each.groupBy("_k", "_r").agg(F.try_divide(F.sum("_x._sv"), F.sum("_x._sw")).alias("_m"))
     a = (1 - level) / 2
-    out = means.groupBy(*g).agg(F.percentile("_m", F.array(F.lit(a), F.lit(1 - a))).alias("_ci"))
-    return out.select(*g, F.col("_ci")[0].alias("ci0"), F.col("_ci")[1].alias("ci1"))
+    out = means.groupBy("_k").agg(F.percentile("_m", F.array(F.lit(a), F.lit(1 - a))).alias("_ci"))  # ``reps`` values
+    keys = [F.from_json("_k", df.select(*g).schema)[k].alias(k) for k in g]
+    return out.select(*keys, F.col("_ci")[0].alias("ci0"), F.col("_ci")[1].alias("ci1"))
 
 
 # ---------------------------------------------------------------- T26 scale binning

@@ -135,6 +135,29 @@ def t4_impute(spark, d):
     return out.select("user_id", "day", F.col("n").cast("bigint").alias("n"))
 
 
+IMPUTE_SQL = """
+WITH daily AS (SELECT event_type, CAST(ts AS DATE) AS day, SUM(value) AS v FROM events WHERE event_id % 5 = 0 AND day(ts) % 3 <> 0 GROUP BY 1, 2),
+every AS (SELECT t.event_type, k.day, v FROM (SELECT DISTINCT event_type FROM daily) t CROSS JOIN (SELECT DISTINCT day FROM daily) k
+          LEFT JOIN daily d ON d.event_type = t.event_type AND d.day = k.day)
+SELECT event_type, day, {m} AS v_mean, {x} AS v_max, {q} AS v_median
+FROM every WINDOW w AS (PARTITION BY event_type ORDER BY day)"""
+
+
+@job("t4_impute_methods", IMPUTE_SQL.format(
+    m=S6("COALESCE(v, AVG(v) OVER (w ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING))"),
+    x=S6("COALESCE(v, MAX(v) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"),
+    q=S6("COALESCE(v, QUANTILE_CONT(v, 0.5) OVER (PARTITION BY event_type))")))
+def t4_impute_methods(spark, d):
+    """Missing days filled from the days around, before, and all."""
+    e = ev(spark, d).filter((F.col("event_id") % 5 == 0) & (F.dayofmonth("ts") % 3 != 0))
+    daily = e.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.sum("value").alias("v"))
+    out = None
+    for name, method, frame in (("v_mean", "mean", (-6, 6)), ("v_max", "max", (None, 0)), ("v_median", "median", (None, None))):
+        one = stats.impute(daily, "v", "day", groupby=["event_type"], method=method, frame=frame).select("event_type", "day", q6("v").alias(name))
+        out = one if out is None else out.join(one, ["event_type", "day"])
+    return out
+
+
 # ------------------------------------------------------------------ T5 joinaggregate
 
 @job("t5_joinaggregate", f"""
@@ -475,9 +498,27 @@ def t23_error_extent(spark, d):
                     q6("upper").alias("upper"))
 
 
-@job("a14_bootstrap_ci")
+@job("t23_quartiles", """
+SELECT event_type, QUANTILE_CONT(value, 0.5) AS center, QUANTILE_CONT(value, 0.25) AS lower, QUANTILE_CONT(value, 0.75) AS upper
+FROM events GROUP BY 1""".replace("QUANTILE_CONT(value, 0.5) AS", f"{S6('QUANTILE_CONT(value, 0.5)')} AS")
+     .replace("QUANTILE_CONT(value, 0.25) AS", f"{S6('QUANTILE_CONT(value, 0.25)')} AS").replace("QUANTILE_CONT(value, 0.75) AS", f"{S6('QUANTILE_CONT(value, 0.75)')} AS"))
+def t23_quartiles(spark, d):
+    x = stats.error_extent(ev(spark, d), "value", "iqr", ["event_type"])
+    return x.select("event_type", q6("center").alias("center"), q6("lower").alias("lower"), q6("upper").alias("upper"))
+
+
+@job("a14_bootstrap_ci", f"""
+WITH h AS (SELECT event_type, value, md5('42|' || event_id) AS d FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
+ab AS (SELECT event_type, value, CAST('0x' || substr(d, 1, 7) AS BIGINT) AS a, CAST('0x' || substr(d, 9, 7) AS BIGINT) AS b FROM h),
+draw AS (SELECT event_type, value, r, (a + r * b) % {stats.DRAWS} AS u FROM ab, range(1, 201) t(r)),
+w AS (SELECT event_type, r, value, {' + '.join(f'CAST(u >= {x} AS INTEGER)' for x in stats.poisson_steps())} AS w FROM draw),
+m AS (SELECT event_type, r, SUM(w * value) / SUM(w) AS m FROM w GROUP BY 1, 2),
+c AS (SELECT event_type, AVG(value) AS center FROM events GROUP BY 1)
+SELECT c.event_type, {S6('ANY_VALUE(center)')} AS center, {S6('QUANTILE_CONT(m, 0.025)')} AS lower, {S6('QUANTILE_CONT(m, 0.975)')} AS upper
+FROM c JOIN m USING (event_type) GROUP BY 1""")
 def a14_bootstrap_ci(spark, d):
-    return stats.error_extent(ev(spark, d), "value", "ci", ["event_type"], reps=200)
+    x = stats.error_extent(ev(spark, d), "value", "ci", ["event_type"], reps=200, key=["event_id"])
+    return x.select("event_type", q6("center").alias("center"), q6("lower").alias("lower"), q6("upper").alias("upper"))
 
 
 # ------------------------------------------------------------------ A16 / A17 exponential

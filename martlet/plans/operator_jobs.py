@@ -1123,7 +1123,9 @@ def _strip_with(sql: str) -> str:
 RARE_CJK_SQL = """
 WITH c AS (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents),
 han AS (SELECT doc_id, ch FROM c WHERE regexp_matches(ch, '\\p{Han}')),
-common AS (SELECT ch FROM han GROUP BY ch ORDER BY COUNT(*) DESC, ch LIMIT 100),
+freq AS (SELECT ch, COUNT(*) AS n FROM han GROUP BY ch),
+common AS (SELECT a.ch FROM freq a LEFT JOIN freq b ON b.n > a.n OR (b.n = a.n AND b.ch < a.ch)
+           GROUP BY a.ch HAVING COALESCE(SUM(b.n), 0) * 10 < (SELECT COUNT(*) FROM han) * 9),
 rc AS (SELECT doc_id, COUNT(*) AS cjk, SUM(CASE WHEN ch IN (SELECT ch FROM common) THEN 0 ELSE 1 END) AS rare
        FROM han GROUP BY 1)
 SELECT d.doc_id,

@@ -267,14 +267,11 @@ def isolated_form_noise(text: Column) -> Column:
     return F.when(_non_ascii(text) & (_n(text) >= 8), r).otherwise(F.lit(0.0))
 
 
-def rare_cjk_noise(text: Column, common: str = "") -> Column:
-    """Share of CJK characters outside ``common``; reported / 10 when the
-    share is above 0.5 and the text holds at least 8 CJK characters."""
-    cjk = _count(text, CJK)
-    rare = _count(text, f"[\\p{{IsHan}}&&[^{common}]]") if common else cjk
-    share = F.try_divide(rare, cjk)
-    keep = _non_ascii(text) & (cjk >= 8) & (share > 0.5)
-    return F.when(keep, share / 10).otherwise(F.lit(0.0))
+def rare_cjk_noise(rare: Column, cjk: Column) -> Column:
+    """Share of CJK characters that are not common, from a text's counts of both;
+    reported / 10 when the share is above 0.5 and the text holds at least 8 of them."""
+    share = F.try_divide(rare.cast("double"), cjk.cast("double"))
+    return F.when((cjk >= 8) & (share > 0.5), share / 10).otherwise(F.lit(0.0))
 
 
 MEASURES = {
@@ -284,42 +281,47 @@ MEASURES = {
     "weird_word_noise": weird_word_noise, "isolated_form_noise": isolated_form_noise,
     "rare_cjk_noise": rare_cjk_noise,
 }
+# G11 and G12 are not expressions of one text alone
+_BY_TABLE = ("weird_word_noise", "rare_cjk_noise")
 
 
-COMMON_CJK_TOP = 100
+# Tenths of all CJK occurrences that the common characters make up.
+COMMON_CJK_TENTHS = 9
 
 
-def common_cjk(docs: DataFrame, text: str = "text", top: int = COMMON_CJK_TOP) -> str:
-    """The corpus's most frequent CJK characters (G6 restricted to Han), as a
-    regex class body; empty when the corpus has no CJK text (checked first, cheaply).
-    The result is at most ``top`` characters."""
-    if docs.filter(F.col(text).rlike(CJK)).limit(1).count() == 0:  # cheap probe
-        return ""
+def cjk_counts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, ch, n) of the CJK characters of every text that has any."""
     han = F.regexp_replace(F.col(text), "[^\\p{IsHan}]", "")
-    counts = docs.select(F.explode(F.split(han, "")).alias("ch")).filter(F.col("ch") != "") \
-                 .groupBy("ch").agg(F.count(F.lit(1)).alias("n"))
-    chars = [r.ch for r in counts.orderBy(F.desc("n"), "ch").limit(top).collect()]
-    return "".join(chars)
+    return docs.filter(F.col(text).rlike(CJK)).select(key, F.explode(F.split(han, "")).alias("ch")) \
+        .filter(F.col("ch") != "").groupBy(key, "ch").agg(F.count(F.lit(1)).alias("n"))
+
+
+def common_cjk(counts: DataFrame) -> DataFrame:
+    """(ch) of the corpus's common CJK characters: the most frequent ones that together
+    make up ``COMMON_CJK_TENTHS`` tenths of all occurrences. However large the corpus, its
+    clean texts stay common; nothing is collected."""
+    per = counts.groupBy("ch").agg(F.sum("n").alias("n"))
+    # one row per character: bounded by the script, not by the corpus
+    w = Window.orderBy(F.desc("n"), "ch").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = per.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))).withColumn("total", F.sum("n").over(Window.partitionBy()))
+    return ranked.filter(F.col("before") * 10 < F.col("total") * COMMON_CJK_TENTHS).select("ch")
 
 
 def noise_scores(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id", "source", "lang"),
-                 cjk_common: str | None = None) -> DataFrame:
+                 cjk_common: DataFrame | None = None) -> DataFrame:
     """G1-G4, G9-G12 per document plus their sum ``mess``. The rare-CJK measure's
-    common set comes from the corpus itself unless given."""
+    common characters (column ``ch``) come from the corpus itself unless given."""
     t = F.col(text)
-    common = common_cjk(docs, text) if cjk_common is None else cjk_common
-    cols = []
-    for name, fn in MEASURES.items():
-        if name == "rare_cjk_noise":
-            cols.append(fn(t, common).alias(name))
-        elif name != "weird_word_noise":
-            cols.append(fn(t).alias(name))
-    per_text = docs.select(*[F.col(k) for k in keep], *cols)
-    # G11 works per word: words as rows, summed back per document, joined on the key
-    # (both sides hold one small row per document, no text)
+    per_text = docs.select(*[F.col(k) for k in keep], *[fn(t).alias(name) for name, fn in MEASURES.items() if name not in _BY_TABLE])
+    # G11 works per word, G12 per character: as rows, summed back per document, joined on
+    # the key (both sides hold one small row per document, no text)
     ww = weird_word_table(docs, text, keep[0])
-    out = per_text.join(ww, keep[0], "left") \
+    counts = cut_lineage(cjk_counts(docs, text, keep[0]))
+    common = (common_cjk(counts) if cjk_common is None else cjk_common.select("ch").distinct()).withColumn("common", F.lit(True))
+    cjk = counts.join(common, "ch", "left").groupBy(keep[0]).agg(F.sum("n").alias("_cjk"), F.sum(F.when(F.col("common").isNull(), F.col("n")).otherwise(0)).alias("_rare"))
+    out = per_text.join(ww, keep[0], "left").join(cjk, keep[0], "left") \
                   .withColumn("weird_word_noise", F.coalesce(F.col("weird_word_noise"), F.lit(0.0))) \
+                  .withColumn("rare_cjk_noise", rare_cjk_noise(F.col("_rare"), F.col("_cjk"))) \
                   .select(*keep, *MEASURES)
     mess = sum((F.col(n) for n in MEASURES), F.lit(0.0))
     return out.withColumn("mess", mess)

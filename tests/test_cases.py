@@ -202,13 +202,19 @@ def test_geojson_and_inline(spark, tmp_path):
 
 def test_rare_cjk_uses_corpus_common_set(spark):
     from martlet.plans import text_profile as G
-    docs = spark.createDataFrame([(1, "的的的的的一一是是 plain", "x", "zh"), (2, "的一是鬱鬱鬱鬱鬱鬱鬱鬱", "x", "zh")],
+    docs = spark.createDataFrame([(1, "的的的的的一一是是 plain", "x", "zh"), (2, "的一是鬱鬱鬱鬱鬱鬱鬱鬱", "x", "zh"), (3, "none", "x", "en"), (4, None, "x", "en")],
                                  "doc_id long, text string, source string, lang string")
-    common = G.common_cjk(docs, top=3)
-    assert len(common) == 3 and "的" in common and "一" in common
-    s = {r.doc_id: r.rare_cjk_noise for r in G.noise_scores(docs, cjk_common="的一是").collect()}
-    assert s[1] == 0.0  # 9 CJK characters, none rare
+    given = spark.createDataFrame([("的",), ("一",), ("是",)], "ch string")
+    s = {r.doc_id: r.rare_cjk_noise for r in G.noise_scores(docs, cjk_common=given).collect()}
+    assert s[1] == 0.0 and s[3] == 0.0  # 9 CJK characters, none rare
     assert abs(s[2] - (8 / 11) / 10) < 1e-12  # 8 of 11 rare: share above 0.5
+    # 1000 characters in ordinary use are common however many they are; one odd text is not
+    usual = "".join(chr(0x4E00 + k) for k in range(1000))
+    odd = "".join(chr(0x9000 + k) for k in range(40))
+    docs = spark.createDataFrame([(k, usual, "x", "zh") for k in range(12)] + [(99, odd, "x", "zh")], docs.schema)
+    assert G.common_cjk(G.cjk_counts(docs)).count() == 903  # of 12040 occurrences, nine tenths
+    s = {r.doc_id: r.rare_cjk_noise for r in G.noise_scores(docs).collect()}
+    assert s[0] == 0.0 and s[99] == 0.1
 
 
 def test_window_without_sort_is_rejected(spark):
