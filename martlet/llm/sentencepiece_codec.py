@@ -34,6 +34,8 @@ BLANK = "▁"
 KEEP_WORDS, KEEP_LENGTH = 60_000, 48
 #: Answers about pairs of pieces that a worker keeps.
 KEEP_PAIRS = 100_000
+#: Words that ``round_trip`` keeps (some 300 bytes each).
+ROUND_TRIP_WORDS = 400_000
 _NEVER = float("inf")
 
 
@@ -186,6 +188,9 @@ class PieceTable:
             before = w
         return got
 
+    #: Words kept before the older half goes; a job that has the memory raises it.
+    keep = KEEP_WORDS
+
     def forget(self) -> None:
         """Drop the words and pairs kept: between tasks a worker holds the vocabulary only."""
         self.young, self.old, self.fits, self.differs = {}, {}, {}, {}
@@ -194,7 +199,7 @@ class PieceTable:
         """The words of each text, and the ids of each word as text with a blank behind each id."""
         lists = [self.word.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
         need = set().union(*lists)
-        if len(self.young) >= KEEP_WORDS:
+        if len(self.young) >= self.keep:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
         need = need.difference(young)
@@ -289,6 +294,7 @@ def encode_column(df: DataFrame, model_file: str, text: str = "text", ids: str =
 
     def run(batches):
         codec = piece_table(model_file)
+        codec.keep = KEEP_WORDS
         for b in batches:
             tail = str(codec.end_id) if end else ""
             got = pa.array([np.fromstring("".join(said) + tail, np.int32, sep=" ") for part in _texts(b, at) for _, said in codec.words_of(part)],
@@ -315,9 +321,10 @@ def decode_column(df: DataFrame, model_file: str, ids: str = "ids", text: str =
     return df.mapInArrow(run, schema)
 
 
-def round_trip(df: DataFrame, model_file: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip(df: DataFrame, model_file: str, id_column: str = "doc_id", text: str = "text", keep: int = ROUND_TRIP_WORDS) -> DataFrame:
     """Encode every text with the end id, decode the ids, and return sizes and digests of both:
-    (id, n_tokens, ids_sha256, decoded_sha256). One pass; the id lists themselves are not kept."""
+    (id, n_tokens, ids_sha256, decoded_sha256). One pass; the id lists themselves are not kept.
+    A worker holds up to twice ``keep`` words, also from one task to its next."""
     prepare(df.sparkSession)
     df = df.select(id_column, text)
     schema = T.StructType([df.schema[0], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
@@ -325,6 +332,7 @@ def round_trip(df: DataFrame, model_file: str, id_column: str = "doc_id", text:
 
     def run(batches):
         codec = piece_table(model_file)
+        codec.keep = keep
         tail = str(codec.end_id)
         for b in batches:
             count, a, z = [], [], []
@@ -335,7 +343,6 @@ def round_trip(df: DataFrame, model_file: str, id_column: str = "doc_id", text:
                 z.append(hashlib.sha256(codec.finish(codec.decoded(words))).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count, pa.int64()), pa.array(a), pa.array(z)],
                                              names=[id_column, "n_tokens", "ids_sha256", "decoded_sha256"])
-        codec.forget()
 
     return df.mapInArrow(run, schema)
 
