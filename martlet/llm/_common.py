@@ -65,6 +65,14 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def drop(df: DataFrame) -> None:
+    """Delete the files of a checkpoint from ``cut`` that nothing reads any more."""
+    spark = df.sparkSession
+    file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if file.isDefined():
+        _remove(spark, file.get())
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Like ``cut``, but as a Parquet table in the checkpoint folder: for many narrow rows it takes
     a fraction of a checkpoint's room. The table goes when the driver's Python ends."""
@@ -256,20 +264,31 @@ def own_ids(df: DataFrame, name: str, id_column: str = "doc_id", text: str = "te
 def components(edges: DataFrame) -> DataFrame:
     """(id, comp) for every id of ``edges`` (a, b): comp is the smallest id it reaches.
 
-    Every vertex hooks to the smallest neighbour's label, then labels jump to their label's label,
-    until nothing changes: a logarithmic number of joins on keys, each written to the checkpoint
-    folder. A vertex with very many links is an aggregate over its edges, split map-side."""
-    both = cut(edges.select(F.col("a").alias("id"), F.col("b").alias("to")).union(edges.select("b", "a")).distinct())
-    labels = cut(both.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("comp")))
-    while True:
-        near = (both.join(labels.select(F.col("id").alias("to"), F.col("comp").alias("c")), "to")
-                .groupBy("id").agg(F.min("c").alias("near")))
-        hooked = labels.join(near, "id").select("id", F.least("comp", "near").alias("comp"), F.col("comp").alias("old"))
-        # a root takes the smallest label that any of its members saw
-        best = hooked.groupBy(F.col("old").alias("id")).agg(F.min("comp").alias("best"))
-        rooted = hooked.join(best, "id", "left").select("id", F.least("comp", F.coalesce("best", "comp")).alias("comp"), "old")
-        jump = rooted.select(F.col("id").alias("comp"), F.col("comp").alias("up"))
-        new = cut(rooted.join(jump, "comp", "left").select("id", F.least("comp", F.coalesce("up", "comp")).alias("comp"), "old"))
-        if new.filter(F.col("comp") != F.col("old")).isEmpty():
-            return new.select("id", "comp")
-        labels = new.select("id", "comp")
+    Every vertex hooks to the smallest neighbour's label, then labels jump to their label's label.
+    After each round the edges are those between different labels, each once, so a large component
+    leaves the work as soon as it is found; what is left shrinks by half or more. The labels of the
+    rounds are then followed from the last to the first. A vertex with very many links is an
+    aggregate over its edges, split map-side."""
+    rounds: list[DataFrame] = []
+    left = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    while not left.isEmpty():
+        both = left.filter("a <> b").select(F.col("a").alias("id"), F.col("b").alias("to")).unionAll(left.select(F.col("b").alias("id"), F.col("a").alias("to")))
+        first = label = cut(both.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("comp")))
+        # a vertex's label is smaller than itself, so the chains of labels end; two jumps a round
+        for _ in range(2):
+            up = label.select(F.col("id").alias("comp"), F.col("comp").alias("up"))
+            label = label.join(up, "comp", "left").select("id", F.coalesce("up", "comp").alias("comp"))
+        label = cut(label)
+        drop(first)
+        rounds.append(label)
+        a, b = (label.select(F.col("id").alias(c), F.col("comp").alias(f"{c}2")) for c in ("a", "b"))
+        new = left.join(a, "a").join(b, "b").filter("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct()
+        before, left = left, cut(new)
+        drop(before)
+    if not rounds:
+        return edges.select(F.col("a").alias("id"), F.col("a").alias("comp")).limit(0)
+    out = rounds[-1]
+    for label in reversed(rounds[:-1]):
+        up = out.select(F.col("id").alias("comp"), F.col("comp").alias("up"))
+        out = cut(label.join(up, "comp", "left").select("id", F.coalesce("up", "comp").alias("comp")))
+    return out

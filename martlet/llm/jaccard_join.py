@@ -13,8 +13,8 @@ union. The work, step by step:
    prefix shingles, shared shingles are counted, and pairs whose count cannot reach the required
    overlap are dropped. Pairs of groups are expanded to their classes and verified on whole sets.
 4. Only components are asked for, so the join runs twice: first between neighbours in each list of
-   groups with one shingle, which is linear and finds most links; then between all groups that are
-   still in different components. No link between different components can be missed, and a large
+   groups with one shingle, which is linear and finds most links; then between all groups of fitting
+   size that are still in different components. No link between different components can be missed, and a large
    group of copies never produces all its pairs.
 
 Sets are read from the text again for the classes that are to be verified; a fixed-size bitmap
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import combine, components, cut, likely_rows, mix, prepare, table, text_chunks, words
+from ._common import combine, components, cut, drop, likely_rows, mix, prepare, table, text_chunks, words
 
 #: log2 of the counters of the frequency sketch, and the shared shingles that a pair needs at least.
 SKETCH_BITS, LEAST_SHARED = 21, 4
@@ -141,7 +141,10 @@ def _verified(pairs: DataFrame, rows: DataFrame, size: int, num: int, den: int)
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b"))
     inter = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(den * inter >= num * (F.size("sa") + F.size("sb") - inter)).select("a", "b")
+    linked = cut(both.filter(den * inter >= num * (F.size("sa") + F.size("sb") - inter)).select("a", "b"))
+    drop(sets)
+    drop(pairs)
+    return linked
 
 
 def jaccard_components(df: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -172,8 +175,8 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text: str = "te
     best = Window.partitionBy("g").orderBy(F.desc("c"), "g2")
     near = near.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= NEIGHBOURS)
     chain = members.withColumn("a", F.lag("rep").over(Window.partitionBy("g").orderBy("rep"))).filter("a IS NOT NULL")
-    links = cut(_verified(near.select(F.col("g").alias("a"), F.col("g2").alias("b")).union(chain.select("a", F.col("rep").alias("b"))),
-                          rows, size, num, den))
+    links = _verified(near.select(F.col("g").alias("a"), F.col("g2").alias("b")).union(chain.select("a", F.col("rep").alias("b"))),
+                      rows, size, num, den)
     comp = components(links)
     placed = cut(members.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
 
@@ -181,12 +184,17 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text: str = "te
     spread = placed.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     open_posts = posts.join(spread, "g")
     mixed = open_posts.groupBy("s").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l <> h").select("s")
-    open_posts = cut(open_posts.join(mixed, "s").select("s", "g", "n", "k", "lo", "hi"))
-    other = open_posts.select("s", *[F.col(c).alias(c + "2") for c in ("g", "n", "k", "lo", "hi")])
+    # sizes of linked sets are of one class or of neighbouring ones
+    kind = F.floor(F.log(F.col("n").cast("double")) / math.log(1.001 * den / num)).cast("int")
+    open_posts, whole_posts = cut(open_posts.join(mixed, "s").select("s", "g", "n", "k", "lo", "hi", kind.alias("kind"))), posts
+    drop(whole_posts)
+    other = open_posts.select("s", F.col("kind").alias("at"), *[F.col(c).alias(c + "2") for c in ("g", "n", "k", "lo", "hi")])
+    open_posts = open_posts.withColumn("at", F.explode(F.array("kind", F.col("kind") + 1)))
+    once = (F.col("at") > F.col("kind")) | (F.col("g") < F.col("g2"))
     apart = (F.col("lo") != F.col("hi")) | (F.col("lo2") != F.col("hi2")) | (F.col("lo") != F.col("lo2"))
     # a shared shingle is worth a pair only if what follows it on both sides can still make the overlap
     reach = F.least(F.col("n") - F.col("k"), F.col("n2") - F.col("k2")) + F.least("k", "k2") >= _overlap("n", "n2", num, den)
-    found = (open_posts.join(other, "s").filter((F.col("g") < F.col("g2")) & apart & fits & reach)
+    found = (open_posts.join(other, ["s", "at"]).filter(once & apart & fits & reach)
              .groupBy("g", "g2", "n", "n2").agg(F.count(F.lit(1)).alias("c")).filter(_enough("n", "n2", F.col("c"), num, den)))
     inside = placed.join(spread.filter("lo <> hi").select("g"), "g")
     wide = (cut(found.select("g", "g2")).join(placed.select("g", F.col("rep").alias("a"), F.col("comp").alias("ca")), "g")
@@ -194,7 +202,7 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text: str = "te
     own = inside.select("g", F.col("rep").alias("a"), F.col("comp").alias("ca")).join(
         inside.select("g", F.col("rep").alias("b"), F.col("comp").alias("cb")), "g").filter("a < b")
     late = wide.select("a", "b", "ca", "cb").unionByName(own.select("a", "b", "ca", "cb")).filter("ca <> cb")
-    more = cut(_verified(late, rows, size, num, den))
+    more = _verified(late, rows, size, num, den)
     found_so_far = placed.filter(F.col("rep") != F.col("comp")).select(F.col("rep").alias("a"), F.col("comp").alias("b"))
     final = components(found_so_far.union(more))
 
