@@ -40,6 +40,8 @@ from ._common import combine, components, cut, drop, likely_rows, mix, prepare,
 SKETCH_BITS, LEAST_SHARED = 21, 4
 #: Neighbours of a group that the first join verifies; what they leave apart is left to the second.
 NEIGHBOURS = 8
+#: Of these, the neighbours that are verified before anything is known of components.
+CLOSEST = 2
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int) -> list[np.ndarray]:
@@ -173,11 +175,18 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text: str = "te
             .filter(_enough("n", "n2", F.col("c"), num, den)))
     # of each group's neighbours (at most one a prefix shingle) those that share most
     best = Window.partitionBy("g").orderBy(F.desc("c"), "g2")
-    near = near.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= NEIGHBOURS)
+    near = cut(near.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= NEIGHBOURS).select("g", "g2", "r"))
     chain = members.withColumn("a", F.lag("rep").over(Window.partitionBy("g").orderBy("rep"))).filter("a IS NOT NULL")
-    links = _verified(near.select(F.col("g").alias("a"), F.col("g2").alias("b")).union(chain.select("a", F.col("rep").alias("b"))),
+    # the closest ones first; the others only where they would join two components
+    links = _verified(near.filter(F.col("r") <= CLOSEST).select(F.col("g").alias("a"), F.col("g2").alias("b")).union(chain.select("a", F.col("rep").alias("b"))),
                       rows, size, num, den)
     comp = components(links)
+    one, two = (comp.select(F.col("id").alias(c), F.col("comp").alias(f"c{c}")) for c in ("g", "g2"))
+    others = near.filter(F.col("r") > CLOSEST).join(one, "g", "left").join(two, "g2", "left").filter(F.coalesce("cg", "g") != F.coalesce("cg2", "g2"))
+    links = _verified(others.select(F.col("g").alias("a"), F.col("g2").alias("b")), rows, size, num, den)
+    if not links.isEmpty():
+        comp = components(comp.filter("id <> comp").select(F.col("id").alias("a"), F.col("comp").alias("b")).union(links))
+    drop(near)
     placed = cut(members.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
 
     # second join: all groups with a shingle in common that are not within one component
