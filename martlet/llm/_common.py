@@ -9,6 +9,7 @@ they may be broadcast at any input size.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import uuid
 from collections.abc import Iterator
@@ -92,6 +93,14 @@ def _remove(spark: SparkSession, path: str) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release() -> None:
+    """Give a worker's freed memory back to the system: it stays for the tasks that follow."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_chunks(batch: pa.RecordBatch, column: int, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Consecutive rows ``lo:hi`` with the bytes of their texts (null: none) and their offsets."""
     col = batch.column(column).cast(pa.large_binary())

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import combine, components, cut, drop, likely_rows, mix, prepare, table, text_chunks, words
+from ._common import combine, components, cut, drop, likely_rows, mix, prepare, release, table, text_chunks, words
 
 #: log2 of the counters of the frequency sketch, and the shared shingles that a pair needs at least.
 SKETCH_BITS, LEAST_SHARED = 21, 4
@@ -116,6 +116,7 @@ def _features(rows: DataFrame, level: np.ndarray, size: int, num: int, den: int)
                 yield pa.RecordBatch.from_arrays([b.slice(lo, hi - lo).column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
                                                   pa.array(d2, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
                                                  names=["id", "n", "d1", "d2", "prefix"])
+        release()
 
     return rows.mapInArrow(run, f"id {kind}, n bigint, d1 bigint, d2 bigint, prefix array<bigint>")
 
@@ -129,6 +130,7 @@ def _sets(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             for lo, hi, data, offs in text_chunks(b, 1):
                 sets = [s.view(np.int64) for s in shingle_sets(data, offs, size)]
                 yield pa.RecordBatch.from_arrays([b.slice(lo, hi - lo).column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
+        release()
 
     return likely_rows(rows, wanted).mapInArrow(run, f"id {kind}, set array<bigint>").join(wanted, "id", "left_semi")
 

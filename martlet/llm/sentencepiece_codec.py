@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ._common import prepare, table
+from ._common import prepare, release, table
 
 BLANK = "▁"
 #: Words in each of the two halves of a worker's table of frequent words, and the longest word that
@@ -301,6 +301,7 @@ def encode_column(df: DataFrame, model_file: str, text: str = "text", ids: str =
                            pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*b.columns, got], names=[*b.schema.names, ids])
         codec.forget()
+        release()
 
     return df.mapInArrow(run, schema)
 

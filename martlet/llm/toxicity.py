@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import WHITE, byte_sums, cut, mix, prepare, span, table, text_chunks
+from ._common import WHITE, byte_sums, cut, mix, prepare, release, span, table, text_chunks
 
 #: log2 of the number of hashed features; lengths (bytes) of the word beginnings that count too.
 BITS, BEGINNINGS = 18, (4, 5, 6, 7)
@@ -198,6 +198,7 @@ def score(df: DataFrame, chain: Chain, names: Sequence[str], text: str = "text")
                 p = model.score(*features(data, offs), hi - lo)
                 yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, *[pa.array(p[:, i]) for i in range(len(cols))]],
                                                  names=[*b.schema.names, *cols])
+        release()
 
     return df.mapInArrow(run, schema)
 
