@@ -133,7 +133,10 @@ def margins(weights: np.ndarray, data: np.ndarray, offs: np.ndarray) -> np.ndarr
 def fit(doc: np.ndarray, at: np.ndarray, value: np.ndarray, n: int, y: np.ndarray) -> np.ndarray:
     """Weights of one classifier (per feature; the constant is in all of them, as shares add up to
     one): logistic regression on features scaled by their spread, full batches."""
-    used, at = np.unique(at, return_inverse=True)
+    used = np.flatnonzero(np.bincount(at, minlength=1 << BITS))
+    number = np.zeros(1 << BITS, np.int64)
+    number[used] = np.arange(len(used))
+    at = number[at]
     k = len(used)
     mean = np.bincount(at, value, k) / n
     spread = np.sqrt(np.maximum(np.bincount(at, value.astype(float) ** 2, k) / n - mean * mean, 0)) + 1e-4

@@ -79,7 +79,10 @@ def fit(doc: np.ndarray, at: np.ndarray, value: np.ndarray, extra: np.ndarray, y
     the constant. Full-batch Adam with a quadratic penalty."""
     n, k = extra.shape
     size = (1 << BITS) + k + 1
-    used, at = np.unique(at, return_inverse=True)
+    used = np.flatnonzero(np.bincount(at, minlength=1 << BITS))
+    number = np.zeros(1 << BITS, np.int64)
+    number[used] = np.arange(len(used))
+    at = number[at]
     w, m, v = (np.zeros(len(used) + k + 1) for _ in range(3))
     rate = y.mean()
     w[-1] = np.log(max(rate, 1e-6) / max(1 - rate, 1e-6))
@@ -139,6 +142,8 @@ def _fit_and_predict(k: int):
         out = pd.DataFrame({"id": rest["id"], "p": p, "w": None})
         if model < 0:
             out = pd.DataFrame({"id": pdf["id"].iloc[:1], "p": [0.0], "w": [w.astype(np.float32).tobytes()]})
+        del pdf, seen
+        release()
         return out
 
     return one
