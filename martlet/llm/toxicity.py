@@ -88,9 +88,13 @@ def fit(doc: np.ndarray, at: np.ndarray, value: np.ndarray, extra: np.ndarray, y
     w[-1] = np.log(max(rate, 1e-6) / max(1 - rate, 1e-6))
     weight = np.where(y > 0, 0.5 / max(rate, 1e-6), 0.5 / max(1 - rate, 1e-6)) / n
     for t in range(1, ROUNDS + 1):
-        z = np.bincount(doc, value * w[:len(used)][at], n) + extra @ w[len(used):-1] + w[-1]
+        each = w[at]
+        each *= value
+        z = np.bincount(doc, each, n) + extra @ w[len(used):-1] + w[-1]
         r = (_logistic(z) - y) * weight
-        g = np.concatenate([np.bincount(at, value * r[doc], len(used)), extra.T @ r, [r.sum()]])
+        np.take(r, doc, out=each)
+        each *= value
+        g = np.concatenate([np.bincount(at, each, len(used)), extra.T @ r, [r.sum()]])
         g[:-1] += PENALTY * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.5 / (1 + t / 40) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
@@ -106,7 +110,7 @@ def predict(w: np.ndarray, doc: np.ndarray, at: np.ndarray, value: np.ndarray, e
 
 def _matrix(pdf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     doc = np.repeat(np.arange(len(pdf)), pdf["at"].str.len())
-    at = np.concatenate([np.zeros(0, np.int64), *pdf["at"]]).astype(np.int64)
+    at = np.concatenate([np.zeros(0, np.int32), *pdf["at"]])
     return doc, at, np.concatenate([np.zeros(0, np.float32), *pdf["value"]])
 
 
