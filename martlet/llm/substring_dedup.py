@@ -9,25 +9,27 @@ as soon as their rank is unique:
 
 1. Start: length ``SEED``. Of the positions of a text only a sample is ranked: of every LENGTH-byte
    window the one seed whose hash is smallest (the leftmost of equal ones). Equal windows choose
-   the same seed at the same offset, so sampling loses none; about one position in 35 is left. The
+   the same seed at the same offset, so sampling loses none; about one position in 32 is left. The
    seeds are grouped by their hash. A seed that stands in one document only is unique: all windows
    that chose it are dropped.
-2. Doubling: the next rank of a position joins its rank to what stands on both sides of it, out to
-   the whole run of windows that chose the seed, its context (LENGTH to LENGTH + 68 bytes). Where a
-   context stands in a smaller id too, all its windows repeat; seeds with one context only are done.
-3. Threshold: of seeds with different contexts (at the borders of repeats), every context is taken
-   once, where it stands first, and its single windows of LENGTH bytes are ranked.
-
-Ranks are 64-bit fingerprints instead of sort positions; windows have a second one. Each step is
-an aggregate on a key, so a string that a third of all documents hold is combined before it is
-shuffled, and no group is gathered anywhere. Repeats within one document are found where the text
-is read. What a step needs of the text is read again; fixed-size bitmaps of the seeds in question
-limit what leaves the scan, exact joins follow.
+2. Context: the run of windows that chose a seed, LENGTH to LENGTH + 68 bytes. Where a whole context
+   stands in a smaller id too, all its windows repeat; seeds with one context only are done.
+3. Doubling: of seeds with different contexts (at the borders of repeats), every context is taken
+   once, where it stands first. Spark sorts these by seed and id. Within a seed, the window starts
+   are ranked by their place before the seed, then by the pairs of that rank and the next bytes, out
+   to 13, 25, 50 and LENGTH bytes; each time the pairs are sorted and reranked, and starts whose
+   rank is unique are dropped. What is left at LENGTH stands twice.
+
+Seeds with more than ``GROUP`` first contexts are not gathered in a task: their windows are ranked
+at LENGTH bytes at once, by an aggregate on two fingerprints. Ranks of seeds and contexts are 64-bit
+fingerprints. Steps 1 and 2 are aggregates on a key, so a string that a third of all documents hold
+is combined before it is shuffled. Repeats within one document are found where the text is read.
+Fixed-size bitmaps of the seeds in question limit what leaves the scan, exact joins follow.
 
 Defined cases: a null text is empty; texts shorter than LENGTH lose nothing; rows that repeat an id
 are each judged against smaller ids and themselves, not against each other; rows with a null id are
-judged against themselves only; an empty table gives an empty
-table. Other columns are ignored.
+judged against themselves only; an empty table gives an empty table. Other columns are ignored. A text
+is handled whole by one task, whose memory grows with the longest text.
 """
 
 from __future__ import annotations
@@ -39,10 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import bitmap, byte_sums, combine, in_bitmap, mix, prepare, span, split_rows, stored, table, text_chunks
+from ._common import bitmap, byte_sums, in_bitmap, mix, prepare, span, split_rows, stored, table, text_chunks
 
 #: Bytes of a repeated string, and of the seeds that positions are first ranked by.
 LENGTH, SEED = 100, 32
+#: Most first contexts of a seed that one task compares; a seed with more is spread over tasks.
+GROUP = 4096
 _POSITIONS = np.uint64((1 << 32) - 1)
 
 
@@ -88,13 +92,20 @@ class Seeds:
 
     def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(seed index, start, two hashes) of all windows of the seeds ``which``."""
-        count = self.last[which] - self.first[which] + 1
-        owner = np.repeat(which, count)
-        start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + self.first[owner]
-        raw = span(self.sums, start, start + LENGTH)
-        # the second hash joins the fingerprints of unequal parts of the window, each mixed
-        part = mix(span(self.sums, start, start + 37)) * np.uint64(3) + mix(span(self.sums, start + 37, start + LENGTH))
-        return owner, start, mix(raw), mix(part ^ np.uint64(0x5851F42D4C957F2D))
+        owner, start = _starts(self.first[which], self.last[which] - self.first[which] + 1)
+        return which[owner], start, *_window_hashes(self.sums, start)
+
+
+def _starts(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(run, start) of ``count`` consecutive starts from each ``first``."""
+    owner = np.repeat(np.arange(len(first)), count)
+    return owner, np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + first[owner]
+
+
+def _window_hashes(sums: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    # the second hash joins the fingerprints of unequal parts of the window, each mixed
+    part = mix(span(sums, start, start + 37)) * np.uint64(3) + mix(span(sums, start + 37, start + LENGTH))
+    return mix(span(sums, start, start + LENGTH)), mix(part ^ np.uint64(0x5851F42D4C957F2D))
 
 
 def _chunks(b: pa.RecordBatch):
@@ -117,15 +128,6 @@ def _ranked(rows: DataFrame, kind: str) -> DataFrame:
     return rows.mapInArrow(run, f"q bigint, c bigint, id {kind}")
 
 
-def _place(s: Seeds, at: np.ndarray, c: np.ndarray, ih: np.ndarray) -> np.ndarray:
-    """Key of (seed, context, document) of the seeds ``at``."""
-    return combine([s.q[at], c, ih[s.doc[at]].view(np.uint64)])
-
-
-def _hash_of(part: pa.RecordBatch) -> np.ndarray:
-    return part.column(3).to_numpy()
-
-
 def _own_repeats(s: Seeds) -> np.ndarray:
     """Starts of windows that also start earlier in the same document."""
     both = (s.q ^ mix(s.doc.astype(np.uint64)))
@@ -143,87 +145,154 @@ def _own_repeats(s: Seeds) -> np.ndarray:
     return start[order][rep]
 
 
-def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def _reranked(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rank, how many have it) of the pairs of ``first`` and ``second``."""
+    order = np.lexsort((second, first))
+    a, b = first[order], second[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, bool)
+    rank = np.empty(len(a), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return rank, np.bincount(rank, minlength=1)[rank]
+
+
+def _repeated_starts(data: np.ndarray, offs: np.ndarray, seed: np.ndarray, place: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(context, start within it) of the windows which a smaller id has too: contexts ``offs`` of
+    ``data``, their seeds, the seeds' places in them, and numbers in the order of their ids."""
+    sums = byte_sums(data)
+    owner, start = _starts(offs[:-1], np.diff(offs) - LENGTH + 1)
+    rank, n = _reranked(seed[owner], offs[owner] + place[owner] - start)
+    done = 0
+    for size in (13, 25, 50, LENGTH):
+        some = n > 1
+        owner, start, rank = owner[some], start[some], rank[some]
+        rank, n = _reranked(rank, mix(span(sums, start + done, start + size)))
+        done = size
+    least = np.full(len(rank) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, rank, ids[owner])
+    again = least[rank] < ids[owner]
+    return owner[again], start[again] - offs[owner[again]]
+
+
+def _as_spans(part: pa.RecordBatch, owner: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+    """(id, t, first, last): runs of consecutive starts of the contexts ``part``."""
+    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)]))
+    end = np.concatenate([new[1:] - 1, [len(owner) - 1]])
+    at = pa.array(owner[new])
+    base = part.column("first").to_numpy()[owner[new]]
+    return pa.RecordBatch.from_arrays([part.column("id").take(at), part.column("t").take(at), pa.array((base + start[new]).astype(np.int32)),
+                                       pa.array((base + start[end]).astype(np.int32))], names=["id", "t", "first", "last"])
+
+
+def _by_seed(batches):
+    """Batches that end where a seed ends, of rows in the order of their seeds."""
+    rest = None
+    for b in batches:
+        if rest is not None:
+            b = pa.Table.from_batches([rest, b]).combine_chunks().to_batches()[0]
+        q = b.column("q").to_numpy()
+        edge = np.flatnonzero(q[1:] != q[:-1])
+        whole = int(edge[-1]) + 1 if len(edge) else 0
+        if whole:
+            yield b.slice(0, whole)
+        rest = b.slice(whole)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _texts_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of the contexts, and their offsets."""
+    for _, _, data, offs in text_chunks(part, part.schema.get_field_index("bytes"), 1 << 62):
+        return data, offs
+    return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+
+
+def _contexts(rows: DataFrame, kept: DataFrame, kind: str) -> DataFrame:
+    """The contexts ``kept`` with their bytes, read from the texts that have them."""
+    per = stored(kept.groupBy("id", "t").agg(F.collect_list(F.struct("q", "first", "last", "place")).alias("s"))
+                 .select("id", "t", "s.q", "s.first", "s.last", "s.place"))
+    both = split_rows(rows, per, "id", "t")[0].join(per, ["id", "t"]).select("id", "t", F.col("text").cast("binary").alias("text"), "q", "first", "last", "place")
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                text = b.column(2)[i].as_py()
+                q, first, last, place = (b.column(k)[i].values for k in range(3, 7))
+                same = pa.array(np.full(len(q), i))
+                cuts = [text[x:y + LENGTH] for x, y in zip(first.to_pylist(), last.to_pylist())]
+                yield pa.RecordBatch.from_arrays([q, b.column(0).take(same), b.column(1).take(same), first, place, pa.array(cuts, pa.binary())],
+                                                 names=["q", "id", "t", "first", "place", "bytes"])
+
+    return both.mapInArrow(run, f"q bigint, id {kind}, t bigint, first int, place int, bytes binary")
+
+
+def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
     """(id, t: hash of the text, first, last): runs of window starts, by byte position
     in the document, whose windows start earlier as well."""
     prepare(df.sparkSession)
-    rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("t"),
-                     F.xxhash64(id_column).alias("ih")).filter("id IS NOT NULL")
+    rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("t")).filter("id IS NOT NULL")
     kind = rows.schema["id"].dataType.simpleString()
     spark = df.sparkSession
 
-    # ranks of SEED bytes: unique seeds are dropped; ``done``: one context only
+    # ranks of SEED bytes: unique seeds are dropped; ``mixed``: more than one context
     ranks = stored(_ranked(rows, kind).groupBy("q")
-                .agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("id").alias("i0"), F.max("id").alias("i1"))
-                .filter("i0 <> i1").select("q", (F.col("lo") == F.col("hi")).alias("done"), F.col("lo").alias("c"), "i0"))
+                   .agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("id").alias("i0"), F.max("id").alias("i1"))
+                   .filter("i0 <> i1").select("q", (F.col("lo") != F.col("hi")).alias("mixed")))
     seeds = spark.sparkContext.broadcast(bitmap(ranks, "q"))
-    mixed = spark.sparkContext.broadcast(bitmap(ranks.filter("NOT done"), "q"))
 
-    # doubled: contexts of the others, each with the smallest id that has it
-    def contexts(batches):
-        for b in batches:
-            for part, s in _chunks(b):
-                at = np.flatnonzero(in_bitmap(mixed.value, s.q))
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([_signed(s.q[at]), _signed(s.context()[at]), part.column(0).take(pa.array(s.doc[at]))],
-                                                     names=["q", "c", "id"])
-
-    firsts = stored(rows.mapInArrow(contexts, f"q bigint, c bigint, id {kind}").groupBy("q", "c").agg(F.min("id").alias("i0")))
-
-    def placed(batches):
-        for b in batches:
-            q, c, ih = (b.column(k).to_numpy().view(np.uint64) for k in range(3))
-            yield pa.RecordBatch.from_arrays([_signed(combine([q, c, ih]))], names=["h"])
-
-    places = spark.sparkContext.broadcast(bitmap(firsts.select("q", "c", F.xxhash64("i0").alias("ih")).mapInArrow(placed, "h bigint"), "h"))
-
-    # of every context, once, where it stands first: single windows and the smallest id that has them
-    def first_windows(part, s):
-        at = np.flatnonzero(in_bitmap(mixed.value, s.q))
-        at = at[in_bitmap(places.value, _place(s, at, s.context()[at], _hash_of(part)))]
-        return s.windows(at)
-
-    def windows_of(batches):
-        for b in batches:
-            for part, s in _chunks(b):
-                owner, _, w1, w2 = first_windows(part, s)
-                if len(owner):
-                    yield pa.RecordBatch.from_arrays([_signed(w1), _signed(w2), part.column(0).take(pa.array(s.doc[owner]))], names=["w1", "w2", "id"])
-
-    windows = stored(rows.mapInArrow(windows_of, f"w1 bigint, w2 bigint, id {kind}").groupBy("w1", "w2")
-                  .agg(F.min("id").alias("i0"), F.max("id").alias("i1")).filter("i0 <> i1").select("w1", "w2", "i0"))
-    repeated = spark.sparkContext.broadcast(bitmap(windows, "w1"))
-
-    def seeds_in_question(batches):
+    def in_question(batches):
         for b in batches:
             for part, s in _chunks(b):
                 at = np.flatnonzero(in_bitmap(seeds.value, s.q))
                 if len(at):
                     base, doc = s.offs[s.doc[at]], pa.array(s.doc[at])
-                    yield pa.RecordBatch.from_arrays(
-                        [_signed(s.q[at]), _signed(s.context()[at]), part.column(0).take(doc), part.column(2).take(doc),
-                         pa.array((s.first[at] - base).astype(np.int32)), pa.array((s.last[at] - base).astype(np.int32))],
-                        names=["q", "c", "id", "t", "first", "last"])
+                    places = [pa.array(v.astype(np.int32)) for v in (s.first[at] - base, s.last[at] - base, s.at[at] - s.first[at])]
+                    yield pa.RecordBatch.from_arrays([_signed(s.q[at]), _signed(s.context()[at]), part.column(0).take(doc), part.column(2).take(doc), *places],
+                                                     names=["q", "c", "id", "t", "first", "last", "place"])
+
+    # contexts: where each stands first, and all places behind that
+    found = stored(rows.mapInArrow(in_question, f"q bigint, c bigint, id {kind}, t bigint, first int, last int, place int"))
+    firsts = stored(found.groupBy("q", "c").agg(F.min("id").alias("i0")))
+    whole = found.join(firsts, ["q", "c"]).filter("i0 < id").select("id", "t", "first", "last")
+
+    # doubling from the first contexts of seeds that have several
+    mixed = firsts.join(ranks.filter("mixed").select("q"), "q", "left_semi")
+    kept = found.join(mixed, ["q", "c"]).filter("i0 = id").select("q", "id", "t", "first", "last", "place")
+    contexts = stored(_contexts(rows, kept, kind))
+    many = contexts.groupBy("q").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group)
+    crowd = spark.sparkContext.broadcast(bitmap(many, "q"))
+
+    def crowded(inside: bool):
+        def run(batches):
+            for b in batches:
+                yield b.filter(pa.array(in_bitmap(crowd.value, b.column(0).to_numpy()) == inside))
+        return contexts.mapInArrow(run, contexts.schema)
+
+    def doubled(batches):
+        for part in _by_seed(batches):
+            data, offs = _texts_of(part)
+            ids = part.column("id").to_numpy(zero_copy_only=False)
+            q = part.column("q").to_numpy()
+            order = np.cumsum(np.concatenate([[0], (q[1:] != q[:-1]) | (ids[1:] != ids[:-1])]))  # rows come by seed and id
+            owner, start = _repeated_starts(data, offs, q, part.column("place").to_numpy(), order)
+            if len(owner):
+                yield _as_spans(part, owner, start)
 
-    def windows_in_question(batches):
-        for b in batches:
-            for part, s in _chunks(b):
-                owner, start, w1, w2 = first_windows(part, s)
-                keep = np.flatnonzero(in_bitmap(repeated.value, w1))
-                if len(keep):
-                    doc = s.doc[owner[keep]]
-                    at = pa.array((start[keep] - s.offs[doc]).astype(np.int32))
-                    doc = pa.array(doc)
-                    yield pa.RecordBatch.from_arrays([_signed(w1[keep]), _signed(w2[keep]), part.column(0).take(doc), part.column(2).take(doc), at],
-                                                     names=["w1", "w2", "id", "t", "first"])
-
-    # whole contexts that stand in a smaller id, and windows of first contexts that do
-    first_of = ranks.filter("done").select("q", "c", "i0").unionByName(firsts)
-    whole = (rows.mapInArrow(seeds_in_question, f"q bigint, c bigint, id {kind}, t bigint, first int, last int")
-                .join(first_of, ["q", "c"]).filter("i0 < id").select("id", "t", "first", "last"))
-    single = (rows.mapInArrow(windows_in_question, f"w1 bigint, w2 bigint, id {kind}, t bigint, first int")
-                 .join(windows, ["w1", "w2"]).filter("i0 < id").select("id", "t", "first", F.col("first").alias("last")))
-    return whole.unionByName(single)
+    def windows_of(batches):
+        for part in batches:
+            data, offs = _texts_of(part)
+            owner, start = _starts(offs[:-1], np.diff(offs) - LENGTH + 1)
+            w1, w2 = _window_hashes(byte_sums(data), start)
+            at = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([_signed(w1), _signed(w2), part.column("id").take(at), part.column("t").take(at),
+                                              pa.array((part.column("first").to_numpy()[owner] + start - offs[owner]).astype(np.int32))],
+                                             names=["w1", "w2", "id", "t", "first"])
+
+    spans = f"id {kind}, t bigint, first int, last int"
+    few = crowded(False).repartition("q").sortWithinPartitions("q", "id").mapInArrow(doubled, spans)
+    windows = crowded(True).mapInArrow(windows_of, f"w1 bigint, w2 bigint, id {kind}, t bigint, first int")
+    least = windows.groupBy("w1", "w2").agg(F.min("id").alias("i0"), F.max("id").alias("i1")).filter("i0 <> i1")
+    single = windows.join(least, ["w1", "w2"]).filter("i0 < id").select("id", "t", "first", F.col("first").alias("last"))
+    return whole.unionByName(few).unionByName(single)
 
 
 def _runs(covered: np.ndarray) -> tuple[int, int]:
@@ -232,9 +301,9 @@ def _runs(covered: np.ndarray) -> tuple[int, int]:
     return int(covered.sum()), int((edge == 1).sum())
 
 
-def dedup_substrings(df: DataFrame, id_column: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
+def dedup_substrings(df: DataFrame, id_column: str = "doc_id", text: str = "text", keep_text: bool = False, group: int = GROUP) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept: the remaining bytes]) of every row."""
-    spans = repeated_spans(df, id_column, text)
+    spans = repeated_spans(df, id_column, text, group)
     per = spans.groupBy("id", "t").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     per = stored(per.select("id", "t", "spans.first", "spans.last"))
     rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))

@@ -8,7 +8,7 @@ import pytest
 
 from martlet.llm.jaccard_join import jaccard_components
 from martlet.llm.line_dedup import SHORT, line_dedup
-from martlet.llm.substring_dedup import LENGTH, dedup_substrings
+from martlet.llm.substring_dedup import GROUP, LENGTH, dedup_substrings
 
 EDGES = [(900, None), (901, ""), (902, " \n\t "), (903, "one"), (904, "two words"), (905, "two words"), (906, "x" * 30_000)]
 
@@ -93,8 +93,8 @@ def brute_bytes(rows):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_substrings_equal_brute_force(docs_of, seed):
+@pytest.mark.parametrize("seed, group", [(1, GROUP), (2, GROUP), (2, 1), (3, 3)])
+def test_substrings_equal_brute_force(docs_of, seed, group):
     rnd = random.Random(seed)
     pool = ["".join(rnd.choice("abcdé \n") for _ in range(rnd.randint(50, 400))) for _ in range(10)]
     rows = []
@@ -103,7 +103,7 @@ def test_substrings_equal_brute_force(docs_of, seed):
                  for _ in range(rnd.randint(0, 6))]
         rows.append((i * 3, "ab" * rnd.randint(0, 300) if i % 19 == 0 else "".join(parts)))
     rows += EDGES[:-1] + [(950, "y" * (LENGTH - 1)), (951, "z" * 700)]
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in dedup_substrings(docs_of(rows, 4)).collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in dedup_substrings(docs_of(rows, 4), group=group).collect()}
     assert got == brute_bytes(rows)
 
 
