@@ -83,7 +83,7 @@ class Seeds:
         edge = np.flatnonzero(new)
         self.at, self.doc, self.first = chosen[edge], doc[edge], start[edge]
         self.last = np.concatenate([start[edge[1:] - 1], start[-1:]])
-        self.q = h[self.at]
+        self.q = mix(h[self.at])  # smallest hashes begin with zeros: mixed again for the bitmaps
 
     def context(self) -> np.ndarray:
         """Rank of the whole run of windows of each seed, with the seed's place in it."""
@@ -250,7 +250,8 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text",
                                                      names=["q", "c", "id", "t", "first", "last", "place"])
 
     # contexts: where each stands first, and all places behind that
-    found = stored(rows.mapInArrow(in_question, f"q bigint, c bigint, id {kind}, t bigint, first int, last int, place int"))
+    found = rows.mapInArrow(in_question, f"q bigint, c bigint, id {kind}, t bigint, first int, last int, place int")
+    found = stored(found.join(ranks.select("q"), "q", "left_semi"))
     firsts = stored(found.groupBy("q", "c").agg(F.min("id").alias("i0")))
     whole = found.join(firsts, ["q", "c"]).filter("i0 < id").select("id", "t", "first", "last")
 
