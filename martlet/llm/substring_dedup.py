@@ -62,9 +62,9 @@ class Seeds:
         self.doc, self.at, self.first, self.last, self.q = z, z, z, z, z.astype(np.uint64)
         if n < LENGTH:
             return
-        at = np.arange(n - SEED + 1)
-        h = mix(span(self.sums, at, at + SEED))
-        key = (h & ~_POSITIONS) | at.astype(np.uint64)
+        m = n - SEED + 1
+        h = mix(span(self.sums, slice(m), slice(SEED, None)))
+        key = (h & ~_POSITIONS) | np.arange(m, dtype=np.uint64)
         width = LENGTH - SEED + 1  # seeds within a window
         size = 1
         while 2 * size <= width:
@@ -74,8 +74,9 @@ class Seeds:
         key = np.minimum(key[:len(key) - rest], key[rest:]) if rest else key
         chosen = (key & _POSITIONS).astype(np.int64)  # by window start 0 .. n - LENGTH
         start = np.arange(len(chosen))
-        doc = np.searchsorted(offs, start, "right") - 1
-        ok = start + LENGTH <= offs[doc + 1]
+        size = np.diff(offs)
+        doc = np.repeat(np.arange(len(size)), size)[:len(start)]
+        ok = start + LENGTH <= np.repeat(offs[1:], size)[:len(start)]
         start, chosen, doc = start[ok], chosen[ok], doc[ok]
         if not len(start):
             return
