@@ -229,7 +229,7 @@ def split_rows(rows: DataFrame, wanted: DataFrame, *keys: str) -> tuple[DataFram
             for b in batches:
                 hit = in_bitmap(some.value, b.column(n).to_numpy())
                 yield pa.RecordBatch.from_arrays(b.columns[:n], names=b.schema.names[:n]).filter(pa.array(hit == inside))
-        return rows.withColumn("__h", F.xxhash64(*keys)).mapInArrow(run, rows.schema)
+        return rows.withColumn(free_name(rows, "__h"), F.xxhash64(*keys)).mapInArrow(run, rows.schema)
 
     return part(True), part(False)
 
@@ -260,10 +260,11 @@ def own_ids(df: DataFrame, name: str, id_column: str = "doc_id", text: str = "te
             return df.withColumn(name, plain)
         some, rest = df.filter(col.isNull()), df.filter(col.isNotNull())
     top = df.agg(F.max(plain)).first()[0]
+    place = free_name(df, "__at")
     # in one order whatever the partitions; equal rows are dealt over tasks by the last column
-    order = [F.sha2(F.coalesce(text, F.lit("")), 256), F.xxhash64(*df.columns), F.col("__at")]
+    order = [F.sha2(F.coalesce(text, F.lit("")), 256), F.xxhash64(*df.columns), F.col(place)]
     at = F.monotonically_increasing_id()
-    some = some.withColumn("__at", at).orderBy(*order).drop("__at")
+    some = some.withColumn(place, at).orderBy(*order).drop(place)
     own = F.lit(top or 0) + 1 + at if whole else F.concat(F.lit(top or ""), F.lpad(at.cast("string"), 20, "0"))
     return rest.withColumn(name, plain).unionByName(stored(some.withColumn(name, own)))
 

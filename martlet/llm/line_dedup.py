@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import cut, likely_rows, own_ids, prepare, table
+from ._common import cut, free_name, likely_rows, own_ids, prepare, table
 
 #: Edits between near lines, and characters of the shortest line that is compared by edits.
 MAX_EDITS, SHORT = 1, 12
@@ -151,8 +151,9 @@ def line_dedup(df: DataFrame, id_column: str = "doc_id", text: str = "text", cou
     """``df`` with the lines removed from its texts, and two more columns (of the names ``counts``,
     replacing columns of these names): lines of the input and lines removed."""
     prepare(df.sparkSession)
-    own = own_ids(df, "__own", id_column, text)
-    rows = own.select(F.col("__own").alias("id"), F.col(text).alias("text"))
+    key, other, lost = (free_name(df, c) for c in ("__own", "__id", "__gone"))
+    own = own_ids(df, key, id_column, text)
+    rows = own.select(F.col(key).alias("id"), F.col(text).alias("text"))
     lines = _line_rows(rows)
     # the earliest place of every distinct line; equal rows of an id share their lines
     first = lines.groupBy("h1", "h2", "id").agg(F.min("k").alias("k"), F.first("keys").alias("keys"))
@@ -165,15 +166,15 @@ def line_dedup(df: DataFrame, id_column: str = "doc_id", text: str = "text", cou
         "h1", "h2", F.least(F.struct(F.col("id").alias("i0"), F.col("k").alias("k0")), F.coalesce("near", F.struct(F.col("id").alias("i0"), F.col("k").alias("k0")))).alias("near")))
     hit = _line_rows(rows, with_keys=False).select("id", "k", "h1", "h2").join(verdict, ["h1", "h2"])
     gone = hit.filter(F.col("near") < F.struct(F.col("id").alias("i0"), F.col("k").alias("k0"))).select("id", "k", "h1")
-    per = gone.groupBy(F.col("id").alias("__id")).agg(F.collect_set(F.struct("k", "h1")).alias("__gone"))
-    joined = own.join(per, own["__own"] == per["__id"], "left").drop("__id", "__own")
-    return _rebuilt(joined, text, df, counts)
+    per = gone.groupBy(F.col("id").alias(other)).agg(F.collect_set(F.struct("k", "h1")).alias(lost))
+    joined = own.join(per, own[key] == per[other], "left").drop(other, key)
+    return _rebuilt(joined, text, df, counts, lost)
 
 
-def _rebuilt(joined: DataFrame, text: str, df: DataFrame, counts: tuple[str, str]) -> DataFrame:
-    """Texts without the lines in ``__gone`` and without their own repeats."""
+def _rebuilt(joined: DataFrame, text: str, df: DataFrame, counts: tuple[str, str], lost: str) -> DataFrame:
+    """Texts without the lines in the column ``lost`` and without their own repeats."""
     keep = [c for c in df.columns if c not in counts]
-    joined = joined.select(*keep, "__gone")
+    joined = joined.select(*keep, lost)
     at = keep.index(text)
     schema = T.StructType([*[df.schema[c] for c in keep], *[T.StructField(c, T.LongType()) for c in counts]])
 
@@ -181,7 +182,7 @@ def _rebuilt(joined: DataFrame, text: str, df: DataFrame, counts: tuple[str, str
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                texts, n, lost = [], [], []
+                texts, n, cut_away = [], [], []
                 for t, gone in zip(part.column(at), part.column(len(keep))):
                     t = t.as_py()
                     lines = _lines(t)
@@ -197,9 +198,9 @@ def _rebuilt(joined: DataFrame, text: str, df: DataFrame, counts: tuple[str, str
                         out.append(line)
                     texts.append("\n".join(out) if lines else t)
                     n.append(len(lines))
-                    lost.append(len(lines) - len(out))
+                    cut_away.append(len(lines) - len(out))
                 cols = [*part.columns[:at], pa.array(texts, b.schema.field(at).type), *part.columns[at + 1:len(keep)]]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(lost, pa.int64())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(cut_away, pa.int64())], names=schema.names)
 
     return joined.mapInArrow(run, schema)
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import WHITE, byte_sums, cut, mix, prepare, release, span, table, text_chunks
+from ._common import WHITE, byte_sums, cut, free_name, mix, prepare, release, span, table, text_chunks
 
 #: log2 of the number of hashed features; lengths (bytes) of the word beginnings that count too.
 BITS, BEGINNINGS = 18, (4, 5, 6, 7)
@@ -225,8 +225,8 @@ def score_documents(spark: SparkSession, docs: DataFrame, sf_dir: str, names: Se
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not toxic, with the columns that they have."""
-    scored = score_documents(spark, docs, sf_dir, ("__p_poor", "__p_toxic"))
-    return scored.filter(F.col("__p_toxic") < THRESHOLD).select(*docs.columns)
+    poor, toxic = (free_name(docs, c) for c in ("__p_poor", "__p_toxic"))
+    return score_documents(spark, docs, sf_dir, (poor, toxic)).filter(F.col(toxic) < THRESHOLD).select(*docs.columns)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -268,6 +268,20 @@ def test_pipeline_stages_on_null_and_repeated_ids(spark):
     assert len(clean) == 11 and not {(9, "x "), (None, "y ")} & set(clean)
 
 
+def test_pipeline_stages_keep_columns_of_helper_names(spark):
+    import corpus_pipeline
+
+    names = ["__own", "__id", "__gone", "__h", "__at", "__n_lines", "__n_removed", "__p_poor", "__p_toxic"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 40")
+    docs = docs.unionByName(spark.createDataFrame([(None, "a line of its own", "en", "s", 17)], docs.schema))
+    docs = docs.withColumns({c: F.coalesce(F.col("doc_id"), F.lit(-1)) * 10 + k for k, c in enumerate(names)})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[c] == (-1 if r.doc_id is None else r.doc_id) * 10 + k for r in rows for k, c in enumerate(names)), name
+
+
 @pytest.mark.parametrize("name", ["op3_license_scan", "op5_url_filter"])
 def test_sql(spark, duck, name):
     from martlet.llm.queries import ORACLE, QUERIES
