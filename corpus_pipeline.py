@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.llm import decontaminate, jaccard_join, line_dedup, sentencepiece_codec, toxicity
-from martlet.llm._common import cut, own_ids, table
+from martlet.llm._common import cut, free_name, own_ids, table
 from martlet.session import ensure_checkpoint_dir
 
 #: Words of a shingle and similarity (in hundredths) of near duplicates.
@@ -28,7 +28,8 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand earlier, or nearly so, go; documents stay. ``n_chars`` follows the text."""
-    out = line_dedup.line_dedup(docs, counts=("__n_lines", "__n_removed")).drop("__n_lines", "__n_removed")
+    counts = free_name(docs, "__n_lines"), free_name(docs, "__n_removed")
+    out = line_dedup.line_dedup(docs, counts=counts).drop(*counts)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
@@ -37,20 +38,22 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every component of near duplicates the document of smallest id stays, one without an id
     only if none has one; of rows that share that id, one."""
-    own = own_ids(docs, "__own", repeats=True)
-    groups = jaccard_join.jaccard_components(own, id_column="__own", size=SHINGLE, num=SIMILAR, den=100).filter("n_shingles > 0")
-    rows = cut(groups.select("__own", "component_id").join(own.select("__own", "doc_id"), "__own"))
-    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__own")).alias("x"))
-    others = rows.join(first.select("x.__own"), "__own", "left_anti").select(F.col("__own").alias("__id"))
-    return own.join(others, own["__own"] == others["__id"], "left_anti").select(*docs.columns)
+    key, other = free_name(docs, "__own"), free_name(docs, "__id")
+    own = own_ids(docs, key, repeats=True)
+    groups = jaccard_join.jaccard_components(own, id_column=key, size=SHINGLE, num=SIMILAR, den=100).filter("n_shingles > 0")
+    rows = cut(groups.select(key, "component_id").join(own.select(key, "doc_id"), key))
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key)).alias("x"))
+    others = rows.join(first.select(f"x.{key}"), key, "left_anti").select(F.col(key).alias(other))
+    return own.join(others, own[key] == others[other], "left_anti").select(*docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark item in them go."""
-    own = own_ids(docs, "__own", repeats=True)
-    leaks = decontaminate.contaminated(own, table(spark, sf_dir, "benchmark"), id_column="__own")
-    leaks = leaks.select(F.col("__own").alias("__id")).distinct()
-    return own.join(leaks, own["__own"] == leaks["__id"], "left_anti").select(*docs.columns)
+    key, other = free_name(docs, "__own"), free_name(docs, "__id")
+    own = own_ids(docs, key, repeats=True)
+    leaks = decontaminate.contaminated(own, table(spark, sf_dir, "benchmark"), id_column=key)
+    leaks = leaks.select(F.col(key).alias(other)).distinct()
+    return own.join(leaks, own[key] == leaks[other], "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
