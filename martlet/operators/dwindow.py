@@ -139,6 +139,7 @@ def window_distributed(df: DataFrame, ops: dict[str, tuple], sort: Sequence, gro
     blocks = F.array(own, F.when(at >= size - back, own + 1) if back else F.lit(None), F.when(at < ahead, own - 1) if ahead else F.lit(None))
     t = t.withColumn("_block", F.explode(F.array_compact(blocks)))
     w = Window.partitionBy(*g, "_block").orderBy("_rn")
+    down = Window.partitionBy(*g, "_block").orderBy(F.desc("_rn"))
     out, lookups = [], []
     place = {n: i for i, n in enumerate(framed)}
     for name, spec in specs.items():
@@ -151,10 +152,15 @@ def window_distributed(df: DataFrame, ops: dict[str, tuple], sort: Sequence, gro
         elif op in ("lag", "lead"):
             out.append((F.lag if op == "lag" else F.lead)(field, int(param or 1)).over(w).alias(name))
         else:
-            rows = w.rowsBetween(Window.unboundedPreceding if lo is None else lo, Window.unboundedFollowing if hi is None else hi)
+            if hi is None and lo is not None:
+                # Spark goes through all that follows for every row of a frame without end; read
+                # from the end, the frame has no begin and grows row by row
+                rows = down.rowsBetween(Window.unboundedPreceding, -lo)
+            else:
+                rows = w.rowsBetween(Window.unboundedPreceding if lo is None else lo, Window.unboundedFollowing if hi is None else hi)
             if op == "nth_value" and not (ignore_peers and lo is not None and hi is not None):
                 # the number of the row that is wanted; its value is looked up behind
-                e0 = F.lit(1) if lo is None else F.first("_rn" if ignore_peers else "_p0").over(rows)
+                e0 = F.lit(1) if lo is None else (F.last if hi is None else F.first)("_rn" if ignore_peers else "_p0").over(rows)
                 e1 = F.last("_rn" if ignore_peers else "_p1").over(rows) if hi is not None else F.lit(None)
                 target = e0 + int(param or 1) - 1
                 out.append((target if hi is None else F.when(target <= e1, target)).alias(name))
@@ -197,11 +203,12 @@ def _with_peers(t: DataFrame, base: DataFrame, specs: dict, framed: dict, scans:
 
 
 def _frame_value(df: DataFrame, i: int, spec: tuple, rows, scans: dict, ignore_peers: bool) -> Column:
-    """The value of op ``i`` over its frame, ``rows`` being the frame within the block."""
+    """The value of op ``i`` over its frame, ``rows`` being the frame within the block, read from
+    its end if it has a begin and no end."""
     op, field, param, lo, hi = spec
 
     def first(c):
-        return F.first(c).over(rows)
+        return (F.last if hi is None and lo is not None else F.first)(c).over(rows)
 
     def last(c):
         return F.last(c).over(rows)

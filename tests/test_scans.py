@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -131,6 +132,20 @@ def test_blockwise_windows_equal_brute_force(spark, peers):
                         assert same(got[r[1]][f"{o[0]}{i}"], want), (r, o, (lo, hi), got[r[1]][f"{o[0]}{i}"], want)
 
 
+@pytest.mark.parametrize("peers", [False, True])
+def test_frames_without_end_are_read_from_their_end(spark, peers):
+    # Spark goes through the rest of the block for every row of a frame that begins at a row and has no end
+    df = frame_of(spark, rows_of(300, 5))
+    ops = {f"{op}{i}": (op, "x", 3 if op == "nth_value" else None, (lo, None))
+           for i, lo in enumerate((-2, 0, 3)) for op in ("min", "max", "sum", "count", "valid", "first_value", "last_value", "nth_value")}
+    out = window_distributed(df, ops, ["day"], ["g"], tiebreak=["id"], ignore_peers=not peers, block=16)
+    frames = re.findall(r"specifiedwindowframe\(RowFrame, ([^,]+), unboundedfollowing", out._jdf.queryExecution().analyzed().toString(), re.I)
+    assert not [lo for lo in frames if "unbounded" not in lo.lower()], frames
+    # null, where a frame begins behind its group's end
+    last = out.groupBy("g").agg(F.max_by(F.struct("first_value2", "sum2", "count2"), F.struct("day", "id")).alias("x")).select("x.*").collect()
+    assert len(last) == 3 and all((r.first_value2, r.sum2, r.count2) == (None, None, 0) for r in last)
+
+
 def test_blockwise_ranks_offsets_and_odd_ops(spark):
     df = frame_of(spark, rows_of(700, 3))
     ops = {"rn": ("row_number",), "rk": ("rank",), "dr": ("dense_rank",), "pr": ("percent_rank",), "cd": ("cume_dist",), "nt": ("ntile", None, 7),
