@@ -12,6 +12,9 @@ union. The work, step by step:
    do their sizes fit. Classes with identical prefixes and size are one group; groups are joined on
    prefix shingles, shared shingles are counted, and pairs whose count cannot reach the required
    overlap are dropped. Pairs of groups are expanded to their classes and verified on whole sets.
+   Each set has a signature of ``SIGN_BITS`` bits, the parities of its shingles by their lowest
+   bits. Two signatures differ in no more bits than the sets differ in shingles, so pairs whose
+   signatures are too far apart cannot be linked and leave the second join at once.
 4. Only components are asked for, so the join runs twice: first between neighbours in each list of
    groups with one shingle, which is linear and finds most links; then between all groups of fitting
    size that are still in different components. No link between different components can be missed, and a large
@@ -40,6 +43,8 @@ from ._common import combine, components, cut, drop, likely_rows, mix, prepare,
 SKETCH_BITS, LEAST_SHARED = 21, 4
 #: Neighbours of a group that the first join verifies; what they leave apart is left to the second.
 NEIGHBOURS = 8
+#: Bits of a set's signature, held in two numbers.
+SIGN_BITS = 128
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int) -> list[np.ndarray]:
@@ -62,6 +67,12 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int) -> list[np.ndarr
     return out
 
 
+def signature(s: np.ndarray) -> np.ndarray:
+    """For each value of the lowest bits whether an odd number of the shingles have it."""
+    odd = np.bincount((s & np.uint64(SIGN_BITS - 1)).astype(np.int64), minlength=SIGN_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketch(rows: DataFrame, size: int) -> np.ndarray:
     """A level for each of 2**SKETCH_BITS counters: 0 for most, higher for those whose count over
     all documents stands out. Tasks count all their shingles and report the counters that are well
@@ -97,7 +108,7 @@ def _least_prefix(n: int, num: int, den: int) -> tuple[int, int]:
 
 
 def _features(rows: DataFrame, level: np.ndarray, size: int, num: int, den: int) -> DataFrame:
-    """(id, n, d1, d2: digest of the set, prefix) of every row."""
+    """(id, n, d1, d2: digest of the set, q1, q2: its signature, prefix) of every row."""
     kind = rows.schema["id"].dataType.simpleString()
     shared = rows.sparkSession.sparkContext.broadcast(level)  # 2**SKETCH_BITS bytes
 
@@ -105,20 +116,22 @@ def _features(rows: DataFrame, level: np.ndarray, size: int, num: int, den: int)
         lv = shared.value
         for b in batches:
             for lo, hi, data, offs in text_chunks(b, 1):
-                n, d1, d2, prefix = [], [], [], []
+                n, d1, d2, signs, prefix = [], [], [], [], []
                 for s in shingle_sets(data, offs, size):
                     n.append(len(s))
                     d1.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                     d2.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)))
+                    signs.append(signature(s))
                     order = lv[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                     first = s[np.argsort(order, kind="stable")] if order.any() else s
                     prefix.append(first[:_least_prefix(len(s), num, den)[1]].view(np.int64))
+                q1, q2 = np.array(signs, np.int64).reshape(-1, 2).T
                 yield pa.RecordBatch.from_arrays([b.slice(lo, hi - lo).column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
-                                                  pa.array(d2, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
-                                                 names=["id", "n", "d1", "d2", "prefix"])
+                                                  pa.array(d2, pa.int64()), pa.array(q1), pa.array(q2), pa.array(prefix, pa.list_(pa.int64()))],
+                                                 names=["id", "n", "d1", "d2", "q1", "q2", "prefix"])
         release()
 
-    return rows.mapInArrow(run, f"id {kind}, n bigint, d1 bigint, d2 bigint, prefix array<bigint>")
+    return rows.mapInArrow(run, f"id {kind}, n bigint, d1 bigint, d2 bigint, q1 bigint, q2 bigint, prefix array<bigint>")
 
 
 def _sets(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -156,12 +169,12 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text: str = "te
     rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     feats = cut(_features(rows, sketch(rows, size), size, num, den))
     some = feats.filter("n > 0 AND id IS NOT NULL")
-    classes = cut(some.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), F.first("prefix").alias("prefix")))
+    classes = cut(some.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), F.first("prefix").alias("prefix"), F.first("q1").alias("q1"), F.first("q2").alias("q2")))
     # groups: classes of one size with one prefix
     key = F.xxhash64("prefix")
-    member = classes.select("n", key.alias("p1"), F.xxhash64("prefix", F.lit(1)).alias("p2"), "rep", "prefix")
+    member = classes.select("n", key.alias("p1"), F.xxhash64("prefix", F.lit(1)).alias("p2"), "rep", "prefix", "q1", "q2")
     groups = cut(member.groupBy("n", "p1", "p2").agg(F.min("rep").alias("g"), F.first("prefix").alias("prefix")))
-    members = cut(member.select("n", "p1", "p2", "rep").join(groups.select("n", "p1", "p2", "g"), ["n", "p1", "p2"]).select("g", "n", "rep"))
+    members = cut(member.select("n", "p1", "p2", "rep", "q1", "q2").join(groups.select("n", "p1", "p2", "g"), ["n", "p1", "p2"]).select("g", "n", "rep", "q1", "q2"))
     posts = groups.select("g", "n", F.posexplode("prefix").alias("k", "s"))
     many = posts.groupBy("s").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("s")
     posts = cut(posts.join(many, "s"))
@@ -183,28 +196,28 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text: str = "te
     placed = cut(members.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
 
     # second join: all groups with a shingle in common that are not within one component
-    spread = placed.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    alone = F.count(F.lit(1)) == 1  # the signature of a group with one class
+    spread = placed.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *[F.when(alone, F.max(q)).alias(q) for q in ("q1", "q2")])
     open_posts = posts.join(spread, "g")
     mixed = open_posts.groupBy("s").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l <> h").select("s")
     # sizes of linked sets are of one class or of neighbouring ones
     kind = F.floor(F.log(F.col("n").cast("double")) / math.log(1.001 * den / num)).cast("int")
-    open_posts, whole_posts = cut(open_posts.join(mixed, "s").select("s", "g", "n", "k", "lo", "hi", kind.alias("kind"))), posts
+    open_posts, whole_posts = cut(open_posts.join(mixed, "s").select("s", "g", "n", "k", F.expr("if(lo = hi, lo, null)").alias("comp"), "q1", "q2")), posts
     drop(whole_posts)
-    other = open_posts.select("s", F.col("kind").alias("at"), *[F.col(c).alias(c + "2") for c in ("g", "n", "k", "lo", "hi")])
-    open_posts = open_posts.withColumn("at", F.explode(F.array("kind", F.col("kind") + 1)))
-    once = (F.col("at") > F.col("kind")) | (F.col("g") < F.col("g2"))
-    apart = (F.col("lo") != F.col("hi")) | (F.col("lo2") != F.col("hi2")) | (F.col("lo") != F.col("lo2"))
+    other = open_posts.select("s", kind.alias("at"), *[F.col(c).alias(c + "2") for c in ("g", "n", "k", "comp", "q1", "q2")])
+    open_posts = open_posts.withColumn("at", F.explode(F.array(kind, kind + 1)))
+    once = (F.col("at") > kind) | (F.col("g") < F.col("g2"))
+    apart = F.coalesce(F.col("comp") != F.col("comp2"), F.lit(True))  # a group in several components has none
     # a shared shingle is worth a pair only if what follows it on both sides can still make the overlap
     reach = F.least(F.col("n") - F.col("k"), F.col("n2") - F.col("k2")) + F.least("k", "k2") >= _overlap("n", "n2", num, den)
-    found = (open_posts.join(other, ["s", "at"]).filter(once & apart & fits & reach)
+    found = (open_posts.join(other, ["s", "at"]).filter(once & apart & fits & reach & _alike("", "2", num, den))
              .groupBy("g", "g2", "n", "n2").agg(F.count(F.lit(1)).alias("c")).filter(_enough("n", "n2", F.col("c"), num, den)))
     inside = placed.join(spread.filter("lo <> hi").select("g"), "g")
-    wide = (cut(found.select("g", "g2")).join(placed.select("g", F.col("rep").alias("a"), F.col("comp").alias("ca")), "g")
-            .join(placed.select(F.col("g").alias("g2"), F.col("rep").alias("b"), F.col("comp").alias("cb")), "g2"))
-    own = inside.select("g", F.col("rep").alias("a"), F.col("comp").alias("ca")).join(
-        inside.select("g", F.col("rep").alias("b"), F.col("comp").alias("cb")), "g").filter("a < b")
-    late = wide.select("a", "b", "ca", "cb").unionByName(own.select("a", "b", "ca", "cb")).filter("ca <> cb")
-    more = _verified(late, rows, size, num, den)
+    sides = [[F.col("rep").alias(x), *[F.col(c).alias(c + x) for c in ("comp", "n", "q1", "q2")]] for x in "ab"]
+    late = F.expr("compa <> compb") & _alike("a", "b", num, den)
+    wide = cut(found.select("g", "g2")).join(placed.select("g", *sides[0]), "g").join(placed.select(F.col("g").alias("g2"), *sides[1]), "g2").filter(late)
+    own = inside.select("g", *sides[0]).join(inside.select("g", *sides[1]), "g").filter(F.expr("a < b") & late)
+    more = _verified(wide.select("a", "b").unionByName(own.select("a", "b")), rows, size, num, den)
     found_so_far = placed.filter(F.col("rep") != F.col("comp")).select(F.col("rep").alias("a"), F.col("comp").alias("b"))
     final = components(found_so_far.union(more))
 
@@ -228,6 +241,13 @@ def _enough(n, n2, c, num: int, den: int):
     return (c + F.greatest(*rest) >= _overlap(n, n2, num, den)) & (c >= F.least(F.lit(LEAST_SHARED), *own))
 
 
+def _alike(one: str, two: str, num: int, den: int):
+    """Whether the signatures (columns named with these endings; null: unknown) allow a link."""
+    far = sum(F.bit_count(F.col(q + one).bitwiseXOR(F.col(q + two))) for q in ("q1", "q2"))
+    n, n2 = "n" + one, "n" + two
+    return F.coalesce(far <= F.col(n) + F.col(n2) - 2 * _overlap(n, n2, num, den), F.lit(True))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size, component and class of every document: 3-word shingles, 90 of 100."""
     return jaccard_components(table(spark, sf_dir, "documents"))

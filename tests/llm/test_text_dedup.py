@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
+from martlet.llm import jaccard_join
 from martlet.llm.jaccard_join import jaccard_components
 from martlet.llm.line_dedup import SHORT, line_dedup
 from martlet.llm.substring_dedup import GROUP, LENGTH, dedup_substrings
@@ -155,6 +157,24 @@ def test_jaccard_equals_brute_force(docs_of, size, num):
     assert got == brute_components(rows, size, num, 100)
 
 
+def test_signatures_bound_the_difference_and_spare_candidates(docs_of, monkeypatch):
+    rnd = np.random.default_rng(5)
+    for n in (0, 1, 7, 100, 3000):
+        a = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[n // 9:], rnd.integers(0, 1 << 63, n // 7, dtype=np.uint64)]))
+        far = sum(int(x).bit_count() for x in (jaccard_join.signature(a) ^ jaccard_join.signature(b)).view(np.uint64))
+        assert far <= len(np.setxor1d(a, b))
+    # texts that differ in their last words only, so much that none are linked: of one length, with
+    # the frequent beginnings in all prefixes
+    asked, verified = [], jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *rest: asked.append(pairs.distinct().count()) or verified(pairs, *rest))
+    monkeypatch.setattr(jaccard_join, "sketch", lambda *_: np.zeros(1 << jaccard_join.SKETCH_BITS, np.uint8))
+    rows = [(i, " ".join([f"c{k}" for k in range(60)] + [f"d{i}x{k}" for k in range(15)])) for i in range(40)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs_of(rows, 4)).collect()}
+    assert got == brute_components(rows, 3, 90, 100) == {i: (73, i) for i, _ in rows}
+    assert asked[1] == 0, asked
+
+
 def test_jaccard_of_empty_table(docs_of):
     assert jaccard_components(docs_of([])).collect() == []
     got = jaccard_components(docs_of([(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (None, "a b c d"), (4, None)])).collect()
