@@ -94,8 +94,9 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def release() -> None:
-    """Give a worker's freed memory back to the system: it stays for the tasks that follow."""
+    """Give a worker's freed memory, Arrow's too, back to the system: the worker stays for the tasks that follow."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import cut, free_name, likely_rows, own_ids, prepare, table
+from ._common import cut, free_name, likely_rows, own_ids, prepare, release, table
 
 #: Edits between near lines, and characters of the shortest line that is compared by edits.
 MAX_EDITS, SHORT = 1, 12
@@ -82,6 +82,7 @@ def _line_rows(rows: DataFrame, with_keys: bool = True) -> DataFrame:
                             keys.append(np.array(_half_keys(line), np.uint64).view(np.int64) if with_keys and len(line) >= SHORT else None)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at, pa.int32())), pa.array(k, pa.int32()), _signed(h1), _signed(h2),
                                                   pa.array(keys, pa.list_(pa.int64()))], names=["id", "k", "h1", "h2", "keys"])
+        release()
 
     return rows.mapInArrow(run, f"id {kind}, k int, h1 bigint, h2 bigint, keys array<bigint>")
 
@@ -102,6 +103,7 @@ def _with_lines(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                         h2.append(a["h2"])
                         found.append(lines[a["k"]])
             yield pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(found, pa.string())], names=["h1", "h2", "line"])
+        release()
 
     return both.mapInArrow(run, "h1 bigint, h2 bigint, line string")
 
@@ -117,6 +119,7 @@ def _variants(lines: DataFrame) -> DataFrame:
                 n = len(keys)
                 yield pa.RecordBatch.from_arrays([_signed(sorted(keys)), pa.array([b.column(0)[i].as_py()] * n, pa.int64()),
                                                   pa.array([b.column(1)[i].as_py()] * n, pa.int64())], names=["v", "h1", "h2"])
+        release()
 
     return lines.mapInArrow(run, "v bigint, h1 bigint, h2 bigint")
 
@@ -201,6 +204,7 @@ def _rebuilt(joined: DataFrame, text: str, df: DataFrame, counts: tuple[str, str
                     cut_away.append(len(lines) - len(out))
                 cols = [*part.columns[:at], pa.array(texts, b.schema.field(at).type), *part.columns[at + 1:len(keep)]]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(cut_away, pa.int64())], names=schema.names)
+        release()
 
     return joined.mapInArrow(run, schema)
 

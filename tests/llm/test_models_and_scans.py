@@ -1,7 +1,10 @@
 """Toxicity, token counts, licences, urls, tokens, neighbours, decontamination and the pipeline."""
 
 import random
+import subprocess
+import sys
 import textwrap
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -291,3 +294,24 @@ def test_sql(spark, duck, name):
     rel = duck.execute(ORACLE[name])
     names = [c[0] for c in rel.description]
     assert sorted(map(str, (tuple(r[c] for c in names) for r in df.collect()))) == sorted(map(str, rel.fetchall()))
+
+
+def test_release_gives_arrow_memory_back():
+    # in a process of its own: 100 MB of Arrow arrays are made and dropped
+    code = """
+import ctypes, gc, re
+import pyarrow as pa
+from martlet.llm._common import release
+def held():
+    return sum(map(int, re.findall(r"\\nPss_(?:Anon|Shmem):\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+release()
+before = held()
+arrays = [pa.array(range(2000)) for _ in range(6500)]
+most = held() - before
+del arrays
+release()
+print(most, held() - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).resolve().parents[2])
+    most, rest = map(float, out.stdout.split())
+    assert most > 90 and rest < most / 2
