@@ -16,9 +16,12 @@ union. The work, step by step:
    bits. Two signatures differ in no more bits than the sets differ in shingles, so pairs whose
    signatures are too far apart cannot be linked and leave the second join at once.
 4. Only components are asked for, so the join runs twice: first between neighbours in each list of
-   groups with one shingle, which is linear and finds most links; then between all groups of fitting
-   size that are still in different components. No link between different components can be missed, and a large
-   group of copies never produces all its pairs.
+   groups with one shingle, and between each group and the list's hub, which is linear and finds most
+   links; then between all groups of fitting size that are still in different components. No link between
+   different components can be missed, and a large group of copies never produces all its pairs. The
+   hub has the fewest rarer shingles: if copies were changed each in its own way, it is the text that
+   they were made from or close to it, and those that are not linked to it have more shingles of their
+   own than the second join's prefixes, cut for each pair of sizes, hold.
 
 Sets are read from the text again for the classes that are to be verified; a fixed-size bitmap
 limits that scan and an exact join follows. Equal hashes count as equal shingles.
@@ -176,21 +179,26 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text: str = "te
     groups = cut(member.groupBy("n", "p1", "p2").agg(F.min("rep").alias("g"), F.first("prefix").alias("prefix")))
     members = cut(member.select("n", "p1", "p2", "rep", "q1", "q2").join(groups.select("n", "p1", "p2", "g"), ["n", "p1", "p2"]).select("g", "n", "rep", "q1", "q2"))
     posts = groups.select("g", "n", F.posexplode("prefix").alias("k", "s"))
-    many = posts.groupBy("s").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("s")
-    posts = cut(posts.join(many, "s"))
+    # of use in a shingle's list are groups with another one of fitting size: if any fits, the next by size does
+    by = Window.partitionBy("s").orderBy("n", "g")
+    posts = cut(posts.withColumn("less", F.lag("n").over(by)).withColumn("more", F.lead("n").over(by))
+                .filter((den * F.col("less") >= num * F.col("n")) | (den * F.col("n") >= num * F.col("more"))).drop("less", "more"))
     fits = den * F.least("n", "n2") >= num * F.greatest("n", "n2")
 
-    # first join: neighbours, by size, in each shingle's list of groups, and within each group
-    by = Window.partitionBy("s", "part").orderBy("n", "g")
+    # first join: in each shingle's list of groups the neighbours by size and the hub, the group with
+    # the fewest rarer shingles; and within each group
+    lists = Window.partitionBy("s", "part")
+    last, hub = F.lag(F.struct("g", "n")).over(lists.orderBy("n", "g")), F.min(F.struct("k", "g", "n")).over(lists)
     near = (posts.withColumn("part", F.floor(F.log2(F.col("n")) * 8))  # a list is split by size
-            .withColumn("g2", F.lag("g").over(by)).withColumn("n2", F.lag("n").over(by))
-            .filter("g2 IS NOT NULL").filter(fits).groupBy("g2", "g", "n2", "n").agg(F.count(F.lit(1)).alias("c"))
-            .filter(_enough("n", "n2", F.col("c"), num, den)))
+            .withColumn("last", last).withColumn("hub", hub)
+            .withColumn("to", F.explode(F.array_distinct(F.array("last", F.struct("hub.g", "hub.n")))))
+            .select("g", "n", F.col("to.g").alias("g2"), F.col("to.n").alias("n2")).filter("g2 <> g").filter(fits)
+            .groupBy("g2", "g", "n2", "n").agg(F.count(F.lit(1)).alias("c")).filter(_enough("n", "n2", F.col("c"), num, den)))
     # of each group's neighbours (at most one a prefix shingle) those that share most
     best = Window.partitionBy("g").orderBy(F.desc("c"), "g2")
     near = near.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= NEIGHBOURS)
     chain = members.withColumn("a", F.lag("rep").over(Window.partitionBy("g").orderBy("rep"))).filter("a IS NOT NULL")
-    links = _verified(near.select(F.col("g").alias("a"), F.col("g2").alias("b")).union(chain.select("a", F.col("rep").alias("b"))),
+    links = _verified(near.select(F.least("g", "g2").alias("a"), F.greatest("g", "g2").alias("b")).union(chain.select("a", F.col("rep").alias("b"))),
                       rows, size, num, den)
     comp = components(links)
     placed = cut(members.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
@@ -198,7 +206,8 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text: str = "te
     # second join: all groups with a shingle in common that are not within one component
     alone = F.count(F.lit(1)) == 1  # the signature of a group with one class
     spread = placed.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *[F.when(alone, F.max(q)).alias(q) for q in ("q1", "q2")])
-    open_posts = posts.join(spread, "g")
+    needed = F.least(F.lit(LEAST_SHARED), F.ceil(num * F.col("n") / den))  # lists in common with any partner
+    open_posts = posts.join(spread, "g").withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("g"))).filter(F.col("c") >= needed)
     mixed = open_posts.groupBy("s").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l <> h").select("s")
     # sizes of linked sets are of one class or of neighbouring ones
     kind = F.floor(F.log(F.col("n").cast("double")) / math.log(1.001 * den / num)).cast("int")
@@ -208,10 +217,12 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text: str = "te
     open_posts = open_posts.withColumn("at", F.explode(F.array(kind, kind + 1)))
     once = (F.col("at") > kind) | (F.col("g") < F.col("g2"))
     apart = F.coalesce(F.col("comp") != F.col("comp2"), F.lit(True))  # a group in several components has none
-    # a shared shingle is worth a pair only if what follows it on both sides can still make the overlap
-    reach = F.least(F.col("n") - F.col("k"), F.col("n2") - F.col("k2")) + F.least("k", "k2") >= _overlap("n", "n2", num, den)
-    found = (open_posts.join(other, ["s", "at"]).filter(once & apart & fits & reach & _alike("", "2", num, den))
-             .groupBy("g", "g2", "n", "n2").agg(F.count(F.lit(1)).alias("c")).filter(_enough("n", "n2", F.col("c"), num, den)))
+    # sets that share m shingles have the first l of them within their first n - m + l: a part of the
+    # whole prefix, which is made for the smallest partner
+    least = F.least(F.lit(LEAST_SHARED), _overlap("n", "n2", num, den))
+    first = F.greatest(F.col("k") - F.col("n"), F.col("k2") - F.col("n2")) < least - _overlap("n", "n2", num, den)
+    found = (open_posts.join(other, ["s", "at"]).filter(once & apart & fits & first & _alike("", "2", num, den))
+             .groupBy("g", "g2", "n", "n2").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= least))
     inside = placed.join(spread.filter("lo <> hi").select("g"), "g")
     sides = [[F.col("rep").alias(x), *[F.col(c).alias(c + x) for c in ("comp", "n", "q1", "q2")]] for x in "ab"]
     late = F.expr("compa <> compb") & _alike("a", "b", num, den)

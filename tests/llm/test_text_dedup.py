@@ -175,6 +175,38 @@ def test_signatures_bound_the_difference_and_spare_candidates(docs_of, monkeypat
     assert asked[1] == 0, asked
 
 
+def star(n_one, n_two, words, seed=11):
+    """A text and copies of it, each with one or two words replaced by words of its own: copies of the
+    first kind are linked to the text and to each other, of the second to the text or to nothing."""
+    rnd = random.Random(seed)
+    base = [f"b{k}" for k in range(words)]
+    rows = [(50, " ".join(base))]
+    for i in range(n_one + n_two):
+        w = list(base)
+        for p in rnd.sample(range(5, words - 5, 5), 1 if i < n_one else 2):
+            w[p] = f"own{i}x{p}"
+        rows.append((100 + i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("words, linked", [(122, True), (80, False)])
+def test_copies_of_one_text_are_not_paired_with_each_other(docs_of, monkeypatch, words, linked):
+    asked, verified = [], jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *rest: asked.append(pairs.distinct().count()) or verified(pairs, *rest))
+    rows = star(30, 60, words)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs_of(rows, 3)).collect()}
+    assert got == brute_components(rows, 3, 90, 100)
+    assert (sum(c == 50 for _, c in got.values()) == len(rows)) == linked
+    assert asked[1] <= 10, asked  # of some 2000 pairs of copies
+
+
+def test_lists_of_one_shingle_with_sizes_that_do_not_fit(docs_of):
+    # all share a passage; sizes on both sides of the bound, and next to none that fits
+    rows = [(i, " ".join([f"p{k}" for k in range(30)] + [f"q{k}" for k in range(m)])) for i, m in enumerate([0, 1, 2, 3, 4, 10, 30, 33, 34, 100, 200, 223])]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs_of(rows, 4)).collect()}
+    assert got == brute_components(rows, 3, 90, 100)
+
+
 def test_jaccard_of_empty_table(docs_of):
     assert jaccard_components(docs_of([])).collect() == []
     got = jaccard_components(docs_of([(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (None, "a b c d"), (4, None)])).collect()
